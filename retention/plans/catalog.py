@@ -107,3 +107,134 @@ def _q(spark, d):
 @query("segment_internet_payment")
 def _q(spark, d):
     return r6(SG.segment_internet_payment(features_all(spark, d)))
+
+
+@query("label_correlations")
+def _q(spark, d):
+    return r6(SG.label_correlations(features_all(spark, d)))
+
+
+@query("tenure_cohorts")
+def _q(spark, d):
+    return r6(SG.tenure_cohorts(features_all(spark, d)))
+
+
+@query("high_risk_segments")
+def _q(spark, d):
+    return r6(SG.high_risk_segments(features_all(spark, d), min_rows=50, limit=15))
+
+
+def _ids_from_orders(spark, d):
+    """Customers who placed an order of the top priority: the lookup id list
+    is itself derived from the data (customer_id = key + 1)."""
+    from retention.sources.fixture import read_table
+    o = read_table(spark, d, "orders")
+    return (o.where(F.col("o_orderpriority") == "1-URGENT")
+            .select((F.col("o_custkey") + 1).alias("customer_id")))
+
+
+@query("customer_lookup")
+def _q(spark, d):
+    return SG.customer_lookup(features_all(spark, d), _ids_from_orders(spark, d))
+
+
+@query("latest_customer_features")
+def _q(spark, d):
+    return SG.latest_customer_features(features_all(spark, d), _ids_from_orders(spark, d))
+
+
+@query("segment_contract_latest")
+def _q(spark, d):
+    return r6(SG.segment_contract_latest(features_all(spark, d)))
+
+
+# ---- feature sub-steps ------------------------------------------------------
+
+@query("feature_p80")
+def _q(spark, d):
+    return FE.daily_p80(clean_all(spark, d))
+
+
+@query("feature_high_spender")
+def _q(spark, d):
+    f = features_all(spark, d)
+    return f.groupBy("ingest_date", "is_high_spender").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("feature_services_count")
+def _q(spark, d):
+    return features_all(spark, d).groupBy("services_count").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("feature_ratios")
+def _q(spark, d):
+    return features_all(spark, d).select("customer_id", "ingest_date", "avg_charges_per_tenure",
+                                         "charges_per_service")
+
+
+@query("feature_contract_months")
+def _q(spark, d):
+    return (clean_all(spark, d).select(F.col("contract"),
+                                       FE.contract_months(F.col("contract")).alias("contract_length_months"))
+            .groupBy("contract", "contract_length_months").agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("feature_tenure_bucket")
+def _q(spark, d):
+    return (features_all(spark, d).groupBy("tenure_bucket")
+            .agg(F.count(F.lit(1)).alias("n"), F.min("tenure").alias("min_tenure"),
+                 F.max("tenure").alias("max_tenure")))
+
+
+# ---- data quality -----------------------------------------------------------
+from retention.operators import quality as Q  # noqa: E402
+
+
+@query("dq_row_count")
+def _q(spark, d):
+    return Q.row_count(clean_all(spark, d))
+
+
+@query("dq_nulls")
+def _q(spark, d):
+    return Q.nulls(clean_all(spark, d))
+
+
+@query("dq_label_values")
+def _q(spark, d):
+    return Q.label_values(clean_all(spark, d))
+
+
+@query("dq_out_of_range")
+def _q(spark, d):
+    return Q.out_of_range(clean_all(spark, d))
+
+
+@query("dq_basic_stats")
+def _q(spark, d):
+    return r6(Q.basic_stats(clean_all(spark, d)))
+
+
+@query("dq_distinct_counts")
+def _q(spark, d):
+    return Q.distinct_counts(clean_all(spark, d))
+
+
+@query("dq_duplicates")
+def _q(spark, d):
+    return Q.duplicates(clean_all(spark, d))
+
+
+@query("dq_partitions_present")
+def _q(spark, d):
+    return Q.partitions_present(clean_all(spark, d))
+
+
+@query("dq_report_long")
+def _q(spark, d):
+    return r6(Q.report_long(clean_all(spark, d)))
+
+
+@query("validation_report")
+def _q(spark, d):
+    return Q.validation_report(clean_all(spark, d))

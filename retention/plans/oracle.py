@@ -144,3 +144,126 @@ register("segment_internet_payment",
          "select internet_type, payment_method, cast(count(*) as bigint) as n,"
          " round(avg(churn_label), 6) as churn_rate from features group by internet_type, payment_method"
          " order by avg(churn_label) desc, internet_type, payment_method limit 20")
+
+register("label_correlations", """
+select feature, round(r, 6) as r from (
+  select 'monthly_charges' as feature, corr(monthly_charges, churn_label) as r from features union all
+  select 'total_charges', corr(total_charges, churn_label) from features union all
+  select 'tenure', corr(tenure, churn_label) from features union all
+  select 'services_count', corr(services_count, churn_label) from features union all
+  select 'avg_charges_per_tenure', corr(avg_charges_per_tenure, churn_label) from features union all
+  select 'charges_per_service', corr(charges_per_service, churn_label) from features union all
+  select 'contract_length_months', corr(contract_length_months, churn_label) from features)
+order by r desc nulls last, feature""")
+
+register("tenure_cohorts", """
+select tenure_cohort, cast(count(*) as bigint) as n, round(avg(churn_label), 6) as churn_rate,
+       round(avg(monthly_charges), 6) as avg_monthly
+from (select *, case when tenure < 6 then '0-5m' when tenure < 12 then '6-11m'
+                     when tenure < 24 then '12-23m' when tenure < 36 then '24-35m' else '36m+' end as tenure_cohort
+      from features)
+group by tenure_cohort order by churn_rate desc, tenure_cohort""")
+
+register("high_risk_segments", """
+select contract_type, payment_method, cast(count(*) as bigint) as n, round(avg(churn_label), 6) as churn_rate
+from features group by contract_type, payment_method having count(*) >= 50
+order by avg(churn_label) desc, contract_type, payment_method limit 15""")
+
+_URGENT_IDS = "(select o_custkey + 1 as customer_id from orders where o_orderpriority = '1-URGENT')"
+
+register("customer_lookup", f"""
+select * exclude (ingest_date) from features where customer_id in {_URGENT_IDS}""")
+
+register("latest_customer_features", f"""
+select * exclude (ingest_date, _rn) from (
+  select *, row_number() over (partition by customer_id order by ingest_date desc,
+    tenure desc nulls last, monthly_charges desc nulls last, total_charges desc nulls last,
+    is_senior desc nulls last, has_internet desc nulls last, services_count desc nulls last,
+    avg_charges_per_tenure desc nulls last, charges_per_service desc nulls last,
+    internet_type desc nulls last, contract_type desc nulls last, payment_method desc nulls last,
+    contract_length_months desc nulls last, tenure_bucket desc nulls last,
+    is_high_spender desc nulls last, churn_label desc nulls last) as _rn
+  from features where customer_id in {_URGENT_IDS}) where _rn = 1""")
+
+register("segment_contract_latest", """
+select contract_type, cast(count(*) as bigint) as n, round(avg(churn_label), 6) as churn_rate
+from features where ingest_date = (select max(ingest_date) from features)
+group by contract_type order by churn_rate desc, contract_type""")
+
+register("feature_p80", "select ingest_date, p80_monthly from stats")
+register("feature_high_spender",
+         "select ingest_date, is_high_spender, cast(count(*) as bigint) as n from features group by all")
+register("feature_services_count",
+         "select services_count, cast(count(*) as bigint) as n from features group by all")
+register("feature_ratios",
+         "select customer_id, ingest_date, avg_charges_per_tenure, charges_per_service from features")
+register("feature_contract_months", """
+select contract, cast(case when contract = 'Month-to-month' then 1 when contract = 'One year' then 12
+                           when contract = 'Two year' then 24 end as bigint) as contract_length_months,
+       cast(count(*) as bigint) as n
+from clean group by all""", features=False)
+register("feature_tenure_bucket", """
+select tenure_bucket, cast(count(*) as bigint) as n, min(tenure) as min_tenure, max(tenure) as max_tenure
+from features group by tenure_bucket""")
+
+# ---- data quality (per partition) ------------------------------------------
+_NULLS = """cast(sum(case when tenure is null then 1 else 0 end) as bigint) as null_tenure,
+  cast(sum(case when gender is null then 1 else 0 end) as bigint) as null_gender,
+  cast(sum(case when monthly_charges is null then 1 else 0 end) as bigint) as null_monthly,
+  cast(sum(case when total_charges is null then 1 else 0 end) as bigint) as null_total,
+  cast(sum(case when senior_citizen is null then 1 else 0 end) as bigint) as null_senior_citizen,
+  cast(sum(case when churn_label is null then 1 else 0 end) as bigint) as null_churn_label"""
+_RANGE = """cast(sum(case when tenure < 0 then 1 else 0 end) as bigint) as bad_tenure,
+  cast(sum(case when gender not in ('Female', 'Male') then 1 else 0 end) as bigint) as bad_gender,
+  cast(sum(case when monthly_charges < 0 then 1 else 0 end) as bigint) as bad_monthly,
+  cast(sum(case when total_charges < 0 then 1 else 0 end) as bigint) as bad_total,
+  cast(sum(case when senior_citizen not in (0, 1) then 1 else 0 end) as bigint) as bad_senior_citizen"""
+_STATS = """min(tenure) as min_tenure, max(tenure) as max_tenure, round(avg(tenure), 6) as avg_tenure,
+  min(monthly_charges) as min_monthly, max(monthly_charges) as max_monthly, round(avg(monthly_charges), 6) as avg_monthly,
+  min(total_charges) as min_total, max(total_charges) as max_total, round(avg(total_charges), 6) as avg_total"""
+_DISTINCT = """cast(count(distinct gender) as bigint) as distinct_gender,
+  cast(count(distinct internet_service) as bigint) as distinct_internet_service,
+  cast(count(distinct contract) as bigint) as distinct_contract,
+  cast(count(distinct payment_method) as bigint) as distinct_payment_method"""
+
+register("dq_row_count", "select ingest_date, cast(count(*) as bigint) as cnt from clean group by ingest_date",
+         features=False)
+register("dq_nulls", f"select ingest_date, {_NULLS} from clean group by ingest_date", features=False)
+register("dq_label_values", "select ingest_date, churn_label, cast(count(*) as bigint) as cnt from clean"
+         " group by ingest_date, churn_label order by ingest_date, churn_label", features=False)
+register("dq_out_of_range", f"select ingest_date, {_RANGE} from clean group by ingest_date", features=False)
+register("dq_basic_stats", f"select ingest_date, {_STATS} from clean group by ingest_date", features=False)
+register("dq_distinct_counts", f"select ingest_date, {_DISTINCT} from clean group by ingest_date",
+         features=False)
+register("dq_duplicates", """
+select ingest_date, cast(sum(case when n > 1 then 1 else 0 end) as bigint) as dupes
+from (select ingest_date, customer_id, count(*) as n from clean group by ingest_date, customer_id)
+group by ingest_date""", features=False)
+register("dq_partitions_present",
+         "select distinct ingest_date from clean order by ingest_date desc limit 5", features=False)
+_DQ_LONG_CTES = f"""
+fused as (select ingest_date, cast(count(*) as bigint) as cnt, {_NULLS}, {_RANGE},
+  min(tenure) as min_tenure, max(tenure) as max_tenure, avg(tenure) as avg_tenure,
+  min(monthly_charges) as min_monthly, max(monthly_charges) as max_monthly, avg(monthly_charges) as avg_monthly,
+  min(total_charges) as min_total, max(total_charges) as max_total, avg(total_charges) as avg_total
+  from clean group by ingest_date),
+longf as (
+  select * from (select ingest_date, cast(cnt as double) as cnt, cast(null_tenure as double) as null_tenure, cast(null_gender as double) as null_gender, cast(null_monthly as double) as null_monthly, cast(null_total as double) as null_total, cast(null_senior_citizen as double) as null_senior_citizen, cast(null_churn_label as double) as null_churn_label, cast(bad_tenure as double) as bad_tenure, cast(bad_gender as double) as bad_gender, cast(bad_monthly as double) as bad_monthly, cast(bad_total as double) as bad_total, cast(bad_senior_citizen as double) as bad_senior_citizen, cast(min_tenure as double) as min_tenure, cast(max_tenure as double) as max_tenure, cast(avg_tenure as double) as avg_tenure, cast(min_monthly as double) as min_monthly, cast(max_monthly as double) as max_monthly, cast(avg_monthly as double) as avg_monthly, cast(min_total as double) as min_total, cast(max_total as double) as max_total, cast(avg_total as double) as avg_total from fused)
+  unpivot (value for metric in (cnt, null_tenure, null_gender, null_monthly, null_total, null_senior_citizen, null_churn_label, bad_tenure, bad_gender, bad_monthly, bad_total, bad_senior_citizen, min_tenure, max_tenure, avg_tenure, min_monthly, max_monthly, avg_monthly, min_total, max_total, avg_total))),
+dist as (
+  select * from (select ingest_date, {_DISTINCT} from clean group by ingest_date)
+  unpivot (value for metric in (distinct_gender, distinct_internet_service, distinct_contract, distinct_payment_method)))"""
+_DQ_LONG_BODY = """select ingest_date,
+  case when metric = 'cnt' then 'row_count' when metric like 'null_%' then 'nulls'
+       when metric like 'bad_%' then 'out_of_range' else 'basic_stats' end as "check",
+  metric, round(value, 6) as value from longf
+union all
+select ingest_date, 'distinct_counts', metric, cast(value as double) from dist
+union all
+select ingest_date, 'label_values', 'cnt_' || cast(churn_label as varchar), cast(count(*) as double)
+from clean group by ingest_date, churn_label
+union all
+select ingest_date, 'duplicates', 'dupes', cast(sum(case when n > 1 then 1 else 0 end) as double)
+from (select ingest_date, customer_id, count(*) as n from clean group by ingest_date, customer_id)
+group by ingest_date"""
+register("dq_report_long", _DQ_LONG_BODY, features=False, extra=_DQ_LONG_CTES)
