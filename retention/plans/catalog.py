@@ -238,3 +238,62 @@ def _q(spark, d):
 @query("validation_report")
 def _q(spark, d):
     return Q.validation_report(clean_all(spark, d))
+
+
+# ---- profile (EDA tables) ---------------------------------------------------
+from retention.operators import profile as PR  # noqa: E402
+
+
+@query("profile_numeric")
+def _q(spark, d):
+    return r6(PR.numeric_summary(clean_all(spark, d)))
+
+
+@query("profile_categorical_uniques")
+def _q(spark, d):
+    return PR.categorical_uniques(clean_all(spark, d))
+
+
+@query("profile_correlation")
+def _q(spark, d):
+    return r6(PR.correlation_matrix(clean_all(spark, d)))
+
+
+@query("profile_top_correlations")
+def _q(spark, d):
+    return r6(PR.top_label_correlations(clean_all(spark, d)))
+
+
+@query("profile_churn_rates_long")
+def _q(spark, d):
+    return r6(PR.churn_rates_long(clean_all(spark, d)))
+
+
+@query("profile_churn_rates_wide")
+def _q(spark, d):
+    return r6(PR.churn_rates_wide(clean_all(spark, d)))
+
+
+@query("profile_top3_rates")
+def _q(spark, d):
+    return r6(PR.top_rates(clean_all(spark, d)))
+
+
+@query("profile_histogram")
+def _q(spark, d):
+    return r6(PR.histogram(features_all(spark, d)))
+
+
+@query("profile_box_stats")
+def _q(spark, d):
+    return r6(PR.box_stats(clean_all(spark, d)))
+
+
+@query("profile_value_counts")
+def _q(spark, d):
+    return PR.value_counts(clean_all(spark, d))
+
+
+@query("profile_churn_rate_sorted")
+def _q(spark, d):
+    return r6(PR.churn_rate_sorted(clean_all(spark, d)))

@@ -267,3 +267,94 @@ select ingest_date, 'duplicates', 'dupes', cast(sum(case when n > 1 then 1 else
 from (select ingest_date, customer_id, count(*) as n from clean group by ingest_date, customer_id)
 group by ingest_date"""
 register("dq_report_long", _DQ_LONG_BODY, features=False, extra=_DQ_LONG_CTES)
+
+# ---- profile (clean table: 3 numeric, 14 categorical columns) --------------
+_P_NUM = ["tenure", "monthly_charges", "total_charges"]
+_P_CAT = ["gender", "internet_service", "payment_method", "partner", "dependents", "phone_service",
+          "multiple_lines", "online_security", "online_backup", "device_protection", "tech_support",
+          "streaming_tv", "streaming_movies", "paperless_billing"]
+_F_NUM = ["tenure", "monthly_charges", "total_charges", "services_count", "avg_charges_per_tenure",
+          "charges_per_service", "contract_length_months"]
+
+
+def _union(parts):
+    return "\nunion all\n".join(parts)
+
+
+_NUM_LONG = "numlong as (" + _union(
+    [f"select '{c}' as \"column\", cast({c} as double) as value, churn_label from clean where {c} is not null"
+     for c in _P_NUM]) + ")"
+_CAT_LONG = "catlong as (" + _union(
+    [f"select '{c}' as \"column\", cast({c} as varchar) as value, churn_label from clean" for c in _P_CAT]) + ")"
+_FNUM_LONG = "fnumlong as (" + _union(
+    [f"select '{c}' as \"column\", cast({c} as double) as value from features where {c} is not null"
+     for c in _F_NUM]) + ")"
+
+register("profile_numeric", """
+select "column", cast(count(*) as bigint) as "count", round(avg(value), 6) as mean,
+  round(stddev_samp(value), 6) as std, round(min(value), 6) as "min",
+  round(quantile_cont(value, 0.25), 6) as p25, round(quantile_cont(value, 0.5), 6) as p50,
+  round(quantile_cont(value, 0.75), 6) as p75, round(max(value), 6) as "max"
+from numlong group by "column" """, features=False, extra=_NUM_LONG)
+
+register("profile_categorical_uniques", """
+select "column", cast(count(distinct value) as bigint) as unique_count from catlong
+where value is not null group by "column" """, features=False, extra=_CAT_LONG)
+
+_CORR_COLS = _P_NUM + ["churn_label"]
+_CORR_PAIRS = [(a, b) for i, a in enumerate(_CORR_COLS) for b in _CORR_COLS[i:]]
+_CORR_UPPER = "upper_t as (" + _union(
+    [f"select '{a}' as col_a, '{b}' as col_b, corr({a}, {b}) as r from clean" for a, b in _CORR_PAIRS]) + ")"
+register("profile_correlation", """
+select col_a, col_b, round(r, 6) as r from upper_t
+union all
+select col_b, col_a, round(r, 6) from upper_t where col_a <> col_b""", features=False, extra=_CORR_UPPER)
+
+register("profile_top_correlations", """
+select col_a as feature, round(r, 6) as r from upper_t where col_b = 'churn_label' and col_a <> 'churn_label'
+order by r desc nulls last, feature limit 10""", features=False, extra=_CORR_UPPER)
+
+_RATES = """rates as (select "column", value, avg(churn_label) as churn_rate from catlong
+  where value is not null group by "column", value)"""
+register("profile_churn_rates_long", """
+select "column", value, round(churn_rate, 6) as churn_rate from rates""",
+         features=False, extra=_CAT_LONG + "," + _RATES)
+register("profile_churn_rates_wide", "select value, " + ", ".join(
+    f"round(max(case when \"column\" = '{c}' then churn_rate end), 6) as {c}" for c in _P_CAT)
+    + " from rates group by value", features=False, extra=_CAT_LONG + "," + _RATES)
+register("profile_top3_rates", """
+select "column", value, round(churn_rate, 6) as churn_rate, "rank" from (
+  select *, row_number() over (partition by "column" order by churn_rate desc, value) as "rank" from rates
+  where "column" in ('gender', 'internet_service', 'payment_method', 'partner', 'dependents'))
+where "rank" <= 3""", features=False, extra=_CAT_LONG + "," + _RATES)
+
+_HIST_CTES = """rng as (select "column", case when min(value) = max(value) then min(value) - 0.5 else min(value) end as lo,
+                         case when min(value) = max(value) then max(value) + 0.5 else max(value) end as hi
+        from fnumlong group by "column"),
+cnt as (select l."column", cast(least(floor((l.value - r.lo) * 30 / (r.hi - r.lo)), 29) as integer) as bin,
+               count(*) as c
+        from fnumlong l join rng r on l."column" = r."column" group by all),
+grid as (select "column", lo, hi, cast(unnest(range(0, 30)) as integer) as bin from rng)"""
+register("profile_histogram", """select g."column", g.bin, round(g.lo + g.bin * ((g.hi - g.lo) / 30), 6) as bin_lo,
+       round(case when g.bin = 29 then g.hi else g.lo + (g.bin + 1) * ((g.hi - g.lo) / 30) end, 6) as bin_hi,
+       cast(coalesce(c.c, 0) as bigint) as "count"
+from grid g left join cnt c on g."column" = c."column" and g.bin = c.bin""",
+         extra=_FNUM_LONG + "," + _HIST_CTES)
+
+_BOX_CTES = """q as (select churn_label, "column", quantile_cont(value, 0.25) as q1, quantile_cont(value, 0.5) as median,
+             quantile_cont(value, 0.75) as q3 from numlong group by all),
+boxrows as (select l.churn_label, l."column", q.q1, q.median, q.q3, l.value,
+             l.value >= q.q1 - 1.5 * (q.q3 - q.q1) and l.value <= q.q3 + 1.5 * (q.q3 - q.q1) as inside
+      from numlong l join q on l.churn_label = q.churn_label and l."column" = q."column")"""
+register("profile_box_stats", """select churn_label, "column", round(any_value(q1), 6) as q1, round(any_value(median), 6) as median,
+  round(any_value(q3), 6) as q3, round(min(case when inside then value end), 6) as whisker_low,
+  round(max(case when inside then value end), 6) as whisker_high,
+  cast(sum(case when inside then 0 else 1 end) as bigint) as outliers
+from boxrows group by churn_label, "column" """, features=False, extra=_NUM_LONG + "," + _BOX_CTES)
+
+register("profile_value_counts", """
+select "column", coalesce(value, 'Unknown') as value, cast(count(*) as bigint) as "count" from catlong
+group by all order by "column", "count" desc, value""", features=False, extra=_CAT_LONG)
+register("profile_churn_rate_sorted", """
+select "column", value, round(churn_rate, 6) as churn_rate from rates order by "column", churn_rate desc, value""",
+         features=False, extra=_CAT_LONG + "," + _RATES)
