@@ -297,3 +297,53 @@ def _q(spark, d):
 @query("profile_churn_rate_sorted")
 def _q(spark, d):
     return r6(PR.churn_rate_sorted(clean_all(spark, d)))
+
+
+# ---- raw preparation --------------------------------------------------------
+from retention.operators import prepare as PP  # noqa: E402
+from retention.sources.fixture import raw_unique, two_sources  # noqa: E402
+
+
+def _union(spark, d):
+    p, s = two_sources(spark, d)
+    return PP.union_sources(p, s, keep=("k",))
+
+
+@query("prep_label_titlecase")
+def _q(spark, d):
+    r = raw_unique(spark, d)
+    return r.select("k", F.col("churn").alias("churn_raw"),
+                    PP.title_label("churn").alias("churn"))
+
+
+@query("prep_conform_schema")
+def _q(spark, d):
+    return PP.conform(two_sources(spark, d)[1], keep=("k",))
+
+
+@query("prep_union_sources")
+def _q(spark, d):
+    return _union(spark, d)
+
+
+@query("prep_surrogate_ids")
+def _q(spark, d):
+    p, s = two_sources(spark, d)
+    return PP.prepare(p, s, AS_OF, ["k"])
+
+
+@query("prep_coerce_numeric")
+def _q(spark, d):
+    u = PP.assign_ids(PP.coerce_numeric(_union(spark, d)), ["k"])
+    return u.select("customer_id", "tenure", "monthly_charges", "total_charges")
+
+
+@query("prep_round_to_int")
+def _q(spark, d):
+    p, s = two_sources(spark, d)
+    return PP.prepare(p, s, AS_OF, ["k"]).select("customer_id", "senior_citizen", "tenure")
+
+
+@query("prep_null_counts")
+def _q(spark, d):
+    return PP.sanity_counts(PP.coerce_numeric(_union(spark, d)))

@@ -358,3 +358,48 @@ group by all order by "column", "count" desc, value""", features=False, extra=_C
 register("profile_churn_rate_sorted", """
 select "column", value, round(churn_rate, 6) as churn_rate from rates order by "column", churn_rate desc, value""",
          features=False, extra=_CAT_LONG + "," + _RATES)
+
+# ---- raw preparation --------------------------------------------------------
+_BODY = ["gender", "senior_citizen", "partner", "dependents", "tenure", "phone_service", "multiple_lines",
+         "internet_service", "online_security", "online_backup", "device_protection", "tech_support",
+         "streaming_tv", "streaming_movies", "contract", "paperless_billing", "payment_method",
+         "monthly_charges", "total_charges"]
+_TITLE = ("upper(substr(trim(coalesce(churn, 'nan')), 1, 1)) || lower(substr(trim(coalesce(churn, 'nan')), 2))")
+_PREP_CTES = f"""
+prim as (select k, {', '.join(_BODY)}, {_TITLE} as churn, cast(null as varchar) as ingest_date,
+                cast(null as varchar) as note, 0 as source_ord from r where k % 10 < 7),
+sec as (select k, {', '.join(c if c != 'tech_support' else 'cast(null as varchar) as tech_support' for c in _BODY)},
+               {_TITLE} as churn, cast(null as varchar) as ingest_date,
+               'note ' || cast(k as varchar) as note, 1 as source_ord from r where k % 10 >= 7),
+unioned as (select * from prim union all select * from sec),
+coerced as (select * replace (try_cast(trim(tenure) as double) as tenure,
+                              try_cast(trim(monthly_charges) as double) as monthly_charges,
+                              try_cast(trim(total_charges) as double) as total_charges),
+                   row_number() over (order by source_ord, k) as customer_id from unioned)"""
+
+register("prep_label_titlecase", f"select k, churn as churn_raw, {_TITLE} as churn from r",
+         clean=False, features=False)
+register("prep_conform_schema", "select * exclude (source_ord) from sec", clean=False, features=False,
+         extra=_PREP_CTES)
+register("prep_union_sources", "select * from unioned", clean=False, features=False, extra=_PREP_CTES)
+register("prep_surrogate_ids", f"""
+select cast(customer_id as bigint) as customer_id,
+  {', '.join(
+      f'cast(round_even({c}, 0) as bigint) as {c}' if c == 'tenure' else
+      f'cast(round_even(try_cast(trim({c}) as double), 0) as bigint) as {c}' if c == 'senior_citizen' else c
+      for c in _BODY)}, churn, date '2025-08-24' as ingest_date
+from coerced""", clean=False, features=False, extra=_PREP_CTES)
+register("prep_coerce_numeric",
+         "select cast(customer_id as bigint) as customer_id, tenure, monthly_charges, total_charges from coerced",
+         clean=False, features=False, extra=_PREP_CTES)
+register("prep_round_to_int", """
+select cast(customer_id as bigint) as customer_id,
+  cast(round_even(try_cast(trim(senior_citizen) as double), 0) as bigint) as senior_citizen,
+  cast(round_even(tenure, 0) as bigint) as tenure from coerced""", clean=False, features=False, extra=_PREP_CTES)
+register("prep_null_counts", """
+select cast(count(*) as bigint) as "rows",
+  cast(sum(case when tenure is null then 1 else 0 end) as bigint) as null_tenure,
+  cast(sum(case when monthly_charges is null then 1 else 0 end) as bigint) as null_monthly_charges,
+  cast(sum(case when total_charges is null then 1 else 0 end) as bigint) as null_total_charges,
+  cast(sum(case when churn is null then 1 else 0 end) as bigint) as null_churn
+from coerced""", clean=False, features=False, extra=_PREP_CTES)

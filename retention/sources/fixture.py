@@ -124,3 +124,29 @@ def scored_fixture(features: DataFrame) -> DataFrame:
         "customer_id", "ingest_date",
         F.col("churn_label").cast("bigint").alias("label"),
         ((k * 37) % 100).cast("double").__truediv__(F.lit(100).cast("double")).alias("score"))
+
+
+# Headers of the primary source file (public telco churn layout), in file order.
+PRIMARY_HEADERS = [
+    "customerID", "gender", "SeniorCitizen", "Partner", "Dependents", "tenure",
+    "PhoneService", "MultipleLines", "InternetService", "OnlineSecurity",
+    "OnlineBackup", "DeviceProtection", "TechSupport", "StreamingTV",
+    "StreamingMovies", "Contract", "PaperlessBilling", "PaymentMethod",
+    "MonthlyCharges", "TotalCharges", "Churn",
+]
+_SNAKE_BODY = [c for c in RAW_FIXTURE_COLUMNS if c not in ("k", "customer_id", "ingest_date")]
+
+
+def two_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """FIXTURES.md 3.3: the de-duplicated raw rows split into a primary source
+    (keys with k % 10 < 7, CamelCase headers, own id column) and a secondary
+    one (snake_case headers, no tech_support, an unknown ``note`` column).
+    Every value is text, as read from CSV; ``k`` is the in-file row order."""
+    r = raw_unique(spark, sf_dir)
+    prim = r.where(F.col("k") % 10 < 7).select(
+        "k", F.concat(F.lit("C"), F.col("k").cast("string")).alias("customerID"),
+        *[F.col(c).cast("string").alias(h) for c, h in zip(_SNAKE_BODY, PRIMARY_HEADERS[1:])])
+    sec = r.where(F.col("k") % 10 >= 7).select(
+        "k", *[F.col(c).cast("string").alias(c) for c in _SNAKE_BODY if c != "tech_support"],
+        F.concat(F.lit("note "), F.col("k").cast("string")).alias("note"))
+    return prim, sec
