@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window, functions as F
 
 from retention.session import checkpoint_dir
@@ -39,18 +40,24 @@ def running_sum(df: DataFrame, order_cols: list[str], value_col: str | None = No
     keys = list(partition_cols)
     n = _num_buckets(df, num_buckets)
     v = F.lit(1).cast("bigint") if value_col is None else F.col(value_col)
-    ranged = (df.withColumn("_rs_v", v)
-              .repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in keys + list(order_cols)])
+    # The input is read three times (range-bound sampling, the bucketed window,
+    # the checkpoint write): keep it for the duration of this call only.
+    src = df.withColumn("_rs_v", v).persist(StorageLevel.MEMORY_AND_DISK)
+    ranged = (src.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in keys + list(order_cols)])
               .withColumn("_rs_b", F.spark_partition_id()))
     run = Window.partitionBy("_rs_b", *keys).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
-    local = ranged.withColumn("_rs_local", F.sum("_rs_v").over(run))
+    cached = ranged.withColumn("_rs_local", F.sum("_rs_v").over(run)).persist(StorageLevel.MEMORY_AND_DISK)
     # Range bounds come from sampling, and the sample depends on the arrival
-    # order of shuffle blocks: a recomputed exchange may bucket rows
+    # order of shuffle blocks: a re-planned exchange may bucket rows
     # differently. Materialise once (reliable checkpoint in the shared
     # checkpoint folder) so bucket ids, local sums and totals agree, also
     # after a lost executor.
     checkpoint_dir(df.sparkSession)
-    local = local.checkpoint(eager=True)
+    try:
+        local = cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
+        src.unpersist()
     totals = local.groupBy("_rs_b", *keys).agg(F.sum("_rs_v").alias("_rs_t"))
     before = (Window.partitionBy(*keys) if keys else Window).orderBy("_rs_b") \
         .rowsBetween(Window.unboundedPreceding, -1)

@@ -347,3 +347,175 @@ def _q(spark, d):
 @query("prep_null_counts")
 def _q(spark, d):
     return PP.sanity_counts(PP.coerce_numeric(_union(spark, d)))
+
+
+# ---- model training and evaluation ------------------------------------------
+from retention.operators import metrics as MT  # noqa: E402
+from retention.operators.quantiles import exact_quantiles, long_values  # noqa: E402
+from retention.plans import model as MD  # noqa: E402
+from retention.sources.fixture import scored_fixture  # noqa: E402
+
+
+@query("stratified_split_counts")
+def _q(spark, d):
+    s = MD.stratified_split(features_all(spark, d))
+    return s.groupBy("churn_label", "is_test").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _numeric_features(spark, d):
+    f = features_all(spark, d)
+    nums, _ = MD.split_columns(f)
+    return f.select(*[F.col(c).cast("double").alias(c) for c in nums]), nums
+
+
+@query("impute_median")
+def _q(spark, d):
+    f, nums = _numeric_features(spark, d)
+    return r6(exact_quantiles(f, nums, [0.5]).select("column", F.col("value").alias("median")))
+
+
+@query("standardize")
+def _q(spark, d):
+    f, nums = _numeric_features(spark, d)
+    med = exact_quantiles(f, nums, [0.5]).select("column", F.col("value").alias("_med"))
+    kv = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in nums]))
+    lv = f.select(kv.alias("_kv")).select("_kv.column", "_kv.value")
+    imp = lv.join(F.broadcast(med), "column", "left").select(
+        "column", F.coalesce("value", "_med").alias("x"))
+    return r6(imp.groupBy("column").agg(F.avg("x").alias("mean"), F.stddev_pop("x").alias("std")))
+
+
+@query("impute_mode")
+def _q(spark, d):
+    f = features_all(spark, d)
+    return MD.mode_table(f, MD.split_columns(f)[1])
+
+
+@query("one_hot_matrix")
+def _q(spark, d):
+    from pyspark.ml import Pipeline
+    f = features_all(spark, d)
+    cats = MD.split_columns(f)[1]
+    modes = MD.mode_values(f, cats)
+    pre = MD.preprocess_stage([], cats, {}, {}, modes)
+    stages = [pre] + MD.encoder_stages([], cats)[:2]
+    enc = Pipeline(stages=stages).fit(f).transform(f)
+    kv = F.explode(F.array(*[F.struct(
+        F.lit(c).alias("column"), F.col(f"{c}__x").alias("category"),
+        (F.array_position(MD.vector_to_array(F.col(f"{c}__v")), 1.0) - 1).cast("bigint").alias("position"))
+        for c in cats]))
+    return enc.select("customer_id", "ingest_date", kv.alias("_kv")).select(
+        "customer_id", "ingest_date", "_kv.column", "_kv.category", "_kv.position")
+
+
+def _train(spark, d, which):
+    best, model, metrics = MD.train_and_evaluate(features_all(spark, d), [which])
+    return r6(MD.metrics_frame(spark, metrics))
+
+
+@query("train_logreg")
+def _q(spark, d):
+    return _train(spark, d, "logreg")
+
+
+@query("train_rf")
+def _q(spark, d):
+    return _train(spark, d, "rf")
+
+
+@query("threshold_predictions")
+def _q(spark, d):
+    f = features_all(spark, d)
+    split = MD.stratified_split(f.withColumn("churn_label", F.col("churn_label").cast("double")))
+    train = split.where(~F.col("is_test")).drop("is_test")
+    test = split.where(F.col("is_test")).drop("is_test")
+    nums, cats, pre = MD.fit_preprocessing(train)
+    from pyspark.ml import Pipeline
+    model = Pipeline(stages=pre + [MD.candidates(train.count())["logreg"]]).fit(train)
+    scored = MD.positive_probability(model.transform(test))
+    return MT.predict(scored).select("customer_id", "ingest_date", F.round("score", 6).alias("score"),
+                                     "prediction", F.col("churn_label").cast("bigint").alias("label"))
+
+
+@query("metrics_confusion")
+def _q(spark, d):
+    return r6(MT.confusion_metrics(scored_fixture(features_all(spark, d))))
+
+
+@query("metrics_auc")
+def _q(spark, d):
+    return r6(MT.roc_auc(scored_fixture(features_all(spark, d))))
+
+
+# ---- status log, registry, metadata (inputs derived from the events table) --
+from retention.plans import registry as RG, status as ST  # noqa: E402
+from retention.sources.fixture import read_table  # noqa: E402
+
+FIXED_NOW = "2025-08-24 04:30:00"
+
+
+def status_log_from_events(spark, d):
+    """A run-status log derived from ``events``: one run per user, one step
+    per event type, the status by value band."""
+    e = read_table(spark, d, "events")
+    return e.select(F.concat(F.lit("run-"), F.col("user_id").cast("string")).alias("run_id"),
+                    F.col("event_type").alias("step"),
+                    F.when(F.col("value") < 5, F.lit("FAILED")).when(F.col("value") < 100, F.lit("STARTED"))
+                     .otherwise(F.lit("SUCCESS")).alias("status"),
+                    F.col("props").alias("message"), F.col("ts").alias("created_at"))
+
+
+def registry_from_events(spark, d):
+    """A model registry derived from ``events``: signups are un-numbered runs,
+    purchases READY models, errors FAILED, the rest TRAINING."""
+    e = read_table(spark, d, "events")
+    et = F.col("event_type")
+    return e.select(
+        F.concat(F.lit("run-"), F.col("user_id").cast("string")).alias("run_id"),
+        F.when(et == "signup", F.lit(None)).otherwise(F.col("event_id")).cast("bigint").alias("version"),
+        F.when(et == "purchase", F.lit("READY")).when(et == "error", F.lit("FAILED"))
+         .when(et == "signup", F.lit("RUNNING")).otherwise(F.lit("TRAINING")).alias("status"),
+        F.when(et == "purchase", F.concat(F.lit("models/v"), F.col("event_id").cast("string"))).alias("artifact_uri"),
+        F.col("props").alias("metrics_json"), F.lit(False).alias("is_latest"),
+        F.col("ts").alias("created_at"), F.col("ts").alias("updated_at"))
+
+
+def _promoted(spark, d):
+    reg = registry_from_events(spark, d)
+    target = reg.where(F.col("status") == "READY").agg(
+        F.max_by("run_id", "version").alias("run_id"), F.max("version").alias("version"))
+    return RG.promote(reg, target,
+                      F.concat(F.lit("models/promoted/v"), F.col("_p_version").cast("string")),
+                      F.lit('{"roc_auc": 1.0}'), FIXED_NOW)
+
+
+@query("status_latest")
+def _q(spark, d):
+    return ST.latest_status(status_log_from_events(spark, d))
+
+
+@query("merge_upsert")
+def _q(spark, d):
+    runs = (read_table(spark, d, "orders")
+            .select(F.concat(F.lit("run-"), F.col("o_custkey").cast("string")).alias("run_id")))
+    return RG.upsert_running(registry_from_events(spark, d), runs, FIXED_NOW)
+
+
+@query("registry_next_version")
+def _q(spark, d):
+    return RG.next_version(registry_from_events(spark, d))
+
+
+@query("registry_promote")
+def _q(spark, d):
+    return _promoted(spark, d)
+
+
+@query("registry_select")
+def _q(spark, d):
+    return RG.select_model(_promoted(spark, d))
+
+
+@query("registry_list")
+def _q(spark, d):
+    return RG.list_versions(registry_from_events(spark, d))

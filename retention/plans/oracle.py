@@ -403,3 +403,108 @@ select cast(count(*) as bigint) as "rows",
   cast(sum(case when total_charges is null then 1 else 0 end) as bigint) as null_total_charges,
   cast(sum(case when churn is null then 1 else 0 end) as bigint) as null_churn
 from coerced""", clean=False, features=False, extra=_PREP_CTES)
+
+# ---- model ------------------------------------------------------------------
+register("stratified_split_counts", """
+select churn_label, is_test, cast(case when is_test then t else n - t end as bigint) as n from (
+  select churn_label, count(*) as n, cast(round(count(*) * 0.25) as bigint) as t from features group by churn_label)
+cross join (select unnest([true, false]) as is_test)
+where case when is_test then t else n - t end > 0""")
+_M_NUM = ["customer_id_unused"]
+_MODEL_NUM = ["tenure", "monthly_charges", "total_charges", "is_senior", "has_internet", "services_count",
+              "avg_charges_per_tenure", "charges_per_service", "contract_length_months", "is_high_spender"]
+_MODEL_CAT = ["internet_type", "contract_type", "payment_method", "tenure_bucket"]
+_MNUM_LONG = "mlong as (" + _union(
+    [f"select '{c}' as \"column\", cast({c} as double) as value from features" for c in _MODEL_NUM]) + ")"
+register("impute_median", """
+select "column", round(quantile_cont(value, 0.5), 6) as median from mlong where value is not null
+group by "column" """, extra=_MNUM_LONG)
+register("standardize", """
+select l."column", round(avg(coalesce(l.value, m.med)), 6) as mean, round(stddev_pop(coalesce(l.value, m.med)), 6) as std
+from mlong l left join (select "column", quantile_cont(value, 0.5) as med from mlong where value is not null
+                        group by "column") m on l."column" = m."column"
+group by l."column" """, extra=_MNUM_LONG)
+_MCAT_LONG = "clong as (" + _union(
+    [f"select customer_id, ingest_date, '{c}' as \"column\", cast({c} as varchar) as value from features"
+     for c in _MODEL_CAT]) + ")"
+_MODES = """modes as (select "column", arg_min(value, (-n, value)) as mode from (
+  select "column", value, count(*) as n from clong where value is not null group by all) group by "column")"""
+register("impute_mode", "select \"column\", mode from modes", extra=_MCAT_LONG + "," + _MODES)
+register("one_hot_matrix", """
+select customer_id, ingest_date, "column", category,
+  cast(dense_rank() over (partition by "column" order by category) - 1 as bigint) as position
+from (select l.customer_id, l.ingest_date, l."column", coalesce(l.value, m.mode) as category
+      from clong l join modes m on l."column" = m."column")""", extra=_MCAT_LONG + "," + _MODES)
+
+_SCORED = """scored as (select churn_label as label,
+  cast(((customer_id - 1) * 37) % 100 as double) / 100 as score from features)"""
+register("metrics_confusion", """
+select cast(tp as bigint) as tp, cast(fp as bigint) as fp, cast(fn as bigint) as fn, cast(tn as bigint) as tn,
+  round(coalesce((tp + tn) / nullif(tp + fp + fn + tn, 0), 0), 6) as accuracy,
+  round(coalesce(tp / nullif(tp + fp, 0), 0), 6) as "precision",
+  round(coalesce(tp / nullif(tp + fn, 0), 0), 6) as recall,
+  round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 6) as f1
+from (select cast(sum(case when label = 1 and score >= 0.5 then 1 else 0 end) as double) as tp,
+             cast(sum(case when label <> 1 and score >= 0.5 then 1 else 0 end) as double) as fp,
+             cast(sum(case when label = 1 and score < 0.5 then 1 else 0 end) as double) as fn,
+             cast(sum(case when label <> 1 and score < 0.5 then 1 else 0 end) as double) as tn from scored)""",
+         extra=_SCORED)
+register("metrics_auc", """
+select round(sum(pos * (neg_below + neg / 2.0)) / nullif(sum(pos) * sum(neg), 0), 6) as auc,
+  cast(sum(pos) as bigint) as n_pos, cast(sum(neg) as bigint) as n_neg
+from (select pos, neg, coalesce(sum(neg) over (order by score rows between unbounded preceding and 1 preceding), 0)
+             as neg_below
+      from (select score, sum(case when label = 1 then 1 else 0 end) as pos,
+                   sum(case when label <> 1 then 1 else 0 end) as neg from scored group by score))""",
+         extra=_SCORED)
+
+# ---- status / registry (derived from events) --------------------------------
+_STATUS_LOG = """slog as (select 'run-' || cast(user_id as varchar) as run_id, event_type as step,
+  case when value < 5 then 'FAILED' when value < 100 then 'STARTED' else 'SUCCESS' end as status,
+  props as message, ts as created_at from events)"""
+_REG = """reg as (select 'run-' || cast(user_id as varchar) as run_id,
+  cast(case when event_type = 'signup' then null else event_id end as bigint) as version,
+  case event_type when 'purchase' then 'READY' when 'error' then 'FAILED' when 'signup' then 'RUNNING'
+       else 'TRAINING' end as status,
+  case when event_type = 'purchase' then 'models/v' || cast(event_id as varchar) end as artifact_uri,
+  props as metrics_json, false as is_latest, ts as created_at, ts as updated_at from events)"""
+_PROMOTED = """tgt as (select arg_max(run_id, version) as p_run, max(version) as p_ver from reg where status = 'READY'),
+promoted as (
+  select run_id, version,
+    case when me then 'READY' else status end as status,
+    case when me then 'models/promoted/v' || cast(p_ver as varchar) else artifact_uri end as artifact_uri,
+    case when me then '{"roc_auc": 1.0}' else metrics_json end as metrics_json,
+    case when me then true when other then false else is_latest end as is_latest,
+    created_at,
+    case when me or other then timestamp '2025-08-24 04:30:00' else updated_at end as updated_at
+  from (select r.*, t.*, coalesce(r.run_id = t.p_run and r.version is not distinct from t.p_ver, false) as me,
+               coalesce(r.is_latest, false) and not coalesce(r.run_id = t.p_run and r.version is not distinct from t.p_ver, false) as other
+        from reg r cross join tgt t))"""
+
+register("status_latest", """
+select run_id, step, status, created_at from (
+  select *, max(created_at) over (partition by run_id, step) as mx,
+         row_number() over (partition by run_id, step order by created_at desc, status desc, message desc) as rn
+  from slog) where rn = 1""", clean=False, features=False, extra=_STATUS_LOG)
+register("registry_next_version", "select cast(coalesce(max(version), 0) + 1 as bigint) as next_version from reg",
+         clean=False, features=False, extra=_REG)
+_SRC = "src as (select distinct 'run-' || cast(o_custkey as varchar) as run_id from orders)"
+register("merge_upsert", """
+select run_id, version, case when version is null and run_id in (select run_id from src) then 'RUNNING' else status end as status,
+  artifact_uri, metrics_json, is_latest, created_at,
+  case when version is null and run_id in (select run_id from src) then timestamp '2025-08-24 04:30:00' else updated_at end as updated_at
+from reg
+union all
+select run_id, cast(null as bigint), 'RUNNING', cast(null as varchar), cast(null as varchar), false,
+  timestamp '2025-08-24 04:30:00', timestamp '2025-08-24 04:30:00'
+from src where run_id not in (select run_id from reg where version is null)""",
+         clean=False, features=False, extra=_REG + "," + _SRC)
+register("registry_promote", "select * from promoted", clean=False, features=False, extra=_REG + "," + _PROMOTED)
+register("registry_select", """
+select version, artifact_uri from promoted where status = 'READY' and is_latest
+order by updated_at desc nulls last, version desc nulls last, run_id limit 1""",
+         clean=False, features=False, extra=_REG + "," + _PROMOTED)
+register("registry_list", """
+select version, status, is_latest, artifact_uri, created_at, updated_at from reg
+order by version desc nulls last, updated_at desc nulls last, run_id limit 20""",
+         clean=False, features=False, extra=_REG)
