@@ -519,3 +519,43 @@ def _q(spark, d):
 @query("registry_list")
 def _q(spark, d):
     return RG.list_versions(registry_from_events(spark, d))
+
+
+# ---- scoring ----------------------------------------------------------------
+from retention.plans import scoring as SC  # noqa: E402
+
+
+def _fitted_logreg(spark, d):
+    """Fit the logistic-regression candidate on the training split."""
+    from pyspark.ml import Pipeline
+    f = features_all(spark, d)
+    split = MD.stratified_split(f.withColumn("churn_label", F.col("churn_label").cast("double")))
+    train = split.where(~F.col("is_test")).drop("is_test")
+    nums, cats, pre = MD.fit_preprocessing(train)
+    return Pipeline(stages=pre + [MD.candidates(train.count())["logreg"]]).fit(train), f
+
+
+def payloads_from_features(f):
+    """Scoring payloads as JSON text built from feature rows (with one unknown field)."""
+    fields = [F.col(c.name).cast(c.dataType).alias(c.name) for c in SC.PAYLOAD_SCHEMA.fields]
+    return f.select(F.col("customer_id").alias("payload_id"), "ingest_date",
+                    F.to_json(F.struct(*fields, F.lit("x").alias("unknown_field"))).alias("payload"))
+
+
+@query("score_by_id")
+def _q(spark, d):
+    model, f = _fitted_logreg(spark, d)
+    ids = _ids_from_orders(spark, d).unionByName(
+        read_table(spark, d, "customer").select((F.col("c_custkey") + 1).alias("customer_id")))
+    return SC.score_by_id(model, f, ids, 1)
+
+
+@query("score_from_json")
+def _q(spark, d):
+    model, f = _fitted_logreg(spark, d)
+    return SC.score_payloads(model, payloads_from_features(f), 1)
+
+
+@query("parse_feature_payload")
+def _q(spark, d):
+    return SC.parse_payloads(payloads_from_features(features_all(spark, d)))

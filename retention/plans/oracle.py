@@ -508,3 +508,11 @@ register("registry_list", """
 select version, status, is_latest, artifact_uri, created_at, updated_at from reg
 order by version desc nulls last, updated_at desc nulls last, run_id limit 20""",
          clean=False, features=False, extra=_REG)
+
+# ---- scoring payloads ---------------------------------------------------------
+register("parse_feature_payload", """
+select customer_id as payload_id, ingest_date, cast(tenure as double) as tenure, monthly_charges, total_charges,
+  is_senior, has_internet, services_count, avg_charges_per_tenure, charges_per_service, internet_type,
+  contract_type, payment_method, cast(contract_length_months as double) as contract_length_months,
+  tenure_bucket, is_high_spender, true as valid_json
+from features""")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 from retention.operators.metrics import THRESHOLD
 from retention.operators.segments import latest_customer_features
 from retention.plans.model import positive_probability
-from retention.schemas import PAYLOAD_SCHEMA
+from retention.schemas import PAYLOAD_SCHEMA  # noqa: F401 (re-exported)
 
 NON_FEATURE_COLUMNS = ["churn_label", "customer_id", "ingest_date"]
 
@@ -26,10 +26,10 @@ def model_inputs(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in NON_FEATURE_COLUMNS if c in df.columns])
 
 
-def _score(model: PipelineModel, df: DataFrame, version) -> DataFrame:
+def _score(model: PipelineModel, df: DataFrame, version, keys=("customer_id",)) -> DataFrame:
     scored = positive_probability(model.transform(df))
     return scored.select(
-        *[c for c in df.columns if c == "customer_id" or c == "payload_id"],
+        *keys,
         F.round("score", 6).alias("churn_probability"),
         (F.col("score") >= THRESHOLD).cast("int").alias("prediction"),
         F.lit(version).cast("bigint").alias("model_version"))
@@ -54,8 +54,14 @@ def parse_payloads(payloads: DataFrame, text_col: str = "payload") -> DataFrame:
 
 
 def score_payloads(model: PipelineModel, payloads: DataFrame, version, text_col: str = "payload") -> DataFrame:
-    """Score parsed payloads; malformed JSON rows keep NULL scores."""
+    """Score parsed payloads in one pass (no join back, so repeated
+    payload keys stay one row each); malformed JSON rows get NULL scores."""
     p = parse_payloads(payloads, text_col)
-    ok = _score(model, p.where("valid_json"), version)
     keys = [c for c in payloads.columns if c != text_col]
-    return p.select(*keys, "valid_json").join(ok, keys, "left")
+    scored = positive_probability(model.transform(p))
+    ok = F.col("valid_json")
+    return scored.select(
+        *keys, "valid_json",
+        F.when(ok, F.round("score", 6)).alias("churn_probability"),
+        F.when(ok, (F.col("score") >= THRESHOLD).cast("int")).alias("prediction"),
+        F.when(ok, F.lit(version).cast("bigint")).alias("model_version"))
