@@ -559,3 +559,28 @@ def _q(spark, d):
 @query("parse_feature_payload")
 def _q(spark, d):
     return SC.parse_payloads(payloads_from_features(features_all(spark, d)))
+
+
+# ---- incremental ingest -----------------------------------------------------
+import uuid  # noqa: E402
+
+from retention.schemas import RAW_SCHEMA  # noqa: E402
+from retention.session import checkpoint_dir  # noqa: E402
+from retention.sources import landing as LD  # noqa: E402
+from retention.streaming.ingest import ingest_available  # noqa: E402
+
+
+@query("ingest_incremental")
+def _q(spark, d):
+    """Drop one landing file per day (derived from the tables) into a fresh
+    folder under the shared checkpoint directory, drain it with the stream,
+    and return the raw table the stream built."""
+    base = f"{checkpoint_dir(spark).rstrip('/')}/ingest-{uuid.uuid4().hex[:12]}"
+    raw_rows = raw(spark, d).drop("k").select(*RAW_SCHEMA.fieldNames())
+    text = raw_rows.select(*[F.col(c).cast("string").alias(c) for c in raw_rows.columns])
+    days = [r[0] for r in raw_rows.select("ingest_date").distinct().collect()]  # one per partition
+    for day in days:
+        LD.write_daily_csv(text.where(F.col("ingest_date") == F.lit(day)), f"{base}/landing", day)
+    table = f"{base}/raw"
+    ingest_available(spark, f"{base}/landing", table, f"{base}/_stream_ckpt")
+    return spark.read.schema(RAW_SCHEMA).parquet(table)

@@ -516,3 +516,17 @@ select customer_id as payload_id, ingest_date, cast(tenure as double) as tenure,
   contract_type, payment_method, cast(contract_length_months as double) as contract_length_months,
   tenure_bucket, is_high_spender, true as valid_json
 from features""")
+
+# ---- incremental ingest: raw rows after the typed load (bad rows skipped) ----
+_NUMERIC_RAW = ["customer_id", "senior_citizen", "tenure", "monthly_charges", "total_charges"]
+_BAD = " or ".join(f"(cast({c} as varchar) is not null and trim(cast({c} as varchar)) <> ''"
+                   f" and try_cast(trim(cast({c} as varchar)) as double) is null)" for c in _NUMERIC_RAW)
+register("ingest_incremental", f"""
+select cast(customer_id as bigint) as customer_id, gender,
+  cast(round_even(try_cast(trim(senior_citizen) as double), 0) as bigint) as senior_citizen,
+  partner, dependents, cast(round_even(try_cast(trim(tenure) as double), 0) as bigint) as tenure,
+  phone_service, multiple_lines, internet_service, online_security, online_backup, device_protection,
+  tech_support, streaming_tv, streaming_movies, contract, paperless_billing, payment_method,
+  try_cast(trim(monthly_charges) as double) as monthly_charges,
+  try_cast(trim(total_charges) as double) as total_charges, churn, ingest_date
+from raw where not ({_BAD})""", clean=False, features=False)
