@@ -51,8 +51,7 @@ def clean(raw: DataFrame, day=None) -> DataFrame:
 def latest_partition(df: DataFrame, part_col: str = "ingest_date") -> DataFrame:
     """Rows of the newest partition (``WHERE d = (SELECT MAX(d) ...)``).
 
-    The uncorrelated scalar subquery is planned as a dynamic partition filter on
-    a partitioned source; the inner MAX reads only partition values.
+    An uncorrelated scalar subquery: on a partitioned source it is planned as a
+    PartitionFilter, and the inner MAX reads only partition values.
     """
-    mx = df.select(F.max(part_col).alias("_mx"))
-    return df.join(F.broadcast(mx), F.col(part_col) == F.col("_mx"), "left_semi")
+    return df.where(F.col(part_col) == df.select(F.max(part_col)).scalar())

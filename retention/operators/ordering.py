@@ -27,19 +27,41 @@ def _num_buckets(df: DataFrame, num_buckets: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+LOCAL_ROWS_CONF = "spark.retention.ordering.localRows"
+DEFAULT_LOCAL_ROWS = 1_000_000
+
+
+def local_rows_limit(spark) -> int:
+    """Inputs up to this many rows take the single-window path (every task
+    then holds at most this many rows); larger inputs are bucketed."""
+    return int(spark.conf.get(LOCAL_ROWS_CONF, str(DEFAULT_LOCAL_ROWS)))
+
+
 def running_sum(df: DataFrame, order_cols: list[str], value_col: str | None = None,
                 partition_cols: list[str] | tuple = (), out: str = "running",
-                num_buckets: int | None = None) -> DataFrame:
+                num_buckets: int | None = None, local_rows: int | None = None,
+                assume_small: bool | None = None) -> DataFrame:
     """Inclusive running sum of ``value_col`` (1 per row when None) ordered by
     ``order_cols``, restarting for every combination of ``partition_cols``.
 
     ``partition_cols`` must have bounded cardinality (days, column names,
     labels): their combinations are rows of the broadcast offsets table.
     Rows that tie on all order columns get distinct, arbitrary positions.
+    ``local_rows`` (default: session conf) sets the counted size up to which a
+    plain window is used; 0 always buckets. ``assume_small`` skips the count
+    when the caller already knows the size class.
     """
     keys = list(partition_cols)
     n = _num_buckets(df, num_buckets)
     v = F.lit(1).cast("bigint") if value_col is None else F.col(value_col)
+    if assume_small is None:
+        limit = local_rows_limit(df.sparkSession) if local_rows is None else local_rows
+        assume_small = limit > 0 and df.count() <= limit
+    if assume_small:
+        # Bounded input (counted, not estimated): one window per group.
+        w = (Window.partitionBy(*keys) if keys else Window).orderBy(*order_cols) \
+            .rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn(out, F.sum(v).over(w))
     # The input is read three times (range-bound sampling, the bucketed window,
     # the checkpoint write): keep it for the duration of this call only.
     src = df.withColumn("_rs_v", v).persist(StorageLevel.MEMORY_AND_DISK)
@@ -72,8 +94,8 @@ def running_sum(df: DataFrame, order_cols: list[str], value_col: str | None = No
 
 
 def contiguous_ids(df: DataFrame, order_cols: list[str], out: str = "id", start: int = 1,
-                   num_buckets: int | None = None) -> DataFrame:
+                   num_buckets: int | None = None, local_rows: int | None = None) -> DataFrame:
     """Ids start, start+1, ... in the order of ``order_cols`` (no gaps), like
     a row number over the whole table but computed in parallel."""
-    r = running_sum(df, order_cols, None, (), "_cid", num_buckets)
+    r = running_sum(df, order_cols, None, (), "_cid", num_buckets, local_rows)
     return r.withColumn(out, (F.col("_cid") + F.lit(start - 1)).cast("bigint")).drop("_cid")

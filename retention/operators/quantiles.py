@@ -17,7 +17,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from retention.operators.ordering import running_sum
+from retention.operators.ordering import local_rows_limit, running_sum
 
 
 def long_values(df: DataFrame, cols: list[str], by: list[str] | tuple = ()) -> DataFrame:
@@ -35,11 +35,26 @@ def value_histogram(df: DataFrame, cols: list[str], by: list[str] | tuple = ())
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
                     by: list[str] | tuple = (), kind: str = "linear",
-                    num_buckets: int | None = None) -> DataFrame:
-    """Rows (by..., column, p, value, n)."""
+                    num_buckets: int | None = None, local_rows: int | None = None) -> DataFrame:
+    """Rows (by..., column, p, value, n).
+
+    A histogram of at most ``local_rows`` distinct (group, column, value)
+    entries (counted) is reduced by the built-in weighted ``percentile``
+    (its per-group buffer is then bounded by that count); larger ones take
+    the distributed running-count path.
+    """
     keys = list(by) + ["column"]
     hist = value_histogram(df, cols, by)
-    cum = running_sum(hist, ["value"], "cnt", keys, "_cum", num_buckets)
+    limit = local_rows_limit(df.sparkSession) if local_rows is None else local_rows
+    small = limit > 0 and hist.count() <= limit
+    if kind == "linear" and small:
+        agg = hist.groupBy(*keys).agg(F.percentile("value", [float(p) for p in probs], F.col("cnt")).alias("_q"),
+                                      F.sum("cnt").alias("n"))
+        return (agg.select(*keys, "n", F.posexplode("_q").alias("_i", "value"))
+                .join(F.broadcast(df.sparkSession.createDataFrame(
+                    [(i, float(p)) for i, p in enumerate(probs)], "_i int, p double")), "_i")
+                .select(*keys, "p", "value", "n"))
+    cum = running_sum(hist, ["value"], "cnt", keys, "_cum", num_buckets, assume_small=small)
     spark = df.sparkSession
     pt = spark.createDataFrame([(float(p),) for p in probs], "p double")
     n_tbl = cum.groupBy(*keys).agg(F.sum("cnt").alias("n"))  # from the checkpoint

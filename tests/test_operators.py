@@ -49,26 +49,39 @@ def test_features_rules(spark):
     assert [f[i].is_high_spender for i in range(1, 6)] == [False, False, False, False, True]
 
 
-def test_contiguous_ids_no_gaps(spark):
+import pytest  # noqa: E402
+
+PATHS = [0, 10 ** 9]  # 0 = always bucketed (distributed), large = single window
+
+
+@pytest.mark.parametrize("local_rows", PATHS)
+def test_contiguous_ids_no_gaps(spark, local_rows):
     df = spark.range(0, 5000).select(((F.col("id") * 7919) % 5000).alias("k"))
-    ids = contiguous_ids(df, ["k"], num_buckets=7).collect()
+    ids = contiguous_ids(df, ["k"], num_buckets=7, local_rows=local_rows).collect()
     assert sorted(r.id for r in ids) == list(range(1, 5001))
     assert all(r.id == r.k + 1 for r in ids)
 
 
-def test_running_sum_partitions(spark):
+@pytest.mark.parametrize("local_rows", PATHS)
+def test_running_sum_partitions(spark, local_rows):
     df = spark.createDataFrame([(g, float(v), 1) for g in ("a", "b") for v in range(100)], "g string, v double, c int")
-    out = running_sum(df, ["v"], "c", ["g"], "cum", num_buckets=5).collect()
+    out = running_sum(df, ["v"], "c", ["g"], "cum", num_buckets=5, local_rows=local_rows).collect()
     assert all(r.cum == r.v + 1 for r in out)
 
 
-def test_exact_quantiles_match_numpy(spark):
+@pytest.mark.parametrize("local_rows", PATHS)
+def test_exact_quantiles_match_numpy(spark, local_rows):
     import numpy as np
-    vals = [float((i * 37) % 101) for i in range(333)] + [5.0] * 200
-    df = spark.createDataFrame([(v,) for v in vals], "x double")
-    q = {r.p: r.value for r in exact_quantiles(df, ["x"], [0.1, 0.25, 0.5, 0.9], num_buckets=4).collect()}
-    for p, v in q.items():
-        assert abs(v - np.percentile(vals, p * 100)) < 1e-9
+    vals = [float((i * 37) % 101) for i in range(333)] + [5.0] * 200 + [0.5 * i for i in range(50)]
+    df = spark.createDataFrame([(v, i % 2) for i, v in enumerate(vals)], "x double, g int")
+    q = exact_quantiles(df, ["x"], [0.1, 0.25, 0.5, 0.9], by=["g"], num_buckets=4, local_rows=local_rows).collect()
+    assert len(q) == 8
+    for r in q:
+        sub = [v for i, v in enumerate(vals) if i % 2 == r.g]
+        assert abs(r.value - np.percentile(sub, r.p * 100)) < 1e-9
+    d = exact_quantiles(df, ["x"], [0.8], kind="disc", num_buckets=3, local_rows=local_rows).first()
+    expect = df.selectExpr("percentile_disc(0.8) within group (order by x)").first()[0]
+    assert d.value == expect
 
 
 def test_histogram_counts_sum_to_non_null(spark):

@@ -42,3 +42,15 @@ def test_day_filter_reaches_scan(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(ingest_date" in plan
     assert "PushedFilters: [IsNotNull(customer_id)]" in plan
     assert q.count() == CAT.clean_all(spark, SF_SMALL).where(F.col("ingest_date") == "2025-08-24").count()
+
+
+def test_latest_partition_is_a_partition_filter(spark, tmp_path):
+    from retention.operators.clean import latest_partition
+    from retention.plans import catalog as CAT
+    from retention.sources import tables as TB
+    path = str(tmp_path / "f")
+    TB.create_table(CAT.features_all(spark, SF_SMALL), path)
+    q = latest_partition(spark.read.parquet(path))
+    plan = _plan(q)
+    assert "PartitionFilters: [isnotnull(ingest_date" in plan and "Subquery" in plan
+    assert {str(r.ingest_date) for r in q.select("ingest_date").distinct().collect()} == {"2025-08-24"}
