@@ -99,3 +99,31 @@ def contiguous_ids(df: DataFrame, order_cols: list[str], out: str = "id", start:
     a row number over the whole table but computed in parallel."""
     r = running_sum(df, order_cols, None, (), "_cid", num_buckets, local_rows)
     return r.withColumn(out, (F.col("_cid") + F.lit(start - 1)).cast("bigint")).drop("_cid")
+
+
+MAX_BROADCAST_SPLITS = 2_000_000
+
+
+def scan_order_ids(df: DataFrame, group_cols: list[str], pos_col: str, out: str = "id",
+                   start: int = 1) -> DataFrame:
+    """Contiguous ids in file-scan order without moving any row.
+
+    ``group_cols`` name a file split (e.g. source, file path, split start) and
+    ``pos_col`` is ``monotonically_increasing_id()`` taken right after the scan:
+    rows of one split are read in sequence inside one task, so their positions
+    are consecutive. Each split's row count and first position form a table
+    with one row per split; its running offsets are broadcast (checked: at most
+    ``MAX_BROADCAST_SPLITS`` rows, otherwise a shuffle join) and every id is
+    offset + position - first position.
+    """
+    splits = df.groupBy(*group_cols).agg(F.min(pos_col).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    n_splits = splits.count()
+    offs = running_sum(splits, list(group_cols), "_n", (), "_end")
+    offs = offs.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(group_cols)], "_first",
+                       (F.col("_end") - F.col("_n")).alias("_off"))
+    if n_splits <= MAX_BROADCAST_SPLITS:
+        offs = F.broadcast(offs)
+    cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(group_cols)])
+    j = df.join(offs, cond, "inner")
+    ident = F.col("_off") + (F.col(pos_col) - F.col("_first")) + F.lit(start)
+    return j.select(*[F.col(c) for c in df.columns], ident.cast("bigint").alias(out))

@@ -55,7 +55,7 @@ def prepare_day(spark: SparkSession, wh: Warehouse, primary: str, secondary: str
     """Prepare: two sources -> one headered CSV for the day (no status row)."""
     p = L.read_source(spark, primary)
     s = L.read_optional_source(spark, secondary, p) if secondary else None
-    raw = PP.prepare(p, s, day, L.ORDER_COLS)
+    raw = PP.prepare(p, s, day, L.ORDER_COLS, scan_order=True)
     return L.write_daily_csv(raw, wh.landing, day)
 
 
