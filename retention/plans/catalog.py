@@ -33,16 +33,29 @@ def r6(df: DataFrame, *cols: str) -> DataFrame:
                        for c in df.columns])
 
 
+# Base plans (logical plans, not data) are built once per session and data
+# folder: analysing the fixture mapping costs about a second of driver time,
+# while every query still reads and computes everything from the files.
+_PLANS: dict = {}
+
+
+def _memo(kind, spark, d, build):
+    key = (kind, spark._jsparkSession.hashCode(), d)
+    if key not in _PLANS:
+        _PLANS[key] = build()
+    return _PLANS[key]
+
+
 def raw(spark, d):
-    return raw_fixture(spark, d)
+    return _memo("raw", spark, d, lambda: raw_fixture(spark, d))
 
 
 def clean_all(spark, d):
-    return C.clean(raw(spark, d))
+    return _memo("clean", spark, d, lambda: C.clean(raw(spark, d)))
 
 
 def features_all(spark, d):
-    return FE.build_features(clean_all(spark, d))
+    return _memo("features", spark, d, lambda: FE.build_features(clean_all(spark, d)))
 
 
 # ---- tables and clean -------------------------------------------------------
@@ -304,21 +317,24 @@ from retention.operators import prepare as PP  # noqa: E402
 from retention.sources.fixture import raw_unique, two_sources  # noqa: E402
 
 
+def _two(spark, d):
+    return _memo("two_sources", spark, d, lambda: two_sources(spark, d))
+
+
 def _union(spark, d):
-    p, s = two_sources(spark, d)
-    return PP.union_sources(p, s, keep=("k",))
+    return _memo("union", spark, d, lambda: PP.union_sources(*_two(spark, d), keep=("k",)))
 
 
 @query("prep_label_titlecase")
 def _q(spark, d):
-    r = raw_unique(spark, d)
+    r = _memo("raw_unique", spark, d, lambda: raw_unique(spark, d))
     return r.select("k", F.col("churn").alias("churn_raw"),
                     PP.title_label("churn").alias("churn"))
 
 
 @query("prep_conform_schema")
 def _q(spark, d):
-    return PP.conform(two_sources(spark, d)[1], keep=("k",))
+    return PP.conform(_two(spark, d)[1], keep=("k",))
 
 
 @query("prep_union_sources")
@@ -328,7 +344,7 @@ def _q(spark, d):
 
 @query("prep_surrogate_ids")
 def _q(spark, d):
-    p, s = two_sources(spark, d)
+    p, s = _two(spark, d)
     return PP.prepare(p, s, AS_OF, ["k"])
 
 
@@ -340,7 +356,7 @@ def _q(spark, d):
 
 @query("prep_round_to_int")
 def _q(spark, d):
-    p, s = two_sources(spark, d)
+    p, s = _two(spark, d)
     return PP.prepare(p, s, AS_OF, ["k"]).select("customer_id", "senior_citizen", "tenure")
 
 
