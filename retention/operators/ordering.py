@@ -101,7 +101,7 @@ def contiguous_ids(df: DataFrame, order_cols: list[str], out: str = "id", start:
     return r.withColumn(out, (F.col("_cid") + F.lit(start - 1)).cast("bigint")).drop("_cid")
 
 
-MAX_BROADCAST_SPLITS = 2_000_000
+MAX_BROADCAST_SPLITS = 200_000  # ~30 MB of (split key, offset) rows
 
 
 def scan_order_ids(df: DataFrame, group_cols: list[str], pos_col: str, out: str = "id",

@@ -63,3 +63,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def cluster_conf(total_cores: int, input_bytes_per_run: int | None = None) -> dict:
+    """Sizing for a large cluster (pass to ``build_session(extra=...)``).
+
+    Shuffle partitions start high (3 per core, at least one per 256 MB of
+    input) and AQE coalesces them to ~256 MB; scan splits are 256 MB; AQE
+    splits skewed join partitions (5x the median and over 512 MB). Nothing
+    here forces a broadcast: the automatic threshold stays at its default and
+    every explicit broadcast in the library is bounded by construction.
+    """
+    parts = max(200, 3 * int(total_cores))
+    if input_bytes_per_run:
+        parts = max(parts, int(input_bytes_per_run // (256 << 20)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(64 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+        "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    }

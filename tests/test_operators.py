@@ -107,3 +107,20 @@ def test_stratified_split_sizes(spark):
         n = got.get((lbl, True), 0) + got.get((lbl, False), 0)
         assert got.get((lbl, True), 0) == int(n * 0.25 + 0.5)
     assert s.count() == f.count()
+
+
+def test_hash_split_shares(spark):
+    from retention.plans import model as MD
+    df = spark.range(0, 20000).select((F.col("id") + 1).alias("customer_id"),
+                                      F.lit("2025-08-24").cast("date").alias("ingest_date"),
+                                      (F.col("id") % 4 == 0).cast("bigint").alias("churn_label"))
+    s = MD.stratified_split(df, exact=False)
+    share = s.where("is_test").count() / 20000
+    assert 0.23 < share < 0.27
+    assert s.where("is_test").count() == MD.stratified_split(df, exact=False).where("is_test").count()
+
+
+def test_cluster_conf():
+    from retention.session import cluster_conf
+    c = cluster_conf(4000, 100 << 40)
+    assert int(c["spark.sql.shuffle.partitions"]) >= 400000
