@@ -1,34 +1,37 @@
 """Exact running sums in a global order without a single-task window.
 
 A window with an ORDER BY but no PARTITION BY moves every row into one task.
-Instead: range-partition on the order key (Spark samples the key to pick
-bounds), take the running sum inside each range bucket with a window
-partitioned by the bucket, add the total of all earlier buckets. Bucket totals
-have one row per (bucket, group) -- bounded by buckets + groups -- so the
-offsets table is broadcast with a proven size bound.
+Instead the order key is cut into ranges ("buckets"): boundaries are taken
+once from a bounded sample (collected: at most ``SAMPLE_ROWS_PER_BUCKET`` rows
+per bucket) and written into the plan as literals, so the bucket of a row is a
+pure function of its key -- identical in every branch of the plan and after
+any recomputation (a lost executor cannot move a row to another bucket).
+The running sum is a window partitioned by bucket (one shuffle), bucket totals
+are a partial aggregate with one row per (bucket, group), and their running
+offsets are broadcast (bounded by buckets + groups).
 
 Used for contiguous ids (count of 1 per row), exact quantiles (counts per
-distinct value) and ROC AUC (negatives per distinct score).
+distinct value), per-label ranks and ROC AUC (negatives per distinct score).
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window, functions as F
-
-from retention.session import checkpoint_dir
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def _num_buckets(df: DataFrame, num_buckets: int | None) -> int:
     if num_buckets:
         return int(num_buckets)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return min(MAX_BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
 LOCAL_ROWS_CONF = "spark.retention.ordering.localRows"
 DEFAULT_LOCAL_ROWS = 1_000_000
+MAX_BUCKETS = 4096
+SAMPLE_ROWS_PER_BUCKET = 32
+SAMPLE_SEED = 17
 
 
 def local_rows_limit(spark) -> int:
@@ -37,6 +40,43 @@ def local_rows_limit(spark) -> int:
     return int(spark.conf.get(LOCAL_ROWS_CONF, str(DEFAULT_LOCAL_ROWS)))
 
 
+def _boundaries(df: DataFrame, cols: list[str], n_buckets: int, n_rows: int) -> list[tuple]:
+    """n_buckets - 1 ascending split keys from a sample (driver gets at most
+    SAMPLE_ROWS_PER_BUCKET * n_buckets rows, already sorted by Spark)."""
+    want = SAMPLE_ROWS_PER_BUCKET * n_buckets
+    frac = min(1.0, 2.0 * want / max(n_rows, 1))
+    samp = (df.select(*cols).sample(False, frac, SAMPLE_SEED).limit(want)
+            .orderBy(*[F.col(c).asc_nulls_first() for c in cols]).collect())
+    if len(samp) < 2:
+        return []
+    step = len(samp) / n_buckets
+    picks = sorted({min(len(samp) - 1, int(round(step * i))) for i in range(1, n_buckets)})
+    out, last = [], None
+    for i in picks:
+        t = tuple(samp[i])
+        if t != last:
+            out.append(t)
+            last = t
+    return out
+
+
+def _bucket_expr(df: DataFrame, cols: list[str], bounds: list[tuple]) -> Column:
+    """Number of boundaries <= key, as a balanced CASE tree (log2 depth)."""
+    types = dict(df.dtypes)
+    key = F.struct(*[F.col(c) for c in cols])
+
+    def lit_key(t):
+        return F.struct(*[F.lit(v).cast(types[c]).alias(c) for v, c in zip(t, cols)])
+
+    def tree(lo: int, hi: int) -> Column:  # bucket in [lo, hi]
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi + 1) // 2  # key >= bounds[mid - 1]  <=> bucket >= mid
+        return F.when(key >= lit_key(bounds[mid - 1]), tree(mid, hi)).otherwise(tree(lo, mid - 1))
+
+    return tree(0, len(bounds))
+
+
 def running_sum(df: DataFrame, order_cols: list[str], value_col: str | None = None,
                 partition_cols: list[str] | tuple = (), out: str = "running",
                 num_buckets: int | None = None, local_rows: int | None = None,
@@ -54,33 +94,25 @@ def running_sum(df: DataFrame, order_cols: list[str], value_col: str | None = No
     keys = list(partition_cols)
     n = _num_buckets(df, num_buckets)
     v = F.lit(1).cast("bigint") if value_col is None else F.col(value_col)
+    n_rows = None
     if assume_small is None:
         limit = local_rows_limit(df.sparkSession) if local_rows is None else local_rows
-        assume_small = limit > 0 and df.count() <= limit
+        if limit > 0:
+            n_rows = df.count()
+            assume_small = n_rows <= limit
+        else:
+            assume_small = False
     if assume_small:
         # Bounded input (counted, not estimated): one window per group.
         w = (Window.partitionBy(*keys) if keys else Window).orderBy(*order_cols) \
             .rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(out, F.sum(v).over(w))
-    # The input is read three times (range-bound sampling, the bucketed window,
-    # the checkpoint write): keep it for the duration of this call only.
-    src = df.withColumn("_rs_v", v).persist(StorageLevel.MEMORY_AND_DISK)
-    ranged = (src.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in keys + list(order_cols)])
-              .withColumn("_rs_b", F.spark_partition_id()))
+    src = df.withColumn("_rs_v", v)
+    bounds = _boundaries(df, keys + list(order_cols), n, n_rows if n_rows is not None else df.count())
+    bucketed = src.withColumn("_rs_b", _bucket_expr(df, keys + list(order_cols), bounds))
     run = Window.partitionBy("_rs_b", *keys).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
-    cached = ranged.withColumn("_rs_local", F.sum("_rs_v").over(run)).persist(StorageLevel.MEMORY_AND_DISK)
-    # Range bounds come from sampling, and the sample depends on the arrival
-    # order of shuffle blocks: a re-planned exchange may bucket rows
-    # differently. Materialise once (reliable checkpoint in the shared
-    # checkpoint folder) so bucket ids, local sums and totals agree, also
-    # after a lost executor.
-    checkpoint_dir(df.sparkSession)
-    try:
-        local = cached.checkpoint(eager=True)
-    finally:
-        cached.unpersist()
-        src.unpersist()
-    totals = local.groupBy("_rs_b", *keys).agg(F.sum("_rs_v").alias("_rs_t"))
+    local = bucketed.withColumn("_rs_local", F.sum("_rs_v").over(run))
+    totals = bucketed.groupBy("_rs_b", *keys).agg(F.sum("_rs_v").alias("_rs_t"))
     before = (Window.partitionBy(*keys) if keys else Window).orderBy("_rs_b") \
         .rowsBetween(Window.unboundedPreceding, -1)
     jk = ["_rs_b"] + keys
