@@ -115,8 +115,8 @@ def train_day(spark: SparkSession, wh: Warehouse, run_id: str, day) -> tuple[str
         reg, version = RG.bind_version(spark, RG.read_registry(spark, wh.registry), run_id)
         RG.write_registry(spark, wh.registry, reg)
         try:
-            rows = MD.load_training_rows(TB.read_table(spark, wh.features), day).drop("ingest_date")
-            best, model, metrics = MD.train_and_evaluate(rows.withColumn("ingest_date", day_lit(day)))
+            rows = MD.load_training_rows(TB.read_table(spark, wh.features), day)
+            best, model, metrics = MD.train_and_evaluate(rows)
             uri, muri = MD.save_model(model, metrics, wh.output(day, "model"), version, best, spark)
             import json
             target = spark.createDataFrame([(run_id, version)], "run_id string, version bigint")

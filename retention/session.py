@@ -52,13 +52,15 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Uses ``spark.checkpoint.dir`` as the cluster names it.  Only when it is
-    unset (local tests) a scratch folder is created and registered.
+    Uses ``spark.checkpoint.dir`` as the cluster names it. Only when it is
+    unset *and* the master is local (tests, laptops) a scratch folder is
+    created; on a cluster an unset value is an error, because a machine-local
+    folder would not survive the loss of that machine.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("Set spark.checkpoint.dir to a shared (distributed) folder.")
         d = tempfile.mkdtemp(prefix="retention-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

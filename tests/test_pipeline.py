@@ -54,7 +54,12 @@ def test_daily_pipeline(spark, scratch):
     D.profile_day(spark, wh, run, AS_OF)
     D.features_day(spark, wh, run, AS_OF)
     assert spark.read.parquet(wh.features).count() == cl.count()
+    uri, version = D.train_day(spark, wh, run, AS_OF)
+    from retention.plans import registry as RG
+    reg = RG.read_registry(spark, wh.registry)
+    assert RG.require_model(reg) == (version, uri) and version == 1
+    assert reg.where("is_latest").count() == 1
     log = ST.latest_status(ST.read_status(spark, wh.status)).where(F.col("run_id") == run)
     assert {r.step: r.status for r in log.collect()} == {
         "load_raw": "SUCCESS", "clean": "SUCCESS", "validate_clean": "SUCCESS", "eda": "SUCCESS",
-        "features": "SUCCESS"}
+        "features": "SUCCESS", "train": "SUCCESS"}

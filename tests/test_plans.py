@@ -54,3 +54,14 @@ def test_latest_partition_is_a_partition_filter(spark, tmp_path):
     plan = _plan(q)
     assert "PartitionFilters: [isnotnull(ingest_date" in plan and "Subquery" in plan
     assert {str(r.ingest_date) for r in q.select("ingest_date").distinct().collect()} == {"2025-08-24"}
+
+
+@pytest.mark.parametrize("name", CHEAP)
+def test_single_partition_only_under_aggregates(spark, name):
+    """An Exchange SinglePartition may only feed an aggregate (global
+    aggregates, or the bounded bucket-offset table of the running sums)."""
+    lines = _plan(E.queries()[name](spark, SF_SMALL)).splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            child = lines[i + 1] if i + 1 < len(lines) else ""
+            assert "Aggregate" in child, (name, line, child)

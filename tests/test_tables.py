@@ -107,3 +107,44 @@ def test_feature_metadata_query(spark):
     assert md.count() == 10
     assert MDT.query_metadata(md, source="churn_clean").count() == 6
     assert [r.feature_name for r in MDT.query_metadata(md, feature_name="tenure", limit=1).collect()] == ["tenure"]
+
+
+def test_lowercase_and_camel_headers(spark):
+    from retention.operators.prepare import conform
+    from retention.schemas import EXPECTED_RAW_COLUMNS
+    lower = spark.createDataFrame([("1", "0", "Yes", " yes ")], "customerid string, seniorcitizen string,"
+                                                              " techsupport string, churn string")
+    camel = spark.createDataFrame([("1", "0", "Yes", "no")], "customerID string, SeniorCitizen string,"
+                                                             " TechSupport string, Churn string")
+    for df in (lower, camel):
+        out = conform(df)
+        assert out.columns[:len(EXPECTED_RAW_COLUMNS)] == EXPECTED_RAW_COLUMNS
+        assert out.columns[-1] == "customer_id"
+        r = out.first()
+        assert r.senior_citizen == "0" and r.tech_support == "Yes" and r.gender is None
+    assert conform(lower).first().churn == "Yes" and conform(camel).first().churn == "No"
+
+
+def test_schema_evolution_and_missing_table(spark, scratch):
+    a = spark.createDataFrame([(1, "x")], "v int, s string")
+    b = spark.createDataFrame([(2, 3.5)], "v int, extra double")
+    got = sorted(tuple(r) for r in TB.union_evolving(a, b).collect())
+    assert got == [(1, "x", None), (2, None, 3.5)]
+    with pytest.raises(L.TableMissing):
+        L.require_table(spark, f"{scratch}/nope")
+    assert not TB.usable(spark, f"{scratch}/nope")
+
+
+def test_model_inputs_and_empty_errors(spark):
+    from retention.operators import profile as PR
+    from retention.plans import model as MD, scoring as SC
+    df = spark.createDataFrame([(1, 0, dt.date(2025, 8, 24), 3.0)],
+                               "customer_id bigint, churn_label bigint, ingest_date date, tenure double")
+    assert SC.model_inputs(df).columns == ["tenure"]
+    with pytest.raises(MD.NoTrainingData):
+        MD.load_training_rows(df, "2025-08-23")
+    with pytest.raises(PR.ProfileInputError):
+        PR.require_rows(df.where("false"))
+    with pytest.raises(PR.ProfileInputError):
+        PR.pick_columns(df.drop("churn_label"))
+    assert MD.split_columns(df) == (["tenure"], [])
