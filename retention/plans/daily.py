@@ -10,6 +10,9 @@ landing/<dd-MM-yyyy>/output/.
 from __future__ import annotations
 
 import dataclasses
+import json
+
+from pyspark import StorageLevel
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -89,17 +92,23 @@ def validate_day(spark: SparkSession, wh: Warehouse, run_id: str, day) -> DataFr
 
 def profile_day(spark: SparkSession, wh: Warehouse, run_id: str, day) -> None:
     with ST.step(spark, wh.status, run_id, "eda", gate="validate_clean"):
-        df = TB.read_table(spark, wh.clean).where(F.col("ingest_date") == day_lit(day))
-        PR.require_rows(df)
-        PR.pick_columns(df)
-        out = wh.output(day, "eda")
-        for name, fn in [("summary_numeric", PR.numeric_summary),
-                         ("summary_categorical_uniques", PR.categorical_uniques),
-                         ("correlation_numeric", PR.correlation_matrix),
-                         ("categorical_churn_rates", PR.churn_rates_wide),
-                         ("histograms", PR.histogram), ("box_stats", PR.box_stats),
-                         ("value_counts", PR.value_counts)]:
-            fn(df).write.mode("overwrite").parquet(f"{out}/{name}")
+        # Seven reports read the same day: keep its rows for the step only
+        # (MEMORY_AND_DISK; recomputed from the partition if a block is lost).
+        df = (TB.read_table(spark, wh.clean).where(F.col("ingest_date") == day_lit(day))
+              .persist(StorageLevel.MEMORY_AND_DISK))
+        try:
+            PR.require_rows(df)
+            PR.pick_columns(df)
+            out = wh.output(day, "eda")
+            for name, fn in [("summary_numeric", PR.numeric_summary),
+                             ("summary_categorical_uniques", PR.categorical_uniques),
+                             ("correlation_numeric", PR.correlation_matrix),
+                             ("categorical_churn_rates", PR.churn_rates_wide),
+                             ("histograms", PR.histogram), ("box_stats", PR.box_stats),
+                             ("value_counts", PR.value_counts)]:
+                fn(df).write.mode("overwrite").parquet(f"{out}/{name}")
+        finally:
+            df.unpersist()
 
 
 def features_day(spark: SparkSession, wh: Warehouse, run_id: str, day, gate: str = "validate_clean",
@@ -118,7 +127,6 @@ def train_day(spark: SparkSession, wh: Warehouse, run_id: str, day) -> tuple[str
             rows = MD.load_training_rows(TB.read_table(spark, wh.features), day)
             best, model, metrics = MD.train_and_evaluate(rows)
             uri, muri = MD.save_model(model, metrics, wh.output(day, "model"), version, best, spark)
-            import json
             target = spark.createDataFrame([(run_id, version)], "run_id string, version bigint")
             mj = json.dumps({"version": version, "best_model": best, "candidates": metrics,
                              "model_uri": uri, "metrics_uri": muri})
