@@ -27,9 +27,24 @@ def p80_expr(col: str = "monthly_charges", exact: bool = True, accuracy: int = 1
     return F.percentile_approx(col, HIGH_SPENDER_PERCENTILE, accuracy)
 
 
-def daily_p80(clean_df: DataFrame, exact: bool = True) -> DataFrame:
+def daily_p80(clean_df: DataFrame, exact: bool = True, method: str | None = None) -> DataFrame:
+    """(ingest_date, p80_monthly) per day.
+
+    ``method``: "builtin" (default when exact) = percentile_disc, one aggregate
+    whose per-day buffer holds the distinct charge values of the day (a money
+    amount: bounded domain); "distributed" = the same nearest-rank value from
+    ``quantiles.exact_quantiles(kind="disc")``, no per-group buffer at all (for
+    inputs whose distinct values are not bounded); "approx" = percentile_approx.
+    """
+    method = method or ("builtin" if exact else "approx")
+    if method == "distributed":
+        from retention.operators.quantiles import exact_quantiles
+        q = exact_quantiles(clean_df.select("ingest_date", "monthly_charges"), ["monthly_charges"],
+                            [HIGH_SPENDER_PERCENTILE], by=["ingest_date"], kind="disc")
+        days = clean_df.select("ingest_date").distinct()
+        return days.join(q.select("ingest_date", F.col("value").alias("p80_monthly")), "ingest_date", "left")
     return (clean_df.groupBy("ingest_date")
-            .agg(p80_expr(exact=exact).alias("p80_monthly")))
+            .agg(p80_expr(exact=(method == "builtin")).alias("p80_monthly")))
 
 
 def services_count() -> Column:
@@ -73,10 +88,11 @@ def feature_columns(stats_col: Column) -> list[Column]:
     ]
 
 
-def build_features(clean_df: DataFrame, day=None, exact: bool = True) -> DataFrame:
+def build_features(clean_df: DataFrame, day=None, exact: bool = True,
+                   p80_method: str | None = None) -> DataFrame:
     """Clean -> features for one day, or for every day at once (per-day p80)."""
     src = clean_df if day is None else clean_df.where(F.col("ingest_date") == day_lit(day))
-    stats = daily_p80(src, exact=exact)
+    stats = daily_p80(src, exact=exact, method=p80_method)
     # One row per day: bounded by the partition count, so broadcasting is safe.
     joined = src.join(F.broadcast(stats), "ingest_date", "left")
     return joined.select(*feature_columns(F.col("p80_monthly"))).select(*FEATURE_COLUMNS)

@@ -148,20 +148,23 @@ def validation_report(df, day=None) -> DataFrame:
     """(ingest_date, check, result_json) rows, the shape of the saved report.
 
     Each group holds at most a handful of result rows, so collect_list is bounded.
-    partitions_present has ingest_date NULL (it is table-wide).
+    partitions_present has ingest_date NULL (it is table-wide). Four scans of
+    the day(s): the fused checks (distinct counts included), labels,
+    duplicates, partition list.
     """
-    fused = fused_scalar_checks(df, day)
+    fused = _scope(df, day).groupBy(PART).agg(*row_count_aggs(), *null_aggs(), *out_of_range_aggs(),
+                                              *basic_stats_aggs(), *distinct_aggs())
     pieces = []
     groups = {
         "row_count": ["cnt"],
         "nulls": [c for c in fused.columns if c.startswith("null_")],
         "out_of_range": [c for c in fused.columns if c.startswith("bad_")],
         "basic_stats": [c for c in fused.columns if c[:4] in ("min_", "max_", "avg_")],
+        "distinct_counts": [c for c in fused.columns if c.startswith("distinct_")],
     }
     for check, names in groups.items():
         pieces.append(_json_rows(fused.select(PART, *names), [PART]).withColumn("check", F.lit(check)))
     pieces.append(_json_rows(label_values(df, day), [PART]).withColumn("check", F.lit("label_values")))
-    pieces.append(_json_rows(distinct_counts(df, day), [PART]).withColumn("check", F.lit("distinct_counts")))
     pieces.append(_json_rows(duplicates(df, day), [PART]).withColumn("check", F.lit("duplicates")))
     pp = partitions_present(df).select(F.date_format(PART, "yyyy-MM-dd").alias(PART))
     pieces.append(pp.agg(F.to_json(F.sort_array(F.collect_list(F.struct(PART)), asc=False))

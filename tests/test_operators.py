@@ -124,3 +124,17 @@ def test_cluster_conf():
     from retention.session import cluster_conf
     c = cluster_conf(4000, 100 << 40)
     assert int(c["spark.sql.shuffle.partitions"]) >= 400000
+
+
+def test_p80_methods_agree(spark):
+    c = CAT.clean_all(spark, SF_SMALL)
+    a = {r.ingest_date: r.p80_monthly for r in FE.daily_p80(c).collect()}
+    for local_rows in (0, 10 ** 9):
+        spark.conf.set("spark.retention.ordering.localRows", str(local_rows))
+        try:
+            b = {r.ingest_date: r.p80_monthly for r in FE.daily_p80(c, method="distributed").collect()}
+        finally:
+            spark.conf.unset("spark.retention.ordering.localRows")
+        assert a == b
+    approx = {r.ingest_date: r.p80_monthly for r in FE.daily_p80(c, exact=False).collect()}
+    assert set(approx) == set(a)
