@@ -108,7 +108,7 @@ def top_rates(df: DataFrame, n_columns: int = TOP_RATES_COLUMNS, k: int = TOP_RA
     The window holds one row per distinct value of one categorical column."""
     cats = pick_columns(df)[1][:n_columns]
     w = Window.partitionBy("column").orderBy(F.col("churn_rate").desc(), F.col("value"))
-    return (churn_rates_long(df, cats).withColumn("rank", F.row_number().over(w))
+    return (churn_rates_long(df, cats).withColumn("rank", F.row_number().over(w).cast("bigint"))
             .where(F.col("rank") <= k))
 
 

@@ -8,6 +8,7 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF_SMALL
 from tools.oracle_check import TABLES, digest
+from tools.type_check import SPARK_TO_DUCK
 
 SLOW = {"train_logreg", "train_rf", "threshold_predictions", "score_by_id", "score_from_json"}
 NAMES = sorted(k for k in E.oracle_sql() if k not in SLOW)
@@ -29,6 +30,8 @@ def test_every_query_has_a_callable():
 def test_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     srows = [tuple(r) for r in df.collect()]
+    rel = duck.sql(E.oracle_sql()[name])
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == {c: str(t) for c, t in zip(rel.columns, rel.types)}
     res = duck.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
