@@ -1,10 +1,10 @@
 """MERGE for tables without MERGE support (plain Parquet snapshots).
 
 ``merge_upsert`` = matched target rows updated + unmatched target rows kept +
-unmatched source rows inserted, as two joins (semi/anti) and a union. The
-match condition may include target-only predicates (``T.version IS NULL``).
-Keys compare null-safely. Sizes are whatever the tables are: no broadcast is
-forced (AQE picks one at run time when a side turns out small).
+unmatched source rows inserted, from a single full outer join. The match
+condition may include target-only predicates (``T.version IS NULL``). Keys
+compare null-safely. No broadcast is forced (AQE picks one at run time when a
+side turns out small; skewed keys are split by AQE's skew-join handling).
 """
 
 from __future__ import annotations
@@ -22,26 +22,37 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str],
     WHEN MATCHED THEN UPDATE SET when_matched
     WHEN NOT MATCHED THEN INSERT when_not_matched (columns missing -> NULL).
 
-    ``when_matched`` expressions see the target columns; ``when_not_matched``
-    expressions see the source columns. Source keys are assumed unique.
+    One full outer join on the keys (the target-only predicate is part of the
+    join condition), then every row is classified: both sides -> updated,
+    target only -> kept, source only -> inserted. ``when_matched`` expressions
+    see the target columns (and source columns as ``_s_<name>``); inserted
+    target columns not named in ``when_not_matched`` take the source column of
+    the same name (else NULL), and its expressions refer to source columns as
+    ``_s_<name>``. Source keys are assumed unique (as a MERGE requires).
     """
-    s = source.select(*[F.col(k).alias(f"_s_{k}") for k in keys], *[
-        F.col(c).alias(f"_s_{c}") for c in source.columns if c not in keys])
-    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys])
-    eligible = target_cond if target_cond is not None else F.lit(True)
-    tagged = target.withColumn("_eligible", eligible)
-    sk = s.select(*[f"_s_{k}" for k in keys]).distinct()
-    hit = tagged.where("_eligible").join(sk, on, "left_semi").drop("_eligible")
-    rest = (tagged.where(~F.col("_eligible")).drop("_eligible")
-            .unionByName(tagged.where("_eligible").join(sk, on, "left_anti").drop("_eligible")))
     upd = when_matched or {}
-    updated = hit.select(*[upd[c].alias(c) if c in upd else F.col(c) for c in target.columns])
-    tk = tagged.where("_eligible").select(*[F.col(k) for k in keys])
-    new = s.join(tk, on, "left_anti")
     ins = when_not_matched or {}
-    srcview = new.select(*[F.col(f"_s_{c}").alias(c) for c in source.columns])
+    t = target.withColumn("_t_row", F.lit(True))
+    s = source.select(*[F.col(c).alias(f"_s_{c}") for c in source.columns], F.lit(True).alias("_s_row"))
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys])
+    if target_cond is not None:
+        on = on & target_cond
+    j = t.join(s, on, "full_outer")
+    matched = F.col("_t_row").isNotNull() & F.col("_s_row").isNotNull()
+    inserted = F.col("_t_row").isNull()
     types = dict(target.dtypes)
-    inserted = srcview.select(*[
-        (ins[c] if c in ins else (F.col(c) if c in source.columns else F.lit(None))).cast(types[c]).alias(c)
-        for c in target.columns])
-    return updated.unionByName(rest).unionByName(inserted)
+    src_names = {c: F.col(f"_s_{c}") for c in source.columns}
+
+    out = []
+    for c in target.columns:
+        if c in ins:
+            new = ins[c]
+        elif c in source.columns:
+            new = src_names[c]
+        else:
+            new = F.lit(None)
+        keep = upd[c] if c in upd else F.col(c)
+        out.append(F.when(inserted, new.cast(types[c]))
+                   .when(matched, keep.cast(types[c]))
+                   .otherwise(F.col(c)).alias(c))
+    return j.select(*out)

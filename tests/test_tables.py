@@ -148,3 +148,14 @@ def test_model_inputs_and_empty_errors(spark):
     with pytest.raises(PR.ProfileInputError):
         PR.pick_columns(df.drop("churn_label"))
     assert MD.split_columns(df) == (["tenure"], [])
+
+
+def test_merge_upsert_generic(spark):
+    from retention.operators.upsert import merge_upsert
+    t = spark.createDataFrame([("a", 1, 10), ("b", None, 20), ("b", 2, 30)], "k string, v int, x int")
+    s = spark.createDataFrame([("b", 99), ("c", 7)], "k string, x int")
+    out = merge_upsert(t, s, ["k"], target_cond=F.col("v").isNull(),
+                       when_matched={"x": F.col("_s_x") + F.col("x")},
+                       when_not_matched={"v": F.lit(0)})
+    got = sorted((tuple(r) for r in out.collect()), key=repr)
+    assert got == sorted([("a", 1, 10), ("b", 2, 30), ("b", None, 119), ("c", 0, 7)], key=repr)
