@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from retention.operators import clean as C, features as FE, segments as SG
-from retention.sources.fixture import raw_fixture
+from retention.sources.fixture import raw_fixture, read_table
 
 AS_OF = "2025-08-24"
 
@@ -138,12 +138,10 @@ def _q(spark, d):
 
 
 def _ids_from_orders(spark, d):
-    """Customers who placed an order of the top priority: the lookup id list
-    is itself derived from the data (customer_id = key + 1)."""
-    from retention.sources.fixture import read_table
+    """The lookup id list, derived from the data: every customer that placed
+    an order (customer_id = key + 1), one request per order."""
     o = read_table(spark, d, "orders")
-    return (o.where(F.col("o_orderpriority") == "1-URGENT")
-            .select((F.col("o_custkey") + 1).alias("customer_id")))
+    return o.select((F.col("o_custkey") + 1).alias("customer_id"))
 
 
 @query("customer_lookup")
@@ -465,7 +463,6 @@ def _q(spark, d):
 
 # ---- status log, registry, metadata (inputs derived from the events table) --
 from retention.plans import registry as RG, status as ST  # noqa: E402
-from retention.sources.fixture import read_table  # noqa: E402
 
 FIXED_NOW = "2025-08-24 04:30:00"
 

@@ -169,10 +169,10 @@ select contract_type, payment_method, cast(count(*) as bigint) as n, round(avg(c
 from features group by contract_type, payment_method having count(*) >= 50
 order by avg(churn_label) desc, contract_type, payment_method limit 15""")
 
-_URGENT_IDS = "(select o_custkey + 1 as customer_id from orders where o_orderpriority = '1-URGENT')"
+_ORDER_IDS = "(select o_custkey + 1 as customer_id from orders)"
 
 register("customer_lookup", f"""
-select * exclude (ingest_date) from features where customer_id in {_URGENT_IDS}""")
+select * exclude (ingest_date) from features where customer_id in {_ORDER_IDS}""")
 
 register("latest_customer_features", f"""
 select * exclude (ingest_date, _rn) from (
@@ -183,7 +183,7 @@ select * exclude (ingest_date, _rn) from (
     internet_type desc nulls last, contract_type desc nulls last, payment_method desc nulls last,
     contract_length_months desc nulls last, tenure_bucket desc nulls last,
     is_high_spender desc nulls last, churn_label desc nulls last) as _rn
-  from features where customer_id in {_URGENT_IDS}) where _rn = 1""")
+  from features where customer_id in {_ORDER_IDS}) where _rn = 1""")
 
 register("segment_contract_latest", """
 select contract_type, cast(count(*) as bigint) as n, round(avg(churn_label), 6) as churn_rate
