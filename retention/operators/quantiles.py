@@ -18,6 +18,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from retention.operators.ordering import local_rows_limit, running_sum
+from retention.session import checkpoint_dir
 
 
 def long_values(df: DataFrame, cols: list[str], by: list[str] | tuple = ()) -> DataFrame:
@@ -54,6 +55,12 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
                 .join(F.broadcast(df.sparkSession.createDataFrame(
                     [(i, float(p)) for i, p in enumerate(probs)], "_i int, p double")), "_i")
                 .select(*keys, "p", "value", "n"))
+    if not small:
+        # Large histogram: materialise it once (reliable checkpoint in the
+        # shared folder) so the sample, the bucketed window and the totals read
+        # it instead of re-aggregating the whole input.
+        checkpoint_dir(df.sparkSession)
+        hist = hist.checkpoint(eager=True)
     cum = running_sum(hist, ["value"], "cnt", keys, "_cum", num_buckets, assume_small=small)
     spark = df.sparkSession
     pt = spark.createDataFrame([(float(p),) for p in probs], "p double")
