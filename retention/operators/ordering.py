@@ -60,8 +60,9 @@ def _boundaries(df: DataFrame, cols: list[str], n_buckets: int, n_rows: int) ->
     return out
 
 
-def _bucket_expr(df: DataFrame, cols: list[str], bounds: list[tuple]) -> Column:
-    """Number of boundaries <= key, as a balanced CASE tree (log2 depth)."""
+def _case_tree(df: DataFrame, cols: list[str], bounds: list[tuple]) -> Column:
+    """Number of boundaries <= key as a balanced CASE tree (log2 depth).
+    Only for a few buckets (generated code grows with the tree)."""
     types = dict(df.dtypes)
     key = F.struct(*[F.col(c) for c in cols])
 
@@ -74,13 +75,51 @@ def _bucket_expr(df: DataFrame, cols: list[str], bounds: list[tuple]) -> Column:
         mid = (lo + hi + 1) // 2  # key >= bounds[mid - 1]  <=> bucket >= mid
         return F.when(key >= lit_key(bounds[mid - 1]), tree(mid, hi)).otherwise(tree(lo, mid - 1))
 
-    return tree(0, len(bounds))
+    return tree(0, len(bounds)).cast("double")
+
+
+NUMERIC = {"tinyint", "smallint", "int", "bigint", "float", "double"}
+MAX_TREE_BUCKETS = 64
+
+
+def _range_splits(df: DataFrame, col: str, n_buckets: int, n_rows: int) -> list[float]:
+    """Strictly increasing split points of a numeric column, from a bounded
+    sample (at most SAMPLE_ROWS_PER_BUCKET * n_buckets values reach the driver)."""
+    want = SAMPLE_ROWS_PER_BUCKET * n_buckets
+    frac = min(1.0, 2.0 * want / max(n_rows, 1))
+    x = F.col(col).cast("double")
+    vals = sorted(r[0] for r in df.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
+                  .sample(False, frac, SAMPLE_SEED).limit(want).collect())
+    if len(vals) < 2:
+        return []
+    step = len(vals) / n_buckets
+    out = []
+    for i in range(1, n_buckets):
+        v = vals[min(len(vals) - 1, int(round(step * i)))]
+        if not out or v > out[-1]:
+            out.append(v)
+    return out
+
+
+def _bucket_column(df: DataFrame, range_col: str, splits: list[float]) -> DataFrame:
+    """Adds _rs_b: -1 for NULL, else the range bucket (binary search in the
+    JVM via Bucketizer; NaN sorts last, as in Spark's ordering)."""
+    from pyspark.ml.feature import Bucketizer
+    x = df.withColumn("_rs_x", F.col(range_col).cast("double"))
+    if not splits:
+        return x.withColumn("_rs_b", F.when(F.col("_rs_x").isNull(), F.lit(-1.0)).otherwise(F.lit(0.0))) \
+                .drop("_rs_x")
+    bz = Bucketizer(splits=[float("-inf")] + splits + [float("inf")], inputCol="_rs_x",
+                    outputCol="_rs_bz", handleInvalid="keep")
+    out = bz.transform(x.withColumn("_rs_x", F.coalesce(F.col("_rs_x"), F.lit(0.0))))
+    b = F.when(F.col(range_col).isNull(), F.lit(-1.0)).otherwise(F.col("_rs_bz"))
+    return out.withColumn("_rs_b", b).drop("_rs_x", "_rs_bz")
 
 
 def running_sum(df: DataFrame, order_cols: list[str], value_col: str | None = None,
                 partition_cols: list[str] | tuple = (), out: str = "running",
                 num_buckets: int | None = None, local_rows: int | None = None,
-                assume_small: bool | None = None) -> DataFrame:
+                assume_small: bool | None = None, range_col: str | None = None) -> DataFrame:
     """Inclusive running sum of ``value_col`` (1 per row when None) ordered by
     ``order_cols``, restarting for every combination of ``partition_cols``.
 
@@ -90,6 +129,11 @@ def running_sum(df: DataFrame, order_cols: list[str], value_col: str | None = No
     ``local_rows`` (default: session conf) sets the counted size up to which a
     plain window is used; 0 always buckets. ``assume_small`` skips the count
     when the caller already knows the size class.
+
+    Buckets are ranges of ``range_col`` (default: the first order column;
+    numeric). Order columns before it are a prefix of the bucket id and must
+    have bounded cardinality (e.g. a source number). A non-numeric range
+    column falls back to a small CASE tree over the whole key.
     """
     keys = list(partition_cols)
     n = _num_buckets(df, num_buckets)
@@ -108,14 +152,24 @@ def running_sum(df: DataFrame, order_cols: list[str], value_col: str | None = No
             .rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(out, F.sum(v).over(w))
     src = df.withColumn("_rs_v", v)
-    bounds = _boundaries(df, keys + list(order_cols), n, n_rows if n_rows is not None else df.count())
-    bucketed = src.withColumn("_rs_b", _bucket_expr(df, keys + list(order_cols), bounds))
-    run = Window.partitionBy("_rs_b", *keys).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+    order = list(order_cols)
+    rc = range_col or order[0]
+    prefix = order[:order.index(rc)]  # bounded-cardinality leading order columns
+    rows = n_rows if n_rows is not None else df.count()
+    if dict(df.dtypes).get(rc) in NUMERIC:
+        bucketed = _bucket_column(src, rc, _range_splits(df, rc, n, rows))
+    else:
+        cols = keys + order
+        bucketed = src.withColumn("_rs_b", _case_tree(df, cols, _boundaries(df, cols, min(n, MAX_TREE_BUCKETS), rows)))
+        prefix = []
+    keys_b = keys + prefix
+    run = Window.partitionBy(*keys_b, "_rs_b").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
     local = bucketed.withColumn("_rs_local", F.sum("_rs_v").over(run))
-    totals = bucketed.groupBy("_rs_b", *keys).agg(F.sum("_rs_v").alias("_rs_t"))
-    before = (Window.partitionBy(*keys) if keys else Window).orderBy("_rs_b") \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    jk = ["_rs_b"] + keys
+    totals = bucketed.groupBy(*keys_b, "_rs_b").agg(F.sum("_rs_v").alias("_rs_t"))
+    # offsets restart per partition key and run across (prefix, bucket) in order
+    before = (Window.partitionBy(*keys) if keys else Window).orderBy(
+        *[F.col(c).asc_nulls_first() for c in prefix], "_rs_b").rowsBetween(Window.unboundedPreceding, -1)
+    jk = ["_rs_b"] + keys_b
     offsets = totals.select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(jk)],
                             F.coalesce(F.sum("_rs_t").over(before), F.lit(0)).alias("_rs_off"))
     cond = reduce(lambda a, b: a & b,
@@ -126,10 +180,11 @@ def running_sum(df: DataFrame, order_cols: list[str], value_col: str | None = No
 
 
 def contiguous_ids(df: DataFrame, order_cols: list[str], out: str = "id", start: int = 1,
-                   num_buckets: int | None = None, local_rows: int | None = None) -> DataFrame:
+                   num_buckets: int | None = None, local_rows: int | None = None,
+                   range_col: str | None = None) -> DataFrame:
     """Ids start, start+1, ... in the order of ``order_cols`` (no gaps), like
     a row number over the whole table but computed in parallel."""
-    r = running_sum(df, order_cols, None, (), "_cid", num_buckets, local_rows)
+    r = running_sum(df, order_cols, None, (), "_cid", num_buckets, local_rows, range_col=range_col)
     return r.withColumn(out, (F.col("_cid") + F.lit(start - 1)).cast("bigint")).drop("_cid")
 
 
