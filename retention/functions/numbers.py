@@ -14,10 +14,6 @@ _INT_TEXT = r"^[+-]?\d+$"
 _HEX_TEXT = r"^[+-]?0[xX][0-9a-fA-F]+$"
 
 
-def _is_string(c: Column, dtype: str | None) -> bool:
-    return dtype in (None, "string")
-
-
 def safe_double(c, dtype: str | None = "string") -> Column:
     """SAFE_CAST(x AS FLOAT64). Numbers pass through; text must look like a number."""
     col = _c(c)

@@ -365,7 +365,7 @@ def _q(spark, d):
 
 # ---- model training and evaluation ------------------------------------------
 from retention.operators import metrics as MT  # noqa: E402
-from retention.operators.quantiles import exact_quantiles, long_values  # noqa: E402
+from retention.operators.quantiles import exact_quantiles  # noqa: E402
 from retention.plans import model as MD  # noqa: E402
 from retention.sources.fixture import scored_fixture  # noqa: E402
 

@@ -123,7 +123,7 @@ def scored_fixture(features: DataFrame) -> DataFrame:
     return features.select(
         "customer_id", "ingest_date",
         F.col("churn_label").cast("bigint").alias("label"),
-        ((k * 37) % 100).cast("double").__truediv__(F.lit(100).cast("double")).alias("score"))
+        (((k * 37) % 100).cast("double") / F.lit(100.0).cast("double")).alias("score"))
 
 
 # Headers of the primary source file (public telco churn layout), in file order.
