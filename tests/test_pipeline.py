@@ -63,3 +63,32 @@ def test_daily_pipeline(spark, scratch):
     assert {r.step: r.status for r in log.collect()} == {
         "load_raw": "SUCCESS", "clean": "SUCCESS", "validate_clean": "SUCCESS", "eda": "SUCCESS",
         "features": "SUCCESS", "train": "SUCCESS"}
+
+
+def test_stream_picks_up_each_day_once(spark, scratch):
+    from retention.plans import catalog as CAT
+    from retention.schemas import RAW_SCHEMA
+    from retention.streaming.ingest import ingest_available
+    raw = CAT.raw(spark, SF_SMALL).drop("k")
+    text = raw.select(*[F.col(c).cast("string").alias(c) for c in RAW_SCHEMA.fieldNames()])
+    landing, table, ckpt = f"{scratch}/landing", f"{scratch}/raw", f"{scratch}/ckpt"
+    day_a, day_b = "2025-08-22", "2025-08-23"
+    L.write_daily_csv(text.where(F.col("ingest_date") == day_a), landing, day_a)
+    ingest_available(spark, landing, table, ckpt)
+    n_a = spark.read.schema(RAW_SCHEMA).parquet(table).count()
+    assert n_a > 0
+    ingest_available(spark, landing, table, ckpt)  # nothing new: unchanged
+    assert spark.read.schema(RAW_SCHEMA).parquet(table).count() == n_a
+    L.write_daily_csv(text.where(F.col("ingest_date") == day_b), landing, day_b)
+    ingest_available(spark, landing, table, ckpt)
+    got = spark.read.schema(RAW_SCHEMA).parquet(table)
+    per_day = {str(r.ingest_date): r["count"] for r in got.groupBy("ingest_date").count().collect()}
+    assert set(per_day) == {day_a, day_b} and per_day[day_a] == n_a
+    # a second file for day B lands in the same folder: the day is rebuilt from all its files
+    extra = (text.where((F.col("ingest_date") == day_b) & F.col("tenure").rlike("^[0-9]+$"))
+             .orderBy("customer_id").limit(3))
+    extra.write.mode("append").option("header", True).csv(L.daily_path(landing, day_b))
+    ingest_available(spark, landing, table, ckpt)
+    per_day2 = {str(r.ingest_date): r["count"] for r in
+                spark.read.schema(RAW_SCHEMA).parquet(table).groupBy("ingest_date").count().collect()}
+    assert per_day2[day_a] == n_a and per_day2[day_b] == per_day[day_b] + 3
