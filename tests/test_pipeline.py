@@ -92,3 +92,11 @@ def test_stream_picks_up_each_day_once(spark, scratch):
     per_day2 = {str(r.ingest_date): r["count"] for r in
                 spark.read.schema(RAW_SCHEMA).parquet(table).groupBy("ingest_date").count().collect()}
     assert per_day2[day_a] == n_a and per_day2[day_b] == per_day[day_b] + 3
+
+
+def test_cli_parses_and_runs_a_gate_failure(spark, scratch):
+    import retention.__main__ as M
+    with pytest.raises(SystemExit):
+        M.main(["bogus", "--warehouse", scratch])
+    with pytest.raises(ST.GateError):
+        M.main(["clean", "--warehouse", f"{scratch}/wh", "--run-id", "r9", "--date", AS_OF])
