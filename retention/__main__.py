@@ -1,6 +1,7 @@
 """Command line for an external scheduler: one daily step per call.
 
-  spark-submit -m retention <step> --warehouse URI --run-id ID --date YYYY-MM-DD [...]
+  python -m retention <step> --warehouse URI --run-id ID --date YYYY-MM-DD [...]
+  spark-submit --py-files retention.zip retention/__main__.py <step> ...
 
 Steps: prepare (needs --primary, optional --secondary), load, clean,
 validate, eda, features (--gate clean|validate_clean), train,
