@@ -597,3 +597,10 @@ def _q(spark, d):
     table = f"{base}/raw"
     ingest_available(spark, f"{base}/landing", table, f"{base}/_stream_ckpt")
     return spark.read.schema(RAW_SCHEMA).parquet(table)
+
+
+@query("predict_threshold")
+def _q(spark, d):
+    """M10 on the deterministic scored fixture: positive when score >= 0.5."""
+    return MT.predict(scored_fixture(features_all(spark, d))).select(
+        "customer_id", "ingest_date", "score", "prediction", "label")

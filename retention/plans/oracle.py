@@ -530,3 +530,7 @@ select cast(customer_id as bigint) as customer_id, gender,
   try_cast(trim(monthly_charges) as double) as monthly_charges,
   try_cast(trim(total_charges) as double) as total_charges, churn, ingest_date
 from raw where not ({_BAD})""", clean=False, features=False)
+register("predict_threshold", """
+select customer_id, ingest_date, score, cast(score >= 0.5 as bigint) as prediction, label
+from (select customer_id, ingest_date, churn_label as label,
+             cast(((customer_id - 1) * 37) % 100 as double) / 100 as score from features)""")
