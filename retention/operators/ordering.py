@@ -2,8 +2,8 @@
 
 A window with an ORDER BY but no PARTITION BY moves every row into one task.
 Instead the order key is cut into ranges ("buckets"): boundaries are taken
-once from a bounded sample (collected: at most ``SAMPLE_ROWS_PER_BUCKET`` rows
-per bucket) and written into the plan as literals, so the bucket of a row is a
+once from a bounded sample (collected: at most 2 * ``SAMPLE_ROWS_PER_BUCKET``
+values per bucket) and written into the plan as literals, so the bucket of a row is a
 pure function of its key -- identical in every branch of the plan and after
 any recomputation (a lost executor cannot move a row to another bucket).
 The running sum is a window partitioned by bucket (one shuffle), bucket totals
@@ -42,10 +42,10 @@ def local_rows_limit(spark) -> int:
 
 def _boundaries(df: DataFrame, cols: list[str], n_buckets: int, n_rows: int) -> list[tuple]:
     """n_buckets - 1 ascending split keys from a sample (driver gets at most
-    SAMPLE_ROWS_PER_BUCKET * n_buckets rows, already sorted by Spark)."""
+    2 * SAMPLE_ROWS_PER_BUCKET * n_buckets rows, already sorted by Spark)."""
     want = SAMPLE_ROWS_PER_BUCKET * n_buckets
-    frac = min(1.0, 2.0 * want / max(n_rows, 1))
-    samp = (df.select(*cols).sample(False, frac, SAMPLE_SEED).limit(want)
+    frac = min(1.0, want / max(n_rows, 1))  # ~want rows in expectation, from every partition
+    samp = (df.select(*cols).sample(False, frac, SAMPLE_SEED).limit(2 * want)
             .orderBy(*[F.col(c).asc_nulls_first() for c in cols]).collect())
     if len(samp) < 2:
         return []
@@ -84,12 +84,12 @@ MAX_TREE_BUCKETS = 64
 
 def _range_splits(df: DataFrame, col: str, n_buckets: int, n_rows: int) -> list[float]:
     """Strictly increasing split points of a numeric column, from a bounded
-    sample (at most SAMPLE_ROWS_PER_BUCKET * n_buckets values reach the driver)."""
+    sample (at most 2 * SAMPLE_ROWS_PER_BUCKET * n_buckets values reach the driver)."""
     want = SAMPLE_ROWS_PER_BUCKET * n_buckets
-    frac = min(1.0, 2.0 * want / max(n_rows, 1))
+    frac = min(1.0, want / max(n_rows, 1))  # ~want rows in expectation, from every partition
     x = F.col(col).cast("double")
     vals = sorted(r[0] for r in df.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
-                  .sample(False, frac, SAMPLE_SEED).limit(want).collect())
+                  .sample(False, frac, SAMPLE_SEED).limit(2 * want).collect())
     if len(vals) < 2:
         return []
     step = len(vals) / n_buckets
