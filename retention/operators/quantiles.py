@@ -64,7 +64,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     cum = running_sum(hist, ["value"], "cnt", keys, "_cum", num_buckets, assume_small=small)
     spark = df.sparkSession
     pt = spark.createDataFrame([(float(p),) for p in probs], "p double")
-    n_tbl = cum.groupBy(*keys).agg(F.sum("cnt").alias("n"))  # from the checkpoint
+    n_tbl = cum.groupBy(*keys).agg(F.sum("cnt").alias("n"))  # group sizes from the running-count table
     t = n_tbl.crossJoin(F.broadcast(pt))
     if kind == "linear":
         h = (F.col("n") - 1) * F.col("p")
