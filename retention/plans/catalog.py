@@ -40,10 +40,13 @@ _PLANS: dict = {}
 
 
 def _memo(kind, spark, d, build):
-    key = (kind, spark._jsparkSession.hashCode(), d)
-    if key not in _PLANS:
-        _PLANS[key] = build()
-    return _PLANS[key]
+    """Reuse a base plan only for the same live session object."""
+    key = (kind, d)
+    hit = _PLANS.get(key)
+    if hit is None or hit[0] is not spark or spark.sparkContext._jsc is None:
+        hit = (spark, build())
+        _PLANS[key] = hit
+    return hit[1]
 
 
 def raw(spark, d):
