@@ -405,11 +405,17 @@ select cast(count(*) as bigint) as "rows",
 from coerced""", clean=False, features=False, extra=_PREP_CTES)
 
 # ---- model ------------------------------------------------------------------
+_SPLIT_CTES = """cnt as (select churn_label, count(*) as n from features group by churn_label),
+tot as (select sum(n) as t, cast(ceil(sum(n) * 0.25) as bigint) as n_test from cnt),
+base as (select c.churn_label, c.n, floor(c.n * (t.t - t.n_test) / t.t) as fl,
+                c.n * (t.t - t.n_test) / t.t - floor(c.n * (t.t - t.n_test) / t.t) as rem,
+                t.t - t.n_test as n_train from cnt c cross join tot t),
+alloc as (select churn_label, n, fl + case when row_number() over (order by rem desc, churn_label)
+                 <= n_train - sum(fl) over () then 1 else 0 end as train from base)"""
 register("stratified_split_counts", """
-select churn_label, is_test, cast(case when is_test then t else n - t end as bigint) as n from (
-  select churn_label, count(*) as n, cast(round(count(*) * 0.25) as bigint) as t from features group by churn_label)
-cross join (select unnest([true, false]) as is_test)
-where case when is_test then t else n - t end > 0""")
+select churn_label, is_test, cast(case when is_test then n - train else train end as bigint) as n
+from alloc cross join (select unnest([true, false]) as is_test)
+where case when is_test then n - train else train end > 0""", extra=_SPLIT_CTES)
 _M_NUM = ["customer_id_unused"]
 _MODEL_NUM = ["tenure", "monthly_charges", "total_charges", "is_senior", "has_internet", "services_count",
               "avg_charges_per_tenure", "charges_per_service", "contract_length_months", "is_high_spender"]

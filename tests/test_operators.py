@@ -98,15 +98,34 @@ def test_validation_report_shape(spark):
     assert len(rep) == 8
 
 
+def _allocation(counts: dict, frac: float = 0.25) -> dict:
+    """Reference sizes: n_test = ceil(frac * n); train per label by floor of the
+    proportional share plus largest remainders (ties: smaller label)."""
+    import math
+    n = sum(counts.values())
+    n_test = math.ceil(frac * n)
+    n_train = n - n_test
+    cont = {k: v * n_train / n for k, v in counts.items()}
+    train = {k: math.floor(c) for k, c in cont.items()}
+    need = n_train - sum(train.values())
+    for k in sorted(counts, key=lambda k: (-(cont[k] - math.floor(cont[k])), k))[:need]:
+        train[k] += 1
+    return {k: counts[k] - train[k] for k in counts}
+
+
 def test_stratified_split_sizes(spark):
     from retention.plans import model as MD
     f = CAT.features_all(spark, SF_SMALL)
     s = MD.stratified_split(f)
     got = {(r.churn_label, r.is_test): r["count"] for r in s.groupBy("churn_label", "is_test").count().collect()}
-    for lbl in (0, 1):
-        n = got.get((lbl, True), 0) + got.get((lbl, False), 0)
-        assert got.get((lbl, True), 0) == int(n * 0.25 + 0.5)
+    counts = {lbl: got.get((lbl, True), 0) + got.get((lbl, False), 0) for lbl in (0, 1)}
+    assert {lbl: got.get((lbl, True), 0) for lbl in (0, 1)} == _allocation(counts)
     assert s.count() == f.count()
+    for table in ({0: 7, 1: 3}, {0: 10694, 1: 3885}, {0: 1, 1: 1, 2: 1}, {0: 5, 1: 5, 2: 2}, {1: 9}):
+        df = spark.createDataFrame(list(table.items()), "churn_label bigint, _n bigint")
+        q = {r.churn_label: r._test for r in MD.test_quota(df).collect()}
+        assert q == _allocation(table), table
+
 
 
 def test_hash_split_shares(spark):
