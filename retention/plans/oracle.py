@@ -520,7 +520,7 @@ register("parse_feature_payload", """
 select customer_id as payload_id, ingest_date, cast(tenure as double) as tenure, monthly_charges, total_charges,
   is_senior, has_internet, services_count, avg_charges_per_tenure, charges_per_service, internet_type,
   contract_type, payment_method, cast(contract_length_months as double) as contract_length_months,
-  tenure_bucket, is_high_spender, true as valid_json
+  tenure_bucket, is_high_spender, true as valid_json, cast(null as varchar) as bad_payload
 from features""")
 
 # ---- incremental ingest: raw rows after the typed load (bad rows skipped) ----

@@ -45,12 +45,14 @@ def score_by_id(model: PipelineModel, features: DataFrame, ids: DataFrame, versi
 
 
 def parse_payloads(payloads: DataFrame, text_col: str = "payload") -> DataFrame:
-    """T13 parsing: JSON text -> the 14 optional feature fields + parse flag."""
+    """T13 parsing: JSON text -> the 14 optional feature fields, a parse flag
+    and the original text of malformed payloads (``bad_payload``)."""
     parsed = F.from_json(F.col(text_col), PAYLOAD_SCHEMA, {"mode": "PERMISSIVE"})
     valid = F.from_json(F.col(text_col), "map<string,string>", {"mode": "PERMISSIVE"}).isNotNull()
-    return payloads.select(*[c for c in payloads.columns if c != text_col],
-                           parsed.alias("_p"), valid.alias("valid_json")) \
-        .select(*[c for c in payloads.columns if c != text_col], "_p.*", "valid_json")
+    keys = [c for c in payloads.columns if c != text_col]
+    return (payloads.select(*keys, parsed.alias("_p"), valid.alias("valid_json"),
+                            F.when(~valid, F.col(text_col)).alias("bad_payload"))
+            .select(*keys, "_p.*", "valid_json", "bad_payload"))
 
 
 def score_payloads(model: PipelineModel, payloads: DataFrame, version, text_col: str = "payload") -> DataFrame:
@@ -61,7 +63,7 @@ def score_payloads(model: PipelineModel, payloads: DataFrame, version, text_col:
     scored = positive_probability(model.transform(p))
     ok = F.col("valid_json")
     return scored.select(
-        *keys, "valid_json",
+        *keys, "valid_json", "bad_payload",
         F.when(ok, F.round("score", 6)).alias("churn_probability"),
         F.when(ok, (F.col("score") >= THRESHOLD).cast("int")).alias("prediction"),
         F.when(ok, F.lit(version).cast("bigint")).alias("model_version"))

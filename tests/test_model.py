@@ -34,6 +34,7 @@ def test_train_save_load_score(spark, tmp_path):
     res = {r.payload_id: r for r in SC.score_payloads(loaded, pay, 1).collect()}
     assert res[1].valid_json and res[1].churn_probability is not None
     assert not res[2].valid_json and res[2].churn_probability is None
+    assert res[2].bad_payload == "{bad json" and res[1].bad_payload is None
 
 
 def test_one_hot_unknown_is_all_zero(spark):
