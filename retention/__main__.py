@@ -43,7 +43,7 @@ def main(argv: list[str] | None = None) -> int:
     if a.step == "prepare":
         print(D.prepare_day(spark, wh, a.primary, a.secondary, a.date))
     elif a.step == "load":
-        print(f"loaded {D.load_day(spark, wh, a.run_id, a.date)} rows")
+        print(f"loaded {D.load_day(spark, wh, a.run_id, a.date, a.mode)} rows")
     elif a.step == "clean":
         D.clean_day(spark, wh, a.run_id, a.date, a.mode)
     elif a.step == "validate":

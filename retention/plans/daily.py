@@ -62,14 +62,17 @@ def prepare_day(spark: SparkSession, wh: Warehouse, primary: str, secondary: str
     return L.write_daily_csv(raw, wh.landing, day)
 
 
-def load_day(spark: SparkSession, wh: Warehouse, run_id: str, day) -> int:
+def load_day(spark: SparkSession, wh: Warehouse, run_id: str, day, mode: str = "replace") -> int:
+    """Load the day's landing file into raw. ``replace`` (default) rewrites the
+    day so a re-run is idempotent; ``append`` adds the rows again (parity with
+    an append-only load job)."""
     with ST.step(spark, wh.status, run_id, "load_raw") as info:
         reg = RG.read_registry(spark, wh.registry)
         RG.write_registry(spark, wh.registry,
                           RG.upsert_running(reg, spark.createDataFrame([(run_id,)], "run_id string")))
         L.require_table(spark, wh.raw)
         good = L.load_csv(spark, L.daily_path(wh.landing, day))
-        TB.write_partitions(good, wh.raw, "replace")
+        TB.write_partitions(good, wh.raw, mode)
         n = spark.read.schema(RAW_SCHEMA).parquet(wh.raw).count()
         info["message"] = f"loaded {n} rows"
     return n
