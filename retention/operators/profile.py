@@ -44,14 +44,31 @@ def _cat_long(df: DataFrame, cats: list[str], extra: list[str] = ()) -> DataFram
     return df.select(*extra, kv).select(*extra, "_kv.column", "_kv.value")
 
 
-def numeric_summary(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Count, mean, sample std, min, 25/50/75 % (linear), max per column."""
+APPROX_ACCURACY = 100_000
+
+
+def _quartiles(df: DataFrame, num: list[str], by: list[str], exact: bool) -> DataFrame:
+    """(by..., column, p, value) for p = 0.25, 0.5, 0.75: exact (distributed)
+    or a single-pass percentile_approx sketch per group (bounded buffers)."""
+    probs = [0.25, 0.5, 0.75]
+    if exact:
+        return exact_quantiles(df, num, probs, by=by)
+    q = (long_values(df, num, by).groupBy(*by, "column")
+         .agg(F.percentile_approx("value", probs, APPROX_ACCURACY).alias("_q")))
+    return q.select(*by, "column", F.posexplode("_q").alias("_i", "value")) \
+        .select(*by, "column", F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("_i") + 1).alias("p"),
+                "value")
+
+
+def numeric_summary(df: DataFrame, cols: list[str] | None = None, exact: bool = True) -> DataFrame:
+    """Count, mean, sample std, min, 25/50/75 % (linear), max per column.
+    ``exact=False`` takes the quartiles from a percentile_approx sketch."""
     num = cols or pick_columns(df)[0]
     lv = long_values(df, num)
     basic = lv.groupBy("column").agg(
         F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
-    q = quantile_wide(exact_quantiles(df, num, [0.25, 0.5, 0.75]), ["column"],
+    q = quantile_wide(_quartiles(df, num, [], exact), ["column"],
                       {0.25: "p25", 0.5: "p50", 0.75: "p75"})
     return (basic.join(F.broadcast(q), "column", "left")
             .select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max"))
@@ -134,12 +151,13 @@ def histogram(df: DataFrame, cols: list[str] | None = None, bins: int = HIST_BIN
                     F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count")))
 
 
-def box_stats(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+def box_stats(df: DataFrame, cols: list[str] | None = None, exact: bool = True) -> DataFrame:
     """Per (column, label): quartiles, whiskers at the last point within
-    1.5 IQR, number of outliers. Rows with a NULL in either are dropped."""
+    1.5 IQR, number of outliers. Rows with a NULL in either are dropped.
+    ``exact=False`` takes the quartiles from a percentile_approx sketch."""
     num = cols or pick_columns(df)[0]
     lv = long_values(df.where(F.col(LABEL).isNotNull()), num, [LABEL])
-    q = quantile_wide(exact_quantiles(df.where(F.col(LABEL).isNotNull()), num, [0.25, 0.5, 0.75], by=[LABEL]),
+    q = quantile_wide(_quartiles(df.where(F.col(LABEL).isNotNull()), num, [LABEL], exact),
                       [LABEL, "column"], {0.25: "q1", 0.5: "median", 0.75: "q3"})
     q = q.withColumn("_lo", F.col("q1") - WHISKER * (F.col("q3") - F.col("q1"))) \
          .withColumn("_hi", F.col("q3") + WHISKER * (F.col("q3") - F.col("q1")))

@@ -157,3 +157,15 @@ def test_p80_methods_agree(spark):
         assert a == b
     approx = {r.ingest_date: r.p80_monthly for r in FE.daily_p80(c, exact=False).collect()}
     assert set(approx) == set(a)
+
+
+def test_profile_approx_quartiles_close(spark):
+    c = CAT.clean_all(spark, SF_SMALL)
+    ex = {r.column: r for r in PR.numeric_summary(c).collect()}
+    ap = {r.column: r for r in PR.numeric_summary(c, exact=False).collect()}
+    assert set(ex) == set(ap)
+    for k in ex:
+        span = (ex[k]["max"] - ex[k]["min"]) or 1.0
+        for q in ("p25", "p50", "p75"):
+            assert abs(ex[k][q] - ap[k][q]) <= 0.05 * span
+    assert PR.box_stats(c, exact=False).count() == PR.box_stats(c).count()
