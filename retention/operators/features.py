@@ -17,6 +17,7 @@ from retention.operators.clean import day_lit
 from retention.schemas import ADDON_COLUMNS, CONTRACT_MONTHS, FEATURE_COLUMNS
 
 HIGH_SPENDER_PERCENTILE = 0.8
+MAX_BROADCAST_DAYS = 100_000  # (ingest_date, p80) rows: a few MB at most
 
 
 def p80_expr(col: str = "monthly_charges", exact: bool = True, accuracy: int = 100000) -> Column:
@@ -93,6 +94,10 @@ def build_features(clean_df: DataFrame, day=None, exact: bool = True,
     """Clean -> features for one day, or for every day at once (per-day p80)."""
     src = clean_df if day is None else clean_df.where(F.col("ingest_date") == day_lit(day))
     stats = daily_p80(src, exact=exact, method=p80_method)
-    # One row per day: bounded by the partition count, so broadcasting is safe.
-    joined = src.join(F.broadcast(stats), "ingest_date", "left")
+    # One row per day. A single day is one row; for all days the day count is
+    # checked first (partition values only on a partitioned table) and the
+    # broadcast used only below MAX_BROADCAST_DAYS, else a shuffle join.
+    if day is not None or src.select("ingest_date").distinct().count() <= MAX_BROADCAST_DAYS:
+        stats = F.broadcast(stats)
+    joined = src.join(stats, "ingest_date", "left")
     return joined.select(*feature_columns(F.col("p80_monthly"))).select(*FEATURE_COLUMNS)
