@@ -62,10 +62,8 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
         checkpoint_dir(df.sparkSession)
         hist = hist.checkpoint(eager=True)
     cum = running_sum(hist, ["value"], "cnt", keys, "_cum", num_buckets, assume_small=small)
-    spark = df.sparkSession
-    pt = spark.createDataFrame([(float(p),) for p in probs], "p double")
     n_tbl = cum.groupBy(*keys).agg(F.sum("cnt").alias("n"))  # group sizes from the running-count table
-    t = n_tbl.crossJoin(F.broadcast(pt))
+    t = n_tbl.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
     if kind == "linear":
         h = (F.col("n") - 1) * F.col("p")
         t = t.select(*keys, "p", "n", F.floor(h).cast("bigint").alias("i_lo"),

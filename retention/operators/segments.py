@@ -20,10 +20,10 @@ def _rate(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def counts_side_by_side(clean_df: DataFrame, features_df: DataFrame) -> DataFrame:
-    """A1: two table counts in one row (two 1-row aggregates, one broadcast pairing)."""
-    a = clean_df.agg(F.count(F.lit(1)).alias("clean_rows"))
-    b = features_df.agg(F.count(F.lit(1)).alias("feature_rows"))
-    return a.crossJoin(F.broadcast(b))
+    """A1: two table counts in one row; the second is a scalar subquery."""
+    b = features_df.agg(F.count(F.lit(1)))
+    return clean_df.agg(F.count(F.lit(1)).alias("clean_rows")).select(
+        "clean_rows", b.scalar().alias("feature_rows"))
 
 
 def churn_distribution(df: DataFrame) -> DataFrame:

@@ -130,10 +130,12 @@ def train_day(spark: SparkSession, wh: Warehouse, run_id: str, day) -> tuple[str
             rows = MD.load_training_rows(TB.read_table(spark, wh.features), day)
             best, model, metrics = MD.train_and_evaluate(rows)
             uri, muri = MD.save_model(model, metrics, wh.output(day, "model"), version, best, spark)
-            target = spark.createDataFrame([(run_id, version)], "run_id string, version bigint")
             mj = json.dumps({"version": version, "best_model": best, "candidates": metrics,
                              "model_uri": uri, "metrics_uri": muri})
-            reg = RG.promote(RG.read_registry(spark, wh.registry), target, F.lit(uri), F.lit(mj))
+            target = spark.createDataFrame([(run_id, version, uri, mj)],
+                                           "run_id string, version bigint, artifact_uri string,"
+                                           " metrics_json string")
+            reg = RG.promote(RG.read_registry(spark, wh.registry), target)
             RG.write_registry(spark, wh.registry, reg)
         except Exception as e:
             RG.write_registry(spark, wh.registry,

@@ -89,9 +89,9 @@ def test_registry_lifecycle(spark, scratch):
     assert v2 == 2
     RG.write_registry(spark, base, reg2)
     for run, ver in (("r1", 1), ("r2", 2)):
-        t = spark.createDataFrame([(run, ver)], "run_id string, version bigint")
-        RG.write_registry(spark, base, RG.promote(RG.read_registry(spark, base), t,
-                                                  F.lit(f"uri/{ver}"), F.lit("{}")))
+        t = spark.createDataFrame([(run, ver, f"uri/{ver}", "{}")],
+                                  "run_id string, version bigint, artifact_uri string, metrics_json string")
+        RG.write_registry(spark, base, RG.promote(RG.read_registry(spark, base), t))
     cur = RG.read_registry(spark, base)
     assert cur.where("is_latest").count() == 1
     assert RG.require_model(cur) == (2, "uri/2")
