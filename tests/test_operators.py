@@ -169,3 +169,12 @@ def test_profile_approx_quartiles_close(spark):
         for q in ("p25", "p50", "p75"):
             assert abs(ex[k][q] - ap[k][q]) <= 0.05 * span
     assert PR.box_stats(c, exact=False).count() == PR.box_stats(c).count()
+
+
+def test_prepare_preview_and_counts(spark):
+    from retention.operators import prepare as PP
+    from retention.sources.fixture import two_sources
+    out = PP.prepare(*two_sources(spark, SF_SMALL), "2025-08-24", ["k"])
+    assert [r.customer_id for r in PP.preview(out).collect()] == [1, 2, 3, 4, 5]
+    c = PP.sanity_counts(PP.coerce_numeric(PP.union_sources(*two_sources(spark, SF_SMALL), keep=("k",)))).first()
+    assert c.rows == out.count() and c.null_churn == 0
