@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from retention.llm import simhash
+from retention.llm import decontaminate, simhash
 
 QUERIES = {
     "op6_simhash_balls": simhash.query,
+    "op7_winnowing": decontaminate.query,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op7_winnowing": decontaminate.SQL,
+}
