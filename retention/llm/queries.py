@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from retention.llm import decontaminate, packing, simhash
+from retention.llm import decontaminate, packing, quality_rules, simhash
 
 QUERIES = {
     "op6_simhash_balls": simhash.query,
     "op7_winnowing": decontaminate.query,
+    "op8_certified_rules": quality_rules.query,
     "op9_best_fit": packing.query,
 }
 
