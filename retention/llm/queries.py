@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from retention.llm import decontaminate, packing, quality_rules, simhash
+from retention.llm import decontaminate, line_templates, packing, quality_rules, simhash
 
 QUERIES = {
+    "op1_line_templates": line_templates.query,
     "op6_simhash_balls": simhash.query,
     "op7_winnowing": decontaminate.query,
     "op8_certified_rules": quality_rules.query,

@@ -58,13 +58,15 @@ def majority(digests: bytes) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp long) of every row. Null or wordless text: 0. Fewer words
-    than a shingle: the whole sequence is the one shingle."""
+    """(doc_id, text_hash, fp long) of every row. Null or wordless text: 0. Fewer
+    words than a shingle: the whole sequence is the one shingle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = [majority(fingerprint_words(t.lower().split(), shingle)) for t in texts(b)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp, pa.int64())], ["doc_id", "fp"])
-    return ids_and_text(docs).mapInArrow(run, "doc_id long, fp long")
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(fp, pa.int64())],
+                                             ["doc_id", "text_hash", "fp"])
+    return (ids_and_text(docs).withColumn("text_hash", F.xxhash64("text"))
+            .mapInArrow(run, "doc_id long, text_hash long, fp long"))
 
 
 def _flips(bits: int, most: int) -> list[np.ndarray]:
@@ -201,32 +203,36 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """(doc_id, fp, component_id) for every row of ``docs`` (doc_id, text, any others).
+    """(doc_id, text_hash, fp, root, component_id) for every row of ``docs`` (doc_id, text, any others).
 
-    component_id is the smallest doc_id whose fingerprint is reachable over
-    links. A null doc_id takes part but never names a component that has
-    another; a component of nulls alone has a null id. Repeated rows repeat.
+    root is the component's smallest fingerprint, component_id the smallest
+    doc_id reachable over links. A null doc_id takes part but names no component
+    that has another; a component of nulls alone has a null id. Repeated rows repeat.
     """
     fps = stored(fingerprints(docs, shingle), "fingerprints")
     nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("first_doc"))
     roots = connected_components(links(fps, max_bits)).select(F.col("node").alias("fp"), "root")
     rooted = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = rooted.groupBy("root").agg(F.min("first_doc").alias("component_id"))
-    of_fp = rooted.join(named, "root").select("fp", "component_id")
-    return fps.join(of_fp, "fp").select("doc_id", "fp", "component_id")
+    of_fp = rooted.join(named, "root").select("fp", "root", "component_id")
+    return fps.join(of_fp, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` without near-duplicates: of each component the row with its smallest
-    doc_id stays. Rows that repeat that doc_id go, too; rows with a null doc_id stay."""
+    """One row of ``docs`` for each component: that of its smallest doc_id (null last), then text hash."""
     found = near_duplicates(docs, shingle, max_bits)
-    heads = (found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("__rows"))
-             .withColumnRenamed("doc_id", "__id"))
-    heads = stored(heads, "heads")
-    kept = docs.join(heads, F.col("doc_id") == F.col("__id"))
+    heads = (found.groupBy("root").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("h"))
+        .select("h.doc_id", "h.text_hash"))
+    rows = (found.groupBy("doc_id", "text_hash").agg(F.count("*").alias("__rows"))
+            .withColumnsRenamed({"doc_id": "d", "text_hash": "t"}))
+    same = heads["doc_id"].eqNullSafe(rows["d"]) & heads["text_hash"].eqNullSafe(rows["t"])
+    heads = stored(heads.join(rows, same).select(F.col("d").alias("__id"), F.col("t").alias("__hash"), "__rows"), "heads")
+    kept = docs.join(heads, F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
+                     & F.xxhash64(F.col("text").cast("string")).eqNullSafe(F.col("__hash")))
     once = kept.where("__rows = 1").select(*docs.columns)
-    repeated = kept.where("__rows > 1").select(*docs.columns).dropDuplicates(["doc_id"])
-    return once.unionByName(repeated).unionByName(docs.where("doc_id is null"))
+    # Rows that repeat the chosen one in full are the only ones left to thin out.
+    return once.unionByName(kept.where("__rows > 1").dropDuplicates(["__id", "__hash"]).select(*docs.columns))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
