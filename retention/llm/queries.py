@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from retention.llm import decontaminate, line_templates, packing, quality_rules, simhash
+from retention.llm import (
+    decontaminate, line_templates, packing, quality_rules, simhash, token_store,
+)
 
 QUERIES = {
     "op1_line_templates": line_templates.query,
+    "op4_token_lists": token_store.query,
     "op6_simhash_balls": simhash.query,
     "op7_winnowing": decontaminate.query,
     "op8_certified_rules": quality_rules.query,

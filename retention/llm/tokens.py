@@ -3,22 +3,28 @@
 ``word_bpe_49k.json`` drops white space and never joins what white space parts,
 so a text's ids are the ids of its pieces between ASCII white space, one after
 the other. Each worker remembers the ids of words it has met; the tokenizers
-library encodes the others in batches. A tokenizer without that property is
-applied to whole texts instead.
+library encodes the others in batches. Most new words are Latin letters and then
+punctuation, which that tokenizer parts as well: their letters are looked up in
+lower case and new ones go to the library many at a time. A tokenizer without
+these properties is applied to whole texts instead.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
 from itertools import accumulate
 
 import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Words a worker remembers (about 150 bytes each) and the longest one it does.
-REMEMBERED, LONGEST = 1_200_000, 48
+#: Words a worker remembers (about 150 bytes each), the longest one it does, and letters sent to the library at a time.
+REMEMBERED, LONGEST, AT_A_TIME = 1_200_000, 48, 5_000
+
+#: Latin letters (whose lower case is one letter and which are in normal form), then ASCII punctuation but the apostrophe.
+_SIMPLE = re.compile("([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F]+)([!-&(-/:-@\\[-`{-~]*)")
 
 
 def default_path() -> str:
@@ -26,42 +32,94 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class Recent:
+    """Remembers the latest half to whole of ``limit`` keys, and any that are still in use."""
+
+    def __init__(self, limit: int):
+        self.limit, self.new, self.old = limit, {}, {}
+
+    def put(self, pairs) -> None:
+        if len(self.new) > self.limit // 2:
+            self.new, self.old = {}, self.new
+        self.new.update(pairs)
+
+    def older(self, keys) -> dict:
+        """Those of ``keys`` that only the older half knows, which now count as new."""
+        found = {k: self.old[k] for k in keys if k in self.old}
+        self.put(found)
+        return found
+
+
 class WordEncoder:
     """``encode`` gives the little-endian unsigned 32-bit ids of each text."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             conf = json.load(f)
         split = (conf.get("pre_tokenizer") or {}).get("pretokenizers", [{}])[0]
-        drops = split.get("type") == "Split" and split.get("invert") and split.get("behavior") == "Removed"
-        self.by_word = bool(drops and r"[^\s" in split["pattern"].get("Regex", "")
-                            and not any(t["lstrip"] or t["rstrip"] or " " in t["content"] for t in conf["added_tokens"]))
-        self.known: dict[bytes, bytes] = {}
-
-    def _library(self, parts: list[bytes]) -> list[bytes]:
-        out = self.tokenizer.encode_batch_fast([p.decode("utf-8") for p in parts], add_special_tokens=False)
+        self.by_word = (split.get("type") == "Split" and split.get("invert") and split.get("behavior") == "Removed"
+                        and split["pattern"].get("Regex") == r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+                        and not any(t["lstrip"] or t["rstrip"] or " " in t["content"] for t in conf["added_tokens"]))
+        self.words, self.letters = Recent(remembered), Recent(remembered // 4)
+        self.marks: dict[str, bytes] = {"": b""}
+
+    def _library(self, parts: list[str]) -> list[bytes]:
+        out = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in out]
 
+    def _letters(self, parts: list[str]) -> dict[str, bytes]:
+        """Ids of runs of lower-case letters: each is one piece, so pieces can share a call."""
+        out = {}
+        for lo in range(0, len(parts), AT_A_TIME):
+            some = parts[lo:lo + AT_A_TIME]
+            e = self.tokenizer.encode("\n".join(some), add_special_tokens=False)
+            ids = np.array(e.ids, "<u4").tobytes()
+            cuts = (4 * np.searchsorted(np.array(e.word_ids), np.arange(len(some) + 1))).tolist()
+            out.update((p, ids[s:t]) for p, s, t in zip(some, cuts, cuts[1:]))
+        return out
+
+    def _new(self, words: list[bytes]) -> dict[bytes, bytes]:
+        out, simple, other = {}, [], []
+        for w in words:
+            if m := _SIMPLE.fullmatch(u := w.decode("utf-8")):
+                simple.append((w, m[1].lower(), m[2]))
+            else:
+                other.append((w, u))
+        out.update(zip([w for w, _ in other], self._library([u for _, u in other])))
+        known = self.letters.new
+        need = dict.fromkeys(x for _, x, _ in simple if x not in known)
+        found = self.letters.older(need)
+        fresh = self._letters([x for x in need if x not in found])
+        ids = {**{x: known[x] for _, x, _ in simple if x in known}, **found, **fresh}
+        self.letters.put(fresh)
+        for w, x, mark in simple:
+            if mark not in self.marks:
+                if len(self.marks) > 10_000:
+                    self.marks = {"": b""}
+                self.marks[mark] = self._library([mark])[0]
+            out[w] = ids[x] + self.marks[mark]
+        return out
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_word:
-            return self._library(texts)
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known, sizes, flat = self.known, [], []
+            return self._library([t.decode("utf-8") for t in texts])
+        sizes, flat = [], []
         for t in texts:
             words = t.split()
             sizes.append(len(words))
             flat += words
-        ids = list(map(known.get, flat))
+        ids = list(map(self.words.new.get, flat))
         gaps = [i for i, x in enumerate(ids) if x is None]
         if gaps:
-            new = dict.fromkeys([flat[i] for i in gaps])
-            new.update(zip(new, self._library(list(new))))
+            need = dict.fromkeys([flat[i] for i in gaps])
+            found = self.words.older(need)
+            fresh = self._new([w for w in need if w not in found])
+            self.words.put((w, x) for w, x in fresh.items() if len(w) <= LONGEST)
+            fresh.update(found)
             for i in gaps:
-                ids[i] = new[flat[i]]
-            known.update((w, x) for w, x in new.items() if len(w) <= LONGEST)
+                ids[i] = fresh[flat[i]]
         ends = list(accumulate(sizes))
         return [b"".join(ids[e - n:e]) for n, e in zip(sizes, ends)]
 
