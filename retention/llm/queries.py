@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from retention.llm import (
-    decontaminate, line_templates, packing, quality_rules, simhash, token_store,
+    chunk_dedup, decontaminate, line_templates, packing, quality_rules, simhash, token_store,
 )
 
 QUERIES = {
     "op1_line_templates": line_templates.query,
+    "op2_gear_chunks": chunk_dedup.query,
     "op4_token_lists": token_store.query,
     "op6_simhash_balls": simhash.query,
     "op7_winnowing": decontaminate.query,
