@@ -3,19 +3,22 @@
 from __future__ import annotations
 
 from retention.llm import (
-    chunk_dedup, decontaminate, line_templates, packing, quality_rules, simhash, token_store,
+    chunk_dedup, decontaminate, line_templates, packing, ppm, preferences, quality_rules, simhash, token_store,
 )
 
 QUERIES = {
     "op1_line_templates": line_templates.query,
     "op2_gear_chunks": chunk_dedup.query,
     "op4_token_lists": token_store.query,
+    "op5_preference_pairs": preferences.query,
     "op6_simhash_balls": simhash.query,
     "op7_winnowing": decontaminate.query,
     "op8_certified_rules": quality_rules.query,
     "op9_best_fit": packing.query,
+    "op10_ppm": ppm.query,
 }
 
 SQL: dict[str, str] = {
+    "op5_preference_pairs": preferences.SQL,
     "op7_winnowing": decontaminate.SQL,
 }
