@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from retention.llm import (
-    chunk_dedup, decontaminate, line_templates, packing, ppm, preferences, quality_rules, simhash, token_store,
+    chunk_dedup, decontaminate, line_templates, packing, ppm, preferences, quality_rules, repeated_bytes, simhash,
+    token_store,
 )
 
 QUERIES = {
     "op1_line_templates": line_templates.query,
     "op2_gear_chunks": chunk_dedup.query,
+    "op3_run_index": repeated_bytes.query,
     "op4_token_lists": token_store.query,
     "op5_preference_pairs": preferences.query,
     "op6_simhash_balls": simhash.query,
