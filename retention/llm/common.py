@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retention.session import checkpoint_dir
@@ -47,6 +47,11 @@ def groups_of(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
         yield lo, len(sizes)
 
 
+def columns_of(df: DataFrame) -> list[Column]:
+    """All columns of ``df`` by their exact names, dots and all."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def ids_and_text(docs: DataFrame) -> DataFrame:
     """The two columns most operators read; other columns never reach them."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retention.llm.common import ids_and_text, stored, table, texts
+from retention.llm.common import columns_of, ids_and_text, stored, table, texts
 
 DEPTH, MIN_DOCS, SIMILARITY = 3, 5, 0.75
 FIELD = b"<*>"
@@ -147,7 +147,7 @@ def drop_lines(docs: DataFrame, groups: DataFrame) -> DataFrame:
         F.concat_ws("\n", F.transform(kept, lambda i: F.get("__lines", i))))
     dropped = F.when(F.col("__drops").isNull(), 0).otherwise(F.size("__drops")).cast("long")
     return (split.withColumn("text", text).withColumn("__n_dropped", dropped)
-            .select(*docs.columns, "__n_lines", "__n_dropped"))
+            .select(*columns_of(docs), "__n_lines", "__n_dropped"))
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
@@ -157,7 +157,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """
     groups = line_groups(docs).where("drops is not null")
     out = drop_lines(docs, groups).where(
-        (F.col("__n_dropped") == 0) | (F.btrim("text", F.lit(" \t\n\u000b\f\r")) != "")).select(*docs.columns)
+        (F.col("__n_dropped") == 0) | (F.btrim("text", F.lit(" \t\n\u000b\f\r")) != "")).select(*columns_of(docs))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars"))
                              .otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))

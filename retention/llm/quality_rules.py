@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from retention.llm.common import stored, table
+from retention.llm.common import columns_of, stored, table
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 LIMIT, DELTA, COST = 0.05, 0.1, 5.0
@@ -190,7 +190,7 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFram
 
 def accept(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
     """The rows of ``docs`` that neither the base rules nor a certified rule rejects."""
-    return judge(docs, labels, stratum).where("__kept").select(*docs.columns)
+    return judge(docs, labels, stratum).where("__kept").select(*columns_of(docs))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -255,6 +255,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kept = b"".join(t[s:e] for s, e in zip(edges[0::2], edges[1::2]))
             out.append((row, len(t) - len(kept), len(merged), hashlib.sha256(kept).hexdigest(),
                         [{"start": s, "stop": e} for s, e in merged]))
+        if not out:
+            continue
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.string(),
                                                         pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))))],

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retention.llm.common import groups_of, ids_and_text, stored, texts
+from retention.llm.common import columns_of, groups_of, ids_and_text, stored, texts
 from retention.llm.components import connected_components
 
 SHINGLE, MAX_BITS, SEED = 4, 4, 42
@@ -230,9 +230,9 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS)
     heads = stored(heads.join(rows, same).select(F.col("d").alias("__id"), F.col("t").alias("__hash"), "__rows"), "heads")
     kept = docs.join(heads, F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
                      & F.xxhash64(F.col("text").cast("string")).eqNullSafe(F.col("__hash")))
-    once = kept.where("__rows = 1").select(*docs.columns)
+    once = kept.where("__rows = 1").select(*columns_of(docs))
     # Rows that repeat the chosen one in full are the only ones left to thin out.
-    return once.unionByName(kept.where("__rows > 1").dropDuplicates(["__id", "__hash"]).select(*docs.columns))
+    return once.unionByName(kept.where("__rows > 1").dropDuplicates(["__id", "__hash"]).select(*columns_of(docs)))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
