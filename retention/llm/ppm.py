@@ -99,24 +99,27 @@ def gram_shards(keys: np.ndarray, shards: int) -> np.ndarray:
     return ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % shards
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    ids: list = []
-    docs: list[bytes] = []
-    size = 0
-
-    def row() -> pa.RecordBatch:
+def _blocks(limit: int):
+    """Documents in rows of about ``limit`` bytes of text."""
+    def row(ids: list, docs: list[bytes]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([ids], pa.list_(pa.int64())), pa.array([docs], pa.list_(pa.binary()))],
                                           ["ids", "docs"])
-    for b in batches:
-        for i, t in zip(b.column(0).to_pylist(), texts(b)):
-            if docs and size + len(t) > BLOCK:
-                yield row()
-                ids, docs, size = [], [], 0
-            ids.append(i)
-            docs.append(t)
-            size += len(t) + 1
-    if docs:
-        yield row()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids: list = []
+        docs: list[bytes] = []
+        size = 0
+        for b in batches:
+            for i, t in zip(b.column(0).to_pylist(), texts(b)):
+                if docs and size + len(t) > limit:
+                    yield row(ids, docs)
+                    ids, docs, size = [], [], 0
+                ids.append(i)
+                docs.append(t)
+                size += len(t) + 1
+        if docs:
+            yield row(ids, docs)
+    return run
 
 
 def _requests(shards: int):
@@ -305,7 +308,7 @@ def _scores(shards: int, total: int, distinct: int, train_docs: int):
     return run
 
 
-def scores(docs: DataFrame) -> DataFrame:
+def scores(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row of ``docs``.
 
     Null text is empty: one end. Repeated rows count, and are scored, each. With
@@ -313,7 +316,7 @@ def scores(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = stored(ids_and_text(docs).mapInArrow(_blocks, "ids array<long>, docs array<binary>")
+    blocks = stored(ids_and_text(docs).mapInArrow(_blocks(block), "ids array<long>, docs array<binary>")
                     .withColumn("block", F.monotonically_increasing_id()), "blocks")
     asked = stored(blocks.select("block", "ids", "docs").mapInArrow(
         _requests(shards), "kind int, shard int, block long, keys binary, counts binary"), "requests")
