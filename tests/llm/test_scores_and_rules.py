@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from llm_tables import SF_SMALL, awkward, sf_docs, table_of, words  # noqa: F401 - fixtures
 from retention.llm import ppm
@@ -159,7 +160,8 @@ def test_certificate_is_the_exact_binomial_tail(spark, table_of):
     lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
     lexicon = qr.toxic_words(docs, lab)
     assert {"vilely", "grimly", "fouly"} <= set(lexicon)
-    found = {r.stratum: r.cutoffs for r in qr.calibrate(docs, lab, lexicon).collect()}
+    measured = qr.measure(docs.select(F.col("doc_id").alias("__id"), "text", F.col("lang").alias("__stratum")), lexicon)
+    found = {r.stratum: r.cutoffs for r in qr.calibrate(measured, lab).collect()}
     halves = {r["__id"]: r["half"] for r in qr._labelled(lab, 10**6).collect()}
     good = {i for i, q, t in labels if q == 1 and t == 0}
     families = 3 * len(qr.RULES)
@@ -168,9 +170,10 @@ def test_certificate_is_the_exact_binomial_tail(spark, table_of):
         return sum(math.comb(n, j) * qr.LIMIT**j * (1 - qr.LIMIT)**(n - j) for j in range(k + 1))
     for stratum, cutoffs in found.items():
         n = [r for r in rows if r[0] in good and halves[r[0]] == 1 and stratum in ("*", r[2]) and not counts(r[1])[-1]]
-        k = sum(counts(r[1])[2] / counts(r[1])[0] > cutoffs["symbols"] for r in n)
-        assert tail(len(n), k) <= qr.DELTA / families
-    assert set(found) == {"*", "en", "fr"}
+        if "symbols" in cutoffs:
+            k = sum(counts(r[1])[2] / counts(r[1])[0] > cutoffs["symbols"] for r in n)
+            assert tail(len(n), k) <= qr.DELTA / families
+    assert "symbols" in found["fr"] and "toxic" in found["en"] and set(found["*"]) >= {"symbols", "toxic"}
 
 
 def test_rules_without_labels_and_awkward(spark, table_of, awkward):
