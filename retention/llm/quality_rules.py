@@ -50,14 +50,13 @@ RULES: dict[str, tuple[str, list[float]]] = {
 }
 
 
-def _deleted(text: Column, chars: str) -> Column:
-    return F.length(F.translate(text, chars, ""))
+def _occurrences(text: Column, char_class: str) -> Column:
+    return F.size(F.split(text, char_class)) - 1
 
 
 def _plain_words(text: Column) -> Column:
     """Lower-case words without ASCII punctuation, for the word list."""
-    marks = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
-    return F.split(F.lower(F.translate(text, marks, " " * len(marks))), _SPLIT)
+    return F.split(F.lower(text), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
 def measure(docs: DataFrame, lexicon: list[str]) -> DataFrame:
@@ -87,11 +86,11 @@ def measure(docs: DataFrame, lexicon: list[str]) -> DataFrame:
     toxic = F.size(F.array_intersect(_plain_words(text), F.array(*[F.lit(w) for w in lexicon]))) if lexicon else F.lit(0)
     return d.withColumn("m", F.when(F.monotonically_increasing_id() >= 0, F.struct(
         F.size("__w").cast("long").alias("n_words"),
-        _deleted(text, SPACE).cast("long").alias("word_chars"),
-        (F.length(text) - _deleted(text, SYMBOLS)).cast("long").alias("n_symbols"),
+        F.length(F.array_join("__w", "")).cast("long").alias("word_chars"),
+        _occurrences(text, f"[{SYMBOLS}]").cast("long").alias("n_symbols"),
         (F.size("__l") - F.size(F.array_distinct("__l"))).cast("long").alias("n_dup_lines"),
         covered.alias("n_repeat_words"), F.size("__l").cast("long").alias("n_lines"),
-        (F.length(text) - _deleted(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ")).cast("long").alias("n_capitals"),
+        _occurrences(text, "[A-Z]").cast("long").alias("n_capitals"),
         toxic.cast("long").alias("n_toxic")))).drop("__w", "__l", "__h", "__s", "__p")
 
 
@@ -134,14 +133,15 @@ def toxic_words(docs: DataFrame, labels: DataFrame) -> list[str]:
     return sorted(r["word"] for r in top)
 
 
-def calibrate(docs: DataFrame, labels: DataFrame, lexicon: list[str], stratum: str = "lang") -> DataFrame:
-    """(stratum, cutoffs map<rule, cutoff>): the rules in force in each stratum; ``*`` is all together."""
+def calibrate(measured: DataFrame, labels: DataFrame) -> DataFrame:
+    """(stratum, cutoffs map<rule, cutoff>): the rules in force in each stratum; ``*`` is all together.
+
+    ``measured``: (__id, __stratum, m) of the labelled documents at least.
+    """
     rows = F.broadcast(_labelled(labels, CALIBRATION_ROWS))
-    d = docs.select(F.col("doc_id").cast("long").alias("__id"), "text",
-                    F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("__stratum")).join(rows, "__id")
     grid = F.array(*[F.struct(F.lit(rule).alias("rule"), F.lit(i).alias("step"), F.lit(float(c)).alias("cutoff"))
                      for rule, (_, cuts) in RULES.items() for i, c in enumerate(cuts)])
-    shown = measure(d, lexicon).where(~base_failed()).select("__stratum", "good", "half", F.struct(*_signals()).alias("v"))
+    shown = measured.join(rows, "__id").where(~base_failed()).select("__stratum", "good", "half", F.struct(*_signals()).alias("v"))
     value = F.coalesce(*[F.when(F.col("g.rule") == r, F.col(f"v.{r}")) for r in RULES])
     hits = (shown.select("*", F.explode(F.array("__stratum", F.lit("*"))).alias("stratum"))
             .select("stratum", "good", "half", "v", F.explode(grid).alias("g"))
@@ -164,6 +164,24 @@ def calibrate(docs: DataFrame, labels: DataFrame, lexicon: list[str], stratum: s
     return best.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs"))
 
 
+def _stratum(stratum: str) -> Column:
+    return F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("__stratum")
+
+
+def _verdict(measured: DataFrame, cutoffs: DataFrame) -> DataFrame:
+    """``measured`` (with __stratum and m) and __base_failed, __kept."""
+    cutoffs = stored(cutoffs, "cutoffs")
+    pooled = {r["rule"]: r["cutoff"] for r in
+              cutoffs.where("stratum = '*'").select(F.explode("cutoffs").alias("rule", "cutoff")).collect()}
+    own = cutoffs.where("stratum <> '*'").withColumnsRenamed({"stratum": "__stratum", "cutoffs": "__cutoffs"})
+    over = F.lit(False)
+    for s, rule in zip(_signals(), RULES):
+        cut = F.coalesce(F.col("__cutoffs")[rule], F.lit(pooled.get(rule)).cast("double"))
+        over = over | F.coalesce(s > cut, F.lit(False))
+    return (measured.join(own, "__stratum", "left").withColumn("__base_failed", base_failed())
+            .withColumn("__kept", ~F.col("__base_failed") & ~over))
+
+
 def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
     """``docs`` with ``m`` (see ``measure``), ``base_failed`` and ``kept`` as columns __m, __base_failed, __kept.
 
@@ -172,20 +190,13 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFram
     count once, at their worst.
     """
     lexicon = toxic_words(docs, labels)
-    cutoffs = stored(calibrate(docs, labels, lexicon, stratum), "cutoffs")
-    pooled = {r["rule"]: r["cutoff"] for r in
-              cutoffs.where("stratum = '*'").select(F.explode("cutoffs").alias("rule", "cutoff")).collect()}
-    d = measure(docs.withColumnsRenamed({c: f"__in_{i}" for i, c in enumerate(docs.columns) if c not in ("text", stratum)}),
-                lexicon)
-    d = d.join(cutoffs.where("stratum <> '*'").withColumnsRenamed({"stratum": "__stratum", "cutoffs": "__cutoffs"}),
-               F.coalesce(F.col(stratum).cast("string"), F.lit("")) == F.col("__stratum"), "left")
-    over = F.lit(False)
-    for s, rule in zip(_signals(), RULES):
-        cut = F.coalesce(F.col("__cutoffs")[rule], F.lit(pooled.get(rule)).cast("double"))
-        over = over | F.coalesce(s > cut, F.lit(False))
-    d = d.withColumn("__base_failed", base_failed()).withColumn("__kept", ~F.col("__base_failed") & ~over)
-    back = [F.col(f"__in_{i}").alias(c) if c not in ("text", stratum) else F.col(c) for i, c in enumerate(docs.columns)]
-    return d.select(*back, F.col("m").alias("__m"), "__base_failed", "__kept")
+    some = docs.select(F.col("doc_id").cast("long").alias("__id"), "text", _stratum(stratum)).join(
+        F.broadcast(_labelled(labels, CALIBRATION_ROWS).select("__id")), "__id")
+    cutoffs = calibrate(measure(some, lexicon).select("__id", "__stratum", "m"), labels)
+    renamed = {c: f"__in_{i}" for i, c in enumerate(docs.columns) if c not in ("text", stratum)}
+    d = measure(docs.withColumnsRenamed(renamed).withColumn("__stratum", _stratum(stratum)), lexicon)
+    back = [F.col(renamed[c]).alias(c) if c in renamed else F.col(c) for c in docs.columns]
+    return _verdict(d, cutoffs).select(*back, F.col("m").alias("__m"), "__base_failed", "__kept")
 
 
 def accept(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
@@ -194,7 +205,10 @@ def accept(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFra
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return judge(docs, table(spark, sf_dir, "labels")).select(
-        "doc_id", "__m.n_words", "__m.word_chars", "__m.n_symbols", "__m.n_dup_lines", "__m.n_repeat_words",
+    """The contract's counts and the verdict; every text is measured once and what it gives is kept."""
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), table(spark, sf_dir, "labels")
+    measured = stored(measure(docs.select(F.col("doc_id").cast("long").alias("__id"), "text", _stratum("lang")),
+                              toxic_words(docs, labels)).select("__id", "__stratum", "m"), "measured")
+    return _verdict(measured, calibrate(measured, labels)).select(
+        F.col("__id").alias("doc_id"), "m.n_words", "m.word_chars", "m.n_symbols", "m.n_dup_lines", "m.n_repeat_words",
         F.col("__base_failed").alias("base_failed"), F.col("__kept").alias("kept"))
