@@ -62,7 +62,7 @@ def main(argv: list[str] | None = None) -> int:
         out.write.mode("overwrite").parquet(a.out)
     elif a.step == "ingest":
         from retention.streaming.ingest import ingest_available
-        ingest_available(spark, wh.landing, wh.raw, a.checkpoint or wh.p("_ingest_checkpoint"))
+        ingest_available(spark, wh.landing, wh.raw, a.checkpoint or wh.p("_ingest_checkpoint"), wh.p("quarantine"))
     return 0
 
 

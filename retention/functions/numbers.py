@@ -45,11 +45,6 @@ def safe_divide(a, b) -> Column:
     return F.try_divide(_c(a), F.nullif(_c(b), F.lit(0)))
 
 
-def round_half_even_to_long(c) -> Column:
-    """Coerce to number, round half to even, nullable integer."""
-    return F.bround(c, 0).try_cast("bigint")
-
-
 def idiv(name: str, n: int) -> Column:
     """Integer division truncating toward zero (SQL ``a div n``) of a named column."""
     return F.expr(f"`{name}` div {int(n)}")

@@ -1,9 +1,7 @@
 """Feature engineering: 17-column feature rows from clean rows.
 
-The only non-row-local input is the day's 80th percentile of monthly charges.
-It is one aggregate per day (partial/final, buffer bounded by the distinct
-charge values of the day); the result has one row per day and is broadcast
-(its size is bounded by the number of partitions read).
+The only non-row-local input is the day's 80th percentile of monthly charges,
+an exact distributed quantile with one row for each day.
 """
 
 from __future__ import annotations
@@ -14,38 +12,22 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from retention.functions import safe_divide
 from retention.operators.clean import day_lit
+from retention.operators.quantiles import exact_quantiles
 from retention.schemas import ADDON_COLUMNS, CONTRACT_MONTHS, FEATURE_COLUMNS
 
 HIGH_SPENDER_PERCENTILE = 0.8
-MAX_BROADCAST_DAYS = 100_000  # (ingest_date, p80) rows: a few MB at most
+APPROX_ACCURACY = 100_000
 
 
-def p80_expr(col: str = "monthly_charges", exact: bool = True, accuracy: int = 100000) -> Column:
-    """Day-level 80th percentile. ``exact`` -> percentile_disc (matches the
-    nearest-rank definition); otherwise a percentile_approx sketch."""
-    if exact:
-        return F.expr(f"percentile_disc({HIGH_SPENDER_PERCENTILE}) WITHIN GROUP (ORDER BY `{col}`)")
-    return F.percentile_approx(col, HIGH_SPENDER_PERCENTILE, accuracy)
-
-
-def daily_p80(clean_df: DataFrame, exact: bool = True, method: str | None = None) -> DataFrame:
-    """(ingest_date, p80_monthly) per day.
-
-    ``method``: "builtin" (default when exact) = percentile_disc, one aggregate
-    whose per-day buffer holds the distinct charge values of the day (a money
-    amount: bounded domain); "distributed" = the same nearest-rank value from
-    ``quantiles.exact_quantiles(kind="disc")``, no per-group buffer at all (for
-    inputs whose distinct values are not bounded); "approx" = percentile_approx.
-    """
-    method = method or ("builtin" if exact else "approx")
-    if method == "distributed":
-        from retention.operators.quantiles import exact_quantiles
-        q = exact_quantiles(clean_df.select("ingest_date", "monthly_charges"), ["monthly_charges"],
-                            [HIGH_SPENDER_PERCENTILE], by=["ingest_date"], kind="disc")
-        days = clean_df.select("ingest_date").distinct()
-        return days.join(q.select("ingest_date", F.col("value").alias("p80_monthly")), "ingest_date", "left")
-    return (clean_df.groupBy("ingest_date")
-            .agg(p80_expr(exact=(method == "builtin")).alias("p80_monthly")))
+def daily_p80(clean_df: DataFrame, exact: bool = True) -> DataFrame:
+    """(ingest_date, p80_monthly) of every day with a charge: the nearest-rank value
+    (``quantiles.exact_quantiles``, no buffer per day), or a percentile_approx sketch."""
+    if not exact:
+        return clean_df.groupBy("ingest_date").agg(
+            F.percentile_approx("monthly_charges", HIGH_SPENDER_PERCENTILE, APPROX_ACCURACY).alias("p80_monthly"))
+    q = exact_quantiles(clean_df.select("ingest_date", "monthly_charges"), ["monthly_charges"],
+                        [HIGH_SPENDER_PERCENTILE], by=["ingest_date"], kind="disc")
+    return q.select("ingest_date", F.col("value").alias("p80_monthly"))
 
 
 def services_count() -> Column:
@@ -89,15 +71,11 @@ def feature_columns(stats_col: Column) -> list[Column]:
     ]
 
 
-def build_features(clean_df: DataFrame, day=None, exact: bool = True,
-                   p80_method: str | None = None) -> DataFrame:
-    """Clean -> features for one day, or for every day at once (per-day p80)."""
+def build_features(clean_df: DataFrame, day=None, exact: bool = True) -> DataFrame:
+    """Clean -> features for one day, or for every day at once (per-day p80).
+
+    Building it runs no job; how the one-row-per-day statistics are joined is
+    left to the optimizer's own size checks."""
     src = clean_df if day is None else clean_df.where(F.col("ingest_date") == day_lit(day))
-    stats = daily_p80(src, exact=exact, method=p80_method)
-    # One row per day. A single day is one row; for all days the day count is
-    # checked first (partition values only on a partitioned table) and the
-    # broadcast used only below MAX_BROADCAST_DAYS, else a shuffle join.
-    if day is not None or src.select("ingest_date").distinct().count() <= MAX_BROADCAST_DAYS:
-        stats = F.broadcast(stats)
-    joined = src.join(stats, "ingest_date", "left")
+    joined = src.join(daily_p80(src, exact=exact), "ingest_date", "left")
     return joined.select(*feature_columns(F.col("p80_monthly"))).select(*FEATURE_COLUMNS)

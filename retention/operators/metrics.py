@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from retention.functions import count_when
-from retention.operators.ordering import running_sum
+from retention.operators.ordering import by_share, running_sum
 
 THRESHOLD = 0.5
 
@@ -45,7 +45,7 @@ def roc_auc(scored: DataFrame, label: str = "label", score: str = "score") -> Da
     """One row: auc (NULL when a class is absent), n_pos, n_neg."""
     by_score = scored.groupBy(F.col(score).alias("_s")).agg(
         count_when(F.col(label) == 1).alias("_pos"), count_when(F.col(label) != 1).alias("_neg"))
-    cum = running_sum(by_score, ["_s"], "_neg", (), "_neg_le")
+    cum = running_sum(by_score, ["_s"], "_neg", (), "_neg_le", bucket=by_share)
     part = cum.select("_pos", "_neg",
                       (F.col("_pos") * ((F.col("_neg_le") - F.col("_neg")) + F.col("_neg") / 2.0)).alias("_w"))
     agg = part.agg(F.sum("_w").alias("_w"), F.sum("_pos").alias("n_pos"), F.sum("_neg").alias("n_neg"))

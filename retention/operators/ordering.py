@@ -1,216 +1,103 @@
 """Exact running sums in a global order without a single-task window.
 
 A window with an ORDER BY but no PARTITION BY moves every row into one task.
-Instead the order key is cut into ranges ("buckets"): boundaries are taken
-once from a bounded sample (collected: at most 2 * ``SAMPLE_ROWS_PER_BUCKET``
-values per bucket) and written into the plan as literals, so the bucket of a row is a
-pure function of its key -- identical in every branch of the plan and after
-any recomputation (a lost executor cannot move a row to another bucket).
-The running sum is a window partitioned by bucket (one shuffle), bucket totals
-are a partial aggregate with one row per (bucket, group), and their running
-offsets are broadcast (bounded by buckets + groups).
-
-Used for contiguous ids (count of 1 per row), exact quantiles (counts per
-distinct value), per-label ranks and ROC AUC (negatives per distinct score).
+Here the caller names a ``bucket``: a function of the first order column that
+never decreases with it, so bucket order is row order and equal keys share a
+bucket. It is a plain expression: a row's bucket is the same in every branch
+of the plan and after any recomputation, nothing is sampled, and building the
+plan runs no job. The running sum is a window inside each bucket; bucket totals
+(partial sums, one row for each bucket and group) give the offsets.
+
+Used for contiguous ids (count of 1 per row), per-label ranks and ROC AUC
+(negatives per distinct score), exact quantiles (counts per distinct value).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+#: Keys in one bucket of a dense integer key, and buckets in each doubling of a real value.
+KEYS_PER_BUCKET, BUCKETS_PER_DOUBLING = 1 << 16, 256
 
-def _num_buckets(df: DataFrame, num_buckets: int | None) -> int:
-    if num_buckets:
-        return int(num_buckets)
-    return min(MAX_BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
-
-
-LOCAL_ROWS_CONF = "spark.retention.ordering.localRows"
-DEFAULT_LOCAL_ROWS = 1_000_000
-MAX_BUCKETS = 4096
-SAMPLE_ROWS_PER_BUCKET = 32
-SAMPLE_SEED = 17
-
-
-def local_rows_limit(spark) -> int:
-    """Inputs up to this many rows take the single-window path (every task
-    then holds at most this many rows); larger inputs are bucketed."""
-    return int(spark.conf.get(LOCAL_ROWS_CONF, str(DEFAULT_LOCAL_ROWS)))
-
-
-def _boundaries(df: DataFrame, cols: list[str], n_buckets: int, n_rows: int) -> list[tuple]:
-    """n_buckets - 1 ascending split keys from a sample (driver gets at most
-    2 * SAMPLE_ROWS_PER_BUCKET * n_buckets rows, already sorted by Spark)."""
-    want = SAMPLE_ROWS_PER_BUCKET * n_buckets
-    frac = min(1.0, want / max(n_rows, 1))  # ~want rows in expectation, from every partition
-    samp = (df.select(*cols).sample(False, frac, SAMPLE_SEED).limit(2 * want)
-            .orderBy(*[F.col(c).asc_nulls_first() for c in cols]).collect())
-    if len(samp) < 2:
-        return []
-    step = len(samp) / n_buckets
-    picks = sorted({min(len(samp) - 1, int(round(step * i))) for i in range(1, n_buckets)})
-    out, last = [], None
-    for i in picks:
-        t = tuple(samp[i])
-        if t != last:
-            out.append(t)
-            last = t
-    return out
-
-
-def _case_tree(df: DataFrame, cols: list[str], bounds: list[tuple]) -> Column:
-    """Number of boundaries <= key as a balanced CASE tree (log2 depth).
-    Only for a few buckets (generated code grows with the tree)."""
-    types = dict(df.dtypes)
-    key = F.struct(*[F.col(c) for c in cols])
-
-    def lit_key(t):
-        return F.struct(*[F.lit(v).cast(types[c]).alias(c) for v, c in zip(t, cols)])
-
-    def tree(lo: int, hi: int) -> Column:  # bucket in [lo, hi]
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2  # key >= bounds[mid - 1]  <=> bucket >= mid
-        return F.when(key >= lit_key(bounds[mid - 1]), tree(mid, hi)).otherwise(tree(lo, mid - 1))
-
-    return tree(0, len(bounds)).cast("double")
-
-
-NUMERIC = {"tinyint", "smallint", "int", "bigint", "float", "double"}
-MAX_TREE_BUCKETS = 64
-
-
-def _range_splits(df: DataFrame, col: str, n_buckets: int, n_rows: int) -> list[float]:
-    """Strictly increasing split points of a numeric column, from a bounded
-    sample (at most 2 * SAMPLE_ROWS_PER_BUCKET * n_buckets values reach the driver)."""
-    want = SAMPLE_ROWS_PER_BUCKET * n_buckets
-    frac = min(1.0, want / max(n_rows, 1))  # ~want rows in expectation, from every partition
-    x = F.col(col).cast("double")
-    vals = sorted(r[0] for r in df.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
-                  .sample(False, frac, SAMPLE_SEED).limit(2 * want).collect())
-    if len(vals) < 2:
-        return []
-    step = len(vals) / n_buckets
-    out = []
-    for i in range(1, n_buckets):
-        v = vals[min(len(vals) - 1, int(round(step * i)))]
-        if not out or v > out[-1]:
-            out.append(v)
-    return out
-
-
-def _bucket_column(df: DataFrame, range_col: str, splits: list[float]) -> DataFrame:
-    """Adds _rs_b: -1 for NULL, else the range bucket (binary search in the
-    JVM via Bucketizer; NaN sorts last, as in Spark's ordering)."""
-    from pyspark.ml.feature import Bucketizer
-    x = df.withColumn("_rs_x", F.col(range_col).cast("double"))
-    if not splits:
-        return x.withColumn("_rs_b", F.when(F.col("_rs_x").isNull(), F.lit(-1.0)).otherwise(F.lit(0.0))) \
-                .drop("_rs_x")
-    bz = Bucketizer(splits=[float("-inf")] + splits + [float("inf")], inputCol="_rs_x",
-                    outputCol="_rs_bz", handleInvalid="keep")
-    out = bz.transform(x.withColumn("_rs_x", F.coalesce(F.col("_rs_x"), F.lit(0.0))))
-    b = F.when(F.col(range_col).isNull(), F.lit(-1.0)).otherwise(F.col("_rs_bz"))
-    return out.withColumn("_rs_b", b).drop("_rs_x", "_rs_bz")
+
+def by_key(c: Column) -> Column:
+    """Bucket of a dense integer key: 65,536 neighbouring keys."""
+    return F.floor(c / F.lit(KEYS_PER_BUCKET)).cast("bigint")
+
+
+def by_value(c: Column) -> Column:
+    """Bucket of any real value: 256 for each doubling of 1 + |value|, mirrored below zero."""
+    x = c.cast("double")
+    step = F.log2(F.lit(1.0) + F.abs(x)) * F.lit(float(BUCKETS_PER_DOUBLING))
+    return F.when(F.isnan(x), F.lit((1 << 63) - 1)).otherwise(
+        F.when(x < 0, -F.ceil(step)).otherwise(F.floor(step))).cast("bigint")
+
+
+def by_share(c: Column) -> Column:
+    """Bucket of a value in [0, 1]: 65,536 equal ranges."""
+    return F.floor(c.cast("double") * F.lit(KEYS_PER_BUCKET)).cast("bigint")
+
+
+def same(left: list[str], right: list[str]) -> Column:
+    """Null-safe equality of columns, pairwise by name."""
+    return reduce(lambda a, b: a & b, [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(left, right)])
 
 
 def running_sum(df: DataFrame, order_cols: list[str], value_col: str | None = None,
                 partition_cols: list[str] | tuple = (), out: str = "running",
-                num_buckets: int | None = None, local_rows: int | None = None,
-                assume_small: bool | None = None, range_col: str | None = None) -> DataFrame:
+                bucket: Callable[[Column], Column] = by_key, prefix: list[str] | tuple = ()) -> DataFrame:
     """Inclusive running sum of ``value_col`` (1 per row when None) ordered by
-    ``order_cols``, restarting for every combination of ``partition_cols``.
-
-    ``partition_cols`` must have bounded cardinality (days, column names,
-    labels): their combinations are rows of the broadcast offsets table.
-    Rows that tie on all order columns get distinct, arbitrary positions.
-    ``local_rows`` (default: session conf) sets the counted size up to which a
-    plain window is used; 0 always buckets. ``assume_small`` skips the count
-    when the caller already knows the size class.
-
-    Buckets are ranges of ``range_col`` (default: the first order column;
-    numeric). Order columns before it are a prefix of the bucket id and must
-    have bounded cardinality (e.g. a source number). A non-numeric range
-    column falls back to a small CASE tree over the whole key.
+    ``prefix`` and then ``order_cols``, restarting for every combination of
+    ``partition_cols``.
+
+    ``bucket`` is applied to the first of ``order_cols``; ``prefix`` columns come
+    before it and are part of the bucket (e.g. a source number). Rows that tie on
+    all order columns get distinct, arbitrary positions. Nulls come first.
     """
-    keys = list(partition_cols)
-    n = _num_buckets(df, num_buckets)
+    keys, pre = list(partition_cols), list(prefix)
     v = F.lit(1).cast("bigint") if value_col is None else F.col(value_col)
-    n_rows = None
-    if assume_small is None:
-        limit = local_rows_limit(df.sparkSession) if local_rows is None else local_rows
-        if limit > 0:
-            n_rows = df.count()
-            assume_small = n_rows <= limit
-        else:
-            assume_small = False
-    if assume_small:
-        # Bounded input (counted, not estimated): one window per group.
-        w = (Window.partitionBy(*keys) if keys else Window).orderBy(*order_cols) \
-            .rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(out, F.sum(v).over(w))
-    src = df.withColumn("_rs_v", v)
-    order = list(order_cols)
-    rc = range_col or order[0]
-    prefix = order[:order.index(rc)]  # bounded-cardinality leading order columns
-    rows = n_rows if n_rows is not None else df.count()
-    if dict(df.dtypes).get(rc) in NUMERIC:
-        bucketed = _bucket_column(src, rc, _range_splits(df, rc, n, rows))
-    else:
-        cols = keys + order
-        bucketed = src.withColumn("_rs_b", _case_tree(df, cols, _boundaries(df, cols, min(n, MAX_TREE_BUCKETS), rows)))
-        prefix = []
-    keys_b = keys + prefix
-    run = Window.partitionBy(*keys_b, "_rs_b").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
-    local = bucketed.withColumn("_rs_local", F.sum("_rs_v").over(run))
-    totals = bucketed.groupBy(*keys_b, "_rs_b").agg(F.sum("_rs_v").alias("_rs_t"))
-    # offsets restart per partition key and run across (prefix, bucket) in order
-    before = (Window.partitionBy(*keys) if keys else Window).orderBy(
-        *[F.col(c).asc_nulls_first() for c in prefix], "_rs_b").rowsBetween(Window.unboundedPreceding, -1)
-    jk = ["_rs_b"] + keys_b
-    offsets = totals.select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(jk)],
+    src = df.withColumn("_rs_v", v).withColumn("_rs_b", bucket(F.col(order_cols[0])))
+    slot = keys + pre + ["_rs_b"]
+    run = Window.partitionBy(*slot).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+    local = src.withColumn("_rs_local", F.sum("_rs_v").over(run))
+    totals = src.groupBy(*slot).agg(F.sum("_rs_v").alias("_rs_t"))
+    before = Window.partitionBy(*keys).orderBy(
+        *[F.col(c).asc_nulls_first() for c in pre + ["_rs_b"]]).rowsBetween(Window.unboundedPreceding, -1)
+    names = [f"_o{i}" for i in range(len(slot))]
+    offsets = totals.select(*[F.col(c).alias(n) for c, n in zip(slot, names)],
                             F.coalesce(F.sum("_rs_t").over(before), F.lit(0)).alias("_rs_off"))
-    cond = reduce(lambda a, b: a & b,
-                  [F.col(c).eqNullSafe(F.col(f"_o{i}")) for i, c in enumerate(jk)])
-    joined = local.join(F.broadcast(offsets), cond, "inner")
-    return joined.select(*[F.col(c) for c in df.columns],
-                         (F.col("_rs_local") + F.col("_rs_off")).alias(out))
+    return local.join(offsets, same(slot, names)).select(
+        *df.columns, (F.col("_rs_local") + F.col("_rs_off")).alias(out))
 
 
 def contiguous_ids(df: DataFrame, order_cols: list[str], out: str = "id", start: int = 1,
-                   num_buckets: int | None = None, local_rows: int | None = None,
-                   range_col: str | None = None) -> DataFrame:
-    """Ids start, start+1, ... in the order of ``order_cols`` (no gaps), like
+                   bucket: Callable[[Column], Column] = by_key, prefix: list[str] | tuple = ()) -> DataFrame:
+    """Ids start, start+1, ... in the order of ``prefix`` and ``order_cols`` (no gaps), like
     a row number over the whole table but computed in parallel."""
-    r = running_sum(df, order_cols, None, (), "_cid", num_buckets, local_rows, range_col=range_col)
+    r = running_sum(df, order_cols, None, (), "_cid", bucket, prefix)
     return r.withColumn(out, (F.col("_cid") + F.lit(start - 1)).cast("bigint")).drop("_cid")
 
 
-MAX_BROADCAST_SPLITS = 200_000  # ~30 MB of (split key, offset) rows
-
-
 def scan_order_ids(df: DataFrame, group_cols: list[str], pos_col: str, out: str = "id",
                    start: int = 1) -> DataFrame:
-    """Contiguous ids in file-scan order without moving any row.
+    """Contiguous ids in file-scan order.
 
     ``group_cols`` name a file split (e.g. source, file path, split start) and
     ``pos_col`` is ``monotonically_increasing_id()`` taken right after the scan:
-    rows of one split are read in sequence inside one task, so their positions
-    are consecutive. Each split's row count and first position form a table
-    with one row per split; its running offsets are broadcast (checked: at most
-    ``MAX_BROADCAST_SPLITS`` rows, otherwise a shuffle join) and every id is
-    offset + position - first position.
+    rows of one split are read in sequence inside one task. The rows are
+    checkpointed first, so positions and split offsets come from one execution
+    of the scan. The offsets' window runs over one row for each file split.
     """
-    splits = df.groupBy(*group_cols).agg(F.min(pos_col).alias("_first"), F.count(F.lit(1)).alias("_n"))
-    n_splits = splits.count()
-    offs = running_sum(splits, list(group_cols), "_n", (), "_end")
-    offs = offs.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(group_cols)], "_first",
-                       (F.col("_end") - F.col("_n")).alias("_off"))
-    if n_splits <= MAX_BROADCAST_SPLITS:
-        offs = F.broadcast(offs)
-    cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(group_cols)])
-    j = df.join(offs, cond, "inner")
+    from retention.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    rows = df.checkpoint(eager=True)
+    splits = rows.groupBy(*group_cols).agg(F.min(pos_col).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy(*group_cols).rowsBetween(Window.unboundedPreceding, -1)
+    names = [f"_g{i}" for i in range(len(group_cols))]
+    offs = splits.select(*[F.col(c).alias(n) for c, n in zip(group_cols, names)], "_first",
+                         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
     ident = F.col("_off") + (F.col(pos_col) - F.col("_first")) + F.lit(start)
-    return j.select(*[F.col(c) for c in df.columns], ident.cast("bigint").alias(out))
+    return rows.join(offs, same(list(group_cols), names)).select(*df.columns, ident.cast("bigint").alias(out))

@@ -26,7 +26,7 @@ class ProfileInputError(RuntimeError):
 
 def pick_columns(df: DataFrame) -> tuple[list[str], list[str]]:
     if LABEL not in df.columns:
-        raise ProfileInputError(f"Expected '{LABEL}' column in the input table/view.")
+        raise ProfileInputError(f"a profile needs the label column {LABEL}; the input has {', '.join(df.columns)}")
     num = [c for c in PROFILE_NUMERIC_CANDIDATES if c in df.columns]
     cat = [c for c in PROFILE_CATEGORICAL_CANDIDATES if c in df.columns]
     return num, cat
@@ -35,7 +35,7 @@ def pick_columns(df: DataFrame) -> tuple[list[str], list[str]]:
 def require_rows(df: DataFrame) -> None:
     """Empty input is an error (one cheap action: reads at most one row)."""
     if df.isEmpty():
-        raise ProfileInputError("No rows found for the partition; nothing to analyze.")
+        raise ProfileInputError("a profile needs at least one row; this day has none")
 
 
 def _cat_long(df: DataFrame, cats: list[str], extra: list[str] = ()) -> DataFrame:
@@ -70,7 +70,7 @@ def numeric_summary(df: DataFrame, cols: list[str] | None = None, exact: bool =
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
     q = quantile_wide(_quartiles(df, num, [], exact), ["column"],
                       {0.25: "p25", 0.5: "p50", 0.75: "p75"})
-    return (basic.join(F.broadcast(q), "column", "left")
+    return (basic.join(q, "column", "left")
             .select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max"))
 
 
@@ -131,24 +131,24 @@ def top_rates(df: DataFrame, n_columns: int = TOP_RATES_COLUMNS, k: int = TOP_RA
 
 def histogram(df: DataFrame, cols: list[str] | None = None, bins: int = HIST_BINS) -> DataFrame:
     """Equal-width histogram per numeric column, NULLs dropped, last bin
-    closed, empty bins kept. min == max widens the range by 0.5 each side."""
+    closed, empty bins kept. min == max widens the range by 0.5 each side.
+    Two passes: the ranges, then the counts, whose table also carries the grid."""
     num = cols or pick_columns(df)[0]
     lv = long_values(df, num)
     rng = lv.groupBy("column").agg(F.min("value").alias("_mn"), F.max("value").alias("_mx"))
     rng = rng.select("column",
                      F.when(F.col("_mn") == F.col("_mx"), F.col("_mn") - 0.5).otherwise(F.col("_mn")).alias("lo"),
                      F.when(F.col("_mn") == F.col("_mx"), F.col("_mx") + 0.5).otherwise(F.col("_mx")).alias("hi"))
-    rng = F.broadcast(rng)  # one row per column
     b = F.least(F.floor((F.col("value") - F.col("lo")) * F.lit(bins) / (F.col("hi") - F.col("lo"))),
                 F.lit(bins - 1)).cast("int")
-    counts = lv.join(rng, "column").groupBy("column", b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    grid = rng.select("column", "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    counts = (lv.join(rng, "column").groupBy("column", "lo", "hi", b.alias("bin")).agg(F.count(F.lit(1)).alias("_n"))
+              .groupBy("column", "lo", "hi").agg(F.map_from_entries(F.collect_list(F.struct("bin", "_n"))).alias("_m")))
     w = (F.col("hi") - F.col("lo")) / F.lit(bins)
-    return (grid.join(counts, ["column", "bin"], "left")
+    return (counts.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
             .select("column", "bin", (F.col("lo") + F.col("bin") * w).alias("bin_lo"),
                     F.when(F.col("bin") == bins - 1, F.col("hi"))
                      .otherwise(F.col("lo") + (F.col("bin") + 1) * w).alias("bin_hi"),
-                    F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count")))
+                    F.coalesce(F.col("_m")[F.col("bin")], F.lit(0)).cast("bigint").alias("count")))
 
 
 def box_stats(df: DataFrame, cols: list[str] | None = None, exact: bool = True) -> DataFrame:
@@ -163,7 +163,7 @@ def box_stats(df: DataFrame, cols: list[str] | None = None, exact: bool = True)
          .withColumn("_hi", F.col("q3") + WHISKER * (F.col("q3") - F.col("q1")))
     v = F.col("value")
     inside = (v >= F.col("_lo")) & (v <= F.col("_hi"))
-    j = lv.join(F.broadcast(q), [LABEL, "column"])  # labels x columns rows
+    j = lv.join(q, [LABEL, "column"])
     return j.groupBy(LABEL, "column").agg(
         F.first("q1").alias("q1"), F.first("median").alias("median"), F.first("q3").alias("q3"),
         F.min(F.when(inside, v)).alias("whisker_low"), F.max(F.when(inside, v)).alias("whisker_high"),

@@ -138,40 +138,37 @@ def report_long(df, day=None) -> DataFrame:
             .unionByName(lv).unionByName(du))
 
 
-def _json_rows(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Per group, the check's result as a JSON array of records (few rows each)."""
-    vals = [c for c in df.columns if c not in keys]
-    return df.groupBy(*keys).agg(F.to_json(F.array_sort(F.collect_list(F.struct(*vals)))).alias("result_json"))
-
-
-def validation_report(df, day=None) -> DataFrame:
+def validation_report(df, day=None, digits: int | None = None) -> DataFrame:
     """(ingest_date, check, result_json) rows, the shape of the saved report.
 
-    Each group holds at most a handful of result rows, so collect_list is bounded.
-    partitions_present has ingest_date NULL (it is table-wide). Four scans of
-    the day(s): the fused checks (distinct counts included), labels,
-    duplicates, partition list.
-    """
+    The scalar checks come from one fused row for each day, exploded to one row
+    per check, so the day is read as often as in ``report_long`` and once more
+    for the partition list (ingest_date NULL: table-wide). Label and partition
+    lists hold a handful of rows. ``digits`` rounds the averages in the JSON."""
     fused = _scope(df, day).groupBy(PART).agg(*row_count_aggs(), *null_aggs(), *out_of_range_aggs(),
                                               *basic_stats_aggs(), *distinct_aggs())
-    pieces = []
-    groups = {
+    if digits is not None:
+        fused = fused.withColumns({c: F.round(c, digits) for c in fused.columns if c.startswith("avg_")})
+    checks = {
         "row_count": ["cnt"],
         "nulls": [c for c in fused.columns if c.startswith("null_")],
         "out_of_range": [c for c in fused.columns if c.startswith("bad_")],
         "basic_stats": [c for c in fused.columns if c[:4] in ("min_", "max_", "avg_")],
         "distinct_counts": [c for c in fused.columns if c.startswith("distinct_")],
     }
-    for check, names in groups.items():
-        pieces.append(_json_rows(fused.select(PART, *names), [PART]).withColumn("check", F.lit(check)))
-    pieces.append(_json_rows(label_values(df, day), [PART]).withColumn("check", F.lit("label_values")))
-    pieces.append(_json_rows(duplicates(df, day), [PART]).withColumn("check", F.lit("duplicates")))
-    pp = partitions_present(df).select(F.date_format(PART, "yyyy-MM-dd").alias(PART))
-    pieces.append(pp.agg(F.to_json(F.sort_array(F.collect_list(F.struct(PART)), asc=False))
-                         .alias("result_json"))
-                  .select(F.lit(None).cast("date").alias(PART), "result_json",
-                          F.lit("partitions_present").alias("check")))
-    out = pieces[0]
-    for p in pieces[1:]:
-        out = out.unionByName(p)
-    return out.select(PART, "check", "result_json")
+    rows = F.explode(F.array(*[F.struct(F.lit(check).alias("check"), F.to_json(F.array(F.struct(*names)), _NULLS).alias("result_json"))
+                               for check, names in checks.items()]))
+    scalar = fused.select(PART, rows.alias("_r")).select(PART, "_r.check", "_r.result_json")
+
+    def listed(rows_: DataFrame, check: str) -> DataFrame:
+        vals = [c for c in rows_.columns if c != PART]
+        return rows_.groupBy(PART).agg(F.to_json(F.array_sort(F.collect_list(F.struct(*vals))), _NULLS).alias("result_json")) \
+            .select(PART, F.lit(check).alias("check"), "result_json")
+    days = partitions_present(df).agg(F.to_json(F.sort_array(F.collect_list(
+        F.struct(F.date_format(PART, "yyyy-MM-dd").alias(PART))), asc=False)).alias("result_json"))
+    return (scalar.unionByName(listed(label_values(df, day), "label_values"))
+            .unionByName(listed(duplicates(df, day), "duplicates"))
+            .unionByName(days.select(F.lit(None).cast("date").alias(PART), F.lit("partitions_present").alias("check"), "result_json")))
+
+
+_NULLS = {"ignoreNullFields": "false"}

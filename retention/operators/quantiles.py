@@ -3,9 +3,11 @@
 1. unpivot the columns to (group..., column, value), drop NULLs;
 2. count rows per distinct value (map-side combined: a value held by a third of
    all rows is one row per task before the shuffle);
-3. running count per (group, column) in value order (``ordering.running_sum``);
-4. the target ranks are a small table (groups x columns x probabilities),
-   broadcast and matched to the value whose count range covers the rank.
+3. add those counts up in ranges of values (``ordering.by_value``) and find, for
+   each target rank, the range that holds it;
+4. only the distinct values of those ranges are put in order.
+
+The whole is one lazy plan, the same at every size.
 
 ``kind='linear'``: position (n-1)p with linear interpolation (percentile_cont).
 ``kind='disc'``: the first value whose cumulative share reaches p (percentile_disc).
@@ -13,12 +15,9 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from retention.operators.ordering import local_rows_limit, running_sum
-from retention.session import checkpoint_dir
+from retention.operators.ordering import by_value, same
 
 
 def long_values(df: DataFrame, cols: list[str], by: list[str] | tuple = ()) -> DataFrame:
@@ -35,62 +34,40 @@ def value_histogram(df: DataFrame, cols: list[str], by: list[str] | tuple = ())
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                    by: list[str] | tuple = (), kind: str = "linear",
-                    num_buckets: int | None = None, local_rows: int | None = None) -> DataFrame:
-    """Rows (by..., column, p, value, n).
-
-    A histogram of at most ``local_rows`` distinct (group, column, value)
-    entries (counted) is reduced by the built-in weighted ``percentile``
-    (its per-group buffer is then bounded by that count); larger ones take
-    the distributed running-count path.
-    """
+                    by: list[str] | tuple = (), kind: str = "linear") -> DataFrame:
+    """Rows (by..., column, p, value, n); no rows for a group without values."""
+    if kind not in ("linear", "disc"):
+        raise ValueError(f"unknown quantile kind {kind!r}")
     keys = list(by) + ["column"]
-    hist = value_histogram(df, cols, by)
-    limit = local_rows_limit(df.sparkSession) if local_rows is None else local_rows
-    small = limit > 0 and hist.count() <= limit
-    if kind == "linear" and small:
-        agg = hist.groupBy(*keys).agg(F.percentile("value", [float(p) for p in probs], F.col("cnt")).alias("_q"),
-                                      F.sum("cnt").alias("n"))
-        return (agg.select(*keys, "n", F.posexplode("_q").alias("_i", "value"))
-                .join(F.broadcast(df.sparkSession.createDataFrame(
-                    [(i, float(p)) for i, p in enumerate(probs)], "_i int, p double")), "_i")
-                .select(*keys, "p", "value", "n"))
-    if not small:
-        # Large histogram: materialise it once (reliable checkpoint in the
-        # shared folder) so the sample, the bucketed window and the totals read
-        # it instead of re-aggregating the whole input.
-        checkpoint_dir(df.sparkSession)
-        hist = hist.checkpoint(eager=True)
-    cum = running_sum(hist, ["value"], "cnt", keys, "_cum", num_buckets, assume_small=small)
-    n_tbl = cum.groupBy(*keys).agg(F.sum("cnt").alias("n"))  # group sizes from the running-count table
-    t = n_tbl.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+    hist = value_histogram(df, cols, by).withColumn("_b", by_value(F.col("value")))
+    whole = Window.partitionBy(*keys)
+    upto = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    ranges = (hist.groupBy(*keys, "_b").agg(F.sum("cnt").alias("_c"))
+              .select(*keys, "_b", (F.sum("_c").over(upto) - F.col("_c")).alias("_before"), "_c",
+                      F.sum("_c").over(whole).alias("n")))
+    t = ranges.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
     if kind == "linear":
         h = (F.col("n") - 1) * F.col("p")
-        t = t.select(*keys, "p", "n", F.floor(h).cast("bigint").alias("i_lo"),
-                     F.ceil(h).cast("bigint").alias("i_hi"), (h - F.floor(h)).alias("frac"))
-    elif kind == "disc":
-        i = F.greatest(F.ceil(F.col("n") * F.col("p")).cast("bigint") - 1, F.lit(0).cast("bigint"))
-        t = t.select(*keys, "p", "n", i.alias("i_lo"), i.alias("i_hi"), F.lit(0.0).alias("frac"))
+        lo, hi, frac = F.floor(h), F.ceil(h), h - F.floor(h)
     else:
-        raise ValueError(f"unknown quantile kind {kind!r}")
-    targets = t.select(*keys, "p", "n", "frac",
-                       F.explode(F.array(F.struct(F.lit("lo").alias("which"), F.col("i_lo").alias("idx")),
-                                         F.struct(F.lit("hi").alias("which"), F.col("i_hi").alias("idx"))))
-                       .alias("_t")).select(*keys, "p", "n", "frac", "_t.which", "_t.idx")
-    # groups x columns x probs x 2 rows: broadcast
-    targets = targets.select(*[F.col(c).alias(f"_t{i}") for i, c in enumerate(keys)],
-                             "p", "n", "frac", "which", "idx")
-    cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_t{i}")) for i, c in enumerate(keys)])
-    cond = cond & ((F.col("_cum") - F.col("cnt")) <= F.col("idx")) & (F.col("idx") < F.col("_cum"))
-    picked = cum.join(F.broadcast(targets), cond, "inner").select(
-        *keys, "p", "n", "frac", "which", "value")
-    out = picked.groupBy(*keys, "p").agg(
-        F.max(F.when(F.col("which") == "lo", F.col("value"))).alias("_lo"),
-        F.max(F.when(F.col("which") == "hi", F.col("value"))).alias("_hi"),
-        F.first("frac").alias("_f"), F.first("n").alias("n"))
-    val = F.when(F.col("_f") == 0, F.col("_lo")).otherwise(
-        F.col("_lo") + F.col("_f") * (F.col("_hi") - F.col("_lo")))
-    return out.select(*keys, "p", val.alias("value"), "n")
+        lo = hi = F.greatest(F.ceil(F.col("n") * F.col("p")).cast("bigint") - 1, F.lit(0).cast("bigint"))
+        frac = F.lit(0.0)
+    in_range = [(i.cast("bigint") >= F.col("_before")) & (i.cast("bigint") < F.col("_before") + F.col("_c")) for i in (lo, hi)]
+    t = t.where(in_range[0] | in_range[1])
+    names = [f"_k{i}" for i in range(len(keys) + 1)]
+    wanted = t.select(*[F.col(k).alias(a) for k, a in zip(keys + ["_b"], names)], "_before", "n", "p",
+                      lo.cast("bigint").alias("_lo"), hi.cast("bigint").alias("_hi"), frac.alias("_f"))
+    near = hist.join(wanted, same(keys + ["_b"], names))
+    order = Window.partitionBy(*keys, "_b", "p").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    cum = near.withColumn("_cum", F.sum("cnt").over(order) + F.col("_before"))
+
+    def at(i: str):
+        return F.max(F.when((F.col("_cum") - F.col("cnt") <= F.col(i)) & (F.col(i) < F.col("_cum")), F.col("value")))
+    out = cum.groupBy(*keys, "p").agg(at("_lo").alias("_vl"), at("_hi").alias("_vh"),
+                                      F.first("_f").alias("_f"), F.first("n").alias("n"))
+    value = F.when(F.col("_f") == 0, F.col("_vl")).otherwise(
+        F.col("_vl") + F.col("_f") * (F.col("_vh") - F.col("_vl")))
+    return out.select(*keys, "p", value.alias("value"), "n")
 
 
 def quantile_wide(q: DataFrame, keys: list[str], names: dict[float, str]) -> DataFrame:

@@ -1,10 +1,10 @@
 """MERGE for tables without MERGE support (plain Parquet snapshots).
 
-``merge_upsert`` = matched target rows updated + unmatched target rows kept +
-unmatched source rows inserted, from a single full outer join. The match
+``merge_upsert`` = target rows left-joined to the source (matched ones updated,
+others kept) + source rows without a match (an anti join) inserted. The match
 condition may include target-only predicates (``T.version IS NULL``). Keys
-compare null-safely. No broadcast is forced (AQE picks one at run time when a
-side turns out small; skewed keys are split by AQE's skew-join handling).
+compare null-safely. No broadcast is forced; the optimizer may pick one by size
+and, unlike in a full outer join, split a skewed key on the left side.
 """
 
 from __future__ import annotations
@@ -22,9 +22,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str],
     WHEN MATCHED THEN UPDATE SET when_matched
     WHEN NOT MATCHED THEN INSERT when_not_matched (columns missing -> NULL).
 
-    One full outer join on the keys (the target-only predicate is part of the
-    join condition), then every row is classified: both sides -> updated,
-    target only -> kept, source only -> inserted. ``when_matched`` expressions
+    The target-only predicate is part of both join conditions. ``when_matched`` expressions
     see the target columns (and source columns as ``_s_<name>``); inserted
     target columns not named in ``when_not_matched`` take the source column of
     the same name (else NULL), and its expressions refer to source columns as
@@ -32,27 +30,16 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str],
     """
     upd = when_matched or {}
     ins = when_not_matched or {}
-    t = target.withColumn("_t_row", F.lit(True))
-    s = source.select(*[F.col(c).alias(f"_s_{c}") for c in source.columns], F.lit(True).alias("_s_row"))
+    s = source.select(*[F.col(c).alias(f"_s_{c}") for c in source.columns])
     on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys])
     if target_cond is not None:
         on = on & target_cond
-    j = t.join(s, on, "full_outer")
-    matched = F.col("_t_row").isNotNull() & F.col("_s_row").isNotNull()
-    inserted = F.col("_t_row").isNull()
     types = dict(target.dtypes)
-    src_names = {c: F.col(f"_s_{c}") for c in source.columns}
-
-    out = []
-    for c in target.columns:
-        if c in ins:
-            new = ins[c]
-        elif c in source.columns:
-            new = src_names[c]
-        else:
-            new = F.lit(None)
-        keep = upd[c] if c in upd else F.col(c)
-        out.append(F.when(inserted, new.cast(types[c]))
-                   .when(matched, keep.cast(types[c]))
-                   .otherwise(F.col(c)).alias(c))
-    return j.select(*out)
+    matched = F.col("_s_row").isNotNull()
+    kept = target.join(s.withColumn("_s_row", F.lit(True)), on, "left").select(
+        *[(F.when(matched, upd[c].cast(types[c])).otherwise(F.col(c)) if c in upd else F.col(c)).alias(c)
+          for c in target.columns])
+    new = s.join(target, on, "left_anti").select(
+        *[(ins[c] if c in ins else F.col(f"_s_{c}") if c in source.columns else F.lit(None)).cast(types[c]).alias(c)
+          for c in target.columns])
+    return kept.unionByName(new)

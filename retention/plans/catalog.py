@@ -251,7 +251,7 @@ def _q(spark, d):
 
 @query("validation_report")
 def _q(spark, d):
-    return Q.validation_report(clean_all(spark, d))
+    return Q.validation_report(clean_all(spark, d), digits=6)
 
 
 # ---- profile (EDA tables) ---------------------------------------------------
@@ -335,7 +335,9 @@ def _q(spark, d):
 
 @query("prep_conform_schema")
 def _q(spark, d):
-    return PP.conform(_two(spark, d)[1], keep=("k",))
+    primary, secondary = (PP.conform(s, keep=("k",)) for s in _two(spark, d))
+    return (primary.withColumn("source", F.lit("primary"))
+            .unionByName(secondary.withColumn("source", F.lit("secondary")), allowMissingColumns=True))
 
 
 @query("prep_union_sources")
@@ -368,7 +370,6 @@ def _q(spark, d):
 
 # ---- model training and evaluation ------------------------------------------
 from retention.operators import metrics as MT  # noqa: E402
-from retention.operators.quantiles import exact_quantiles  # noqa: E402
 from retention.plans import model as MD  # noqa: E402
 from retention.sources.fixture import scored_fixture  # noqa: E402
 
@@ -379,79 +380,85 @@ def _q(spark, d):
     return s.groupBy("churn_label", "is_test").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _numeric_features(spark, d):
-    f = features_all(spark, d)
-    nums, _ = MD.split_columns(f)
-    return f.select(*[F.col(c).cast("double").alias(c) for c in nums]), nums
+def _split(spark, d):
+    return MD.stratified_split(features_all(spark, d))
 
 
 @query("impute_median")
 def _q(spark, d):
-    f, nums = _numeric_features(spark, d)
-    return r6(exact_quantiles(f, nums, [0.5]).select("column", F.col("value").alias("median")))
+    s = _split(spark, d)
+    return MD.imputed_numbers(s, MD.split_columns(s.drop("is_test"))[0])
 
 
 @query("standardize")
 def _q(spark, d):
-    f, nums = _numeric_features(spark, d)
-    med = exact_quantiles(f, nums, [0.5]).select("column", F.col("value").alias("_med"))
-    kv = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in nums]))
-    lv = f.select(kv.alias("_kv")).select("_kv.column", "_kv.value")
-    imp = lv.join(F.broadcast(med), "column", "left").select(
-        "column", F.coalesce("value", "_med").alias("x"))
-    return r6(imp.groupBy("column").agg(F.avg("x").alias("mean"), F.stddev_pop("x").alias("std")))
+    s = _split(spark, d)
+    return r6(MD.standardised_numbers(s, MD.split_columns(s.drop("is_test"))[0]))
 
 
 @query("impute_mode")
 def _q(spark, d):
-    f = features_all(spark, d)
-    return MD.mode_table(f, MD.split_columns(f)[1])
+    s = _split(spark, d)
+    return MD.imputed_categories(s, MD.split_columns(s.drop("is_test"))[1])
+
+
+# Kept out of the encoder's fitting rows, so that rows meet a category it has not seen.
+WITHHELD_PAYMENT = "Mailed check"
+# Depth of the registered forest query; the training step takes the default of model.candidates.
+QUERY_FOREST_DEPTH = 12
 
 
 @query("one_hot_matrix")
 def _q(spark, d):
     from pyspark.ml import Pipeline
-    f = features_all(spark, d)
-    cats = MD.split_columns(f)[1]
-    modes = MD.mode_values(f, cats)
-    pre = MD.preprocess_stage([], cats, {}, {}, modes)
-    stages = [pre] + MD.encoder_stages([], cats)[:2]
-    enc = Pipeline(stages=stages).fit(f).transform(f)
+    s = _split(spark, d)
+    cats = MD.split_columns(s.drop("is_test"))[1]
+    fit = s.where(~F.col("is_test") & ~F.col("payment_method").eqNullSafe(F.lit(WITHHELD_PAYMENT)))
+    pre = MD.preprocess_stage([], cats, {}, {}, MD.mode_values(fit, cats))
+    enc = Pipeline(stages=[pre] + MD.encoder_stages([], cats)[:2]).fit(fit).transform(s)
     kv = F.explode(F.array(*[F.struct(
         F.lit(c).alias("column"), F.col(f"{c}__x").alias("category"),
-        (F.array_position(MD.vector_to_array(F.col(f"{c}__v")), 1.0) - 1).cast("bigint").alias("position"))
+        F.nullif(F.array_position(MD.vector_to_array(F.col(f"{c}__v")), 1.0) - 1, F.lit(-1)).cast("bigint").alias("position"))
         for c in cats]))
-    return enc.select("customer_id", "ingest_date", kv.alias("_kv")).select(
-        "customer_id", "ingest_date", "_kv.column", "_kv.category", "_kv.position")
+    return enc.select("customer_id", "ingest_date", "is_test", kv.alias("_kv")).select(
+        "customer_id", "ingest_date", "is_test", "_kv.column", "_kv.category", "_kv.position")
 
 
-def _train(spark, d, which):
-    best, model, metrics = MD.train_and_evaluate(features_all(spark, d), [which])
-    return r6(MD.metrics_frame(spark, metrics))
+def _fitted(spark, d, which):
+    """(model, train, test, n_train) of one candidate."""
+    from pyspark.ml import Pipeline
+    train, test = MD.materialised_split(features_all(spark, d))
+    _, _, pre, n = MD.fit_preprocessing(train)
+    return Pipeline(stages=pre + [MD.candidates(n, QUERY_FOREST_DEPTH)[which]]).fit(train), train, test, n
 
 
 @query("train_logreg")
 def _q(spark, d):
-    return _train(spark, d, "logreg")
+    """The intercept is not penalised, so the mean fitted probability is the training label rate."""
+    model, train, test, _ = _fitted(spark, d, "logreg")
+    fit = MD.positive_probability(model.transform(train)).agg(
+        F.count(F.lit(1)).alias("n_train"), F.round(F.avg("score"), 3).alias("mean_probability"),
+        F.round(F.avg(MD.LABEL), 3).alias("label_rate"))
+    return fit.withColumn("n_test", F.lit(test.count()).cast("bigint"))
 
 
 @query("train_rf")
 def _q(spark, d):
-    return _train(spark, d, "rf")
+    model, train, test, n = _fitted(spark, d, "rf")
+    forest = model.stages[-1]
+    return MD.positive_probability(model.transform(test)).agg(
+        F.lit(n).cast("bigint").alias("n_train"), F.count(F.lit(1)).alias("n_test"),
+        F.lit(forest.getNumTrees).cast("bigint").alias("n_trees"),
+        F.count_if(F.col("score").between(0, 1)).alias("n_scored"))
 
 
 @query("threshold_predictions")
 def _q(spark, d):
-    f = features_all(spark, d)
-    split = MD.stratified_split(f.withColumn("churn_label", F.col("churn_label").cast("double")))
-    train = split.where(~F.col("is_test")).drop("is_test")
-    test = split.where(F.col("is_test")).drop("is_test")
-    nums, cats, pre = MD.fit_preprocessing(train)
-    from pyspark.ml import Pipeline
-    model = Pipeline(stages=pre + [MD.candidates(train.count())["logreg"]]).fit(train)
-    scored = MD.positive_probability(model.transform(test))
-    return MT.predict(scored).select("customer_id", "ingest_date", F.round("score", 6).alias("score"),
-                                     "prediction", F.col("churn_label").cast("bigint").alias("label"))
+    model, _, test, _ = _fitted(spark, d, "logreg")
+    scored = MT.predict(MD.positive_probability(model.transform(test)))
+    return scored.groupBy(F.col(MD.LABEL).cast("bigint").alias("label")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("score").between(0, 1)).alias("n_scored"),
+        F.count_if((F.col("prediction") == 1) == (F.col("score") >= MT.THRESHOLD)).alias("n_consistent"))
 
 
 @query("metrics_confusion")
@@ -541,40 +548,45 @@ def _q(spark, d):
 from retention.plans import scoring as SC  # noqa: E402
 
 
-def _fitted_logreg(spark, d):
-    """Fit the logistic-regression candidate on the training split."""
-    from pyspark.ml import Pipeline
-    f = features_all(spark, d)
-    split = MD.stratified_split(f.withColumn("churn_label", F.col("churn_label").cast("double")))
-    train = split.where(~F.col("is_test")).drop("is_test")
-    nums, cats, pre = MD.fit_preprocessing(train)
-    return Pipeline(stages=pre + [MD.candidates(train.count())["logreg"]]).fit(train), f
-
-
 def payloads_from_features(f):
-    """Scoring payloads as JSON text built from feature rows (with one unknown field)."""
+    """Scoring payloads as JSON text built from feature rows (with one unknown field). By
+    customer_id modulo 9, some hold a field of the wrong type or are no object at all."""
     fields = [F.col(c.name).cast(c.dataType).alias(c.name) for c in SC.PAYLOAD_SCHEMA.fields]
-    return f.select(F.col("customer_id").alias("payload_id"), "ingest_date",
-                    F.to_json(F.struct(*fields, F.lit("x").alias("unknown_field"))).alias("payload"))
+    whole = F.to_json(F.struct(*fields, F.lit("x").alias("unknown_field")))
+    kind = F.col("customer_id") % 9
+    text = (F.when(kind == 0, F.to_json(F.struct(F.lit("abc").alias("tenure"))))
+            .when(kind == 1, F.to_json(F.struct(F.lit(2.5).alias("services_count"))))
+            .when(kind == 2, F.to_json(F.struct(F.lit(7).alias("contract_type"))))
+            .when(kind == 3, F.lit("[1, 2]")).when(kind == 4, F.lit("{no json")).otherwise(whole))
+    return f.select(F.col("customer_id").alias("payload_id"), "ingest_date", text.alias("payload"))
 
 
 @query("score_by_id")
 def _q(spark, d):
-    model, f = _fitted_logreg(spark, d)
+    """Per requested id: found, the day of the feature row that was chosen, and whether it has a probability."""
+    model, _, _, _ = _fitted(spark, d, "logreg")
+    f = features_all(spark, d)
     ids = _ids_from_orders(spark, d).unionByName(
         read_table(spark, d, "customer").select((F.col("c_custkey") + 1).alias("customer_id")))
-    return SC.score_by_id(model, f, ids, 1)
+    newest = f.groupBy("customer_id").agg(F.max("ingest_date").alias("feature_day"))
+    return (SC.score_by_id(model, f, ids, 1).join(newest, "customer_id", "left")
+            .select("customer_id", "found", "feature_day", "model_version",
+                    F.coalesce(F.col("churn_probability").between(0, 1), F.lit(False)).alias("scored"),
+                    F.coalesce(F.col("prediction").isin(0, 1), F.lit(False)).alias("decided")))
 
 
 @query("score_from_json")
 def _q(spark, d):
-    model, f = _fitted_logreg(spark, d)
-    return SC.score_payloads(model, payloads_from_features(f), 1)
+    model, _, _, _ = _fitted(spark, d, "logreg")
+    return SC.score_payloads(model, payloads_from_features(features_all(spark, d)), 1).select(
+        "payload_id", "ingest_date", "valid_json", F.col("bad_payload").isNotNull().alias("kept_text"),
+        F.coalesce(F.col("churn_probability").between(0, 1), F.lit(False)).alias("scored"), "model_version")
 
 
 @query("parse_feature_payload")
 def _q(spark, d):
-    return SC.parse_payloads(payloads_from_features(features_all(spark, d)))
+    p = SC.parse_payloads(payloads_from_features(features_all(spark, d)))
+    return p.withColumn("bad_payload", F.col("bad_payload").isNotNull())
 
 
 # ---- incremental ingest -----------------------------------------------------
@@ -583,23 +595,46 @@ import uuid  # noqa: E402
 from retention.schemas import RAW_SCHEMA  # noqa: E402
 from retention.session import checkpoint_dir  # noqa: E402
 from retention.sources import landing as LD  # noqa: E402
+from retention.sources import files as FS  # noqa: E402
 from retention.streaming.ingest import ingest_available  # noqa: E402
 
+# The fixture plants bad rows in every day, so the registered loads set no bound on their number.
+NO_BOUND = LD.Budget(count=None)
+
+
+def _landing_files(spark, d) -> str:
+    """All days of the raw fixture as landing files, written in one job; returns the folder above them."""
+    base = f"{checkpoint_dir(spark).rstrip('/')}/ingest-{uuid.uuid4().hex[:12]}"
+    rows = raw(spark, d).drop("k").select(*[F.col(c).cast("string").alias(c) for c in RAW_SCHEMA.fieldNames()])
+    (rows.withColumn("day", F.date_format(F.col("ingest_date").cast("date"), "dd-MM-yyyy")).write.partitionBy("day")
+     .option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(f"{base}/landing"))
+    return base
+
 
 @query("ingest_incremental")
 def _q(spark, d):
-    """Drop one landing file per day (derived from the tables) into a fresh
-    folder under the shared checkpoint directory, drain it with the stream,
-    and return the raw table the stream built."""
-    base = f"{checkpoint_dir(spark).rstrip('/')}/ingest-{uuid.uuid4().hex[:12]}"
-    raw_rows = raw(spark, d).drop("k").select(*RAW_SCHEMA.fieldNames())
-    text = raw_rows.select(*[F.col(c).cast("string").alias(c) for c in raw_rows.columns])
-    days = [r[0] for r in raw_rows.select("ingest_date").distinct().collect()]  # one per partition
-    for day in days:
-        LD.write_daily_csv(text.where(F.col("ingest_date") == F.lit(day)), f"{base}/landing", day)
-    table = f"{base}/raw"
-    ingest_available(spark, f"{base}/landing", table, f"{base}/_stream_ckpt")
-    return spark.read.schema(RAW_SCHEMA).parquet(table)
+    """Drop the days' landing files (derived from the tables) into a fresh folder under the shared
+    checkpoint directory, drain it with the stream, and return the raw table the stream built."""
+    base = _landing_files(spark, d)
+    ingest_available(spark, f"{base}/landing", f"{base}/raw", f"{base}/_stream", f"{base}/quarantine",
+                     NO_BOUND, "day=*")
+    FS.remove(spark, f"{base}/landing")
+    return spark.read.schema(RAW_SCHEMA).parquet(f"{base}/raw")
+
+
+@query("load_bad_record_budget")
+def _q(spark, d):
+    """Every row that was read is either loaded or set aside with its text and a reason."""
+    base = _landing_files(spark, d)
+    good = LD.load_csv(spark, f"{base}/landing/*", f"{base}/quarantine", NO_BOUND)
+    aside = spark.read.schema("source string, reason string, loaded_at timestamp").parquet(f"{base}/quarantine")
+    kept = good.groupBy("ingest_date").agg(F.count(F.lit(1)).alias("n")).select(
+        "ingest_date", F.lit("loaded").alias("outcome"), "n")
+    text = F.from_csv("source", ", ".join(f"{c} string" for c in RAW_SCHEMA.fieldNames()))
+    set_aside = aside.groupBy(text.getField("ingest_date").cast("date").alias("ingest_date"), F.col("reason").alias("outcome")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+    return kept.unionByName(set_aside)
 
 
 @query("predict_threshold")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from retention.operators import clean as C, features as FE, prepare as PP, profile as PR, quality as Q
 from retention.operators.clean import day_lit
 from retention.plans import model as MD, registry as RG, status as ST
-from retention.schemas import RAW_SCHEMA
+from retention.schemas import CLEAN_SCHEMA, FEATURE_SCHEMA, RAW_SCHEMA
 from retention.sources import landing as L, tables as TB
 
 
@@ -57,21 +57,25 @@ def init_warehouse(spark: SparkSession, wh: Warehouse) -> None:
 def prepare_day(spark: SparkSession, wh: Warehouse, primary: str, secondary: str | None, day) -> str:
     """Prepare: two sources -> one headered CSV for the day (no status row)."""
     p = L.read_source(spark, primary)
-    s = L.read_optional_source(spark, secondary, p) if secondary else None
+    s = L.read_optional_source(spark, secondary) if secondary else None
     raw = PP.prepare(p, s, day, L.ORDER_COLS, scan_order=True)
-    return L.write_daily_csv(raw, wh.landing, day)
+    out = L.write_daily_csv(raw, wh.landing, day)
+    PP.sanity_counts(raw).write.mode("overwrite").parquet(wh.output(day, "prepare"))
+    return out
 
 
-def load_day(spark: SparkSession, wh: Warehouse, run_id: str, day, mode: str = "replace") -> int:
+def load_day(spark: SparkSession, wh: Warehouse, run_id: str, day, mode: str = "replace",
+             budget: L.Budget = L.Budget()) -> int:
     """Load the day's landing file into raw. ``replace`` (default) rewrites the
     day so a re-run is idempotent; ``append`` adds the rows again (parity with
-    an append-only load job)."""
+    an append-only load job). Bad rows go to the warehouse's quarantine table;
+    beyond ``budget`` the step fails."""
     with ST.step(spark, wh.status, run_id, "load_raw") as info:
         reg = RG.read_registry(spark, wh.registry)
         RG.write_registry(spark, wh.registry,
                           RG.upsert_running(reg, spark.createDataFrame([(run_id,)], "run_id string")))
         L.require_table(spark, wh.raw)
-        good = L.load_csv(spark, L.daily_path(wh.landing, day))
+        good = L.load_csv(spark, L.daily_path(wh.landing, day), wh.p("quarantine"), budget)
         TB.write_partitions(good, wh.raw, mode)
         n = spark.read.schema(RAW_SCHEMA).parquet(wh.raw).count()
         info["message"] = f"loaded {n} rows"
@@ -87,7 +91,7 @@ def clean_day(spark: SparkSession, wh: Warehouse, run_id: str, day, mode: str =
 def validate_day(spark: SparkSession, wh: Warehouse, run_id: str, day) -> DataFrame:
     """Reports, never blocks: SUCCESS whatever the counts."""
     with ST.step(spark, wh.status, run_id, "validate_clean", gate="clean"):
-        rep = Q.validation_report(TB.read_table(spark, wh.clean), day)
+        rep = Q.validation_report(TB.read_table(spark, wh.clean, CLEAN_SCHEMA), day)
         out = wh.output(day, "validation")
         rep.select("check", "result_json").write.mode("overwrite").option("header", True).csv(out)
     return spark.read.option("header", True).csv(out)
@@ -95,9 +99,9 @@ def validate_day(spark: SparkSession, wh: Warehouse, run_id: str, day) -> DataFr
 
 def profile_day(spark: SparkSession, wh: Warehouse, run_id: str, day) -> None:
     with ST.step(spark, wh.status, run_id, "eda", gate="validate_clean"):
-        # Seven reports read the same day: keep its rows for the step only
+        # Ten reports read the same day: keep its rows for the step only
         # (MEMORY_AND_DISK; recomputed from the partition if a block is lost).
-        df = (TB.read_table(spark, wh.clean).where(F.col("ingest_date") == day_lit(day))
+        df = (TB.read_table(spark, wh.clean, CLEAN_SCHEMA).where(F.col("ingest_date") == day_lit(day))
               .persist(StorageLevel.MEMORY_AND_DISK))
         try:
             PR.require_rows(df)
@@ -106,7 +110,9 @@ def profile_day(spark: SparkSession, wh: Warehouse, run_id: str, day) -> None:
             for name, fn in [("summary_numeric", PR.numeric_summary),
                              ("summary_categorical_uniques", PR.categorical_uniques),
                              ("correlation_numeric", PR.correlation_matrix),
-                             ("categorical_churn_rates", PR.churn_rates_wide),
+                             ("top_label_correlations", PR.top_label_correlations),
+                             ("categorical_churn_rates", PR.churn_rates_wide), ("top_rates", PR.top_rates),
+                             ("churn_rate_sorted", PR.churn_rate_sorted),
                              ("histograms", PR.histogram), ("box_stats", PR.box_stats),
                              ("value_counts", PR.value_counts)]:
                 fn(df).write.mode("overwrite").parquet(f"{out}/{name}")
@@ -117,7 +123,7 @@ def profile_day(spark: SparkSession, wh: Warehouse, run_id: str, day) -> None:
 def features_day(spark: SparkSession, wh: Warehouse, run_id: str, day, gate: str = "validate_clean",
                  mode: str = "replace") -> None:
     with ST.step(spark, wh.status, run_id, "features", gate=gate):
-        cl = TB.read_table(spark, wh.clean)
+        cl = TB.read_table(spark, wh.clean, CLEAN_SCHEMA)
         TB.create_or_write(spark, FE.build_features(cl, day), wh.features, mode)
 
 
@@ -127,7 +133,7 @@ def train_day(spark: SparkSession, wh: Warehouse, run_id: str, day) -> tuple[str
         reg, version = RG.bind_version(spark, RG.read_registry(spark, wh.registry), run_id)
         RG.write_registry(spark, wh.registry, reg)
         try:
-            rows = MD.load_training_rows(TB.read_table(spark, wh.features), day)
+            rows = MD.load_training_rows(TB.read_table(spark, wh.features, FEATURE_SCHEMA), day)
             best, model, metrics = MD.train_and_evaluate(rows)
             uri, muri = MD.save_model(model, metrics, wh.output(day, "model"), version, best, spark)
             mj = json.dumps({"version": version, "best_model": best, "candidates": metrics,

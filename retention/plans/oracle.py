@@ -268,6 +268,31 @@ from (select ingest_date, customer_id, count(*) as n from clean group by ingest_
 group by ingest_date"""
 register("dq_report_long", _DQ_LONG_BODY, features=False, extra=_DQ_LONG_CTES)
 
+
+def _json(cols: list[str], rows: str = "") -> str:
+    """JSON text of a list of one record (or of the records of a group, in ``rows`` order)."""
+    one = "{" + ", ".join(f"'{c}': {'round(' + c + ', 6)' if c.startswith('avg_') else c}" for c in cols) + "}"
+    return f"cast(to_json({'list(' + one + ' order by ' + rows + ')' if rows else '[' + one + ']'}) as varchar)"
+
+
+_REPORT = {
+    "row_count": ["cnt"],
+    "nulls": ["null_tenure", "null_gender", "null_monthly", "null_total", "null_senior_citizen", "null_churn_label"],
+    "out_of_range": ["bad_tenure", "bad_gender", "bad_monthly", "bad_total", "bad_senior_citizen"],
+    "basic_stats": [f"{f}_{c}" for c in ("tenure", "monthly", "total") for f in ("min", "max", "avg")],
+}
+register("validation_report", "\nunion all\n".join(
+    [f"select ingest_date, '{k}' as \"check\", {_json(v)} as result_json from fused" for k, v in _REPORT.items()] + [
+        f"select ingest_date, 'distinct_counts', {_json(['distinct_gender', 'distinct_internet_service', 'distinct_contract', 'distinct_payment_method'])}"
+        f" from (select ingest_date, {_DISTINCT} from clean group by ingest_date)",
+        f"select ingest_date, 'label_values', {_json(['churn_label', 'cnt'], 'churn_label nulls first')}"
+        " from (select ingest_date, churn_label, count(*) as cnt from clean group by all) group by ingest_date",
+        f"select ingest_date, 'duplicates', {_json(['dupes'])} from (select ingest_date, cast(sum(case when n > 1 then 1 else 0 end)"
+        " as bigint) as dupes from (select ingest_date, customer_id, count(*) as n from clean group by all) group by ingest_date)",
+        "select cast(null as date), 'partitions_present', cast(to_json(list({'ingest_date': strftime(ingest_date, '%Y-%m-%d')}"
+        " order by ingest_date desc)) as varchar) from (select distinct ingest_date from clean order by ingest_date desc limit 5)",
+    ]), features=False, extra=_DQ_LONG_CTES)
+
 # ---- profile (clean table: 3 numeric, 14 categorical columns) --------------
 _P_NUM = ["tenure", "monthly_charges", "total_charges"]
 _P_CAT = ["gender", "internet_service", "payment_method", "partner", "dependents", "phone_service",
@@ -379,8 +404,10 @@ coerced as (select * replace (try_cast(trim(tenure) as double) as tenure,
 
 register("prep_label_titlecase", f"select k, churn as churn_raw, {_TITLE} as churn from r",
          clean=False, features=False)
-register("prep_conform_schema", "select * exclude (source_ord) from sec", clean=False, features=False,
-         extra=_PREP_CTES)
+register("prep_conform_schema", """
+select * exclude (source_ord), 'C' || cast(k as varchar) as customer_id, 'primary' as source from prim
+union all select * exclude (source_ord), cast(null as varchar), 'secondary' from sec""",
+         clean=False, features=False, extra=_PREP_CTES)
 register("prep_union_sources", "select * from unioned", clean=False, features=False, extra=_PREP_CTES)
 register("prep_surrogate_ids", f"""
 select cast(customer_id as bigint) as customer_id,
@@ -416,31 +443,57 @@ register("stratified_split_counts", """
 select churn_label, is_test, cast(case when is_test then n - train else train end as bigint) as n
 from alloc cross join (select unnest([true, false]) as is_test)
 where case when is_test then n - train else train end > 0""", extra=_SPLIT_CTES)
-_M_NUM = ["customer_id_unused"]
 _MODEL_NUM = ["tenure", "monthly_charges", "total_charges", "is_senior", "has_internet", "services_count",
               "avg_charges_per_tenure", "charges_per_service", "contract_length_months", "is_high_spender"]
 _MODEL_CAT = ["internet_type", "contract_type", "payment_method", "tenure_bucket"]
-_MNUM_LONG = "mlong as (" + _union(
-    [f"select '{c}' as \"column\", cast({c} as double) as value from features" for c in _MODEL_NUM]) + ")"
+_SPLIT_ROWS = _SPLIT_CTES + f""", split as (select f.*, rk <= a.n - a.train as is_test from (
+  select *, row_number() over (partition by churn_label order by
+    ((customer_id % 2147483647) * 1103515245 + date_diff('day', date '1970-01-01', ingest_date) * 12345 + 42) % 2147483647,
+    customer_id, ingest_date, {", ".join(c + " nulls first" for c in _MODEL_NUM[:7] + ["charges_per_service"] + _MODEL_CAT[:3]
+                                         + ["contract_length_months", "tenure_bucket", "is_high_spender"])}) as rk
+  from features) f join alloc a on f.churn_label is not distinct from a.churn_label)"""
+_MNUM_LONG = _SPLIT_ROWS + ", mlong as (" + _union(
+    [f"select customer_id, ingest_date, is_test, '{c}' as \"column\", cast({c} as double) as value from split"
+     for c in _MODEL_NUM]) + """),
+med as (select "column", quantile_cont(value, 0.5) as med from mlong where not is_test and value is not null group by "column"),
+imp as (select customer_id, ingest_date, is_test, l."column", coalesce(value, med) as value
+        from mlong l left join med m on l."column" = m."column")"""
 register("impute_median", """
-select "column", round(quantile_cont(value, 0.5), 6) as median from mlong where value is not null
-group by "column" """, extra=_MNUM_LONG)
+select customer_id, ingest_date, is_test, "column", value from imp""", extra=_MNUM_LONG)
 register("standardize", """
-select l."column", round(avg(coalesce(l.value, m.med)), 6) as mean, round(stddev_pop(coalesce(l.value, m.med)), 6) as std
-from mlong l left join (select "column", quantile_cont(value, 0.5) as med from mlong where value is not null
-                        group by "column") m on l."column" = m."column"
-group by l."column" """, extra=_MNUM_LONG)
-_MCAT_LONG = "clong as (" + _union(
-    [f"select customer_id, ingest_date, '{c}' as \"column\", cast({c} as varchar) as value from features"
+select customer_id, ingest_date, is_test, l."column", round((value - mean) / coalesce(nullif(std, 0), 1), 6) as value
+from imp l left join (select "column", avg(value) as mean, stddev_pop(value) as std from imp where not is_test
+                      group by "column") s on l."column" = s."column" """, extra=_MNUM_LONG)
+_MCAT_LONG = _SPLIT_ROWS + ", clong as (" + _union(
+    [f"select customer_id, ingest_date, is_test, payment_method, '{c}' as \"column\", cast({c} as varchar) as value from split"
      for c in _MODEL_CAT]) + ")"
-_MODES = """modes as (select "column", arg_min(value, (-n, value)) as mode from (
-  select "column", value, count(*) as n from clong where value is not null group by all) group by "column")"""
-register("impute_mode", "select \"column\", mode from modes", extra=_MCAT_LONG + "," + _MODES)
-register("one_hot_matrix", """
-select customer_id, ingest_date, "column", category,
-  cast(dense_rank() over (partition by "column" order by category) - 1 as bigint) as position
-from (select l.customer_id, l.ingest_date, l."column", coalesce(l.value, m.mode) as category
-      from clong l join modes m on l."column" = m."column")""", extra=_MCAT_LONG + "," + _MODES)
+
+
+def _modes(fit: str) -> str:
+    return f""", modes as (select "column", arg_min(value, (-n, value)) as mode from (
+  select "column", value, count(*) as n from clong where {fit} and value is not null group by all) group by "column"),
+cimp as (select customer_id, ingest_date, is_test, payment_method, l."column", coalesce(value, mode) as value
+         from clong l left join modes m on l."column" = m."column")"""
+
+
+register("impute_mode", 'select customer_id, ingest_date, is_test, "column", value from cimp',
+         extra=_MCAT_LONG + _modes("not is_test"))
+_ENCODER_ROWS = "not is_test and payment_method is distinct from 'Mailed check'"
+register("one_hot_matrix", f"""
+select customer_id, ingest_date, is_test, c."column", c.value as category, cast(position as bigint) as position
+from cimp c left join (select "column", value, row_number() over (partition by "column" order by value) - 1 as position
+  from (select distinct "column", value from cimp where {_ENCODER_ROWS} and value is not null)) k
+  on c."column" = k."column" and c.value = k.value""", extra=_MCAT_LONG + _modes(_ENCODER_ROWS))
+_SIZES = "cast(count(*) filter (not is_test) as bigint) as n_train, cast(count(*) filter (is_test) as bigint) as n_test"
+register("train_logreg", f"""
+select {_SIZES}, round(avg(churn_label) filter (not is_test), 3) as mean_probability,
+  round(avg(churn_label) filter (not is_test), 3) as label_rate from split""", extra=_SPLIT_ROWS)
+register("train_rf", f"""
+select {_SIZES}, cast(250 as bigint) as n_trees, cast(count(*) filter (is_test) as bigint) as n_scored
+from split""", extra=_SPLIT_ROWS)
+register("threshold_predictions", """
+select churn_label as label, cast(count(*) as bigint) as n, cast(count(*) as bigint) as n_scored,
+  cast(count(*) as bigint) as n_consistent from split where is_test group by churn_label""", extra=_SPLIT_ROWS)
 
 _SCORED = """scored as (select churn_label as label,
   cast(((customer_id - 1) * 37) % 100 as double) / 100 as score from features)"""
@@ -516,26 +569,44 @@ order by version desc nulls last, updated_at desc nulls last, run_id limit 20"""
          clean=False, features=False, extra=_REG)
 
 # ---- scoring payloads ---------------------------------------------------------
-register("parse_feature_payload", """
-select customer_id as payload_id, ingest_date, cast(tenure as double) as tenure, monthly_charges, total_charges,
-  is_senior, has_internet, services_count, avg_charges_per_tenure, charges_per_service, internet_type,
-  contract_type, payment_method, cast(contract_length_months as double) as contract_length_months,
-  tenure_bucket, is_high_spender, true as valid_json, cast(null as varchar) as bad_payload
-from features""")
+_PAYLOAD = ["tenure", "monthly_charges", "total_charges", "is_senior", "has_internet", "services_count",
+            "avg_charges_per_tenure", "charges_per_service", "internet_type", "contract_type", "payment_method",
+            "contract_length_months", "tenure_bucket", "is_high_spender"]
+_PAYLOAD_TYPE = {"tenure": "double", "contract_length_months": "double"}
+register("parse_feature_payload", f"""
+select customer_id as payload_id, ingest_date, {", ".join(
+    f"case when customer_id % 9 > 4 then cast({c} as {_PAYLOAD_TYPE[c]}) end as {c}" if c in _PAYLOAD_TYPE
+    else f"case when customer_id % 9 > 4 then {c} end as {c}" for c in _PAYLOAD)},
+  customer_id % 9 > 4 as valid_json, customer_id % 9 <= 4 as bad_payload from features""")
+register("score_from_json", """
+select customer_id as payload_id, ingest_date, customer_id % 9 > 4 as valid_json, customer_id % 9 <= 4 as kept_text,
+  customer_id % 9 > 4 as scored, case when customer_id % 9 > 4 then cast(1 as bigint) end as model_version from features""")
+register("score_by_id", f"""
+select i.customer_id, feature_day is not null as found, feature_day,
+  case when feature_day is not null then cast(1 as bigint) end as model_version,
+  feature_day is not null as scored, feature_day is not null as decided
+from (select customer_id from {_ORDER_IDS} union select c_custkey + 1 as customer_id from customer) i
+left join (select customer_id, max(ingest_date) as feature_day from features group by customer_id) f
+  on i.customer_id = f.customer_id""")
 
 # ---- incremental ingest: raw rows after the typed load (bad rows skipped) ----
-_NUMERIC_RAW = ["customer_id", "senior_citizen", "tenure", "monthly_charges", "total_charges"]
-_BAD = " or ".join(f"(cast({c} as varchar) is not null and trim(cast({c} as varchar)) <> ''"
-                   f" and try_cast(trim(cast({c} as varchar)) as double) is null)" for c in _NUMERIC_RAW)
-register("ingest_incremental", f"""
-select cast(customer_id as bigint) as customer_id, gender,
-  cast(round_even(try_cast(trim(senior_citizen) as double), 0) as bigint) as senior_citizen,
-  partner, dependents, cast(round_even(try_cast(trim(tenure) as double), 0) as bigint) as tenure,
+_WRONG = ", ".join(
+    f"case when trim(cast({c} as varchar)) <> '' and not regexp_full_match(trim(cast({c} as varchar)), '[+-]?[0-9]+')"
+    f" then '{c}' end" if c in ("customer_id", "senior_citizen", "tenure") else
+    f"case when trim(cast({c} as varchar)) <> '' and try_cast(trim(cast({c} as varchar)) as double) is null then '{c}' end"
+    for c in ["customer_id", "senior_citizen", "tenure", "monthly_charges", "total_charges"])
+_LOADED = f"parsed as (select *, coalesce({_WRONG}) as reason from raw)"
+register("ingest_incremental", """
+select cast(customer_id as bigint) as customer_id, gender, try_cast(trim(senior_citizen) as bigint) as senior_citizen,
+  partner, dependents, try_cast(trim(tenure) as bigint) as tenure,
   phone_service, multiple_lines, internet_service, online_security, online_backup, device_protection,
   tech_support, streaming_tv, streaming_movies, contract, paperless_billing, payment_method,
   try_cast(trim(monthly_charges) as double) as monthly_charges,
   try_cast(trim(total_charges) as double) as total_charges, churn, ingest_date
-from raw where not ({_BAD})""", clean=False, features=False)
+from parsed where reason is null""", clean=False, features=False, extra=_LOADED)
+register("load_bad_record_budget", """
+select ingest_date, coalesce(reason, 'loaded') as outcome, cast(count(*) as bigint) as n
+from parsed group by all""", clean=False, features=False, extra=_LOADED)
 register("predict_threshold", """
 select customer_id, ingest_date, score, cast(score >= 0.5 as bigint) as prediction, label
 from (select customer_id, ingest_date, churn_label as label,

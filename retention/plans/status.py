@@ -5,9 +5,10 @@ from __future__ import annotations
 import contextlib
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from retention.schemas import STATUS_FAILED, STATUS_SCHEMA, STATUS_STARTED, STATUS_SUCCESS
+from retention.sources.files import exists
 
 
 class GateError(RuntimeError):
@@ -21,14 +22,18 @@ def append_status(spark: SparkSession, path: str, run_id: str, step: str, status
     row = spark.createDataFrame([(run_id, step, status, message)],
                                 "run_id string, step string, status string, message string")
     row.withColumn("created_at", ts).select(*STATUS_SCHEMA.fieldNames()) \
-        .write.mode("append").parquet(path)
+        .withColumn("log_day", F.to_date("created_at")).write.mode("append").partitionBy("log_day").parquet(path)
 
 
-def read_status(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(STATUS_SCHEMA).parquet(path)
-    except Exception:  # noqa: BLE001 - no log yet
+def read_status(spark: SparkSession, path: str, since: _dt.date | None = None) -> DataFrame:
+    """The log, or with ``since`` its days from that one on (a partition filter). A log that has
+    not been begun is empty; any other failure to read it is an error."""
+    if not exists(spark, path):
         return spark.createDataFrame([], STATUS_SCHEMA)
+    log = spark.read.schema(T.StructType([*STATUS_SCHEMA.fields, T.StructField("log_day", T.DateType())])).parquet(path)
+    if since is not None:
+        log = log.where(F.col("log_day") >= F.lit(since))
+    return log.select(*STATUS_SCHEMA.fieldNames())
 
 
 def latest_status(log: DataFrame) -> DataFrame:
@@ -45,7 +50,8 @@ def assert_prev_success(spark: SparkSession, path: str, run_id: str, prev_step:
     log = read_status(spark, path).where((F.col("run_id") == run_id) & (F.col("step") == prev_step))
     row = latest_status(log).first()
     if row is None or row["status"] != STATUS_SUCCESS:
-        raise GateError(f"Previous step '{prev_step}' not SUCCESS for run_id={run_id}")
+        found = "never ran" if row is None else f"ended as {row['status']}"
+        raise GateError(f"run {run_id}: step {prev_step} {found}, so the next step may not start")
 
 
 @contextlib.contextmanager

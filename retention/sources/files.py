@@ -29,3 +29,22 @@ def list_files(spark: SparkSession, path: str, suffix: str = "", recursive: bool
         if s.endswith(suffix) and not name.startswith(("_", ".")):
             out.append(s)
     return sorted(out)
+
+
+def has_file(spark: SparkSession, path: str, suffix: str = "") -> bool:
+    """Whether a file with ``suffix`` lies under ``path``: stops at the first one."""
+    p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        return False
+    it = fs.listFiles(p, True)
+    while it.hasNext():
+        name = it.next().getPath().getName()
+        if name.endswith(suffix) and not name.startswith(("_", ".")):
+            return True
+    return False
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that this job has made and no longer needs."""
+    p, fs = _fs(spark, path)
+    fs.delete(p, True)

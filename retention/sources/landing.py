@@ -2,17 +2,20 @@
 bad-record budget.
 
 Everything is read as text with an explicit schema (no inference pass), so
-"bad" means only a row whose token count or typed conversion fails.
+"bad" means only a row whose token count or typed conversion fails. Bad rows
+are always set aside with their text and the reason.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from retention.functions import safe_double
 from retention.schemas import MAX_BAD_RECORDS, RAW_SCHEMA, RAW_TEXT_SCHEMA
+from retention.session import checkpoint_dir
 from retention.sources.files import exists, list_files
 
 CORRUPT = "_corrupt_record"
@@ -45,25 +48,30 @@ def with_row_order(df: DataFrame) -> DataFrame:
                      F.monotonically_increasing_id().alias("_src_pos"))
 
 
-def read_source(spark: SparkSession, path: str, first_only: bool = True) -> DataFrame:
-    """Headered CSV, every column text. With ``first_only`` the first CSV
-    file found under ``path`` (recursively, sorted) is used."""
-    files = list_files(spark, path, ".csv") if not path.endswith(".csv") else [path]
+def read_source(spark: SparkSession, path: str, first_only: bool = False) -> DataFrame:
+    """Headered CSV, every column text, quoted newlines allowed.
+
+    All CSV files under ``path`` (recursively), each by its own header: files
+    with one header are read together, groups are stacked by column name (a
+    column that a file lacks is NULL there). ``first_only`` takes the first file
+    in name order instead. The headers are read on the driver, one line a file."""
+    files = [path] if path.endswith(".csv") else list_files(spark, path, ".csv")
     if not files:
-        raise FileNotFoundError(f"No CSV found under {path}")
-    target = files[0] if first_only else path
-    names = spark.read.option("header", True).csv(files[0]).columns
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    reader = spark.read.option("header", True).schema(schema)
-    if not first_only:
-        reader = reader.option("recursiveFileLookup", True)
-    return with_row_order(reader.csv(target))
-
-
-def read_optional_source(spark: SparkSession, path: str, like: DataFrame) -> DataFrame | None:
-    """The secondary source, or None when absent (the union then keeps
-    only the primary rows; an empty frame with the primary's columns is
-    ``like.limit(0)``)."""
+        raise FileNotFoundError(f"{path} holds no file that ends in .csv")
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for f in files[:1] if first_only else files:
+        by_header.setdefault(tuple(spark.read.option("header", True).csv(f).columns), []).append(f)
+    out = None
+    for names, group in by_header.items():
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        rows = with_row_order(spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+                              .schema(schema).csv(group))
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return out
+
+
+def read_optional_source(spark: SparkSession, path: str) -> DataFrame | None:
+    """The secondary source, or None where it is absent."""
     if not exists(spark, path) or not (path.endswith(".csv") or list_files(spark, path, ".csv")):
         return None
     return read_source(spark, path)
@@ -80,52 +88,79 @@ def write_daily_csv(df: DataFrame, base: str, day, mode: str = "overwrite") -> s
     return out
 
 
-def _typed(text: DataFrame, extra_bad: Column) -> DataFrame:
-    """Typed raw columns + ``_bad``: ``extra_bad`` or a non-empty text that
-    failed its typed conversion (computed from the text in the same projection)."""
-    cols, failed = [], extra_bad
+@dataclass(frozen=True)
+class Budget:
+    """How many bad rows a load may have: at most ``count`` rows and at most ``share`` of its
+    rows; None leaves that bound out. Within it bad rows are set aside, beyond it the load fails."""
+
+    count: int | None = MAX_BAD_RECORDS
+    share: float | None = None
+
+    def check(self, bad: int, rows: int) -> None:
+        if self.count is not None and bad > self.count:
+            raise BadRecordBudgetExceeded(f"{bad} of {rows} rows are bad; {self.count} are allowed")
+        if self.share is not None and bad > self.share * rows:
+            raise BadRecordBudgetExceeded(f"{bad} of {rows} rows are bad; a share of {self.share} is allowed")
+
+
+def _typed(text: DataFrame, short: Column) -> DataFrame:
+    """Typed raw columns, the source text, and ``_reason``: NULL for a good row, else what is wrong
+    with it: too few fields, or the first column whose text is not of its type. Whole-number
+    columns take whole numbers only."""
+    cols, reasons = [], [F.when(short, F.lit("too few fields"))]
     for f in RAW_SCHEMA.fields:
         c = F.col(f.name)
+        x = F.trim(c)
         if isinstance(f.dataType, T.LongType):
-            v = F.bround(safe_double(c), 0).try_cast("bigint")
+            v = F.when(x.rlike(r"^[+-]?[0-9]+$"), x.try_cast("bigint"))
         elif isinstance(f.dataType, T.DoubleType):
             v = safe_double(c)
         elif isinstance(f.dataType, T.DateType):
-            v = F.when(F.trim(c).rlike(r"^\d{4}-\d{2}-\d{2}$"), F.trim(c).try_cast("date"))
+            v = F.when(x.rlike(r"^\d{4}-\d{2}-\d{2}$"), x.try_cast("date"))
         else:
             cols.append(c.alias(f.name))
             continue
-        failed = failed | (c.isNotNull() & (F.trim(c) != "") & v.isNull())
+        reasons.append(F.when(c.isNotNull() & (x != "") & v.isNull(), F.lit(f.name)))
         cols.append(v.alias(f.name))
-    return text.select(*cols, failed.alias("_bad"))
+    source = F.coalesce(F.col(CORRUPT), F.to_csv(F.struct(*RAW_TEXT_SCHEMA.fieldNames())))
+    return text.select(*cols, source.alias("_source"), F.coalesce(*reasons).alias("_reason"))
+
 
+def parse_landing(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Typed raw columns of landing files, ``_source`` text and ``_reason`` (NULL: good).
 
-def load_csv(spark: SparkSession, path: str, max_bad: int = MAX_BAD_RECORDS,
-             quarantine: str | None = None) -> DataFrame:
-    """S4 + S5: parse (quoted newlines allowed, header skipped), flag bad rows
-    (too few fields or failed typed conversion; extra trailing fields are
-    ignored), fail when more than ``max_bad`` rows are bad, else return the
-    good rows typed to the raw schema. Bad rows go to ``quarantine`` if given.
-    The file is parsed once for the budget count and again by the caller's
-    write (deterministic; nothing is pinned in memory)."""
+    Quoted newlines allowed, header skipped; too few fields or text of the wrong
+    type make a row bad, extra trailing fields are ignored. The parse runs once:
+    its rows are checkpointed in the shared folder."""
     n = len(RAW_TEXT_SCHEMA.fields)
     schema = T.StructType(RAW_TEXT_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType())])
     text = (spark.read.schema(schema).option("header", True).option("multiLine", True)
-            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(paths))
     # A corrupt row is either too short (bad) or too long (extras ignored).
     wide = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(n + 1)])
     too_long = F.from_csv(F.col(CORRUPT), wide.simpleString()).getField(f"c{n}").isNotNull()
     short = F.col(CORRUPT).isNotNull() & ~F.coalesce(too_long, F.lit(False))
-    flagged = _typed(text, short)
-    bad = flagged.where("_bad").count()
-    if bad > max_bad:
-        raise BadRecordBudgetExceeded(f"{bad} bad records > allowed {max_bad}")
-    if quarantine and bad:
-        flagged.where("_bad").select(CORRUPT).write.mode("append").text(quarantine)
-    return flagged.where(~F.col("_bad")).select(*RAW_SCHEMA.fieldNames())
+    checkpoint_dir(spark)
+    return _typed(text, short).checkpoint(eager=True)
+
+
+def load_csv(spark: SparkSession, paths: str | list[str], quarantine: str, budget: Budget = Budget()) -> DataFrame:
+    """S4 + S5: the good rows of landing files, typed to the raw schema.
+
+    Nothing is lost: bad rows are appended to ``quarantine`` (Parquet: source,
+    reason, loaded_at) before the budget is checked, so they can be looked at
+    when the load fails, too."""
+    parsed = parse_landing(spark, paths)
+    bad = parsed.where("_reason is not null")
+    counts = parsed.agg(F.count(F.lit(1)).alias("rows"), F.count("_reason").alias("bad")).first()
+    if counts["bad"]:
+        (bad.select(F.col("_source").alias("source"), F.col("_reason").alias("reason"),
+                    F.current_timestamp().alias("loaded_at")).write.mode("append").parquet(quarantine))
+    budget.check(counts["bad"], counts["rows"])
+    return parsed.where("_reason is null").select(*RAW_SCHEMA.fieldNames())
 
 
 def require_table(spark: SparkSession, path: str) -> None:
     """The target table must exist beforehand."""
     if not exists(spark, path):
-        raise TableMissing(f"Table not found: {path}. Create it first, then re-run.")
+        raise TableMissing(f"load needs an existing table at {path} (see plans.daily.init_warehouse)")

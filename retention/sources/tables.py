@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, types as T
 
-from retention.sources.files import exists, list_files
+from retention.sources.files import has_file
 
 PART = "ingest_date"
 
 
-def read_table(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame:
-    return spark.read.option("mergeSchema", merge_schema).parquet(path)
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """With the known ``schema`` no file footer is opened beforehand; columns that older files lack
+    are NULL. Without one the schemas of all files are merged."""
+    return spark.read.schema(schema).parquet(path) if schema is not None else \
+        spark.read.option("mergeSchema", True).parquet(path)
 
 
 def usable(spark: SparkSession, path: str) -> bool:
     """A table with at most one column counts as absent."""
-    if not exists(spark, path) or not list_files(spark, path, ".parquet"):
-        return False
-    return len(spark.read.parquet(path).columns) > 1
+    return has_file(spark, path, ".parquet") and len(spark.read.parquet(path).columns) > 1
 
 
 def create_table(df: DataFrame, path: str, part: str = PART) -> None:
@@ -41,28 +42,10 @@ def write_partitions(df: DataFrame, path: str, mode: str = "replace", part: str
 
 
 def create_or_write(spark: SparkSession, df: DataFrame, path: str, mode: str = "replace") -> str:
-    """Create when missing (or a <=1-column stub), else S9."""
+    """Create when missing (or a <=1-column stub), else S9. New columns appear in the new files
+    only (S6); ``read_table`` gives NULL for the old ones, and columns that ``df`` lacks are NULL in it."""
     if not usable(spark, path):
         create_table(df, path)
         return "created"
-    existing = spark.read.parquet(path)
-    if set(df.columns) - set(existing.columns):
-        # Field addition -- new columns appear in new files; readers merge.
-        pass
-    write_partitions(df.select(*df.columns), path, mode)
+    write_partitions(df, path, mode)
     return mode
-
-
-def without_partition(df: DataFrame, part: str = PART) -> DataFrame:
-    """SELECT * EXCEPT(ingest_date)."""
-    return df.drop(part)
-
-
-def row_count(df: DataFrame) -> DataFrame:
-    """Whole-table row count (all partitions)."""
-    return df.agg(F.count(F.lit(1)).alias("cnt"))
-
-
-def union_evolving(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Schema evolution on append: missing columns on either side -> NULL."""
-    return a.unionByName(b, allowMissingColumns=True)

@@ -1,51 +1,50 @@
 """Incremental pickup of each day's dropped landing file.
 
-``readStream`` over <landing>/*/churn_raw.csv with a fixed text schema;
-the checkpoint records which files were taken, so every file is processed
-once across runs. ``trigger(availableNow=True)`` drains what is there and
-stops, which makes the daily schedule a plain re-run of the same query.
-
-Each micro-batch names the day folders it touched (a handful of paths, not
-rows) and rebuilds those days from their folders with the batch loader
-(bad-record budget included), replacing the day partitions. A batch that is
-re-delivered after a failure therefore rewrites the same days with the same
-rows: the sink is idempotent.
+``readStream`` over the landing folders with a fixed text schema; the
+checkpoint records which files were taken, so every file is processed once
+across runs. ``trigger(availableNow=True)`` drains what is there and stops,
+which makes the daily schedule a plain re-run of the same query.
+
+Each micro-batch names the folders it touched (paths, not rows), loads all of
+them with the batch loader in one parse (bad rows set aside, budget checked),
+and replaces their day partitions in one write. A batch that is re-delivered
+after a failure rewrites the same days with the same rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from retention.schemas import MAX_BAD_RECORDS, RAW_TEXT_SCHEMA
+from retention.schemas import RAW_TEXT_SCHEMA
 from retention.sources import landing as L, tables as TB
 
+#: Where landing files lie under the landing folder.
+PATTERN = "*/churn_raw.csv"
 
-def day_folders(batch: DataFrame) -> list[str]:
-    """Folders (one per day file) present in a micro-batch: bounded by the
-    number of files in the batch."""
-    folder = F.regexp_extract(F.col("_file"), r"^(.*)/[^/]+/[^/]+$", 1)
-    return sorted(r[0] for r in batch.select(folder.alias("f")).distinct().collect() if r[0])
 
+def folders(batch: DataFrame) -> list[str]:
+    """Folders of the files in a micro-batch: at most one for each file."""
+    folder = F.regexp_extract("_file", r"^(.*)/[^/]+$", 1)
+    return sorted(r[0] for r in batch.select(folder.alias("f")).distinct().collect())
 
-def start_ingest(spark: SparkSession, landing: str, raw_table: str, checkpoint: str,
-                 max_bad: int = MAX_BAD_RECORDS, available_now: bool = True):
+
+def start_ingest(spark: SparkSession, landing: str, raw_table: str, checkpoint: str, quarantine: str,
+                 budget: L.Budget = L.Budget(), available_now: bool = True, pattern: str = PATTERN):
     stream = (spark.readStream.schema(RAW_TEXT_SCHEMA).option("header", True)
-              .option("multiLine", True).csv(f"{landing.rstrip('/')}/*/churn_raw.csv")
-              .withColumn("_file", F.col("_metadata.file_path")))
+              .csv(f"{landing.rstrip('/')}/{pattern}").select(F.col("_metadata.file_path").alias("_file")))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        for folder in day_folders(batch):
-            good = L.load_csv(batch.sparkSession, f"{folder}/churn_raw.csv", max_bad)
-            TB.write_partitions(good, raw_table, "replace")
+        if touched := folders(batch):
+            TB.write_partitions(L.load_csv(batch.sparkSession, touched, quarantine, budget), raw_table, "replace")
 
     w = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
 
-def ingest_available(spark: SparkSession, landing: str, raw_table: str, checkpoint: str,
-                     max_bad: int = MAX_BAD_RECORDS) -> None:
-    q = start_ingest(spark, landing, raw_table, checkpoint, max_bad, True)
+def ingest_available(spark: SparkSession, landing: str, raw_table: str, checkpoint: str, quarantine: str,
+                     budget: L.Budget = L.Budget(), pattern: str = PATTERN) -> None:
+    q = start_ingest(spark, landing, raw_table, checkpoint, quarantine, budget, True, pattern)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()

@@ -23,8 +23,8 @@ def test_prepare_scan_order_ids(spark, scratch):
     _write_source(sec, f"{scratch}/custom", spark)
     p = L.read_source(spark, f"{scratch}/primary")
     assert p.columns[:len(PRIMARY_HEADERS)] == PRIMARY_HEADERS
-    s = L.read_optional_source(spark, f"{scratch}/custom", p)
-    assert L.read_optional_source(spark, f"{scratch}/absent", p) is None
+    s = L.read_optional_source(spark, f"{scratch}/custom")
+    assert L.read_optional_source(spark, f"{scratch}/absent") is None
     from retention.operators import prepare as PP
     got = PP.prepare(p, s, AS_OF, L.ORDER_COLS, scan_order=True).orderBy("customer_id").collect()
     ref = PP.prepare(*two_sources(spark, SF_SMALL), AS_OF, ["k"]).orderBy("customer_id").collect()
@@ -52,6 +52,12 @@ def test_daily_pipeline(spark, scratch):
     rep = D.validate_day(spark, wh, run, AS_OF)
     assert rep.count() == 8
     D.profile_day(spark, wh, run, AS_OF)
+    import os
+    assert len([x for x in os.listdir(wh.output(AS_OF, "eda")) if not x.startswith(".")]) == 10
+    assert spark.read.parquet(wh.output(AS_OF, "prepare")).first()["rows"] > 0
+    read = spark.read.option("header", True).option("multiLine", True).csv(L.daily_path(wh.landing, AS_OF)).count()
+    aside = spark.read.parquet(wh.p("quarantine")).count() if os.path.exists(wh.p("quarantine")) else 0
+    assert n + aside == read
     D.features_day(spark, wh, run, AS_OF)
     assert spark.read.parquet(wh.features).count() == cl.count()
     uri, version = D.train_day(spark, wh, run, AS_OF)
@@ -74,13 +80,13 @@ def test_stream_picks_up_each_day_once(spark, scratch):
     landing, table, ckpt = f"{scratch}/landing", f"{scratch}/raw", f"{scratch}/ckpt"
     day_a, day_b = "2025-08-22", "2025-08-23"
     L.write_daily_csv(text.where(F.col("ingest_date") == day_a), landing, day_a)
-    ingest_available(spark, landing, table, ckpt)
+    ingest_available(spark, landing, table, ckpt, f"{scratch}/aside")
     n_a = spark.read.schema(RAW_SCHEMA).parquet(table).count()
     assert n_a > 0
-    ingest_available(spark, landing, table, ckpt)  # nothing new: unchanged
+    ingest_available(spark, landing, table, ckpt, f"{scratch}/aside")  # nothing new: unchanged
     assert spark.read.schema(RAW_SCHEMA).parquet(table).count() == n_a
     L.write_daily_csv(text.where(F.col("ingest_date") == day_b), landing, day_b)
-    ingest_available(spark, landing, table, ckpt)
+    ingest_available(spark, landing, table, ckpt, f"{scratch}/aside")
     got = spark.read.schema(RAW_SCHEMA).parquet(table)
     per_day = {str(r.ingest_date): r["count"] for r in got.groupBy("ingest_date").count().collect()}
     assert set(per_day) == {day_a, day_b} and per_day[day_a] == n_a
@@ -88,7 +94,7 @@ def test_stream_picks_up_each_day_once(spark, scratch):
     extra = (text.where((F.col("ingest_date") == day_b) & F.col("tenure").rlike("^[0-9]+$"))
              .orderBy("customer_id").limit(3))
     extra.write.mode("append").option("header", True).csv(L.daily_path(landing, day_b))
-    ingest_available(spark, landing, table, ckpt)
+    ingest_available(spark, landing, table, ckpt, f"{scratch}/aside")
     per_day2 = {str(r.ingest_date): r["count"] for r in
                 spark.read.schema(RAW_SCHEMA).parquet(table).groupBy("ingest_date").count().collect()}
     assert per_day2[day_a] == n_a and per_day2[day_b] == per_day[day_b] + 3

@@ -4,7 +4,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from retention.functions import (guarded_corr, round_half_even_to_long, safe_bigint, safe_divide,
+from retention.functions import (guarded_corr, safe_bigint, safe_divide,
                                  safe_double, snake_case, title_label, ws_trim)
 
 
@@ -36,11 +36,6 @@ def test_title_label(spark):
     assert got == ["Yes", "No", "Nan", "Yes"]
 
 
-def test_round_half_even(spark):
-    got = _one(spark, round_half_even_to_long(F.col("x")), [2.5, 3.5, -2.5, 0.4, None], "x double")
-    assert got == [2, 4, -2, 0, None]
-
-
 def test_safe_divide(spark):
     df = spark.createDataFrame([(5.0, 0), (5.0, 2), (None, 1), (1.0, None)], "a double, b bigint")
     assert [r[0] for r in df.select(safe_divide("a", "b")).collect()] == [None, 2.5, None, None]
@@ -63,3 +58,10 @@ def test_snake_case_headers():
     assert snake_case("StreamingTV") == "streaming_tv"
     assert snake_case("Monthly Charges") == "monthly_charges"
     assert snake_case("__Total--Charges__") == "total_charges"
+
+
+def test_snake_case_words():
+    from retention.functions import snake_case
+    for given, want in {"customerID": "customer_id", "SeniorCitizen": "senior_citizen", "  Total Charges ": "total_charges",
+                        "a--B__c": "a_b_c", "X1Y": "x1_y", "__x__": "x", "ABC": "abc", "é1": "1", "": ""}.items():
+        assert snake_case(given) == want

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from retention.operators import clean as C, features as FE, profile as PR, quality as Q
-from retention.operators.ordering import contiguous_ids, running_sum
+from retention.operators.ordering import by_key, by_share, by_value, contiguous_ids, running_sum
 from retention.operators.quantiles import exact_quantiles
 from retention.plans import catalog as CAT
 from conftest import SF_SMALL
@@ -49,39 +49,43 @@ def test_features_rules(spark):
     assert [f[i].is_high_spender for i in range(1, 6)] == [False, False, False, False, True]
 
 
-import pytest  # noqa: E402
+def test_contiguous_ids_no_gaps(spark):
+    df = spark.range(0, 200_000).select(((F.col("id") * 7919) % 200_000).alias("k"))
+    ids = contiguous_ids(df, ["k"])
+    assert ids.where("id <> k + 1").isEmpty() and ids.count() == 200_000
+    two = df.select("k", (F.col("k") % 2).alias("s"))
+    got = contiguous_ids(two, ["k"], prefix=["s"])
+    assert got.where("id <> s * 100000 + floor(k / 2) + 1").isEmpty()
 
-PATHS = [0, 10 ** 9]  # 0 = always bucketed (distributed), large = single window
 
+def test_running_sum_partitions(spark):
+    df = spark.createDataFrame([(g, v / 100.0, 1) for g in ("a", "b", None) for v in range(100)], "g string, v double, c int")
+    for bucket in (by_share, by_value, by_key):
+        out = running_sum(df, ["v"], "c", ["g"], "cum", bucket=bucket).collect()
+        assert len(out) == 300 and all(r.cum == round(r.v * 100) + 1 for r in out)
 
-@pytest.mark.parametrize("local_rows", PATHS)
-def test_contiguous_ids_no_gaps(spark, local_rows):
-    df = spark.range(0, 5000).select(((F.col("id") * 7919) % 5000).alias("k"))
-    ids = contiguous_ids(df, ["k"], num_buckets=7, local_rows=local_rows).collect()
-    assert sorted(r.id for r in ids) == list(range(1, 5001))
-    assert all(r.id == r.k + 1 for r in ids)
 
-
-@pytest.mark.parametrize("local_rows", PATHS)
-def test_running_sum_partitions(spark, local_rows):
-    df = spark.createDataFrame([(g, float(v), 1) for g in ("a", "b") for v in range(100)], "g string, v double, c int")
-    out = running_sum(df, ["v"], "c", ["g"], "cum", num_buckets=5, local_rows=local_rows).collect()
-    assert all(r.cum == r.v + 1 for r in out)
+def test_buckets_never_decrease(spark):
+    import math
+    values = [-1e300, -5.5, -1.0, -1e-9, 0.0, 1e-9, 0.5, 1.0, 1.0000001, 77.0, 1e6, 1e300, math.inf, math.nan]
+    got = [r.b for r in spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, x double")
+           .select("i", by_value(F.col("x")).alias("b")).orderBy("i").collect()]
+    assert got == sorted(got)
 
 
-@pytest.mark.parametrize("local_rows", PATHS)
-def test_exact_quantiles_match_numpy(spark, local_rows):
+def test_exact_quantiles_match_numpy(spark):
     import numpy as np
-    vals = [float((i * 37) % 101) for i in range(333)] + [5.0] * 200 + [0.5 * i for i in range(50)]
+    vals = [float((i * 37) % 101) for i in range(333)] + [5.0] * 200 + [0.5 * i - 9 for i in range(50)]
     df = spark.createDataFrame([(v, i % 2) for i, v in enumerate(vals)], "x double, g int")
-    q = exact_quantiles(df, ["x"], [0.1, 0.25, 0.5, 0.9], by=["g"], num_buckets=4, local_rows=local_rows).collect()
-    assert len(q) == 8
+    q = exact_quantiles(df, ["x"], [0.0, 0.1, 0.25, 0.5, 0.9, 1.0], by=["g"]).collect()
+    assert len(q) == 12
     for r in q:
         sub = [v for i, v in enumerate(vals) if i % 2 == r.g]
-        assert abs(r.value - np.percentile(sub, r.p * 100)) < 1e-9
-    d = exact_quantiles(df, ["x"], [0.8], kind="disc", num_buckets=3, local_rows=local_rows).first()
-    expect = df.selectExpr("percentile_disc(0.8) within group (order by x)").first()[0]
-    assert d.value == expect
+        assert abs(r.value - np.percentile(sub, r.p * 100)) < 1e-9 and r.n == len(sub)
+    for p in (0.8, 0.5, 1.0):
+        expect = df.selectExpr(f"percentile_disc({p}) within group (order by x)").first()[0]
+        assert exact_quantiles(df, ["x"], [p], kind="disc").first().value == expect
+    assert exact_quantiles(df.where("false"), ["x"], [0.5]).count() == 0
 
 
 def test_histogram_counts_sum_to_non_null(spark):
@@ -145,18 +149,12 @@ def test_cluster_conf():
     assert int(c["spark.sql.shuffle.partitions"]) >= 400000
 
 
-def test_p80_methods_agree(spark):
+def test_p80_is_the_nearest_rank(spark):
     c = CAT.clean_all(spark, SF_SMALL)
     a = {r.ingest_date: r.p80_monthly for r in FE.daily_p80(c).collect()}
-    for local_rows in (0, 10 ** 9):
-        spark.conf.set("spark.retention.ordering.localRows", str(local_rows))
-        try:
-            b = {r.ingest_date: r.p80_monthly for r in FE.daily_p80(c, method="distributed").collect()}
-        finally:
-            spark.conf.unset("spark.retention.ordering.localRows")
-        assert a == b
-    approx = {r.ingest_date: r.p80_monthly for r in FE.daily_p80(c, exact=False).collect()}
-    assert set(approx) == set(a)
+    disc = c.groupBy("ingest_date").agg(F.expr("percentile_disc(0.8) within group (order by monthly_charges)").alias("p"))
+    assert a == {r.ingest_date: r.p for r in disc.collect()}
+    assert set(r.ingest_date for r in FE.daily_p80(c, exact=False).collect()) == set(a)
 
 
 def test_profile_approx_quartiles_close(spark):

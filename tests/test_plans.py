@@ -2,18 +2,13 @@
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SF_SMALL
+from retention.plans import catalog as CAT
 
-# Queries that cut lineage with a checkpoint or train models build jobs while
-# being defined; their plans are checked through the operators they use.
+# Queries that train models or drain a stream run jobs while being defined.
 EAGER = {"train_logreg", "train_rf", "threshold_predictions", "score_by_id", "score_from_json",
-         "ingest_incremental", "one_hot_matrix"}
-CHEAP = sorted(k for k in E.queries() if k not in EAGER and not k.startswith(("profile_numeric", "profile_box",
-                                                                               "impute", "standardize",
-                                                                               "stratified", "metrics_auc",
-                                                                               "prep_surrogate", "prep_coerce",
-                                                                               "prep_round")))
+         "ingest_incremental", "load_bad_record_budget", "one_hot_matrix"}
+CHEAP = sorted(k for k in CAT.QUERIES if k not in EAGER)
 
 
 def _plan(df):
@@ -22,7 +17,7 @@ def _plan(df):
 
 @pytest.mark.parametrize("name", CHEAP)
 def test_no_python_udf_and_pruned_scans(spark, name):
-    plan = _plan(E.queries()[name](spark, SF_SMALL))
+    plan = _plan(CAT.QUERIES[name](spark, SF_SMALL))
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     # the customer / orders scans read only the columns the fixture uses
     for line in plan.splitlines():
@@ -33,7 +28,6 @@ def test_no_python_udf_and_pruned_scans(spark, name):
 def test_day_filter_reaches_scan(spark, tmp_path):
     from pyspark.sql import functions as F
     from retention.operators import clean as C
-    from retention.plans import catalog as CAT
     from retention.sources import tables as TB
     path = str(tmp_path / "raw")
     TB.create_table(CAT.raw(spark, SF_SMALL).drop("k"), path)
@@ -46,7 +40,6 @@ def test_day_filter_reaches_scan(spark, tmp_path):
 
 def test_latest_partition_is_a_partition_filter(spark, tmp_path):
     from retention.operators.clean import latest_partition
-    from retention.plans import catalog as CAT
     from retention.sources import tables as TB
     path = str(tmp_path / "f")
     TB.create_table(CAT.features_all(spark, SF_SMALL), path)
@@ -58,10 +51,29 @@ def test_latest_partition_is_a_partition_filter(spark, tmp_path):
 
 @pytest.mark.parametrize("name", CHEAP)
 def test_single_partition_only_under_aggregates(spark, name):
-    """An Exchange SinglePartition may only feed an aggregate (global
-    aggregates, or the bounded bucket-offset table of the running sums)."""
-    lines = _plan(E.queries()[name](spark, SF_SMALL)).splitlines()
+    """An Exchange SinglePartition may only take partial sums: a global aggregate, or
+    the bucket totals whose running offsets the id and AUC queries need."""
+    lines = _plan(CAT.QUERIES[name](spark, SF_SMALL)).splitlines()
     for i, line in enumerate(lines):
         if "Exchange SinglePartition" in line:
             child = lines[i + 1] if i + 1 < len(lines) else ""
             assert "Aggregate" in child, (name, line, child)
+
+
+def _reads(name, spark):
+    return _plan(CAT.QUERIES[name](spark, SF_SMALL)).count("FileScan parquet")
+
+
+def test_reports_and_promotion_read_their_input_a_few_times(spark):
+    per_pass = _reads("clean_table", spark)
+    assert _reads("validation_report", spark) <= 6 * per_pass
+    assert _reads("registry_promote", spark) <= 3 * _reads("registry_list", spark)
+
+
+def test_building_features_runs_no_job(spark):
+    from retention.operators import features as FE
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build", "feature plan")
+    FE.build_features(CAT.clean_all(spark, SF_SMALL))
+    assert not tracker.getJobIdsForGroup("build")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

@@ -20,23 +20,53 @@ def _write_csv(path, rows):
             f.write(",".join(r) + "\n")
 
 
-def test_bad_record_budget(spark, scratch):
-    good = [ROW] * 3
-    short = [ROW[:5]]
-    _write_csv(f"{scratch}/ok.csv", good + short * 1000)
-    assert L.load_csv(spark, f"{scratch}/ok.csv").count() == 3
-    _write_csv(f"{scratch}/bad.csv", good + short * 1001)
+def _aside(spark, path):
+    return {(r.reason, r.source) for r in spark.read.parquet(path).collect()}
+
+
+def test_bad_record_budget_and_quarantine(spark, scratch):
+    short, wrong, whole = ROW[:5], list(ROW), list(ROW)
+    wrong[18], whole[5] = "abc", "3.7"  # monthly_charges, and a whole-number column
+    _write_csv(f"{scratch}/ok.csv", [ROW] * 3 + [short, wrong, whole])
+    assert L.load_csv(spark, f"{scratch}/ok.csv", f"{scratch}/q1", L.Budget(count=3)).count() == 3
+    assert _aside(spark, f"{scratch}/q1") == {
+        ("too few fields", ",".join(short)), ("monthly_charges", ",".join(wrong)), ("tenure", ",".join(whole))}
+    for budget in (L.Budget(count=2), L.Budget(count=None, share=0.49)):
+        with pytest.raises(L.BadRecordBudgetExceeded):
+            L.load_csv(spark, f"{scratch}/ok.csv", f"{scratch}/q2", budget)
+    assert len(_aside(spark, f"{scratch}/q2")) == 3  # set aside before the load fails
+    assert L.load_csv(spark, f"{scratch}/ok.csv", f"{scratch}/q3", L.Budget(None, 0.5)).count() == 3
+    _write_csv(f"{scratch}/many.csv", [ROW] * 3 + [short] * 1001)
     with pytest.raises(L.BadRecordBudgetExceeded):
-        L.load_csv(spark, f"{scratch}/bad.csv")
+        L.load_csv(spark, f"{scratch}/many.csv", f"{scratch}/q4")
 
 
 def test_quoted_newline_and_long_rows(spark, scratch):
-    q = list(ROW); q[1] = '"Ma\nle"'
+    q = list(ROW)
+    q[1] = '"Ma\nle"'
     _write_csv(f"{scratch}/q.csv", [q, ROW + ["extra"], ROW[:3]])
-    out = L.load_csv(spark, f"{scratch}/q.csv", 5).collect()
+    out = L.load_csv(spark, f"{scratch}/q.csv", f"{scratch}/aside").collect()
     assert len(out) == 2 and out[0].gender == "Ma\nle"
 
 
+def test_source_reader_matches_a_plain_csv_read(spark, scratch):
+    """Quoted newlines, several files, and files whose headers differ."""
+    import duckdb
+    import os
+    os.makedirs(f"{scratch}/src/sub")
+    files = {"a.csv": 'id,note,gender\n1,"two\nlines",Male\n2,"a ""word""",Female\n', "b.csv": "id,note,gender\n3,plain,Male\n",
+             "sub/c.csv": "gender,id,extra\nFemale,4,x\n"}
+    for name, text in files.items():
+        with open(f"{scratch}/src/{name}", "w") as f:
+            f.write(text)
+    cols = ["id", "note", "gender", "extra"]
+    got = sorted(map(tuple, L.read_source(spark, f"{scratch}/src").select(*cols).collect()))
+    want = duckdb.sql(f"select id, note, gender, extra from read_csv('{scratch}/src/**/*.csv', header=true, all_varchar=true,"
+                      " union_by_name=true)").fetchall()
+    assert got == sorted(want) and len(got) == 4
+    assert L.read_source(spark, f"{scratch}/src", first_only=True).count() == 2
+
+
 def test_daily_path():
     assert L.daily_path("gs/base", "2025-08-24") == "gs/base/24-08-2025/churn_raw.csv"
 
@@ -119,28 +149,31 @@ def test_lowercase_and_camel_headers(spark):
     for df in (lower, camel):
         out = conform(df)
         assert out.columns[:len(EXPECTED_RAW_COLUMNS)] == EXPECTED_RAW_COLUMNS
-        assert out.columns[-1] == "customer_id"
+        assert set(out.columns[len(EXPECTED_RAW_COLUMNS):]) >= {"customer_id"}
         r = out.first()
         assert r.senior_citizen == "0" and r.tech_support == "Yes" and r.gender is None
     assert conform(lower).first().churn == "Yes" and conform(camel).first().churn == "No"
 
 
 def test_schema_evolution_and_missing_table(spark, scratch):
-    a = spark.createDataFrame([(1, "x")], "v int, s string")
-    b = spark.createDataFrame([(2, 3.5)], "v int, extra double")
-    got = sorted(tuple(r) for r in TB.union_evolving(a, b).collect())
-    assert got == [(1, "x", None), (2, None, 3.5)]
+    """A new column comes with a new day; old days show NULL, with or without a given schema."""
+    from pyspark.sql import types as T
+    path = f"{scratch}/evolving"
+    TB.create_or_write(spark, spark.createDataFrame([(1, dt.date(2025, 8, 23))], "v int, ingest_date date"), path)
+    TB.create_or_write(spark, spark.createDataFrame([(2, "x", dt.date(2025, 8, 24))], "v int, extra string, ingest_date date"), path)
+    schema = T.StructType.fromDDL("v int, extra string, ingest_date date")
+    for got in (TB.read_table(spark, path), TB.read_table(spark, path, schema)):
+        assert sorted(tuple(r) for r in got.select("v", "extra").collect()) == [(1, None), (2, "x")]
     with pytest.raises(L.TableMissing):
         L.require_table(spark, f"{scratch}/nope")
-    assert not TB.usable(spark, f"{scratch}/nope")
+    assert not TB.usable(spark, f"{scratch}/nope") and TB.usable(spark, path)
 
 
-def test_model_inputs_and_empty_errors(spark):
+def test_empty_errors(spark):
     from retention.operators import profile as PR
-    from retention.plans import model as MD, scoring as SC
+    from retention.plans import model as MD
     df = spark.createDataFrame([(1, 0, dt.date(2025, 8, 24), 3.0)],
                                "customer_id bigint, churn_label bigint, ingest_date date, tenure double")
-    assert SC.model_inputs(df).columns == ["tenure"]
     with pytest.raises(MD.NoTrainingData):
         MD.load_training_rows(df, "2025-08-23")
     with pytest.raises(PR.ProfileInputError):
@@ -150,6 +183,30 @@ def test_model_inputs_and_empty_errors(spark):
     assert MD.split_columns(df) == (["tenure"], [])
 
 
+def test_schemas_of_clean_and_feature_tables(spark):
+    from conftest import SF_SMALL
+    from retention.plans import catalog as CAT
+    from retention.schemas import CLEAN_SCHEMA, FEATURE_SCHEMA
+    for df, schema in ((CAT.clean_all(spark, SF_SMALL), CLEAN_SCHEMA), (CAT.features_all(spark, SF_SMALL), FEATURE_SCHEMA)):
+        assert df.dtypes == [(f.name, f.dataType.simpleString()) for f in schema.fields]
+
+
+def test_payload_types_are_checked(spark):
+    from retention.plans import scoring as SC
+    cases = {'{"tenure": 5, "is_senior": true, "zzz": 1}': True, '{"tenure": "7.5", "services_count": 2.0}': True,
+             '{"tenure": null}': True, "{}": True, '{"is_senior": "yes", "has_internet": 0}': True,
+             '{"tenure": "abc"}': False, '{"services_count": 2.5}': False, '{"contract_type": 7}': False,
+             '{"is_senior": "maybe"}': False, '{"is_senior": 2}': False, '{"tenure": [1]}': False, "[1]": False, "5": False,
+             "{bad json": False, "": False, None: False}
+    df = spark.createDataFrame(list(enumerate(cases)), "payload_id int, payload string")
+    rows = {r.payload_id: r for r in SC.parse_payloads(df).collect()}
+    for i, (text, ok) in enumerate(cases.items()):
+        assert rows[i].valid_json == ok, text
+        assert rows[i].bad_payload == (None if ok else text)
+    assert rows[0].tenure == 5.0 and rows[0].is_senior is True and rows[1].tenure == 7.5 and rows[1].services_count == 2
+    assert rows[4].is_senior is True and rows[4].has_internet is False and rows[5].tenure is None
+
+
 def test_merge_upsert_generic(spark):
     from retention.operators.upsert import merge_upsert
     t = spark.createDataFrame([("a", 1, 10), ("b", None, 20), ("b", 2, 30)], "k string, v int, x int")
