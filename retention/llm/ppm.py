@@ -26,12 +26,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retention.llm.common import ids_and_text, stored, table, texts
 
-ORDER, BLOCK = 4, 8_000_000
+ORDER, BLOCK = 4, 16_000_000
 #: Bytes whose grams are made at a time.
 SPAN = 2_000_000
 _U8 = np.uint64(8)
@@ -90,8 +91,14 @@ def block_words(docs: list[bytes], train: list[bool]) -> dict[bytes, int]:
     return out
 
 
-def word_shards(words: list[bytes], shards: int) -> np.ndarray:
-    return np.fromiter((xxhash.xxh3_64_intdigest(w) % shards for w in words), np.int64, len(words))
+def word_shards(words: list[bytes], shards: int) -> tuple[np.ndarray, list[int]]:
+    """An order of the words that depends on the set alone, by shard and hash, and where each shard begins in it."""
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    of = (h % np.uint64(shards)).astype(np.int64)
+    order = np.lexsort((h, of))
+    if (h[order][1:] == h[order][:-1]).any():
+        order = np.array(sorted(range(len(words)), key=lambda i: (of[i], h[i], words[i])), np.int64)
+    return order, np.searchsorted(of[order], np.arange(shards + 1)).tolist()
 
 
 def gram_shards(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -99,54 +106,52 @@ def gram_shards(keys: np.ndarray, shards: int) -> np.ndarray:
     return ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % shards
 
 
-def _blocks(limit: int):
-    """Documents in rows of about ``limit`` bytes of text."""
-    def row(ids: list, docs: list[bytes]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([ids], pa.list_(pa.int64())), pa.array([docs], pa.list_(pa.binary()))],
-                                          ["ids", "docs"])
+TABLE = "kind int, shard int, block long, keys binary, counts binary, doc_id long, text binary"
+
+
+def _blocks(limit: int, shards: int):
+    """Cuts each task's documents into blocks of about ``limit`` bytes. Rows out: kind 2, a document
+    of the block; kind 0 and 1, the words and grams that the block asks a shard for, with its counts."""
+    kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.binary())
+    names = [x.split()[0] for x in TABLE.split(", ")]
+
+    def requests(block: int, ids: list, docs: list[bytes]) -> list[tuple]:
+        train, out = [not held_out(i) for i in ids], []
+        seen = block_words(docs, train)
+        words, n = list(seen), np.fromiter(seen.values(), np.int32, len(seen))
+        order, cuts = word_shards(words, shards)
+        order_list = order.tolist()
+        for s, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
+            if hi > lo:
+                out.append((0, s, block, b"\n".join([words[i] for i in order_list[lo:hi]]), n[order[lo:hi]].tobytes(), None, None))
+        keys, n = block_grams(docs, train)
+        of = gram_shards(keys, shards)
+        for s in np.unique(of).tolist():
+            out.append((1, s, block, keys[of == s].tobytes(), n[of == s].astype(np.int32).tobytes(), None, None))
+        return out
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 33
         ids: list = []
         docs: list[bytes] = []
         size = 0
+
+        def flush():
+            yield batch([(2, 0, block, None, None, i, t) for i, t in zip(ids, docs)])
+            yield batch(requests(block, ids, docs))
         for b in batches:
             for i, t in zip(b.column(0).to_pylist(), texts(b)):
                 if docs and size + len(t) > limit:
-                    yield row(ids, docs)
-                    ids, docs, size = [], [], 0
+                    yield from flush()
+                    ids, docs, size, block = [], [], 0, block + 1
                 ids.append(i)
                 docs.append(t)
                 size += len(t) + 1
         if docs:
-            yield row(ids, docs)
-    return run
-
-
-def _requests(shards: int):
-    """(kind, shard, block, keys, counts) of each block: kind 0 words, 1 grams."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for r in range(b.num_rows):
-                block = b.column(0)[r].as_py()
-                train = [not held_out(i) for i in b.column(1)[r].as_py()]
-                docs = b.column(2)[r].as_py()
-                out = []
-                seen = block_words(docs, train)
-                words, n = list(seen), np.fromiter(seen.values(), np.int64, len(seen))
-                of = word_shards(words, shards)
-                order = np.argsort(of, kind="stable")
-                cuts = np.searchsorted(of[order], np.arange(shards + 1)).tolist()
-                order_list = order.tolist()
-                for s, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
-                    if hi > lo:
-                        out.append((0, s, block, b"\n".join([words[i] for i in order_list[lo:hi]]), n[order[lo:hi]].tobytes()))
-                keys, n = block_grams(docs, train)
-                of = gram_shards(keys, shards)
-                for s in np.unique(of).tolist():
-                    out.append((1, s, block, keys[of == s].tobytes(), n[of == s].tobytes()))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
-                    ["kind", "shard", "block", "keys", "counts"])
+            yield from flush()
     return run
 
 
@@ -156,7 +161,7 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for k, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             low = (np.frombuffer(k, np.uint64) & np.uint64(0xFFFF)).astype(np.int64)
-            total += np.bincount(low, np.frombuffer(c, np.int64), 1 << 16).astype(np.int64)
+            total += np.bincount(low, np.frombuffer(c, np.int32), 1 << 16).astype(np.int64)
     at = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], ["pair", "n"])
 
@@ -227,19 +232,20 @@ class Trie:
 
 def _answer(pairs: np.ndarray):
     """One shard: adds up all blocks' counts, then answers each block in its own order."""
-    def words(rows: pa.Table) -> Iterator[tuple[int, bytes, int, int]]:
+    def words(rows: pa.Table) -> Iterator[tuple]:
         keys = [k.split(b"\n") for k in rows.column("keys").to_pylist()]
         total: dict[bytes, int] = {}
         for ks, c in zip(keys, rows.column("counts").to_pylist()):
-            for w, n in zip(ks, np.frombuffer(c, np.int64).tolist()):
+            for w, n in zip(ks, np.frombuffer(c, np.int32).tolist()):
                 if n:
                     total[w] = total.get(w, 0) + n
+        size, distinct = sum(total.values()), len(total)
         for block, ks in zip(rows.column("block").to_pylist(), keys):
-            yield block, np.array([total.get(w, 0) for w in ks], np.int64).tobytes(), sum(total.values()), len(total)
+            yield block, np.array([total.get(w, 0) for w in ks], np.int64).tobytes(), size, distinct
 
-    def trie(rows: pa.Table) -> Iterator[tuple[int, bytes, int, int]]:
+    def trie(rows: pa.Table) -> Iterator[tuple]:
         keys = [np.frombuffer(k, np.uint64) for k in rows.column("keys").to_pylist()]
-        k, n = _merged(keys, [np.frombuffer(c, np.int64) for c in rows.column("counts").to_pylist()])
+        k, n = _merged(keys, [np.frombuffer(c, np.int32) for c in rows.column("counts").to_pylist()])
         lp = Trie(k, n, pairs).log10(k)
         for block, ks in zip(rows.column("block").to_pylist(), keys):
             yield block, lp[np.searchsorted(k, ks)].tobytes(), 0, 0
@@ -250,7 +256,7 @@ def _answer(pairs: np.ndarray):
         n = len(out[0])
         return pa.table({"kind": pa.array([kind] * n, pa.int32()), "shard": pa.array([shard] * n, pa.int32()),
                          "block": pa.array(out[0], pa.int64()), "found": pa.array(out[1], pa.binary()),
-                         "tokens": pa.array([out[2][0]] * n, pa.int64()), "distinct": pa.array([out[3][0]] * n, pa.int64())})
+                         "tokens": pa.array(out[2], pa.int64()), "distinct": pa.array(out[3], pa.int64())})
     return run
 
 
@@ -275,39 +281,39 @@ class _Lookup:
 def _scores(shards: int, total: int, distinct: int, train_docs: int):
     n_all, v = total + train_docs, distinct + (train_docs > 0)
     scale = np.log10(n_all + 0.5 * (v + 1))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for r in range(b.num_rows):
-                ids, docs = b.column("ids")[r].as_py(), b.column("docs")[r].as_py()
-                answers = {(a["kind"], a["shard"]): a["found"] for a in b.column("answers")[r].as_py()}
-                train = [not held_out(i) for i in ids]
-                words = list(block_words(docs, train))
-                of, count = word_shards(words, shards), np.zeros(len(words), np.int64)
-                keys, _ = block_grams(docs, train)
-                of_gram, lp = gram_shards(keys, shards), np.zeros(len(keys))
-                for (kind, s), found in answers.items():
-                    if kind:
-                        lp[of_gram == s] = np.frombuffer(found)
-                    else:
-                        count[of == s] = np.frombuffer(found, np.int64)
-                at = dict(zip(words, range(len(words))))
-                look = _Lookup(keys)
-                log_c, known, end = np.log10(count + 0.5), count > 0, np.log10(train_docs + 0.5)
-                out = []
-                for i, d, t in zip(ids, docs, train):
-                    w = np.array([at[x] for x in d.lower().split()], np.int64)
-                    g = grams(d)
-                    score = sum(float(lp[look(g[lo:lo + SPAN])].sum()) for lo in range(0, len(g), SPAN))
-                    out.append((i, not t, len(w) + 1, int(known[w].sum()) + (train_docs > 0), n_all,
-                                float(log_c[w].sum() + end - (len(w) + 1) * scale), score))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(),
-                                                                pa.float64(), pa.float64()))],
-                    ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+    kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
+
+    def run(block: pa.Table, answers: pa.Table) -> pa.Table:
+        ids, docs = block.column("doc_id").to_pylist(), block.column("text").to_pylist()
+        words = list(block_words(docs, [False] * len(docs)))
+        keys, _ = block_grams(docs, [False] * len(docs))
+        by_word, word_cuts = word_shards(words, shards)
+        of_gram, lp, count = gram_shards(keys, shards), np.zeros(len(keys)), np.zeros(len(words), np.int64)
+        by_gram = np.argsort(of_gram, kind="stable")
+        gram_cuts = np.searchsorted(of_gram[by_gram], np.arange(shards + 1)).tolist()
+        for kind, s, found in zip(*[answers.column(c).to_pylist() for c in ("kind", "shard", "found")]):
+            if kind:
+                lp[by_gram[gram_cuts[s]:gram_cuts[s + 1]]] = np.frombuffer(found)
+            else:
+                count[by_word[word_cuts[s]:word_cuts[s + 1]]] = np.frombuffer(found, np.int64)
+        at = dict(zip(words, range(len(words))))
+        look = _Lookup(keys)
+        log_c, known, end = np.log10(count + 0.5), count > 0, np.log10(train_docs + 0.5)
+        out = []
+        for i, d in zip(ids, docs):
+            w = np.array([at[x] for x in d.lower().split()], np.int64)
+            g = grams(d)
+            score = sum(float(lp[look(g[lo:lo + SPAN])].sum()) for lo in range(0, len(g), SPAN))
+            out.append((i, held_out(i), len(w) + 1, int(known[w].sum()) + (train_docs > 0), n_all,
+                        float(log_c[w].sum() + end - (len(w) + 1) * scale), score))
+        return pa.table([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=[x.split()[0] for x in SCORES.split(", ")])
     return run
 
 
+SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+          "base_score double, score double")
+
+
 def scores(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row of ``docs``.
 
@@ -316,10 +322,8 @@ def scores(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """
     spark = docs.sparkSession
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = stored(ids_and_text(docs).mapInArrow(_blocks(block), "ids array<long>, docs array<binary>")
-                    .withColumn("block", F.monotonically_increasing_id()), "blocks")
-    asked = stored(blocks.select("block", "ids", "docs").mapInArrow(
-        _requests(shards), "kind int, shard int, block long, keys binary, counts binary"), "requests")
+    rows = stored(ids_and_text(docs).mapInArrow(_blocks(block, shards), TABLE), "blocks")
+    asked = rows.where("kind < 2").select("kind", "shard", "block", "keys", "counts")
     pairs = np.zeros(1 << 16, np.int64)
     for r in (asked.where("kind = 1").select("keys", "counts").mapInArrow(_pairs, "pair int, n long")
               .groupBy("pair").agg(F.sum("n").alias("n")).collect()):  # 65,536 rows at most
@@ -328,13 +332,11 @@ def scores(docs: DataFrame, block: int = BLOCK) -> DataFrame:
         _answer(pairs), "kind int, shard int, block long, found binary, tokens long, distinct long"), "answers")
     size = (found.where("kind = 0").groupBy("shard").agg(F.first("tokens").alias("t"), F.first("distinct").alias("d"))
             .agg(F.sum("t").alias("t"), F.sum("d").alias("d")).first())
-    per_block = found.groupBy("block").agg(F.collect_list(F.struct("kind", "shard", "found")).alias("answers"))
     remainder = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5
     train_docs = ids_and_text(docs).select("doc_id").where(remainder != 1).count()
-    return (blocks.join(per_block, "block").select("ids", "docs", "answers")
-            .mapInArrow(_scores(shards, size["t"] or 0, size["d"] or 0, train_docs),
-                        "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
-                        "base_score double, score double"))
+    in_block = rows.where("kind = 2").select("block", "doc_id", "text").groupBy("block")
+    return in_block.cogroup(found.select("block", "kind", "shard", "found").groupBy("block")).applyInArrow(
+        _scores(shards, size["t"] or 0, size["d"] or 0, train_docs), SCORES)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
