@@ -1,4 +1,4 @@
-"""Summarise the physical plan of every registered query (PLANS.md).
+"""Summarise the physical plan of every registered churn query (PLANS.md).
 
 usage: python tools/plan_summary.py [sf_dir] > PLANS.md
 
@@ -17,7 +17,7 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 EAGER = {"train_logreg", "train_rf", "threshold_predictions", "score_by_id", "score_from_json",
-         "ingest_incremental"}
+         "ingest_incremental", "load_bad_record_budget"}
 
 
 def summarise(plan: str) -> dict:
@@ -35,7 +35,7 @@ def summarise(plan: str) -> dict:
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as E
+    from retention.plans.catalog import QUERIES
     from retention.session import build_session
     spark = build_session("local[8]", 8)
     spark.sparkContext.setLogLevel("ERROR")
@@ -45,7 +45,7 @@ def main() -> None:
     print("| query | hash shuffles | range | single-partition | broadcasts | nested-loop joins |"
           " Python nodes | parquet scans | scans with pushed filters |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- | --- |")
-    for name, fn in sorted(E.queries().items()):
+    for name, fn in sorted(QUERIES.items()):
         if name in EAGER:
             print(f"| {name} | (builds jobs while defined: training, checkpoint or stream) | | | | | | | |")
             continue
