@@ -25,6 +25,8 @@ REMEMBERED, LONGEST, AT_A_TIME = 1_200_000, 48, 5_000
 
 #: Latin letters (whose lower case is one letter and which are in normal form), then ASCII punctuation but the apostrophe.
 _SIMPLE = re.compile("([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F]+)([!-&(-/:-@\\[-`{-~]*)")
+#: Single marks that may end a word of ASCII letters: ASCII punctuation but the apostrophe.
+_MARKS = {bytes([c]) for c in range(33, 127) if not chr(c).isalnum() and c != 39}
 
 
 def default_path() -> str:
@@ -63,43 +65,53 @@ class WordEncoder:
                         and split["pattern"].get("Regex") == r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
                         and not any(t["lstrip"] or t["rstrip"] or " " in t["content"] for t in conf["added_tokens"]))
         self.words, self.letters = Recent(remembered), Recent(remembered // 4)
-        self.marks: dict[str, bytes] = {"": b""}
+        self.marks: dict[bytes, bytes] = {b"": b""}
 
     def _library(self, parts: list[str]) -> list[bytes]:
         out = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in out]
 
-    def _letters(self, parts: list[str]) -> dict[str, bytes]:
+    def _letters(self, parts: list[bytes]) -> dict[bytes, bytes]:
         """Ids of runs of lower-case letters: each is one piece, so pieces can share a call."""
         out = {}
         for lo in range(0, len(parts), AT_A_TIME):
             some = parts[lo:lo + AT_A_TIME]
-            e = self.tokenizer.encode("\n".join(some), add_special_tokens=False)
+            e = self.tokenizer.encode(b"\n".join(some).decode("utf-8"), add_special_tokens=False)
             ids = np.array(e.ids, "<u4").tobytes()
             cuts = (4 * np.searchsorted(np.array(e.word_ids), np.arange(len(some) + 1))).tolist()
-            out.update((p, ids[s:t]) for p, s, t in zip(some, cuts, cuts[1:]))
+            out.update(zip(some, [ids[s:t] for s, t in zip(cuts, cuts[1:])]))
         return out
 
     def _new(self, words: list[bytes]) -> dict[bytes, bytes]:
-        out, simple, other = {}, [], []
+        simple, letters, marks, other = [], [], [], []
         for w in words:
-            if m := _SIMPLE.fullmatch(u := w.decode("utf-8")):
-                simple.append((w, m[1].lower(), m[2]))
+            if w.isalpha():  # ASCII letters
+                simple.append(w)
+                letters.append(w.lower())
+                marks.append(b"")
+            elif w[:-1].isalpha() and w[-1:] in _MARKS:
+                simple.append(w)
+                letters.append(w[:-1].lower())
+                marks.append(w[-1:])
+            elif m := _SIMPLE.fullmatch(w.decode("utf-8")):
+                simple.append(w)
+                letters.append(m[1].lower().encode())
+                marks.append(m[2].encode())
             else:
-                other.append((w, u))
-        out.update(zip([w for w, _ in other], self._library([u for _, u in other])))
-        known = self.letters.new
-        need = dict.fromkeys(x for _, x, _ in simple if x not in known)
-        found = self.letters.older(need)
-        fresh = self._letters([x for x in need if x not in found])
-        ids = {**{x: known[x] for _, x, _ in simple if x in known}, **found, **fresh}
+                other.append(w)
+        out = dict(zip(other, self._library([w.decode("utf-8") for w in other])))
+        need = dict.fromkeys(letters)
+        ids = {x: i for x in need if (i := self.letters.new.get(x)) is not None}
+        ids.update(self.letters.older([x for x in need if x not in ids]))
+        fresh = self._letters([x for x in need if x not in ids])
         self.letters.put(fresh)
-        for w, x, mark in simple:
-            if mark not in self.marks:
-                if len(self.marks) > 10_000:
-                    self.marks = {"": b""}
-                self.marks[mark] = self._library([mark])[0]
-            out[w] = ids[x] + self.marks[mark]
+        ids.update(fresh)
+        kinds = [m for m in set(marks) if m not in self.marks]
+        if len(self.marks) > 10_000:
+            self.marks, kinds = {b"": b""}, list(set(marks))
+        self.marks.update(zip(kinds, self._library([m.decode() for m in kinds])))
+        known = self.marks
+        out.update(zip(simple, [ids[x] + known[m] if m else ids[x] for x, m in zip(letters, marks)]))
         return out
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
