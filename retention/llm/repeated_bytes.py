@@ -11,14 +11,15 @@ texts are routed by content first, exactly:
 2. A context that occurs twice is repeated as a whole. An anchor with different
    contexts goes to an index: contexts of anchors that share documents are
    routed together, as disjoint pieces of their documents.
-3. An anchor with more than ``CROWD`` contexts is split: a string of ``LENGTH``
-   bytes around ``n`` known ones covers at least half of the others on the left
-   or on the right, so each context goes to the group that has the same longer
-   string on the left, and to that on the right; groups of one are done. This
-   ends at groups that share all ``LENGTH`` bytes, which are repeated.
-4. A task gathers pieces to about ``INDEX_BYTES``, builds their run-length index
-   (``run_index``), streams matching statistics, and reports for each context
-   the strings inside it that have a match.
+3. The contexts of an anchor that has more than ``CROWD`` different ones become
+   documents of their own, cut to the strings whose anchor it is (so that no
+   string is in two of them), and go through the same steps with longer anchors:
+   what they share inside a common passage becomes equal contexts, kept once. The
+   last anchors are the strings themselves, of which no group can be left.
+4. A route holds about ``INDEX_BYTES`` of pieces at most (or one group of 3). A task
+   builds run-length indexes (``run_index``) over one or more routes, streams
+   matching statistics, and reports for each context the strings inside it that
+   have a match.
 5. What was found for a context holds wherever it occurs.
 """
 
@@ -37,7 +38,11 @@ from retention.llm.common import groups_of, ids_and_text, stored, table, texts
 from retention.llm.run_index import RunIndex
 
 LENGTH, KGRAM = 200, 64
-CROWD, INDEX_BYTES, BLOCK = 2_000, 1_500_000, 2_000_000
+CROWD, INDEX_BYTES = 1_000, 1_500_000
+#: Lengths of anchors for crowds, one after the other; then the whole string.
+LONGER = (160, 192)
+#: Bytes hashed, indexed and handed over at a time: the first two fit a core's cache.
+BLOCK, BATCH_BYTES, SCAN_BYTES = 1 << 16, 200_000, 8_000_000
 _POSITION_BITS = np.uint64(22)
 _MASK = np.uint64((1 << 22) - 1)
 
@@ -49,12 +54,20 @@ def _byte_numbers() -> np.ndarray:
 
 
 def run_hashes(buf: bytes, k: int) -> np.ndarray:
-    """64-bit hash of the ``k`` bytes from each position on (k a power of two)."""
-    h, m = _byte_numbers()[np.frombuffer(buf, np.uint8)], 1
-    while m < k:
-        h = h[:-m] * np.uint64(2 * m * 0x632BE59BD9B4E019 % (1 << 64) | 1) + h[m:] if len(h) > m else h[:0]
+    """64-bit hash of the ``k`` bytes from each position on, from runs of 1, 2, 4 ... bytes."""
+    h, m, out, done = _byte_numbers()[np.frombuffer(buf, np.uint8)], 1, None, 0
+    n = len(h) - k + 1
+    if n < 1:
+        return h[:0]
+    while True:
+        if k & m:
+            part = h[done:done + n]
+            out = part if out is None else out * np.uint64(0x9E3779B97F4A7C15) + part
+            done += m
+        if 2 * m > k:
+            return out
+        h = h[:-m] * np.uint64(2 * m * 0x632BE59BD9B4E019 % (1 << 64) | 1) + h[m:]
         m *= 2
-    return h
 
 
 def _rightmost_minima(h: np.ndarray, width: int) -> np.ndarray:
@@ -103,7 +116,7 @@ def _scan(length: int, k: int, block: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             all_texts = texts(b)
-            for lo, hi in groups_of([len(t) for t in all_texts], 4 * block):
+            for lo, hi in groups_of([len(t) for t in all_texts], SCAN_BYTES):
                 docs = all_texts[lo:hi]
                 pos, a, c, n = [], [], [], [0]
                 for t, (p, h) in zip(docs, anchors(docs, length, k, block)):
@@ -128,29 +141,24 @@ def _same_row(docs: DataFrame, keys: DataFrame):
     return docs["doc_id"].eqNullSafe(keys["__id"]) & docs["text_hash"].eqNullSafe(keys["__hash"])
 
 
-def _split_crowds(crowd: DataFrame, length: int, k: int, limit: int) -> tuple[DataFrame | None, DataFrame | None]:
-    """Step 3 for contexts (a, c, rep, pos, n_bytes, ctx, at): groups small enough, and strings repeated as a whole.
+def _owned(length: int, k: int):
+    """From (a, c, pos, text): the part of the text whose strings have their anchor at ``pos``, and where
+    that part begins, as an offset from the anchor."""
+    left = length - k
 
-    Returns (key, a, c, rep, pos, n_bytes) and (a, c, s, e), offsets from the anchor; None where there is nothing.
-    """
-    ready, whole = [], []
-    now = crowd.withColumn("lo", F.lit(0)).withColumn("hi", F.lit(k))
-    known = k
-    while True:
-        half = (length - known + 1) // 2
-        longer = [now.withColumn("lo", F.col("lo") + half), now.withColumn("hi", F.col("hi") + half)]
-        now = longer[0].unionByName(longer[1]).where("lo <= at and hi <= octet_length(ctx) - at")
-        piece = F.substring("ctx", F.col("at") - F.col("lo") + 1, F.col("lo") + F.col("hi"))
-        now = now.withColumn("key", F.xxhash64("a", "lo", "hi", piece)).distinct()
-        sizes = now.groupBy("key").agg(F.count_distinct("c").alias("__n")).where("__n > 1")
-        now = stored(now.drop("__n").join(sizes, "key"), "crowd")
-        known += half
-        if known >= length:
-            return _union(ready), now.select("a", "c", (-F.col("lo")).alias("s"), F.col("hi").alias("e"))
-        ready.append(now.where(F.col("__n") <= limit).select("key", "a", "c", "rep", "pos", "n_bytes"))
-        now = now.where(F.col("__n") > limit)
-        if now.isEmpty():
-            return _union(ready), None
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for a, c, pos, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), texts(b)):
+                s = max(0, pos - left)
+                ctx = t[s:pos + length]
+                own = np.flatnonzero(_rightmost_minima(run_hashes(ctx, k), left + 1) == pos - s)
+                out.append((a, c, int(own[0]) + s - pos, ctx[own[0]:own[-1] + length]))
+            if out:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
+                    ["a", "c", "at", "text"])
+    return run
 
 
 def _union(frames: list[DataFrame]) -> DataFrame | None:
@@ -190,8 +198,8 @@ def _pieces(length: int, k: int):
     return run
 
 
-def _indexed(length: int, k: int, index_bytes: int):
-    """Steps 4: marks (a, c, s, e), offsets from the anchor, of rows sorted by (home, part)."""
+def _indexed(length: int, k: int):
+    """Step 4: marks (a, c, s, e), offsets from the anchor, of rows sorted by (home, part)."""
     left = length - k
 
     def marks(rows: list[tuple]) -> list[tuple[int, int, int, int]]:
@@ -229,7 +237,7 @@ def _indexed(length: int, k: int, index_bytes: int):
                 ["a", "c", "s", "e"])
         for b in batches:
             for home, part, rep, at, piece, units in zip(*[b.column(i).to_pylist() for i in range(6)]):
-                if size > index_bytes and (home, part) != last:
+                if size > BATCH_BYTES and (home, part) != last:
                     yield flush()
                     size = 0
                 last = (home, part)
@@ -263,15 +271,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["row", "n_removed", "n_spans", "kept_sha256", "spans"])
 
 
-def repeated_strings(docs: DataFrame, length: int = LENGTH, k: int = KGRAM, crowd: int = CROWD,
-                     index_bytes: int = INDEX_BYTES, block: int = BLOCK) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans) for each row of ``docs``.
-
-    Null text is empty; texts under ``length`` bytes lose nothing. Repeated rows
-    are each other's match, so all of them lose what is long enough.
-    """
-    keyed = ids_and_text(docs).withColumn("text_hash", F.xxhash64("text"))
-    rows = stored(keyed.mapInArrow(_scan(length, k, block), ROWS).withColumn("row", F.monotonically_increasing_id()), "rows")
+def _found(rows: DataFrame, with_text, length: int, ladder: list[int], crowd: int, index_bytes: int, block: int) -> DataFrame:
+    """(row, s, e): repeated strings of stored ``rows`` (row, n_bytes, anchors). ``ladder``: the length of
+    their anchors and those for crowds; ``with_text``: adds ``text`` to rows by their column ``rep``."""
+    k = ladder[0]
     each = rows.select("row", "n_bytes", F.inline("anchors"))
     contexts = each.groupBy("a", "c").agg(F.count("*").alias("n"), F.first("row").alias("rep"),
                                           F.first("pos").alias("pos"), F.first("n_bytes").alias("n_bytes"))
@@ -281,40 +284,58 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH, k: int = KGRAM, crow
     reach_l, reach_r = F.least(F.col("pos"), F.lit(length - k)), F.least(F.col("n_bytes") - F.col("pos"), F.lit(length))
     marks = [contexts.where("n > 1").select("a", "c", (-reach_l).alias("s"), reach_r.alias("e"))]
 
-    key_of = rows.select(F.col("row").alias("rep"), F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
-    units = contexts.where((F.col("n_ctx") > 1) & (F.col("n_ctx") <= crowd)).select(
-        F.col("a").alias("key"), "a", "c", "rep", "pos", "n_bytes")
-    crowded = contexts.where(F.col("n_ctx") > crowd)
-    if not crowded.isEmpty():
-        keys = crowded.join(key_of, "rep")
-        cut = (keyed.join(keys, _same_row(keyed, keys))
-               .withColumn("at", reach_l).withColumn("ctx", F.substring(F.col("text").cast("binary"), F.col("pos") - F.col("at") + 1,
-                                                                      F.col("at") + reach_r))
-               .select("a", "c", "rep", "pos", "n_bytes", "ctx", "at"))
-        ready, whole = _split_crowds(stored(cut, "crowded"), length, k, crowd)
-        units = units.unionByName(ready) if ready is not None else units
-        marks += [whole] if whole is not None else []
-
+    units = contexts.where("n_ctx > 1")
+    crowded = units.where(F.col("n_ctx") > crowd).select("a", "c", "pos", "rep")
+    if len(ladder) > 1 and not crowded.isEmpty():
+        units = units.where(F.col("n_ctx") <= crowd)
+        part = stored(with_text(crowded).select("a", "c", "pos", "text").mapInArrow(
+            _owned(length, k), "a long, c long, at int, text binary").dropDuplicates(["a", "c"])
+            .withColumn("row", F.monotonically_increasing_id()), "crowd")
+        small = stored(part.select(F.col("row").alias("doc_id"), "text", F.col("row").alias("text_hash"))
+                       .mapInArrow(_scan(length, ladder[1], block), ROWS)
+                       .select(F.col("doc_id").alias("row"), "n_bytes", "anchors"), "crowd_rows")
+        text_of = part.select(F.col("row").alias("rep"), "text")
+        inner = _found(small, lambda df: df.join(text_of, "rep"), length, ladder[1:], crowd, index_bytes, block)
+        marks.append(inner.join(part.select("row", "a", "c", "at"), "row")
+                     .select("a", "c", (F.col("at") + F.col("s")).alias("s"), (F.col("at") + F.col("e")).alias("e")))
+
+    units = units.select(F.col("a").alias("key"), "a", "c", "rep", "pos")
     label = units.groupBy("rep").agg(F.min("key").alias("label"))
     home = units.join(label, "rep").groupBy("key").agg(F.min("label").alias("home"))
     homed = stored(units.join(home, "key"), "units")
-    parts = homed.groupBy("home").agg(F.ceil(F.count("*") * F.lit(2.0 * (length - k)) / index_bytes).cast("int").alias("parts"))
+    parts = homed.groupBy("home").agg(
+        F.greatest(F.lit(1), F.ceil(F.count("*") * F.lit(2.0 * (length - k)) / index_bytes)).cast("int").alias("parts"))
     routed = homed.join(parts, "home").select("rep", F.struct(
         "home", F.pmod(F.xxhash64("key"), "parts").cast("int").alias("part"), "a", "c", "pos").alias("u"))
-    by_doc = routed.groupBy("rep").agg(F.collect_set("u").alias("units")).join(key_of, "rep")
-    placed = (keyed.join(by_doc, _same_row(keyed, by_doc)).select("rep", "units", "text")
-              .mapInArrow(_pieces(length, k), "home long, part int, rep long, at int, piece binary, "
-                                              "units array<struct<a:bigint,c:bigint,pos:int>>"))
+    by_doc = routed.groupBy("rep").agg(F.collect_set("u").alias("units"))
+    placed = with_text(by_doc).select("rep", "units", "text").mapInArrow(
+        _pieces(length, k), "home long, part int, rep long, at int, piece binary, units array<struct<a:bigint,c:bigint,pos:int>>")
     marks.append(placed.repartition("home", "part").sortWithinPartitions("home", "part", "rep", "at")
-                 .mapInArrow(_indexed(length, k, index_bytes), "a long, c long, s int, e int"))
+                 .mapInArrow(_indexed(length, k), "a long, c long, s int, e int"))
 
     of_context = stored(_union(marks).groupBy("a", "c").agg(F.collect_set(F.struct("s", "e")).alias("m")), "marks")
-    spans = (each.select("row", "pos", "a", "c").join(of_context, ["a", "c"])
-             .select("row", "pos", F.inline("m")).select("row", (F.col("pos") + F.col("s")).alias("s"), (F.col("pos") + F.col("e")).alias("e"))
-             .groupBy("row").agg(F.collect_list(F.struct("s", "e")).alias("found")))
-    spans = spans.join(rows.select("row", F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")), "row")
+    return (each.select("row", "pos", "a", "c").join(of_context, ["a", "c"])
+            .select("row", "pos", F.inline("m")).select("row", (F.col("pos") + F.col("s")).alias("s"), (F.col("pos") + F.col("e")).alias("e")))
+
+
+def repeated_strings(docs: DataFrame, length: int = LENGTH, k: int = KGRAM, crowd: int = CROWD,
+                     index_bytes: int = INDEX_BYTES, block: int = BLOCK, longer: tuple[int, ...] = LONGER) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans) for each row of ``docs``.
+
+    Null text is empty; texts under ``length`` bytes lose nothing. Repeated rows
+    are each other's match, so all of them lose what is long enough.
+    """
+    keyed = ids_and_text(docs).withColumn("text_hash", F.xxhash64("text"))
+    rows = stored(keyed.mapInArrow(_scan(length, k, block), ROWS).withColumn("row", F.monotonically_increasing_id()), "rows")
+    key_of = rows.select("row", F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
     once = keyed.dropDuplicates(["doc_id", "text_hash"]) if _has_repeats(rows) else keyed
-    done = (once.join(spans, _same_row(once, spans)).select("row", "found", "text")
+
+    def with_text(df: DataFrame, row: str = "rep") -> DataFrame:
+        keys = df.join(key_of.withColumnRenamed("row", row), row)
+        return once.join(keys, _same_row(once, keys))
+    found = _found(rows.select("row", "n_bytes", "anchors"), with_text, length, [k, *longer, length], crowd, index_bytes, block)
+    spans = found.groupBy("row").agg(F.collect_list(F.struct("s", "e")).alias("found"))
+    done = (with_text(spans, "row").select("row", "found", "text")
             .mapInArrow(_cut, "row long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:int,stop:int>>"))
     return rows.select("row", "doc_id", "n_bytes", "sha256").join(done, "row", "left").select(
         "doc_id", F.col("n_bytes").cast("long").alias("n_bytes"), F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),

@@ -14,14 +14,18 @@ from __future__ import annotations
 import numpy as np
 
 
-def suffix_order(code: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
-    """Suffix array of texts given as letters (separators 0), by prefix doubling over open groups.
+def suffix_order(code: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, list[tuple[int, np.ndarray]], int]:
+    """Suffix array of texts given as letters (separators 0), by prefix multiplication over open groups.
 
     ``stop`` has, for each position, the separator that ends its text. Separators
-    count as different, the earlier one smaller. Also returns, for 7, 14, 28 ...
-    letters, a rank that is equal where that many letters are.
+    count as different, the earlier one smaller. Also returns, for 7 letters and
+    then ``times`` as many again and again, a rank that is equal where so many
+    letters are; and ``times``: as many ranks as fit one sort key, 3 up to two
+    million letters.
     """
     n = len(code)
+    bits = np.uint64(n.bit_length())
+    times = 63 // int(bits)
     key = np.zeros(n, np.uint64)
     ended = np.zeros(n, bool)
     padded = np.concatenate([code, np.zeros(8, code.dtype)]).astype(np.uint64)
@@ -29,30 +33,38 @@ def suffix_order(code: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, list[t
         letter = np.where(ended, np.uint64(0), padded[j:n + j])
         key = (key << np.uint64(9)) | letter
         ended |= letter == 0
-    order = np.argsort(key, kind="stable")
-    first = np.append(True, key[order][1:] != key[order][:-1])
+    order = np.argsort(key)
+    key = key[order]
+    first = np.append(True, key[1:] != key[:-1])
     head = np.maximum.accumulate(np.where(first, np.arange(n), 0))
-    rank = np.empty(n, np.int64)
+    rank = np.empty(n, np.int32)
     rank[order] = head
-    ranks, h = [(7, rank.astype(np.int32))], 7
+    ranks, h = [(7, rank.copy())], 7
     size = np.diff(np.append(np.flatnonzero(first), n))
     open_ = np.flatnonzero(np.repeat(size > 1, size))
     open_ = open_[stop[order[open_]] - order[open_] >= h]
     while len(open_):
         at = order[open_]
-        nxt = at + h
-        key = (rank[at] << 32) | np.where(nxt <= stop[at], rank[np.minimum(nxt, n - 1)] + 1, 0)
-        by = np.argsort(key, kind="stable")
-        at, key = at[by], key[by]
+        room = stop[at] - at
+        key = rank[at].astype(np.uint64)
+        for j in range(1, times):
+            nxt = np.where(room >= j * h, rank[np.minimum(at + j * h, n - 1)] + 1, 0)
+            key = (key << bits) | nxt.astype(np.uint64)
+        by = np.argsort(key)
+        at, key, room = at[by], key[by], room[by]
         order[open_] = at
         first = np.append(True, key[1:] != key[:-1])
-        heads = np.repeat(open_[first], np.diff(np.append(np.flatnonzero(first), len(at))))
-        rank[at] = heads
-        h *= 2
-        ranks.append((h, rank.astype(np.int32)))
         size = np.diff(np.append(np.flatnonzero(first), len(at)))
-        open_ = open_[np.repeat(size > 1, size) & (stop[at] - at >= h)]
-    return order, ranks
+        rank[at] = np.repeat(open_[first], size)
+        h *= times
+        ranks.append((h, rank.copy()))
+        open_ = open_[np.repeat(size > 1, size) & (room >= h)]
+    # What is still equal ends in separators: the earlier one is smaller.
+    rank = rank[order]
+    tied = np.append(rank[1:] == rank[:-1], False)
+    tied = np.flatnonzero(tied | np.append(False, tied[:-1]))
+    order[tied] = order[tied][np.lexsort((order[tied], rank[tied]))]
+    return order, ranks, times
 
 
 class RunIndex:
@@ -64,7 +76,7 @@ class RunIndex:
         ends = np.cumsum([len(p) for p in parts])
         self.begin = ends - [len(p) for p in parts]
         self.stop = np.repeat(ends - 1, [len(p) for p in parts])
-        order, self.ranks = suffix_order(self.code, self.stop)
+        order, self.ranks, self.times = suffix_order(self.code, self.stop)
         bwt = self.code[order - 1]
         new = np.append(True, (bwt[1:] != bwt[:-1]) | (bwt[1:] == 0))
         self.n_runs = int(new.sum())
@@ -80,9 +92,13 @@ class RunIndex:
         room = np.minimum(self.stop[i] - i, self.stop[j] - j)
         for k in range(len(self.ranks) - 1, -1, -1):
             h, rank = self.ranks[k]
-            same = (rank[np.minimum(i, len(rank) - 1)] == rank[np.minimum(j, len(rank) - 1)]) & (room - out >= h)
-            step = np.where(same, h, 0)
-            i, j, out = i + step, j + step, out + step
+            live = np.flatnonzero(room - out >= h)
+            for _ in range(self.times - 1):
+                live = live[rank[i[live]] == rank[j[live]]]
+                i[live] += h
+                j[live] += h
+                out[live] += h
+                live = live[room[live] - out[live] >= h]
         live = np.flatnonzero(room > out)
         while len(live):
             live = live[self.code[i[live]] == self.code[j[live]]]

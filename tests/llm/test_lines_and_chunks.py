@@ -196,7 +196,7 @@ def test_repeat_query_against_brute_force(spark, sf_docs):
     assert dict(zip([r.doc_id for r in rows], removal(rows))) == want and any(w[1] for w in want.values())
 
 
-@pytest.mark.parametrize("crowd, index_bytes, block", [(2, 3000, 700), (2000, 1_500_000, 2_000_000)])
+@pytest.mark.parametrize("crowd, index_bytes, block", [(2, 3000, 700), (rb.CROWD, rb.INDEX_BYTES, rb.BLOCK)])
 def test_planted_repeats(spark, table_of, crowd, index_bytes, block):
     """Periods, overlaps, exactly 199 / 200 / 201 shared bytes, crowds; small limits take every other path."""
     rng = random.Random(3)
