@@ -381,7 +381,9 @@ def _q(spark, d):
 
 
 def _split(spark, d):
-    return MD.stratified_split(features_all(spark, d))
+    """The split, written once: fitting and applying both read it."""
+    checkpoint_dir(spark)
+    return MD.stratified_split(features_all(spark, d)).checkpoint(eager=True)
 
 
 @query("impute_median")
