@@ -230,7 +230,7 @@ def _indexed(length: int, k: int):
         size, last = 0, None
 
         def flush():
-            found = marks(held) if len(held) > 1 else []
+            found = marks(held)
             held.clear()
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*found) if found else [[]] * 4, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))],

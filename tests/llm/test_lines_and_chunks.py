@@ -224,3 +224,22 @@ def test_repeats_awkward(spark, table_of, awkward):
     assert sorted(zip([r.doc_id for r in rows], removal(rows)), key=lambda x: key(*x)) == \
         sorted(zip([d for d, _ in awkward], want), key=lambda x: key(*x))
     assert rb.repeated_strings(table_of([])).count() == 0
+
+
+@pytest.mark.parametrize("partitions", [4, 64])
+def test_the_only_document_that_repeats_itself(spark, table_of, partitions):
+    """Its one merged piece is alone in its task, whatever the number of partitions."""
+    rng = random.Random(8)
+
+    def noise(n):
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        for texts in ([noise(250) * 2], [noise(100) * 3, noise(400)], [noise(250) * 2, noise(300) * 2, noise(700)]):
+            rows = rb.repeated_strings(table_of(list(enumerate(texts)))).collect()
+            rows.sort(key=lambda r: r.doc_id)
+            want = expected_removal([t.encode() for t in texts])
+            assert removal(rows) == want and want[0][1] == len(texts[0])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
