@@ -15,8 +15,10 @@ labelled documents are split in two by a hash of their id:
   most bad documents at ``COST`` bad ones for each good one it loses; a rule
   that gains nothing stays off. The toxic word list comes from this half, too.
 
-Strata with too few labels for a certificate use the one of all strata together
-(stratum ``*``), which then holds for the mixture only.
+A (stratum, rule) whose certifying half is too small to pass even with no good
+document rejected uses the cutoff of all strata together (stratum ``*``), which
+then holds for the mixture only. Where the half is large enough and the test failed
+or the rule gains nothing, the rule is off in that stratum: its cutoff is infinite.
 
 All of it is built-in column functions, aggregates and joins. Labelled rows used
 are bounded: ``LEXICON_ROWS`` for the word list, ``CALIBRATION_ROWS`` for the
@@ -26,6 +28,8 @@ the broadcast of these rows has a fixed bound.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -134,7 +138,9 @@ def toxic_words(docs: DataFrame, labels: DataFrame) -> list[str]:
 
 
 def calibrate(measured: DataFrame, labels: DataFrame) -> DataFrame:
-    """(stratum, cutoffs map<rule, cutoff>): the rules in force in each stratum; ``*`` is all together.
+    """(stratum, cutoffs map<rule, cutoff>): the rules settled in each stratum, infinite where off; ``*`` is all together.
+
+    A rule is missing where the stratum has too few labels to settle it.
 
     ``measured``: (__id, __stratum, m) of the labelled documents at least.
     """
@@ -158,10 +164,13 @@ def calibrate(measured: DataFrame, labels: DataFrame) -> DataFrame:
         a -> a.s) end""")
     failed = F.max((F.col("tail") > DELTA / families).cast("int")).over(
         Window.partitionBy("stratum", "rule").orderBy("step"))
-    best = (hits.withColumn("tail", tail).withColumn("failed", failed).where("failed = 0")
-            .withColumn("gain", F.col("caught") - COST * F.col("lost")).where("gain > 0")
-            .groupBy("stratum", "rule").agg(F.max_by("cutoff", F.struct("gain", -F.col("step"))).alias("cutoff")))
-    return best.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs"))
+    enough = F.max("n") * math.log(1 - LIMIT) <= math.log(DELTA / families)
+    settled = (hits.withColumn("tail", tail).withColumn("failed", failed)
+               .withColumn("gain", F.col("caught") - COST * F.col("lost")).groupBy("stratum", "rule")
+               .agg(F.coalesce(F.expr("max_by(cutoff, struct(gain, -step)) filter (where failed = 0 and gain > 0)"),
+                               F.when(enough, F.lit(math.inf))).alias("cutoff"))
+               .where("cutoff is not null"))
+    return settled.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs"))
 
 
 def _stratum(stratum: str) -> Column:

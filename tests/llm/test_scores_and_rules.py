@@ -195,3 +195,27 @@ def test_rules_without_labels_and_awkward(spark, table_of, awkward):
 def test_rules_run_without_python(spark):
     plan = qr.query(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def signals(spark, n, stratum, symbols):
+    """(__id, __stratum, m) of ``n`` rows of 100 words; SQL over id gives the stratum and the number of symbols."""
+    return spark.range(n).selectExpr("id as __id", f"{stratum} as __stratum", f"""named_struct('n_words', 100L, 'word_chars', 500L,
+        'n_symbols', cast({symbols} as bigint), 'n_dup_lines', 0L, 'n_repeat_words', 0L, 'n_lines', 5L, 'n_capitals', 0L,
+        'n_toxic', 0L) as m""")
+
+
+def test_pooled_cutoff_only_where_labels_are_too_few(spark):
+    """xx: good rows full of symbols; ww: no bad rows; yy: ten labels; zz: none; the rest is en, a fifth of it bad."""
+    stratum = """case when id >= 20000 then 'zz' when id % 50 = 0 then 'xx' when id % 50 = 1 then 'ww'
+                 when id % 2000 = 7 then 'yy' else 'en' end"""
+    measured = signals(spark, 20100, stratum, "if(id % 50 = 0 or id % 10 in (3, 7), 100, 0)")
+    labels = spark.range(20000).selectExpr("id as doc_id", "if(id % 10 in (3, 7), 0, 1) as quality", "0 as toxic")
+    cutoffs = qr.calibrate(measured, labels)
+    found = {r.stratum: r.cutoffs for r in cutoffs.collect()}
+    assert found["*"]["symbols"] < 1 and found["en"]["symbols"] < 1
+    assert found["xx"]["symbols"] == found["ww"]["symbols"] == math.inf and "yy" not in found and "zz" not in found
+    rows = qr._verdict(measured, cutoffs).groupBy("__stratum").agg(
+        F.count_if("__kept").alias("kept"), F.count_if(F.col("m.n_symbols") == 0).alias("clean"), F.count("*").alias("n")).collect()
+    rows = {r["__stratum"]: r for r in rows}
+    assert rows["xx"].kept == rows["xx"].n == 400
+    assert all(rows[s].kept == rows[s].clean for s in ("en", "ww", "yy", "zz")) and rows["yy"].clean == 0 < rows["zz"].clean
