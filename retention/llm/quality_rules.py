@@ -20,10 +20,11 @@ document rejected uses the cutoff of all strata together (stratum ``*``), which
 then holds for the mixture only. Where the half is large enough and the test failed
 or the rule gains nothing, the rule is off in that stratum: its cutoff is infinite.
 
-All of it is built-in column functions, aggregates and joins. Labelled rows used
-are bounded: ``LEXICON_ROWS`` for the word list, ``CALIBRATION_ROWS`` for the
-cutoffs, both by smallest hash of the id; so the binomial sums stay short and
-the broadcast of these rows has a fixed bound.
+All of it is built-in column functions, aggregates and joins. The cutoffs rest on
+all labels: these are joined by id and only counts for each (stratum, rule, cutoff)
+are left, from which the tail is summed (a term for each good document lost, LIMIT
+of them at most). The word list is fitted on ``LEXICON_ROWS`` labels by smallest
+hash of the id, so their broadcast has a fixed bound.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ from retention.llm.common import columns_of, stored, table
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 LIMIT, DELTA, COST = 0.05, 0.1, 5.0
-LEXICON_ROWS, CALIBRATION_ROWS = 20_000, 200_000
+LEXICON_ROWS = 20_000
 LEXICON_SIZE, LEXICON_DOCS, LEXICON_RATIO = 1_000, 4, 20.0
 
 #: Fixed values of the contract: white space, symbols.
@@ -108,14 +109,14 @@ def _signals() -> list[Column]:
     return [F.expr(re.sub(names, r"m.\1", expr)).cast("double").alias(rule) for rule, (expr, _) in RULES.items()]
 
 
-def _labelled(labels: DataFrame, rows: int) -> DataFrame:
-    """At most ``rows`` labels (smallest hash of the id first): __id, good, half (0 fits, 1 certifies)."""
+def _labelled(labels: DataFrame, rows: int | None = None) -> DataFrame:
+    """The labels, or ``rows`` of them at most (smallest hash of the id first): __id, good, half (0 fits, 1 certifies)."""
     one = (labels.where("doc_id is not null and quality is not null").groupBy("doc_id")
            .agg(F.min("quality").alias("quality"), F.max(F.coalesce("toxic", F.lit(0))).alias("toxic")))
-    return (one.select(F.col("doc_id").cast("long").alias("__id"), "toxic",
-                       ((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("good"),
-                       F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)).alias("half"))
-            .orderBy(F.xxhash64(F.lit("sample"), "__id"), "__id").limit(rows))
+    out = one.select(F.col("doc_id").cast("long").alias("__id"), "toxic",
+                     ((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("good"),
+                     F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)).alias("half"))
+    return out if rows is None else out.orderBy(F.xxhash64(F.lit("sample"), "__id"), "__id").limit(rows)
 
 
 def toxic_words(docs: DataFrame, labels: DataFrame) -> list[str]:
@@ -144,10 +145,9 @@ def calibrate(measured: DataFrame, labels: DataFrame) -> DataFrame:
 
     ``measured``: (__id, __stratum, m) of the labelled documents at least.
     """
-    rows = F.broadcast(_labelled(labels, CALIBRATION_ROWS))
     grid = F.array(*[F.struct(F.lit(rule).alias("rule"), F.lit(i).alias("step"), F.lit(float(c)).alias("cutoff"))
                      for rule, (_, cuts) in RULES.items() for i, c in enumerate(cuts)])
-    shown = measured.join(rows, "__id").where(~base_failed()).select("__stratum", "good", "half", F.struct(*_signals()).alias("v"))
+    shown = measured.join(_labelled(labels), "__id").where(~base_failed()).select("__stratum", "good", "half", F.struct(*_signals()).alias("v"))
     value = F.coalesce(*[F.when(F.col("g.rule") == r, F.col(f"v.{r}")) for r in RULES])
     hits = (shown.select("*", F.explode(F.array("__stratum", F.lit("*"))).alias("stratum"))
             .select("stratum", "good", "half", "v", F.explode(grid).alias("g"))
@@ -199,11 +199,9 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFram
     count once, at their worst.
     """
     lexicon = toxic_words(docs, labels)
-    some = docs.select(F.col("doc_id").cast("long").alias("__id"), "text", _stratum(stratum)).join(
-        F.broadcast(_labelled(labels, CALIBRATION_ROWS).select("__id")), "__id")
-    cutoffs = calibrate(measure(some, lexicon).select("__id", "__stratum", "m"), labels)
     renamed = {c: f"__in_{i}" for i, c in enumerate(docs.columns) if c not in ("text", stratum)}
-    d = measure(docs.withColumnsRenamed(renamed).withColumn("__stratum", _stratum(stratum)), lexicon)
+    d = stored(measure(docs.withColumnsRenamed(renamed).withColumn("__stratum", _stratum(stratum)), lexicon), "measured")
+    cutoffs = calibrate(d.select(F.col(renamed["doc_id"]).cast("long").alias("__id"), "__stratum", "m"), labels)
     back = [F.col(renamed[c]).alias(c) if c in renamed else F.col(c) for c in docs.columns]
     return _verdict(d, cutoffs).select(*back, F.col("m").alias("__m"), "__base_failed", "__kept")
 

@@ -219,3 +219,11 @@ def test_pooled_cutoff_only_where_labels_are_too_few(spark):
     rows = {r["__stratum"]: r for r in rows}
     assert rows["xx"].kept == rows["xx"].n == 400
     assert all(rows[s].kept == rows[s].clean for s in ("en", "ww", "yy", "zz")) and rows["yy"].clean == 0 < rows["zz"].clean
+
+
+def test_cutoffs_rest_on_all_labels(spark):
+    """A language with 400 of 300,000 labels, 200 of them good, has its own certificate."""
+    measured = signals(spark, 300_000, "if(id % 1000 in (0, 1) and id < 200000, 'rare', 'en')", "if(id % 2 = 1, 100, 0)")
+    labels = spark.range(300_000).selectExpr("id as doc_id", "if(id % 2 = 1, 0, 1) as quality", "0 as toxic")
+    found = {r.stratum: r.cutoffs for r in qr.calibrate(measured, labels).collect()}
+    assert found["rare"]["symbols"] < 1 and found["en"]["symbols"] < 1
