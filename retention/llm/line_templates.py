@@ -3,11 +3,17 @@
 A line's leaf in the tree is its number of tokens and its first ``DEPTH``
 tokens; a token with a digit counts as a variable field there and everywhere
 (``<*>``). Inside a leaf, a token is constant at its position when at least
-``MIN_DOCS`` lines of the leaf, counted once for each document, have it there,
-and variable otherwise. The line's template is its leaf with variable positions
-generalised; it stands for the line if at least ``SIMILARITY`` of the fields
-without digits are constant. A template found in ``MIN_DOCS`` documents recurs:
-its first line (smallest doc_id, then position) stays, its others are dropped.
+``MIN_DOCS`` lines of the leaf have it there, and variable otherwise. The line's
+template is its leaf with variable positions generalised; it stands for the line
+if at least ``SIMILARITY`` of the fields without digits are constant. A template
+found in ``MIN_DOCS`` documents recurs: its first line (smallest doc_id, then
+position) stays, its others are dropped.
+
+In a leaf of more than ``MIN_DOCS / SHARE`` lines the values of a variable field
+reach ``MIN_DOCS`` by the size of the leaf alone. There a line has a second, wider
+template of the tokens that at least ``SHARE`` of the leaf's lines have at their
+position, under the same conditions, and goes if either recurs before it. Lines of
+one template share the wider one, too, so the first line of the wider one stays.
 
 The tree is never held in one place: leaves, then tokens of their positions,
 then templates are counted by Spark with partial sums. A bit filter of fixed
@@ -28,7 +34,7 @@ from pyspark.sql import functions as F
 
 from retention.llm.common import columns_of, ids_and_text, stored, table, texts
 
-DEPTH, MIN_DOCS, SIMILARITY = 3, 5, 0.75
+DEPTH, MIN_DOCS, SIMILARITY, SHARE = 3, 5, 0.75, 0.05
 FIELD = b"<*>"
 #: Bits of the filter of frequent leaves (2 MB).
 FILTER_BITS = 24
@@ -111,16 +117,23 @@ def line_groups(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, s
                                                F.count("*").alias("n")), "lines")
     tokens = (distinct.select("key", "leaf", "n", F.posexplode(F.split(F.col("masked").cast("string"), " ")).alias("pos", "token"))
               .where(F.col("token") != FIELD.decode()))
+    large = distinct.groupBy("leaf").agg(F.sum("n").alias("size")).where(F.col("size") * SHARE > min_docs)
     constant = (tokens.groupBy("leaf", "pos", "token").agg(F.sum("n").alias("n")).where(F.col("n") >= min_docs)
-                .select("leaf", "pos", "token", F.lit(1).alias("constant")))
+                .join(large, "leaf", "left")
+                .select("leaf", "pos", "token", F.coalesce(F.col("n") >= SHARE * F.col("size"), F.lit(True)).alias("wide")))
     marked = tokens.join(constant, ["leaf", "pos", "token"], "left")
+
+    def template_of(kept: str):
+        stands = (F.size(kept) > 0) & (F.size(kept) >= similarity * F.col("fields"))
+        return F.when(stands, F.sha2(F.to_json(F.struct("leaf", F.col(kept).alias("kept"))), 256))
     template = (marked.groupBy("key").agg(
-        F.first("leaf").alias("leaf"), F.count("*").alias("fields"), F.count("constant").alias("constants"),
-        F.array_sort(F.collect_list(F.when(F.col("constant") == 1, F.struct("pos", "token")))).alias("kept"))
-        .where((F.col("constants") > 0) & (F.col("constants") >= similarity * F.col("fields")))
-        .select("key", F.sha2(F.to_json(F.struct("leaf", "kept")), 256).alias("template")))
+        F.first("leaf").alias("leaf"), F.count("*").alias("fields"),
+        F.array_sort(F.collect_list(F.when(F.col("wide").isNotNull(), F.struct("pos", "token")))).alias("narrow"),
+        F.array_sort(F.collect_list(F.when(F.col("wide"), F.struct("pos", "token")))).alias("broad"))
+        .select("key", F.array_distinct(F.array_compact(F.array(template_of("narrow"), template_of("broad")))).alias("templates"))
+        .where(F.size("templates") > 0))
     placed = stored(lines.select("doc_id", "text_hash", "no", "key").join(template, "key")
-                    .select("doc_id", "text_hash", "no", "template"), "placed")
+                    .select("doc_id", "text_hash", "no", F.explode("templates").alias("template")), "placed")
     order = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "text_hash", "no")
     recurring = (placed.groupBy("template", "doc_id", "text_hash").agg(F.min("no").alias("no"))
                  .groupBy("template").agg(F.count("*").alias("docs"), F.min(order).alias("first"))

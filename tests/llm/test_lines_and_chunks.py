@@ -72,6 +72,24 @@ def test_lines_awkward(spark, table_of, awkward):
     assert kept[0] == (same[0][1], len(same[0][1])) and all(kept[i] == ("mine " + chr(97 + i) * 3, 8) for i in range(1, 7))
 
 
+@pytest.mark.parametrize("n", [100, 100_000])
+def test_word_fields_are_generalised_at_every_size(spark, table_of, n):
+    """Two variable words of 1,000 values each: one template, whether a value is in the leaf once or 100 times.
+    Lines of another leaf that only recur as they are go, too."""
+    rng = random.Random(9)
+    name = ["".join(rng.choice("abcdefghij") for _ in range(9)) for _ in range(1000)]
+    lines = [f"Letter sent to {rng.choice(name)} living in {rng.choice(name)} today" for _ in range(n)]
+    per = n // 100
+    docs = [(i, "\n".join([*lines[i * per:(i + 1) * per], f"One two three {name[i % 20]} {name[i % 20]} {name[i % 20]}"]))
+            for i in range(100)]
+    if n > 100:
+        docs = [(i, t + "".join(f"\nOne two three {x} {x} {x}" for x in name[:20])) for i, t in docs]
+    rows = lt.drop_lines(table_of(docs), lt.line_groups(table_of(docs))).orderBy("doc_id").collect()
+    left = [x for r in rows for x in r.text.split("\n")]
+    assert [x for x in left if x.startswith("Letter")] == lines[:1]
+    assert len([x for x in left if x.startswith("One")]) == 20
+
+
 # ---- chunks
 
 def plain_chunks(text):
