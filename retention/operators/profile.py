@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from retention.functions import guarded_corr
-from retention.operators.quantiles import exact_quantiles, long_values, quantile_wide
+from retention.operators.quantiles import long_values, quantile_wide, sketched_quantiles
 from retention.schemas import PROFILE_CATEGORICAL_CANDIDATES, PROFILE_NUMERIC_CANDIDATES
 
 LABEL = "churn_label"
@@ -52,7 +52,7 @@ def _quartiles(df: DataFrame, num: list[str], by: list[str], exact: bool) -> Dat
     or a single-pass percentile_approx sketch per group (bounded buffers)."""
     probs = [0.25, 0.5, 0.75]
     if exact:
-        return exact_quantiles(df, num, probs, by=by)
+        return sketched_quantiles(df, num, probs, by=by)
     q = (long_values(df, num, by).groupBy(*by, "column")
          .agg(F.percentile_approx("value", probs, APPROX_ACCURACY).alias("_q")))
     return q.select(*by, "column", F.posexplode("_q").alias("_i", "value")) \
