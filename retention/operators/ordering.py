@@ -14,6 +14,7 @@ Used for contiguous ids (count of 1 per row), per-label ranks and ROC AUC
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -81,6 +82,34 @@ def contiguous_ids(df: DataFrame, order_cols: list[str], out: str = "id", start:
     return r.withColumn(out, (F.col("_cid") + F.lit(start - 1)).cast("bigint")).drop("_cid")
 
 
+def ranged_ids(df: DataFrame, order_cols: list[str], out: str = "id", start: int = 1) -> DataFrame:
+    """Contiguous ids in the order of any sortable columns: sparse integers, text, several keys.
+
+    Two levels: sampled range boundaries deal the rows to tasks, which sort them and write them
+    with their place in the range; the ranges' sizes, added up, are the offsets. A hash of the row's
+    place follows the order columns in the boundaries, so a value that a third of the rows share is
+    cut into ranges, too; rows that tie on ``order_cols`` get distinct ids in an arbitrary order. Nulls
+    come first. The one window is over a row for each range. The ranges are written to the shared
+    folder: sampled boundaries may differ if a stage runs again, what is written does not.
+    """
+    from retention.session import checkpoint_dir
+    spark = df.sparkSession
+    keyed = df.withColumn("_ri_t", F.xxhash64(F.monotonically_increasing_id(), *order_cols))
+    order = [F.col(c).asc_nulls_first() for c in [*order_cols, "_ri_t"]]
+    rows = (keyed.repartitionByRange(*order).sortWithinPartitions(*order).drop("_ri_t")
+            .withColumn("_ri_id", F.monotonically_increasing_id()))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/ranges-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    rows = spark.read.schema(rows.schema).parquet(path)
+    part, place = F.shiftright("_ri_id", 33), F.col("_ri_id").bitwiseAND(F.lit((1 << 33) - 1))
+    rows = rows.select(*df.columns, part.alias("_ri_p"), place.alias("_ri_at"))
+    earlier = Window.orderBy("_ri_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (rows.groupBy("_ri_p").agg(F.count(F.lit(1)).alias("_ri_n"))
+               .select(F.col("_ri_p").alias("_ri_q"), F.coalesce(F.sum("_ri_n").over(earlier), F.lit(0)).alias("_ri_off")))
+    return (rows.join(offsets, F.col("_ri_p") == F.col("_ri_q"))
+            .select(*df.columns, (F.col("_ri_off") + F.col("_ri_at") + F.lit(start)).cast("bigint").alias(out)))
+
+
 def scan_order_ids(df: DataFrame, group_cols: list[str], pos_col: str, out: str = "id",
                    start: int = 1) -> DataFrame:
     """Contiguous ids in file-scan order.

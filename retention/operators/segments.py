@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from retention.functions import guarded_corr
-from retention.operators.clean import day_lit, latest_partition
+from retention.operators.clean import day_lit
 from retention.schemas import LABEL_CORRELATION_FEATURES
 
 
@@ -111,5 +111,10 @@ def latest_customer_features(features_df: DataFrame, ids: DataFrame | None = Non
 
 
 def segment_contract_latest(features_df: DataFrame) -> DataFrame:
-    """Churn rate by contract on the newest partition."""
-    return segment_contract(latest_partition(features_df))
+    """Churn rate by contract on the newest partition. The rows are read once: the rates of
+    every (day, contract) are an aggregate, and the newest day is picked among its few rows. On a
+    stored table ``sources.tables.read_newest`` finds the day without reading any row."""
+    rates = _rate(features_df, ["ingest_date", "contract_type"])
+    days = rates.groupBy("ingest_date").agg(F.collect_list(F.struct("contract_type", "n", "churn_rate")).alias("_r"))
+    newest = days.agg(F.max_by("_r", "ingest_date").alias("_r")).select(F.inline("_r"))
+    return newest.orderBy(F.col("churn_rate").desc(), F.col("contract_type").asc_nulls_last())

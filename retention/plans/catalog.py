@@ -351,6 +351,13 @@ def _q(spark, d):
     return PP.prepare(p, s, AS_OF, ["k"])
 
 
+@query("prep_sparse_ids")
+def _q(spark, d):
+    """P8 for a text key: the rows of both sources in the order of a digest."""
+    u = _union(spark, d).withColumn("key", F.md5(F.col("k").cast("string")))
+    return PP.assign_ids(u, ["key"], sparse=True).select("customer_id", "source_ord", "key")
+
+
 @query("prep_coerce_numeric")
 def _q(spark, d):
     u = PP.assign_ids(PP.coerce_numeric(_union(spark, d)), ["k"])
@@ -406,8 +413,6 @@ def _q(spark, d):
 
 # Kept out of the encoder's fitting rows, so that rows meet a category it has not seen.
 WITHHELD_PAYMENT = "Mailed check"
-# Depth of the registered forest query; the training step takes the default of model.candidates.
-QUERY_FOREST_DEPTH = 12
 
 
 @query("one_hot_matrix")
@@ -426,12 +431,26 @@ def _q(spark, d):
         "customer_id", "ingest_date", "is_test", "_kv.column", "_kv.category", "_kv.position")
 
 
+_MODELS: dict = {}
+
+
 def _fitted(spark, d, which):
-    """(model, train, test, n_train) of one candidate."""
+    """(model, train, test, n_train) of one candidate: the training step runs once per session and
+    folder, keeps its split and its model in the shared folder (M14), and every query that
+    evaluates or applies the model loads it."""
     from pyspark.ml import Pipeline
-    train, test = MD.materialised_split(features_all(spark, d))
-    _, _, pre, n = MD.fit_preprocessing(train)
-    return Pipeline(stages=pre + [MD.candidates(n, QUERY_FOREST_DEPTH)[which]]).fit(train), train, test, n
+    base = _MODELS.get((d, spark.sparkContext.applicationId))
+    if base is None:
+        base = _MODELS[(d, spark.sparkContext.applicationId)] = f"{checkpoint_dir(spark).rstrip('/')}/models-{uuid.uuid4().hex}"
+        split = MD.stratified_split(features_all(spark, d).withColumn(MD.LABEL, F.col(MD.LABEL).cast("double")))
+        split.write.parquet(f"{base}/split")
+    split = spark.read.parquet(f"{base}/split")
+    train, test = (split.where(F.col("is_test") == side).drop("is_test") for side in (False, True))
+    if not FS.exists(spark, f"{base}/{which}/_DONE"):
+        _, _, pre, n = MD.fit_preprocessing(train)
+        Pipeline(stages=pre + [MD.candidates(n)[which]]).fit(train).write().overwrite().save(f"{base}/{which}/model")
+        spark.range(1).write.mode("overwrite").parquet(f"{base}/{which}/_DONE")
+    return MD.load_model(f"{base}/{which}/model"), train, test, train.count()
 
 
 @query("train_logreg")
@@ -444,6 +463,25 @@ def _q(spark, d):
     return fit.withColumn("n_test", F.lit(test.count()).cast("bigint"))
 
 
+#: A derivative of the mean penalised loss below this is zero.
+ZERO_GRADIENT = 1e-6
+
+
+@query("logreg_certificate")
+def _q(spark, d):
+    """M8: the fitted terms, each with whether the penalised loss's derivative by it is zero."""
+    model, train, _, n = _fitted(spark, d, "logreg")
+    return MD.logreg_certificate(model, train, n).select(
+        "term", (F.abs("gradient") < ZERO_GRADIENT).alias("zero_gradient"), F.lit(n).cast("bigint").alias("n_train"))
+
+
+@query("logreg_coefficients")
+def _q(spark, d):
+    """M8: the coefficients and derivatives themselves (tests/test_model.py has DuckDB compute the latter from the former)."""
+    model, train, _, n = _fitted(spark, d, "logreg")
+    return MD.logreg_certificate(model, train, n)
+
+
 @query("train_rf")
 def _q(spark, d):
     model, train, test, n = _fitted(spark, d, "rf")
@@ -454,6 +492,18 @@ def _q(spark, d):
         F.count_if(F.col("score").between(0, 1)).alias("n_scored"))
 
 
+@query("model_metrics")
+def _q(spark, d):
+    """Both candidates' metrics on the test split, and which one is kept."""
+    scored, depth = {}, {}
+    for which in ("logreg", "rf"):
+        model, _, test, _ = _fitted(spark, d, which)
+        scored[which] = MD.positive_probability(model.transform(test)).select(F.col(MD.LABEL).cast("bigint").alias("label"), "score")
+        depth[which] = max((t.depth for t in model.stages[-1].trees), default=0) if which == "rf" else None
+    return MD.compare(spark, scored).join(
+        spark.createDataFrame(list(depth.items()), "model string, deepest_tree int"), "model")
+
+
 @query("threshold_predictions")
 def _q(spark, d):
     model, _, test, _ = _fitted(spark, d, "logreg")
@@ -463,6 +513,14 @@ def _q(spark, d):
         F.count_if((F.col("prediction") == 1) == (F.col("score") >= MT.THRESHOLD)).alias("n_consistent"))
 
 
+@query("threshold_rows")
+def _q(spark, d):
+    """Every test row with its probability and decision."""
+    model, _, test, _ = _fitted(spark, d, "logreg")
+    return MT.predict(MD.positive_probability(model.transform(test))).select(
+        "customer_id", "ingest_date", F.col(MD.LABEL).cast("bigint").alias("label"), "score", "prediction")
+
+
 @query("metrics_confusion")
 def _q(spark, d):
     return r6(MT.confusion_metrics(scored_fixture(features_all(spark, d))))
@@ -577,6 +635,22 @@ def _q(spark, d):
                     F.coalesce(F.col("prediction").isin(0, 1), F.lit(False)).alias("decided")))
 
 
+@query("score_by_id_rows")
+def _q(spark, d):
+    """Per requested id its probability and decision, as the service returned them."""
+    model, _, _, _ = _fitted(spark, d, "logreg")
+    ids = _ids_from_orders(spark, d).unionByName(
+        read_table(spark, d, "customer").select((F.col("c_custkey") + 1).alias("customer_id")))
+    return SC.score_by_id(model, features_all(spark, d), ids, 1)
+
+
+@query("score_from_json_rows")
+def _q(spark, d):
+    """Per payload its probability and decision, or its text where it is refused."""
+    model, _, _, _ = _fitted(spark, d, "logreg")
+    return SC.score_payloads(model, payloads_from_features(features_all(spark, d)), 1)
+
+
 @query("score_from_json")
 def _q(spark, d):
     model, _, _, _ = _fitted(spark, d, "logreg")
@@ -597,11 +671,11 @@ import uuid  # noqa: E402
 from retention.schemas import RAW_SCHEMA  # noqa: E402
 from retention.session import checkpoint_dir  # noqa: E402
 from retention.sources import landing as LD  # noqa: E402
-from retention.sources import files as FS  # noqa: E402
+from retention.sources import files as FS, tables as TB  # noqa: E402
 from retention.streaming.ingest import ingest_available  # noqa: E402
 
-# The fixture plants bad rows in every day, so the registered loads set no bound on their number.
-NO_BOUND = LD.Budget(count=None)
+# The fixture plants bad rows in every day, so the registered loads bound their share, not their number.
+BAD_SHARE = LD.Budget(count=None, share=0.25)
 
 
 def _landing_files(spark, d) -> str:
@@ -620,7 +694,7 @@ def _q(spark, d):
     checkpoint directory, drain it with the stream, and return the raw table the stream built."""
     base = _landing_files(spark, d)
     ingest_available(spark, f"{base}/landing", f"{base}/raw", f"{base}/_stream", f"{base}/quarantine",
-                     NO_BOUND, "day=*")
+                     BAD_SHARE, "day=*")
     FS.remove(spark, f"{base}/landing")
     return spark.read.schema(RAW_SCHEMA).parquet(f"{base}/raw")
 
@@ -629,7 +703,7 @@ def _q(spark, d):
 def _q(spark, d):
     """Every row that was read is either loaded or set aside with its text and a reason."""
     base = _landing_files(spark, d)
-    good = LD.load_csv(spark, f"{base}/landing/*", f"{base}/quarantine", NO_BOUND)
+    good = LD.load_csv(spark, f"{base}/landing/*", f"{base}/quarantine", BAD_SHARE)
     aside = spark.read.schema("source string, reason string, loaded_at timestamp").parquet(f"{base}/quarantine")
     kept = good.groupBy("ingest_date").agg(F.count(F.lit(1)).alias("n")).select(
         "ingest_date", F.lit("loaded").alias("outcome"), "n")
@@ -639,6 +713,50 @@ def _q(spark, d):
     return kept.unionByName(set_aside)
 
 
+@query("load_budget_outcomes")
+def _q(spark, d):
+    """What the parse counted, and how a load with each bound ends: loaded, or refused."""
+    base = _landing_files(spark, d)
+    _, counts = LD.parse_landing(spark, f"{base}/landing/*")
+    rows = []
+    for name, budget in (("no bad row", LD.Budget(0)), ("1000 rows", LD.Budget()), ("1 %", LD.Budget(None, 0.01)),
+                         ("25 %", BAD_SHARE)):
+        try:
+            budget.check(counts["bad"], counts["rows"])
+            rows.append((name, "loaded"))
+        except LD.BadRecordBudgetExceeded:
+            rows.append((name, "refused"))
+    return spark.createDataFrame(rows, "bound string, outcome string").select(
+        "bound", "outcome", *[F.lit(counts[c]).cast("bigint").alias(c) for c in sorted(counts)])
+
+
+@query("load_field_addition")
+def _q(spark, d):
+    """The newest day's files have a column more, in the middle of their header. Its values are
+    kept, older days read NULL; every column lands under its own name."""
+    base = f"{checkpoint_dir(spark).rstrip('/')}/ingest-{uuid.uuid4().hex[:12]}"
+    names = RAW_SCHEMA.fieldNames()
+    rows = raw(spark, d).select("k", *[F.col(c).cast("string").alias(c) for c in names])
+    tier = F.element_at(F.array(F.lit("gold"), F.lit("silver"), F.lit("none")), (F.col("k") % 3 + 1).cast("int"))
+    new = F.col("ingest_date") == AS_OF
+    for folder, part in (("old", rows.where(~new).select(*names)),
+                         ("new", rows.where(new).select(*names[:3], tier.alias("loyalty_tier"), *names[3:]))):
+        (part.write.option("header", True).option("ignoreLeadingWhiteSpace", False)
+         .option("ignoreTrailingWhiteSpace", False).csv(f"{base}/landing/{folder}"))
+    good = LD.load_csv(spark, f"{base}/landing/*", f"{base}/quarantine", BAD_SHARE, by_header=True)
+    TB.create_or_write(spark, good, f"{base}/raw")
+    return (TB.read_table(spark, f"{base}/raw").groupBy("ingest_date", "loyalty_tier", "contract")
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("latest_clean_table")
+def _q(spark, d):
+    """The clean rows as a table by day, and its newest day found from the folder names."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/clean-{uuid.uuid4().hex[:12]}"
+    TB.create_table(clean_all(spark, d), path)
+    return TB.read_newest(spark, path, clean_all(spark, d).schema)
+
+
 @query("predict_threshold")
 def _q(spark, d):
     """M10 on the deterministic scored fixture: positive when score >= 0.5."""

@@ -69,16 +69,18 @@ def load_day(spark: SparkSession, wh: Warehouse, run_id: str, day, mode: str = "
     """Load the day's landing file into raw. ``replace`` (default) rewrites the
     day so a re-run is idempotent; ``append`` adds the rows again (parity with
     an append-only load job). Bad rows go to the warehouse's quarantine table;
-    beyond ``budget`` the step fails."""
+    beyond ``budget`` the step fails. Files are read by their own headers, so a new
+    column is kept (S6). Counts are observed by the parse and by the write."""
     with ST.step(spark, wh.status, run_id, "load_raw") as info:
         reg = RG.read_registry(spark, wh.registry)
         RG.write_registry(spark, wh.registry,
                           RG.upsert_running(reg, spark.createDataFrame([(run_id,)], "run_id string")))
         L.require_table(spark, wh.raw)
-        good = L.load_csv(spark, L.daily_path(wh.landing, day), wh.p("quarantine"), budget)
-        TB.write_partitions(good, wh.raw, mode)
-        n = spark.read.schema(RAW_SCHEMA).parquet(wh.raw).count()
-        info["message"] = f"loaded {n} rows"
+        good, counts = L.load_counted(spark, L.daily_path(wh.landing, day), wh.p("quarantine"), budget, by_header=True)
+        rows, written = TB.counted(good)
+        TB.write_partitions(rows, wh.raw, mode)
+        n = spark.read.schema(RAW_SCHEMA).parquet(wh.raw).count()  # S12: the table's rows, from the file footers
+        info["message"] = f"loaded {written.get['rows']} rows of {counts['rows']} ({counts['bad']} bad); the table has {n}"
     return n
 
 

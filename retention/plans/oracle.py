@@ -488,6 +488,11 @@ _SIZES = "cast(count(*) filter (not is_test) as bigint) as n_train, cast(count(*
 register("train_logreg", f"""
 select {_SIZES}, round(avg(churn_label) filter (not is_test), 3) as mean_probability,
   round(avg(churn_label) filter (not is_test), 3) as label_rate from split""", extra=_SPLIT_ROWS)
+register("logreg_certificate", f"""
+select term, true as zero_gradient, (select cast(count(*) as bigint) from split where not is_test) as n_train
+from (select unnest({["(intercept)"] + _MODEL_NUM}) as term
+      union all select distinct "column" || '=' || value from cimp where not is_test and value is not null)""",
+         extra=_MCAT_LONG + _modes("not is_test"))
 register("train_rf", f"""
 select {_SIZES}, cast(250 as bigint) as n_trees, cast(count(*) filter (is_test) as bigint) as n_scored
 from split""", extra=_SPLIT_ROWS)
@@ -607,6 +612,22 @@ from parsed where reason is null""", clean=False, features=False, extra=_LOADED)
 register("load_bad_record_budget", """
 select ingest_date, coalesce(reason, 'loaded') as outcome, cast(count(*) as bigint) as n
 from parsed group by all""", clean=False, features=False, extra=_LOADED)
+_COUNTS = ("select cast(count(*) as bigint) as \"rows\", cast(count(reason) as bigint) as bad, " + ", ".join(
+    f"cast(count(*) filter (reason is null and try_cast(trim({c}) as double) is null) as bigint) as null_{c}"
+    for c in ["tenure", "monthly_charges", "total_charges"]) + " from parsed")
+register("load_budget_outcomes", f"""
+select bound, case when bad <= allowed then 'loaded' else 'refused' end as outcome, bad, null_monthly_charges, null_tenure,
+  null_total_charges, "rows"
+from (select *, unnest(['no bad row', '1000 rows', '1 %', '25 %']) as bound, unnest([0, 1000, "rows" * 0.01, "rows" * 0.25]) as allowed
+      from ({_COUNTS}))""", clean=False, features=False, extra=_LOADED)
+register("load_field_addition", """
+select ingest_date, case when ingest_date = date '2025-08-24' then ['gold', 'silver', 'none'][k % 3 + 1] end as loyalty_tier, contract,
+  cast(count(*) as bigint) as n
+from parsed where reason is null group by all""", clean=False, features=False, extra=_LOADED)
+SQL["latest_clean_table"] = SQL["latest_clean"]
+register("prep_sparse_ids", """
+select cast(row_number() over (order by source_ord, md5(cast(k as varchar))) as bigint) as customer_id, source_ord,
+  md5(cast(k as varchar)) as key from coerced""", clean=False, features=False, extra=_PREP_CTES)
 register("predict_threshold", """
 select customer_id, ingest_date, score, cast(score >= 0.5 as bigint) as prediction, label
 from (select customer_id, ingest_date, churn_label as label,

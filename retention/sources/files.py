@@ -31,6 +31,14 @@ def list_files(spark: SparkSession, path: str, suffix: str = "", recursive: bool
     return sorted(out)
 
 
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Sorted names of the folders directly under ``path``."""
+    p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
+
+
 def has_file(spark: SparkSession, path: str, suffix: str = "") -> bool:
     """Whether a file with ``suffix`` lies under ``path``: stops at the first one."""
     p, fs = _fs(spark, path)

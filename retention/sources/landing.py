@@ -3,18 +3,23 @@ bad-record budget.
 
 Everything is read as text with an explicit schema (no inference pass), so
 "bad" means only a row whose token count or typed conversion fails. Bad rows
-are always set aside with their text and the reason.
+are always set aside with their text and the reason. A load parses its files
+once, into a table in the shared folder; rows, bad rows and missing values are
+observed by that write, not counted by another scan.
 """
 
 from __future__ import annotations
 
+import csv
 import datetime as _dt
+import uuid
+from collections import Counter
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
-from retention.functions import safe_double
-from retention.schemas import MAX_BAD_RECORDS, RAW_SCHEMA, RAW_TEXT_SCHEMA
+from retention.functions import count_when, safe_double
+from retention.schemas import MAX_BAD_RECORDS, PREP_NUMERIC_COLUMNS, RAW_SCHEMA, RAW_TEXT_SCHEMA
 from retention.session import checkpoint_dir
 from retention.sources.files import exists, list_files
 
@@ -30,6 +35,10 @@ class TableMissing(RuntimeError):
     pass
 
 
+class SchemaRefused(RuntimeError):
+    pass
+
+
 def day_folder(day) -> str:
     """dd-MM-yyyy folder name of a date."""
     d = day if isinstance(day, (_dt.date, _dt.datetime)) else _dt.date.fromisoformat(str(day)[:10])
@@ -48,25 +57,37 @@ def with_row_order(df: DataFrame) -> DataFrame:
                      F.monotonically_increasing_id().alias("_src_pos"))
 
 
+def header_groups(spark: SparkSession, files: str | list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files by their column names, from one distributed pass that keeps each file's first line."""
+    first = (spark.read.text(files).select("value", F.col("_metadata.file_path").alias("file"),
+                                           F.col("_metadata.file_block_start").alias("at"),
+                                           F.monotonically_increasing_id().alias("line"))
+             .where("at = 0").groupBy("file").agg(F.min_by("value", "line").alias("header")))
+    out: dict[tuple[str, ...], list[str]] = {}
+    for r in first.groupBy("header").agg(F.array_sort(F.collect_list("file")).alias("files")).orderBy("header").collect():
+        out.setdefault(tuple(next(csv.reader([r["header"].lstrip("\ufeff")]))), []).extend(r["files"])
+    return out
+
+
 def read_source(spark: SparkSession, path: str, first_only: bool = False) -> DataFrame:
     """Headered CSV, every column text, quoted newlines allowed.
 
     All CSV files under ``path`` (recursively), each by its own header: files
     with one header are read together, groups are stacked by column name (a
     column that a file lacks is NULL there). ``first_only`` takes the first file
-    in name order instead. The headers are read on the driver, one line a file."""
+    in name order instead. The headers come from one distributed job; the driver
+    sees the different ones and the file names."""
     files = [path] if path.endswith(".csv") else list_files(spark, path, ".csv")
     if not files:
         raise FileNotFoundError(f"{path} holds no file that ends in .csv")
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for f in files[:1] if first_only else files:
-        by_header.setdefault(tuple(spark.read.option("header", True).csv(f).columns), []).append(f)
     out = None
-    for names, group in by_header.items():
+    for names, group in header_groups(spark, files[:1] if first_only else files).items():
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
         rows = with_row_order(spark.read.option("header", True).option("multiLine", True).option("escape", '"')
                               .schema(schema).csv(group))
         out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    if out is None:
+        raise FileNotFoundError(f"the files under {path} are empty")
     return out
 
 
@@ -103,12 +124,37 @@ class Budget:
             raise BadRecordBudgetExceeded(f"{bad} of {rows} rows are bad; a share of {self.share} is allowed")
 
 
-def _typed(text: DataFrame, short: Column) -> DataFrame:
-    """Typed raw columns, the source text, and ``_reason``: NULL for a good row, else what is wrong
-    with it: too few fields, or the first column whose text is not of its type. Whole-number
-    columns take whole numbers only."""
+@dataclass(frozen=True)
+class Fit:
+    """How a file's columns meet the raw schema: ``added`` ones are new, ``absent`` ones it lacks."""
+
+    added: tuple[str, ...]
+    absent: tuple[str, ...]
+
+
+def reconcile(names: tuple[str, ...], known: T.StructType = RAW_SCHEMA, required: tuple[str, ...] = ("ingest_date",)) -> Fit:
+    """Columns of a file against those of its target, by name. A column that the target has not is
+    added as text, one that the file has not is NULL. Refused: names that are empty, occur twice or
+    differ from another column in case only, and files without a ``required`` column."""
+    have = known.fieldNames()
+    spelled = {c.lower(): c for c in have}
+    twice = [n for n, k in Counter(n.lower() for n in names).items() if k > 1]
+    other_case = [n for n in names if spelled.get(n.lower(), n) != n]
+    lacking = [c for c in required if c not in names]
+    if twice or other_case or lacking or not all(names):
+        raise SchemaRefused(f"columns {names}: twice {twice}, other case {other_case}, required but absent {lacking}")
+    return Fit(tuple(n for n in names if n not in have), tuple(c for c in have if c not in names))
+
+
+def _typed(text: DataFrame, short: Column, added: tuple[str, ...] = ()) -> DataFrame:
+    """Typed raw columns and ``added`` ones as text, the source text, and ``_reason``: NULL for a good
+    row, else what is wrong with it: too few fields, or the first column whose text is not of its type.
+    Whole-number columns take whole numbers only."""
     cols, reasons = [], [F.when(short, F.lit("too few fields"))]
     for f in RAW_SCHEMA.fields:
+        if f.name not in text.columns:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
         c = F.col(f.name)
         x = F.trim(c)
         if isinstance(f.dataType, T.LongType):
@@ -122,42 +168,64 @@ def _typed(text: DataFrame, short: Column) -> DataFrame:
             continue
         reasons.append(F.when(c.isNotNull() & (x != "") & v.isNull(), F.lit(f.name)))
         cols.append(v.alias(f.name))
-    source = F.coalesce(F.col(CORRUPT), F.to_csv(F.struct(*RAW_TEXT_SCHEMA.fieldNames())))
-    return text.select(*cols, source.alias("_source"), F.coalesce(*reasons).alias("_reason"))
-
+    fields = [F.col(f"`{c}`") for c in text.columns if c != CORRUPT]
+    return text.select(*cols, *[F.col(f"`{c}`") for c in added], F.coalesce(F.col(CORRUPT), F.to_csv(F.struct(*fields))).alias("_source"),
+                       F.coalesce(*reasons).alias("_reason"))
 
-def parse_landing(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Typed raw columns of landing files, ``_source`` text and ``_reason`` (NULL: good).
 
-    Quoted newlines allowed, header skipped; too few fields or text of the wrong
-    type make a row bad, extra trailing fields are ignored. The parse runs once:
-    its rows are checkpointed in the shared folder."""
-    n = len(RAW_TEXT_SCHEMA.fields)
-    schema = T.StructType(RAW_TEXT_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType())])
-    text = (spark.read.schema(schema).option("header", True).option("multiLine", True)
+def _text_rows(spark: SparkSession, paths: str | list[str], names: list[str]) -> tuple[DataFrame, Column]:
+    """All fields as text, and whether a row has too few of them (it may have more)."""
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
+    text = (spark.read.schema(schema).option("header", True).option("multiLine", True).option("enforceSchema", True)
             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(paths))
     # A corrupt row is either too short (bad) or too long (extras ignored).
-    wide = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(n + 1)])
-    too_long = F.from_csv(F.col(CORRUPT), wide.simpleString()).getField(f"c{n}").isNotNull()
-    short = F.col(CORRUPT).isNotNull() & ~F.coalesce(too_long, F.lit(False))
-    checkpoint_dir(spark)
-    return _typed(text, short).checkpoint(eager=True)
+    wide = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names) + 1)])
+    too_long = F.from_csv(F.col(CORRUPT), wide.simpleString()).getField(f"c{len(names)}").isNotNull()
+    return text, F.col(CORRUPT).isNotNull() & ~F.coalesce(too_long, F.lit(False))
 
 
-def load_csv(spark: SparkSession, paths: str | list[str], quarantine: str, budget: Budget = Budget()) -> DataFrame:
-    """S4 + S5: the good rows of landing files, typed to the raw schema.
+def parse_landing(spark: SparkSession, paths: str | list[str], by_header: bool = False) -> tuple[DataFrame, dict[str, int]]:
+    """Typed raw columns of landing files, ``_source`` text and ``_reason`` (NULL: good), and what the
+    parse counted: ``rows``, ``bad`` and, of the good rows, ``null_<column>`` of the numeric columns (P12).
+
+    Quoted newlines allowed, header skipped; too few fields or text of the wrong
+    type make a row bad, extra trailing fields are ignored. ``by_header`` reads each file by its own
+    header (``reconcile``) instead of by position; new columns follow the raw ones. The parse runs once
+    and writes its rows to the shared folder; the counts are observed by that write."""
+    groups = header_groups(spark, paths) if by_header else {tuple(RAW_TEXT_SCHEMA.fieldNames()): paths}
+    rows = None
+    for names, files in groups.items():
+        text, short = _text_rows(spark, files, list(names))
+        part = _typed(text, short, reconcile(names).added)
+        rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
+    good = F.col("_reason").isNull()
+    seen = Observation()
+    path = f"{checkpoint_dir(spark).rstrip('/')}/parsed-{uuid.uuid4().hex}"
+    rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.count("_reason").alias("bad"),
+                 *[count_when(good & F.col(c).isNull()).alias(f"null_{c}") for c in PREP_NUMERIC_COLUMNS]).write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path), {k: v or 0 for k, v in seen.get.items()}
+
+
+def load_counted(spark: SparkSession, paths: str | list[str], quarantine: str, budget: Budget = Budget(),
+                 by_header: bool = False) -> tuple[DataFrame, dict[str, int]]:
+    """S4 + S5: the good rows of landing files, typed to the raw schema, and the parse's counts.
 
     Nothing is lost: bad rows are appended to ``quarantine`` (Parquet: source,
     reason, loaded_at) before the budget is checked, so they can be looked at
-    when the load fails, too."""
-    parsed = parse_landing(spark, paths)
-    bad = parsed.where("_reason is not null")
-    counts = parsed.agg(F.count(F.lit(1)).alias("rows"), F.count("_reason").alias("bad")).first()
+    when the load fails, too. With ``by_header`` new columns are loaded as text (S6)."""
+    parsed, counts = parse_landing(spark, paths, by_header)
     if counts["bad"]:
-        (bad.select(F.col("_source").alias("source"), F.col("_reason").alias("reason"),
-                    F.current_timestamp().alias("loaded_at")).write.mode("append").parquet(quarantine))
+        (parsed.where("_reason is not null")
+         .select(F.col("_source").alias("source"), F.col("_reason").alias("reason"),
+                 F.current_timestamp().alias("loaded_at")).write.mode("append").parquet(quarantine))
     budget.check(counts["bad"], counts["rows"])
-    return parsed.where("_reason is null").select(*RAW_SCHEMA.fieldNames())
+    return parsed.where("_reason is null").drop("_source", "_reason"), counts
+
+
+def load_csv(spark: SparkSession, paths: str | list[str], quarantine: str, budget: Budget = Budget(),
+             by_header: bool = False) -> DataFrame:
+    """The rows of ``load_counted``."""
+    return load_counted(spark, paths, quarantine, budget, by_header)[0]
 
 
 def require_table(spark: SparkSession, path: str) -> None:

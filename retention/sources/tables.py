@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
-from retention.sources.files import has_file
+from retention.sources.files import has_file, list_folders
 
 PART = "ingest_date"
+#: Folder of the NULL partition in the usual layout.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -16,6 +18,28 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
         spark.read.option("mergeSchema", True).parquet(path)
 
 
+def partition_values(spark: SparkSession, path: str, part: str = PART) -> list[str]:
+    """Values of the partition column, smallest first, from the folder names alone: no file is opened."""
+    names = [n.split("=", 1)[1] for n in list_folders(spark, path) if n.startswith(f"{part}=")]
+    return sorted(n for n in names if n != NULL_FOLDER)
+
+
+def read_newest(spark: SparkSession, path: str, schema: T.StructType | None = None, part: str = PART) -> DataFrame:
+    """The rows of the newest partition (none of an empty table). Its value comes from the folder
+    names, so the plan is one scan of one partition, without a scan for the maximum. Sorts as text:
+    dates as yyyy-MM-dd do."""
+    table = read_table(spark, path, schema)
+    values = partition_values(spark, path, part)
+    return table.where(F.col(part) == F.lit(values[-1]).cast(table.schema[part].dataType)) if values else table.limit(0)
+
+
+def counted(df: DataFrame, **aggregates: Column) -> tuple[DataFrame, Observation]:
+    """``df`` with its row count (``rows``) and the given aggregates observed by whatever
+    action writes it; ``.get`` of the second has them afterwards."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in aggregates.items()]), seen
+
+
 def usable(spark: SparkSession, path: str) -> bool:
     """A table with at most one column counts as absent."""
     return has_file(spark, path, ".parquet") and len(spark.read.parquet(path).columns) > 1

@@ -51,3 +51,46 @@ def test_one_hot_unknown_is_all_zero(spark):
 def test_mode_ties_pick_smallest(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), (None,), (None,), (None,)], "c string")
     assert MD.mode_values(df, ["c"]) == {"c": "a"}
+
+
+def test_duckdb_finds_the_gradient_zero(spark):
+    """The optimum of the penalised loss, proved by another engine: DuckDB imputes, scales, encodes and
+    scores the training rows with the returned coefficients and sums the derivatives."""
+    import duckdb
+    from retention.plans.oracle import _MODEL_CAT as cats, _MODEL_NUM as nums
+    model, train, _, n = CAT._fitted(spark, SF_SMALL, "logreg")
+    cert = MD.logreg_certificate(model, train, n).collect()
+    rows = train.toPandas()  # noqa: F841 - DuckDB reads it
+    con = duckdb.connect()
+    con.execute("create table c (term varchar, coefficient double)")
+    con.executemany("insert into c values (?, ?)", [(r.term, r.coefficient) for r in cert])
+    con.execute("create table t as select row_number() over () as i, * from rows")
+    num = " union all ".join(
+        f"""select i, '{c}' as term, (v - avg(v) over ()) / coalesce(nullif(stddev_pop(v) over (), 0), 1) as x from (
+            select i, coalesce(cast({c} as double), (select quantile_cont(cast({c} as double), 0.5) from t)) as v from t)""" for c in nums)
+    cat = " union all ".join(
+        f"""select i, '{c}=' || coalesce({c}, (select arg_min(v, (-n, v)) from (select {c} as v, count(*) as n from t
+            where {c} is not null group by {c}))), 1.0 from t""" for c in cats)
+    got = dict(con.execute(f"""
+        with x as ({num} union all {cat} union all select i, '(intercept)', 1.0 from t),
+        p as (select i, 1 / (1 + exp(-sum(x * coefficient))) as p from x join c using (term) group by i)
+        select term, sum((p - churn_label) * x) / {n} + case when term = '(intercept)' then 0 else any_value(coefficient) / {n} end
+        from x join p using (i) join t using (i) join c using (term) group by term""").fetchall())
+    assert set(got) == {r.term for r in cert} and len(cert) > 20
+    assert all(abs(got[r.term] - r.gradient) < 1e-9 and abs(r.gradient) < CAT.ZERO_GRADIENT for r in cert)
+
+
+def test_scored_rows_follow_the_coefficients(spark):
+    """Probabilities of the scoring queries lie in [0, 1], decide at the threshold and agree with each other."""
+    rows = {(r.customer_id, str(r.ingest_date)): r for r in CAT.QUERIES["threshold_rows"](spark, SF_SMALL).collect()}
+    assert rows and all(0 <= r.score <= 1 and r.prediction == (r.score >= 0.5) for r in rows.values())
+    by_id = CAT.QUERIES["score_by_id_rows"](spark, SF_SMALL).collect()
+    found = [r for r in by_id if r.found]
+    assert found and all(0 <= r.churn_probability <= 1 and r.prediction == (r.churn_probability >= 0.5) for r in found)
+    assert all(r.churn_probability is None and r.prediction is None for r in by_id if not r.found)
+    both = [(r, k) for k, r in rows.items() for f in found if f.customer_id == k[0] and abs(f.churn_probability - r.score) < 1e-6]
+    assert both  # the same row scored twice has one probability
+    json = CAT.QUERIES["score_from_json_rows"](spark, SF_SMALL).collect()
+    assert all((r.churn_probability is None) == (not r.valid_json) == (r.bad_payload is not None) for r in json)
+    same = {(r.payload_id, str(r.ingest_date)): r.churn_probability for r in json if r.valid_json}
+    assert all(abs(same[k] - r.score) < 1e-6 for k, r in rows.items() if k in same)

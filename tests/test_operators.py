@@ -2,11 +2,13 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from retention.operators import clean as C, features as FE, profile as PR, quality as Q
-from retention.operators.ordering import by_key, by_share, by_value, contiguous_ids, running_sum
-from retention.operators.quantiles import exact_quantiles
+from retention.operators.ordering import by_key, by_share, by_value, contiguous_ids, ranged_ids, running_sum
+from retention.operators.quantiles import exact_quantiles, sketched_quantiles, value_sketches
 from retention.plans import catalog as CAT
 from conftest import SF_SMALL
 
@@ -88,6 +90,41 @@ def test_exact_quantiles_match_numpy(spark):
     assert exact_quantiles(df.where("false"), ["x"], [0.5]).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["linear", "disc"])
+def test_sketched_quantiles_are_the_exact_ones(spark, kind):
+    """Groups under and over the sketch's size, one hot value, a narrow band, infinities, NaN and NULL."""
+    import random
+    r = random.Random(3)
+    draw = lambda: r.choice([7.0, 7.0, 1e6 + r.random() * 2000, -r.random() * 5, float("inf"), float("-inf"), float("nan"), None])
+    rows = [(g, draw()) for g, n in (("a", 30000), ("b", 50), (None, 6000)) for _ in range(n)] + [("one", 1.0), ("nothing", None)]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(7)
+    probs = [0.0, 0.1, 0.25, 0.5, 0.8, 0.97, 1.0]
+    want = sorted(map(repr, exact_quantiles(df, ["x"], probs, ["g"], kind).collect()))
+    assert sorted(map(repr, sketched_quantiles(df, ["x"], probs, ["g"], kind).collect())) == want and len(want) == 4 * len(probs)
+    stored = value_sketches(df, ["x"], ["g"])
+    assert sorted(map(repr, sketched_quantiles(df, ["x"], probs, ["g"], kind, stored, few=False).collect())) == want
+    assert sketched_quantiles(df.where("false"), ["x"], probs, ["g"], kind).count() == 0
+
+
+def test_a_rank_outside_its_bracket_fails(spark):
+    df = spark.range(50_000).select(F.col("id").cast("double").alias("x"))
+    wrong = value_sketches(df.select(F.col("x") + 25_000).toDF("x"), ["x"])
+    with pytest.raises(Exception, match="outside its sketch"):
+        sketched_quantiles(df, ["x"], [0.2], sketches=wrong).collect()
+
+
+def test_ranged_ids_on_sparse_and_hot_keys(spark):
+    """Keys over 2**62, text, nulls, and a key that a third of the rows share: ids in order, no task with all rows."""
+    rows = [((i * 2654435761 * 998244353) % (1 << 62), f"t{i % 977}") for i in range(20_000)] + [(77, None)] * 10_000 + [(None, "n")]
+    df = spark.createDataFrame(rows, "k long, t string").repartition(6)
+    out = ranged_ids(df, ["k", "t"], start=5)
+    got = out.orderBy("id").collect()
+    assert [r.id for r in got] == list(range(5, 5 + len(rows)))
+    key = [(r.k is not None, r.k or 0, r.t is not None, r.t or "") for r in got]
+    assert key == sorted(key)
+    assert ranged_ids(df.where("false"), ["t"]).count() == 0
+
+
 def test_histogram_counts_sum_to_non_null(spark):
     f = CAT.features_all(spark, SF_SMALL)
     h = PR.histogram(f).groupBy("column").agg(F.sum("count").alias("n"), F.count("*").alias("bins"))

@@ -7,7 +7,9 @@ from retention.plans import catalog as CAT
 
 # Queries that train models or drain a stream run jobs while being defined.
 EAGER = {"train_logreg", "train_rf", "threshold_predictions", "score_by_id", "score_from_json",
-         "ingest_incremental", "load_bad_record_budget", "one_hot_matrix"}
+         "ingest_incremental", "load_bad_record_budget", "one_hot_matrix", "logreg_certificate", "logreg_coefficients",
+         "model_metrics", "threshold_rows", "score_by_id_rows", "score_from_json_rows", "load_budget_outcomes",
+         "load_field_addition", "latest_clean_table", "prep_sparse_ids"}
 CHEAP = sorted(k for k in CAT.QUERIES if k not in EAGER)
 
 
@@ -25,6 +27,35 @@ def test_no_python_udf_and_pruned_scans(spark, name):
             assert "o_orderkey" not in line and "o_orderstatus" not in line
 
 
+def scans(plan, table):
+    return sum("FileScan parquet" in line and f"{table}.parquet" in line for line in plan.splitlines())
+
+
+@pytest.mark.parametrize("name", ["feature_services_count", "feature_ratios", "counts_clean_vs_features", "tenure_cohorts",
+                                  "segment_contract", "metrics_confusion", "segment_contract_latest"])
+def test_the_p80_is_computed_only_where_it_is_read(spark, name):
+    plan = _plan(CAT.QUERIES[name](spark, SF_SMALL))
+    assert "kll" not in plan and scans(plan, "customer") == (2 if name.startswith("counts") else 1)
+
+
+def test_p80_reads_its_rows_twice(spark):
+    plan = _plan(CAT.QUERIES["feature_p80"](spark, SF_SMALL))
+    assert scans(plan, "customer") == 2 and scans(plan, "orders") == 0
+    shuffles = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    assert len(shuffles) <= 3
+
+
+def test_newest_partition_is_found_without_a_scan(spark, tmp_path):
+    from retention.sources import tables as TB
+    path = str(tmp_path / "t")
+    TB.create_table(CAT.features_all(spark, SF_SMALL), path)
+    q = TB.read_newest(spark, path)
+    plan = _plan(q)
+    assert "Subquery" not in plan and plan.count("FileScan parquet") == 1 and "PartitionFilters: [isnotnull(ingest_date" in plan
+    assert {str(r.ingest_date) for r in q.select("ingest_date").distinct().collect()} == {"2025-08-24"}
+    assert TB.partition_values(spark, path)[-1] == "2025-08-24" and TB.partition_values(spark, path + "-none") == []
+
+
 def test_day_filter_reaches_scan(spark, tmp_path):
     from pyspark.sql import functions as F
     from retention.operators import clean as C

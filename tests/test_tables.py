@@ -49,6 +49,44 @@ def test_quoted_newline_and_long_rows(spark, scratch):
     assert len(out) == 2 and out[0].gender == "Ma\nle"
 
 
+def test_counts_come_from_the_parse(spark, scratch):
+    """Rows, bad rows and missing values as the write saw them; an empty file counts nothing."""
+    wrong, blank = list(ROW), list(ROW)
+    wrong[18], blank[18], blank[19] = "abc", "", " "
+    _write_csv(f"{scratch}/a.csv", [ROW, wrong, blank, blank, ROW[:4]])
+    good, counts = L.load_counted(spark, f"{scratch}/a.csv", f"{scratch}/q")
+    assert counts == {"rows": 5, "bad": 2, "null_tenure": 0, "null_monthly_charges": 2, "null_total_charges": 2}
+    rows, seen = TB.counted(good, blanks=F.count_if(F.col("monthly_charges").isNull()))
+    TB.create_table(rows, f"{scratch}/t")
+    assert seen.get == {"rows": 3, "blanks": 2} and spark.read.parquet(f"{scratch}/t").count() == 3
+    _write_csv(f"{scratch}/none.csv", [])
+    assert L.load_counted(spark, f"{scratch}/none.csv", f"{scratch}/q")[1]["rows"] == 0
+
+
+def test_new_columns_are_loaded_by_header(spark, scratch):
+    names = RAW_TEXT_SCHEMA.fieldNames()
+    _write_csv(f"{scratch}/a.csv", [ROW])
+    with open(f"{scratch}/b.csv", "w") as f:  # a new column in the middle, another order, one column absent
+        cols = ["ingest_date", "tier"] + [c for c in names if c not in ("ingest_date", "gender")]
+        f.write(",".join(cols) + "\n")
+        f.write(",".join({**dict(zip(names, ROW)), "tier": "gold", "tenure": "6"}[c] for c in cols) + "\n")
+        f.write(",".join({**dict(zip(names, ROW)), "tier": "tin", "tenure": "x"}[c] for c in cols) + "\n")
+    good, counts = L.load_counted(spark, [f"{scratch}/a.csv", f"{scratch}/b.csv"], f"{scratch}/q", by_header=True)
+    got = {(r.tenure, r.tier, r.gender, r.monthly_charges, str(r.ingest_date)) for r in good.collect()}
+    assert got == {(5, None, "Male", 20.5, "2025-08-24"), (6, "gold", None, 20.5, "2025-08-24")}
+    assert counts["rows"] == 3 and counts["bad"] == 1 and good.columns == [*names, "tier"]
+    TB.create_or_write(spark, L.load_csv(spark, f"{scratch}/a.csv", f"{scratch}/q"), f"{scratch}/t")
+    TB.create_or_write(spark, good.withColumn("ingest_date", F.date_add("ingest_date", 1)), f"{scratch}/t")
+    table = TB.read_table(spark, f"{scratch}/t")
+    assert {(str(r.ingest_date), r.tier) for r in table.collect()} == {("2025-08-24", None), ("2025-08-25", None), ("2025-08-25", "gold")}
+
+
+@pytest.mark.parametrize("names", [("ingest_date", "tenure", "tenure"), ("ingest_date", "Tenure"), ("tenure",), ("ingest_date", "")])
+def test_headers_that_are_refused(names):
+    with pytest.raises(L.SchemaRefused):
+        L.reconcile(names)
+
+
 def test_source_reader_matches_a_plain_csv_read(spark, scratch):
     """Quoted newlines, several files, and files whose headers differ."""
     import duckdb
