@@ -28,7 +28,7 @@ from retention.llm.common import groups_of, ids_and_text, stored, table, texts
 from retention.llm.tokens import default_path, encoder
 
 CAPACITY, END_ID = 4096, 1
-BLOCK = 2_000_000
+BLOCK = 4_000_000
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 

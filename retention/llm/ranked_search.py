@@ -13,9 +13,7 @@ of the row's cell there; the ranges with the best bounds are halved first, and o
 is given up when its bound is under the k-th best score that the task has seen. A
 range of one document has its exact score, so the result is exact: recall is 1.
 
-Words are compared as bytes: one of up to eight is its own 64-bit key (byte 0 is a
-separator, so zero padding is unambiguous), longer ones have a mixed key, and every
-block checks that equal keys are equal words.
+Words are compared as bytes (``words.Runs``), hashes never decide.
 
 Size: each task holds one block and the best ``k`` of each item; items go through in
 sets of at most ``SET_BYTES`` of terms, one pass over the index for each set.
@@ -35,22 +33,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from retention.llm.common import groups_of, ids_and_text, stored, table, texts
+from retention.llm.words import Runs
 from retention.session import checkpoint_dir
 
 K, BLOCK, SET_BYTES = 50, 16_000_000, 4_000_000
-#: Ranges that are halved at a time, and words that are hashed as a whole.
-AT_A_TIME, LONG_WORD = 256, 256
+#: Ranges that are halved at a time.
+AT_A_TIME = 256
 
 #: A-Z become a-z, other ASCII that is neither a letter nor a digit separates terms.
 _TERM_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 0
                     for c in range(256))
-_MASK = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 #: For a cell's four bits and a quadrant (bits * 4 + quadrant): is the child there, and how many are before it.
 _HAS = np.array([b >> q & 1 for b in range(16) for q in range(4)], np.int32)
 _BEFORE = np.array([(b & ((1 << q) - 1)).bit_count() for b in range(16) for q in range(4)], np.int32)
@@ -70,70 +67,13 @@ def _edges(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return edge[0::2], edge[1::2]
 
 
-def _mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-    return h ^ (h >> np.uint64(29))
+class Words(Runs):
+    """The words of a block, grouped, and the text ``doc`` that each is in."""
 
-
-class Words:
-    """The words of a block: ``first`` word and ``id`` of each, equal for equal words."""
-
-    def __init__(self, parts: list[bytes], mixed=_mix):
-        self.text = b"\0" + b"\0".join(parts) + b"\0" * 9
-        self.starts, self.ends = _edges(self.text)
-        self.lens = self.ends - self.starts
-        self.eight = np.ndarray(len(self.text) - 7, "<u8", self.text, strides=(1,))
+    def __init__(self, parts: list[bytes], **kw):
+        text = b"\0" + b"\0".join(parts) + b"\0" * 9
+        super().__init__(text, *_edges(text), **kw)
         self.doc = np.searchsorted(np.cumsum([len(p) + 1 for p in parts]) + 1, self.starts, "right")
-        self.order, self.head = self._grouped(self._keys(mixed))
-        if not self._equal():
-            number: dict[bytes, int] = {}
-            self.order, self.head = self._grouped(np.array([number.setdefault(self.word(i), len(number))
-                                                            for i in range(len(self.starts))], np.uint64))
-
-    def word(self, i: int) -> bytes:
-        return self.text[self.starts[i]:self.ends[i]]
-
-    def _chunk(self, at: np.ndarray, j: int) -> np.ndarray:
-        return self.eight[self.starts[at] + j] & _MASK[np.minimum(self.lens[at] - j, 8)]
-
-    def _keys(self, mixed) -> np.ndarray:
-        key = self.eight[self.starts] & _MASK[np.minimum(self.lens, 8)]
-        at, j = np.flatnonzero((self.lens > 8) & (self.lens <= LONG_WORD)), 8
-        while len(at):
-            key[at] = mixed(mixed(key[at]) + self._chunk(at, j))
-            j += 8
-            at = at[self.lens[at] > j]
-        for i in np.flatnonzero(self.lens > LONG_WORD).tolist():
-            key[i] = xxhash.xxh64_intdigest(self.word(i))
-        return key
-
-    @staticmethod
-    def _grouped(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Words by key and place, and for each whether a key begins there."""
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        return order, np.concatenate((np.ones(min(len(key), 1), bool), key[1:] != key[:-1]))
-
-    def _equal(self) -> bool:
-        """Whether all words of a key are the same bytes."""
-        model = self.order[np.flatnonzero(self.head)][np.cumsum(self.head) - 1]
-        if not np.array_equal(self.lens[self.order], self.lens[model]):
-            return False
-        long = self.lens[model] > 8
-        at, model, j = self.order[long], model[long], 8
-        huge = self.lens[model] > LONG_WORD
-        if any(self.word(a) != self.word(m) for a, m in zip(at[huge].tolist(), model[huge].tolist())):
-            return False
-        at, model = at[~huge], model[~huge]
-        if not np.array_equal(self._chunk(at, 0), self._chunk(model, 0)):
-            return False
-        while len(at):
-            if not np.array_equal(self._chunk(at, j), self._chunk(model, j)):
-                return False
-            j += 8
-            more = self.lens[at] > j
-            at, model = at[more], model[more]
-        return True
 
 
 def _spread(x: np.ndarray) -> np.ndarray:
@@ -255,7 +195,7 @@ def _block(ids: list, parts: list[bytes], n_docs: int, n_terms: int) -> tuple |
     used = used[length[used] > 0]
     column = np.empty(len(parts), np.int64)
     column[used] = np.arange(len(used))
-    models = words.order[np.flatnonzero(words.head)][order]
+    models = words.models()[order]
     names = b"\0".join([words.text[s:e] for s, e in zip(words.starts[models].tolist(), words.ends[models].tolist())])
     squeeze = zstandard.ZstdCompressor(level=1).compress
     return (uuid.uuid4().hex, [ids[i] for i in used.tolist()], squeeze(names), squeeze(df[order].astype("<u4").tobytes()),

@@ -33,7 +33,7 @@ from retention.llm.tokens import default_path, encoder
 from retention.session import checkpoint_dir
 
 END_ID = 2
-BLOCK = 2_000_000
+BLOCK = 4_000_000
 ROW_GROUP_BYTES, PAGE_BYTES, DICTIONARY_BYTES = 32 << 20, 256 << 10, 1 << 20
 
 SCHEMA = "doc_id long, part int, part_start long, n_tokens long, ids array<int>"

@@ -1,32 +1,43 @@
-"""Whole texts to token ids with a public tokenizer file, word by word.
-
-``word_bpe_49k.json`` drops white space and never joins what white space parts,
-so a text's ids are the ids of its pieces between ASCII white space, one after
-the other. Each worker remembers the ids of words it has met; the tokenizers
-library encodes the others in batches. Most new words are Latin letters and then
-punctuation, which that tokenizer parts as well: their letters are looked up in
-lower case and new ones go to the library many at a time. A tokenizer without
-these properties is applied to whole texts instead.
+"""Whole texts to token ids with a public tokenizer file, piece by piece.
+
+``word_bpe_49k.json`` lower-cases, drops white space, parts letters, digits and marks,
+and encodes each such piece by itself. A block's texts are parted into pieces with
+array operations, equal pieces are grouped, and only a group is looked up: each worker
+remembers the ids of pieces that it has met, and new ones go to the tokenizers library,
+runs of letters many at a time. That covers ASCII and the Latin-1 letters; a word
+(between ASCII white space) with anything else in it, with an apostrophe, a control
+character or a special token goes to the library as a whole. A tokenizer file whose
+normalizer, pre-tokenizer or model differ is applied to whole texts instead.
 """
 
 from __future__ import annotations
 
 import json
 import os
-import re
-from itertools import accumulate
 
 import numpy as np
 
-os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+from retention.llm.words import Runs
 
-#: Words a worker remembers (about 150 bytes each), the longest one it does, and letters sent to the library at a time.
-REMEMBERED, LONGEST, AT_A_TIME = 1_200_000, 48, 5_000
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Latin letters (whose lower case is one letter and which are in normal form), then ASCII punctuation but the apostrophe.
-_SIMPLE = re.compile("([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F]+)([!-&(-/:-@\\[-`{-~]*)")
-#: Single marks that may end a word of ASCII letters: ASCII punctuation but the apostrophe.
-_MARKS = {bytes([c]) for c in range(33, 127) if not chr(c).isalnum() and c != 39}
+#: Pieces a worker remembers (about 200 bytes each), the longest one it does, and letters sent to the library at a time.
+REMEMBERED, LONGEST, AT_A_TIME = 1_000_000, 48, 5_000
+
+#: What of a tokenizer file makes pieces independent: fixed values of the public file.
+BY_PIECE = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+         "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+}
+SPACE, LETTER, MARK, DIGIT, ODD = range(5)
+#: Kind of each byte below 128 (an apostrophe and control characters are odd), and lower case.
+_KIND = np.array([SPACE if c == 32 or 9 <= c <= 13 else ODD if c < 32 or c == 39 or c >= 127 else DIGIT if 48 <= c <= 57
+                  else LETTER if chr(c).isalpha() else MARK for c in range(256)], np.uint8)
+_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
 def default_path() -> str:
@@ -60,80 +71,100 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             conf = json.load(f)
-        split = (conf.get("pre_tokenizer") or {}).get("pretokenizers", [{}])[0]
-        self.by_word = (split.get("type") == "Split" and split.get("invert") and split.get("behavior") == "Removed"
-                        and split["pattern"].get("Regex") == r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-                        and not any(t["lstrip"] or t["rstrip"] or " " in t["content"] for t in conf["added_tokens"]))
-        self.words, self.letters = Recent(remembered), Recent(remembered // 4)
-        self.marks: dict[bytes, bytes] = {b"": b""}
-
-    def _library(self, parts: list[str]) -> list[bytes]:
-        out = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
+        self.by_piece = (all(conf.get(k) == v for k, v in BY_PIECE.items()) and not conf.get("truncation")
+                         and conf["model"].get("end_of_word_suffix") == "</w>" and not conf["model"].get("dropout")
+                         and not any(t["lstrip"] or t["rstrip"] or t["normalized"] or " " in t["content"] for t in conf["added_tokens"]))
+        self.special = [t["content"].encode() for t in conf["added_tokens"]]
+        self.ends_word = np.zeros(max([0, *conf["model"]["vocab"].values()]) + 1, bool)
+        self.ends_word[[i for t, i in conf["model"]["vocab"].items() if t.endswith("</w>")]] = True
+        self.pieces, self.odd = Recent(remembered), Recent(remembered // 8)
+
+    def _library(self, parts: list[bytes]) -> list[bytes]:
+        out = self.tokenizer.encode_batch_fast([x.decode("utf-8") for x in parts], add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in out]
 
-    def _letters(self, parts: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of runs of lower-case letters: each is one piece, so pieces can share a call."""
-        out = {}
+    def _letters(self, parts: list[bytes]) -> list[bytes]:
+        """Ids of runs of letters: each is one piece, which ends with the id that ends a word."""
+        out = []
         for lo in range(0, len(parts), AT_A_TIME):
             some = parts[lo:lo + AT_A_TIME]
-            e = self.tokenizer.encode(b"\n".join(some).decode("utf-8"), add_special_tokens=False)
-            ids = np.array(e.ids, "<u4").tobytes()
-            cuts = (4 * np.searchsorted(np.array(e.word_ids), np.arange(len(some) + 1))).tolist()
-            out.update(zip(some, [ids[s:t] for s, t in zip(cuts, cuts[1:])]))
-        return out
-
-    def _new(self, words: list[bytes]) -> dict[bytes, bytes]:
-        simple, letters, marks, other = [], [], [], []
-        for w in words:
-            if w.isalpha():  # ASCII letters
-                simple.append(w)
-                letters.append(w.lower())
-                marks.append(b"")
-            elif w[:-1].isalpha() and w[-1:] in _MARKS:
-                simple.append(w)
-                letters.append(w[:-1].lower())
-                marks.append(w[-1:])
-            elif m := _SIMPLE.fullmatch(w.decode("utf-8")):
-                simple.append(w)
-                letters.append(m[1].lower().encode())
-                marks.append(m[2].encode())
-            else:
-                other.append(w)
-        out = dict(zip(other, self._library([w.decode("utf-8") for w in other])))
-        need = dict.fromkeys(letters)
-        ids = {x: i for x in need if (i := self.letters.new.get(x)) is not None}
-        ids.update(self.letters.older([x for x in need if x not in ids]))
-        fresh = self._letters([x for x in need if x not in ids])
-        self.letters.put(fresh)
-        ids.update(fresh)
-        kinds = [m for m in set(marks) if m not in self.marks]
-        if len(self.marks) > 10_000:
-            self.marks, kinds = {b"": b""}, list(set(marks))
-        self.marks.update(zip(kinds, self._library([m.decode() for m in kinds])))
-        known = self.marks
-        out.update(zip(simple, [ids[x] + known[m] if m else ids[x] for x, m in zip(letters, marks)]))
+            ids = np.array(self.tokenizer.encode_batch_fast([b"\n".join(some).decode("utf-8")], add_special_tokens=False)[0].ids, "<u4")
+            cuts = (np.flatnonzero(self.ends_word[ids]) + 1).tolist()
+            flat = ids.tobytes()
+            out += [flat[4 * s:4 * e] for s, e in zip([0, *cuts], cuts)] if len(cuts) == len(some) else self._library(some)
         return out
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        if not self.by_word:
-            return self._library([t.decode("utf-8") for t in texts])
-        sizes, flat = [], []
-        for t in texts:
-            words = t.split()
-            sizes.append(len(words))
-            flat += words
-        ids = list(map(self.words.new.get, flat))
+    @staticmethod
+    def _known(memory: Recent, parts: list[bytes], encode) -> list[bytes]:
+        """Ids of different strings, by ``encode`` where the memory has none."""
+        ids = list(map(memory.new.get, parts))
         gaps = [i for i, x in enumerate(ids) if x is None]
         if gaps:
-            need = dict.fromkeys([flat[i] for i in gaps])
-            found = self.words.older(need)
-            fresh = self._new([w for w in need if w not in found])
-            self.words.put((w, x) for w, x in fresh.items() if len(w) <= LONGEST)
-            fresh.update(found)
+            need = [parts[i] for i in gaps]
+            found = memory.older(need)
+            fresh = [w for w in need if w not in found]
+            made = dict(zip(fresh, encode(fresh)))
+            memory.put((w, x) for w, x in made.items() if len(w) <= LONGEST)
+            made.update(found)
             for i in gaps:
-                ids[i] = fresh[flat[i]]
-        ends = list(accumulate(sizes))
-        return [b"".join(ids[e - n:e]) for n, e in zip(sizes, ends)]
+                ids[i] = made[parts[i]]
+        return ids
+
+    def _pieces(self, parts: list[bytes]) -> list[bytes]:
+        letters = [(x[0] > 127 or x[:1].isalpha()) for x in parts]
+        out = dict(zip(w := [x for x, yes in zip(parts, letters) if yes], self._letters(w)))
+        out.update(zip(w := [x for x, yes in zip(parts, letters) if not yes], self._library(w)))
+        return [out[x] for x in parts]
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        if not self.by_piece:
+            return self._library(texts)
+        text = b" " + b" ".join(texts) + b" " * 9
+        buf, low = np.frombuffer(text, np.uint8), np.frombuffer(text.translate(_LOWER), np.uint8).copy()
+        kind = _KIND[buf]
+        lead = np.flatnonzero(buf == 0xC3)  # of U+00C0 to U+00FF: all letters but two
+        second = buf[lead + 1]
+        letter = (second != 0x97) & (second != 0xB7)
+        kind[lead[letter]] = kind[lead[letter] + 1] = LETTER
+        low[lead[letter & (second <= 0x9E)] + 1] += 0x20
+        # Words that need the library: their bytes become one odd piece each.
+        inside = kind != SPACE
+        edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+        starts, ends = edge[0::2], edge[1::2]
+        odd = np.flatnonzero(kind == ODD)
+        for special in self.special:
+            at = text.find(special)
+            while at >= 0:
+                odd = np.append(odd, at)
+                at = text.find(special, at + 1)
+        odd = np.unique(np.searchsorted(starts, odd, "right") - 1)
+        change = np.zeros(len(kind) + 1, np.int8)
+        change[starts[odd]], change[ends[odd]] = 1, -1
+        kind[np.cumsum(change[:-1], dtype=np.int8).view(bool)] = ODD
+        # Pieces: runs of one kind, and each digit.
+        edge = np.flatnonzero((kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)) + 1
+        begins = kind[edge] != SPACE
+        begins[-1:] = False
+        at = np.flatnonzero(begins)
+        starts, ends = edge[at], edge[at + 1]
+        is_odd = kind[starts] == ODD
+        plain = np.flatnonzero(~is_odd)
+        runs = Runs(low.tobytes(), starts[plain], ends[plain])
+        group = np.empty(len(starts), np.int64)
+        group[plain] = runs.groups()
+        ids = self._known(self.pieces, runs.strings(), self._pieces)
+        number: dict[bytes, int] = {}
+        group[is_odd] = [number.setdefault(text[s:e], len(ids) + len(number)) for s, e in zip(starts[is_odd].tolist(), ends[is_odd].tolist())]
+        ids += self._known(self.odd, list(number), self._library)
+        # Every piece's ids one after the other.
+        size = np.array([len(x) for x in ids], np.int64) // 4
+        first = np.cumsum(size) - size
+        n = size[group]
+        upto = np.cumsum(n)
+        flat = np.frombuffer(b"".join(ids), "<u4")[np.repeat(first[group] - (upto - n), n) + np.arange(upto[-1] if len(upto) else 0)].tobytes()
+        bounds = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts]) + 1)
+        cuts = (4 * np.concatenate(([0], upto))[np.concatenate(([0], bounds))]).tolist() if texts else [0]
+        return [flat[s:e] for s, e in zip(cuts, cuts[1:])]
 
 
 _encoders: dict[str, WordEncoder] = {}

@@ -84,13 +84,13 @@ def sql_rows(name):
 def test_words_with_equal_keys_are_told_apart():
     parts = [b"longer-word".translate(ranked_search._TERM_BYTES), b"abcdefghij abcdefghij abcdefghik zz", b"", b"y" * 300 + b" " + b"y" * 301]
     parts = [p.translate(ranked_search._TERM_BYTES) for p in parts]
-    for mixed in (ranked_search._mix, lambda h: np.full_like(h, 5)):
-        w = ranked_search.Words(parts, mixed)
+    for kw in ({}, {"mixed": lambda h: np.full_like(h, 5)}):
+        w = ranked_search.Words(parts, **kw)
         group = np.cumsum(w.head)
-        ids = dict(zip([w.word(i) for i in w.order.tolist()], group.tolist()))
+        ids = dict(zip([w.string(i) for i in w.order.tolist()], group.tolist()))
         assert sorted(ids) == sorted({x for p in parts for x in p.split(b"\0") if x}) and len(set(ids.values())) == len(ids)
         for i, g in zip(w.order.tolist(), group.tolist()):
-            assert ids[w.word(i)] == g
+            assert ids[w.string(i)] == g
 
 
 @pytest.mark.parametrize("seed", range(6))
