@@ -50,6 +50,25 @@ def test_longest_common_prefix(spark):
     assert not re.search("Python|Pandas|Arrow", pf.format_pairs(t, pf.neighbours(t))._jdf.queryExecution().executedPlan().toString())
 
 
+def test_swapped_answers_share_a_prompt(spark):
+    """Every conversation has a row; the prompt is all before its last assistant turn."""
+    chats = {0: [("user", "hi"), ("assistant", "hello"), ("user", "more"), ("assistant", "yes"), ("user", "bye")],
+             5: [("user", "q"), ("assistant", "five")], 9: [("user", "no answer")], 64: [("assistant", "alone")],
+             200: [("user", "a"), ("assistant", "same")], 201: [("user", "b"), ("assistant", "same")], 63: [(None, None), ("assistant", "z")]}
+    rows = [(i, n, *t) for i, c in chats.items() for n, t in enumerate(c)] + [(5, 1, "assistant", "five"), (None, 0, "user", "nobody")]
+    both, pairs = pf.swapped_answers(spark.createDataFrame(rows, TURNS))
+    donors = {r.pair_id: r.donor_id for r in pairs.collect()}
+    assert donors == {0: 5, 5: 63, 63: 0, 9: None, 64: 64, 200: 201, 201: 200}
+    out = {r.pair_id: r for r in pf.format_pairs(both, pairs).collect()}
+    assert {i: r.n_prompt_turns for i, r in out.items()} == {0: 3, 5: 1, 63: 1, 9: 1, 64: 1, 200: 2, 201: 2}
+    show = lambda turns: "".join(f"<|{a or ''}|>\n{b or ''}<|end|>\n" for a, b in turns)
+    assert out[0].prompt == show(chats[0][:3]) and out[0].chosen == show(chats[0][3:])
+    assert out[0].rejected == show([("assistant", "five"), ("user", "bye")]) and out[0].usable and out[5].usable and out[63].usable
+    assert not any(out[i].usable or out[i].chosen for i in (9, 64, 200, 201))
+    empty = pf.swapped_answers(spark.createDataFrame([], TURNS))
+    assert pf.format_pairs(*empty).count() == 0
+
+
 def test_prompt_and_completions_are_the_conversations(spark):
     """Exact round trip: prompt + completion is each side's whole rendering."""
     t = spark.read.parquet(f"{SF_SMALL}/conversations.parquet")
