@@ -438,7 +438,6 @@ def _fitted(spark, d, which):
     """(model, train, test, n_train) of one candidate: the training step runs once per session and
     folder, keeps its split and its model in the shared folder (M14), and every query that
     evaluates or applies the model loads it."""
-    from pyspark.ml import Pipeline
     base = _MODELS.get((d, spark.sparkContext.applicationId))
     if base is None:
         base = _MODELS[(d, spark.sparkContext.applicationId)] = f"{checkpoint_dir(spark).rstrip('/')}/models-{uuid.uuid4().hex}"
@@ -448,7 +447,7 @@ def _fitted(spark, d, which):
     train, test = (split.where(F.col("is_test") == side).drop("is_test") for side in (False, True))
     if not FS.exists(spark, f"{base}/{which}/_DONE"):
         _, _, pre, n = MD.fit_preprocessing(train)
-        Pipeline(stages=pre + [MD.candidates(n)[which]]).fit(train).write().overwrite().save(f"{base}/{which}/model")
+        MD.fit_and_reload(pre + [MD.candidates(n)[which]], train, f"{base}/{which}/model")
         spark.range(1).write.mode("overwrite").parquet(f"{base}/{which}/_DONE")
     return MD.load_model(f"{base}/{which}/model"), train, test, train.count()
 
@@ -699,6 +698,18 @@ def _q(spark, d):
     return spark.read.schema(RAW_SCHEMA).parquet(f"{base}/raw")
 
 
+@query("ingest_redelivered")
+def _q(spark, d):
+    """Every file is delivered again under another name after the first run; no row counts twice."""
+    base = _landing_files(spark, d)
+    take = lambda: ingest_available(spark, f"{base}/landing", f"{base}/raw", f"{base}/_stream", f"{base}/quarantine",
+                                    BAD_SHARE, "day=*", files_per_batch=4)
+    take()
+    FS.copy_into(spark, f"{base}/landing", "again-")
+    take()
+    return spark.read.schema(RAW_SCHEMA).parquet(f"{base}/raw")
+
+
 @query("load_bad_record_budget")
 def _q(spark, d):
     """Every row that was read is either loaded or set aside with its text and a reason."""
@@ -757,6 +768,26 @@ def _q(spark, d):
     return TB.read_newest(spark, path, clean_all(spark, d).schema)
 
 
+@query("sketch_report")
+def _q(spark, d):
+    """V6, E2, E10 over days: distinct and most frequent values from the days' sketches alone."""
+    from retention.operators import sketches as SK
+    path = f"{checkpoint_dir(spark).rstrip('/')}/sketches-{uuid.uuid4().hex[:12]}"
+    SK.write_sketches(clean_all(spark, d), ["gender", "internet_service", "contract", "payment_method", "partner"], path)
+    return SK.report(spark, path, top=3).select("column", "rows", "nulls", "distinct_values", F.to_json("frequent").alias("frequent"))
+
+
+@query("customer_lookup_table")
+def _q(spark, d):
+    """A9 on a stored feature table: the rows of the customers with the most orders, found by the scan's filter."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/features-{uuid.uuid4().hex[:12]}"
+    f = features_all(spark, d)
+    TB.create_table(f, path, bloom={"customer_id": 100_000})
+    most = (_ids_from_orders(spark, d).groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
+            .orderBy(F.col("n").desc(), "customer_id").limit(20))
+    return TB.lookup(spark, path, "customer_id", most.select("customer_id"), schema=f.schema).drop("ingest_date")
+
+
 @query("predict_threshold")
 def _q(spark, d):
     """M10 on the deterministic scored fixture: positive when score >= 0.5."""

@@ -16,13 +16,19 @@ from pyspark import StorageLevel
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from retention.operators import clean as C, features as FE, prepare as PP, profile as PR, quality as Q
+from retention.operators import clean as C, features as FE, prepare as PP, profile as PR, quality as Q, sketches as SK
 from retention.operators.clean import day_lit
 from retention.plans import model as MD, registry as RG, status as ST
-from retention.schemas import CLEAN_SCHEMA, FEATURE_SCHEMA, RAW_SCHEMA
+from retention.schemas import CLEAN_SCHEMA, FEATURE_SCHEMA, PROFILE_CATEGORICAL_CANDIDATES, RAW_SCHEMA
 from retention.sources import landing as L, tables as TB
 
 
+#: Columns of the clean table whose sketches are kept by day.
+SKETCHED = ["customer_id", *[c for c in PROFILE_CATEGORICAL_CANDIDATES if c in CLEAN_SCHEMA.fieldNames()]]
+#: Customers expected in a file of the feature table: sizes the Bloom filters of its lookups.
+FEATURE_IDS_PER_FILE = 1_000_000
+
+
 @dataclasses.dataclass(frozen=True)
 class Warehouse:
     base: str
@@ -87,7 +93,10 @@ def load_day(spark: SparkSession, wh: Warehouse, run_id: str, day, mode: str = "
 def clean_day(spark: SparkSession, wh: Warehouse, run_id: str, day, mode: str = "replace") -> None:
     with ST.step(spark, wh.status, run_id, "clean", gate="load_raw"):
         raw = spark.read.schema(RAW_SCHEMA).parquet(wh.raw)
-        TB.create_or_write(spark, C.clean(raw, day), wh.clean, mode)
+        rows = C.clean(raw, day)
+        TB.create_or_write(spark, rows, wh.clean, mode)
+        done = TB.read_table(spark, wh.clean, CLEAN_SCHEMA).where(F.col("ingest_date") == day_lit(day))
+        SK.write_sketches(done, SKETCHED, wh.p("clean_sketches"))
 
 
 def validate_day(spark: SparkSession, wh: Warehouse, run_id: str, day) -> DataFrame:
@@ -126,7 +135,7 @@ def features_day(spark: SparkSession, wh: Warehouse, run_id: str, day, gate: str
                  mode: str = "replace") -> None:
     with ST.step(spark, wh.status, run_id, "features", gate=gate):
         cl = TB.read_table(spark, wh.clean, CLEAN_SCHEMA)
-        TB.create_or_write(spark, FE.build_features(cl, day), wh.features, mode)
+        TB.create_or_write(spark, FE.build_features(cl, day), wh.features, mode, bloom={"customer_id": FEATURE_IDS_PER_FILE})
 
 
 def train_day(spark: SparkSession, wh: Warehouse, run_id: str, day) -> tuple[str, int]:

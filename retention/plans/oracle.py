@@ -609,6 +609,7 @@ select cast(customer_id as bigint) as customer_id, gender, try_cast(trim(senior_
   try_cast(trim(monthly_charges) as double) as monthly_charges,
   try_cast(trim(total_charges) as double) as total_charges, churn, ingest_date
 from parsed where reason is null""", clean=False, features=False, extra=_LOADED)
+SQL["ingest_redelivered"] = SQL["ingest_incremental"]
 register("load_bad_record_budget", """
 select ingest_date, coalesce(reason, 'loaded') as outcome, cast(count(*) as bigint) as n
 from parsed group by all""", clean=False, features=False, extra=_LOADED)
@@ -625,6 +626,17 @@ select ingest_date, case when ingest_date = date '2025-08-24' then ['gold', 'sil
   cast(count(*) as bigint) as n
 from parsed where reason is null group by all""", clean=False, features=False, extra=_LOADED)
 SQL["latest_clean_table"] = SQL["latest_clean"]
+register("sketch_report", """
+select "column", cast(sum(n) as bigint) as "rows", cast(coalesce(sum(n) filter (value is null), 0) as bigint) as nulls,
+  cast(count(value) as bigint) as distinct_values,
+  '[' || string_agg('{"value":"' || value || '","count":' || n || '}', ',' order by n desc, value) filter (value is not null and rn <= 3) || ']' as frequent
+from (select *, row_number() over (partition by "column" order by value is null, n desc, value) as rn from ("""
+         + _union([f"select '{c}' as \"column\", {c} as value, count(*) as n from clean group by {c}"
+                   for c in ("gender", "internet_service", "contract", "payment_method", "partner")])
+         + """)) group by "column" """, features=False)
+register("customer_lookup_table", """
+select * exclude (ingest_date) from features where customer_id in (
+  select o_custkey + 1 from orders group by 1 order by count(*) desc, 1 limit 20)""")
 register("prep_sparse_ids", """
 select cast(row_number() over (order by source_ord, md5(cast(k as varchar))) as bigint) as customer_id, source_ord,
   md5(cast(k as varchar)) as key from coerced""", clean=False, features=False, extra=_PREP_CTES)

@@ -18,6 +18,8 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
+    # Lists up to this length reach the Parquet reader value by value (Bloom filters), not as a range.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -56,3 +56,11 @@ def remove(spark: SparkSession, path: str) -> None:
     """Deletes a folder that this job has made and no longer needs."""
     p, fs = _fs(spark, path)
     fs.delete(p, True)
+
+
+def copy_into(spark: SparkSession, path: str, prefix: str, suffix: str = ".csv") -> None:
+    """A copy of every file with ``suffix`` under ``path``, beside it, its name after ``prefix``."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for uri in list_files(spark, path, suffix):
+        src, fs = _fs(spark, uri)
+        jvm.org.apache.hadoop.fs.FileUtil.copy(fs, src, fs, jvm.org.apache.hadoop.fs.Path(src.getParent(), prefix + src.getName()), False, conf)

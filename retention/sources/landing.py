@@ -16,7 +16,7 @@ import uuid
 from collections import Counter
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from retention.functions import count_when, safe_double
 from retention.schemas import MAX_BAD_RECORDS, PREP_NUMERIC_COLUMNS, RAW_SCHEMA, RAW_TEXT_SCHEMA
@@ -146,10 +146,15 @@ def reconcile(names: tuple[str, ...], known: T.StructType = RAW_SCHEMA, required
     return Fit(tuple(n for n in names if n not in have), tuple(c for c in have if c not in names))
 
 
-def _typed(text: DataFrame, short: Column, added: tuple[str, ...] = ()) -> DataFrame:
-    """Typed raw columns and ``added`` ones as text, the source text, and ``_reason``: NULL for a good
-    row, else what is wrong with it: too few fields, or the first column whose text is not of its type.
-    Whole-number columns take whole numbers only."""
+def typed_rows(text: DataFrame, names: list[str], added: tuple[str, ...] = (), keep: tuple[str, ...] = ()) -> DataFrame:
+    """Typed raw columns of text rows with the fields ``names``, ``added`` ones as text, ``_source`` and
+    ``_reason``: NULL for a good row, else what is wrong with it: too few fields, or the first column
+    whose text is not of its type. Whole-number columns take whole numbers only. ``keep``: columns that
+    are no fields of the file and follow as they are."""
+    # A corrupt row is either too short (bad) or too long (extras ignored).
+    wide = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names) + 1)])
+    too_long = F.from_csv(F.col(CORRUPT), wide.simpleString()).getField(f"c{len(names)}").isNotNull()
+    short = F.col(CORRUPT).isNotNull() & ~F.coalesce(too_long, F.lit(False))
     cols, reasons = [], [F.when(short, F.lit("too few fields"))]
     for f in RAW_SCHEMA.fields:
         if f.name not in text.columns:
@@ -168,20 +173,16 @@ def _typed(text: DataFrame, short: Column, added: tuple[str, ...] = ()) -> DataF
             continue
         reasons.append(F.when(c.isNotNull() & (x != "") & v.isNull(), F.lit(f.name)))
         cols.append(v.alias(f.name))
-    fields = [F.col(f"`{c}`") for c in text.columns if c != CORRUPT]
+    fields = [F.col(f"`{c}`") for c in names]
     return text.select(*cols, *[F.col(f"`{c}`") for c in added], F.coalesce(F.col(CORRUPT), F.to_csv(F.struct(*fields))).alias("_source"),
-                       F.coalesce(*reasons).alias("_reason"))
+                       F.coalesce(*reasons).alias("_reason"), *keep)
 
 
-def _text_rows(spark: SparkSession, paths: str | list[str], names: list[str]) -> tuple[DataFrame, Column]:
-    """All fields as text, and whether a row has too few of them (it may have more)."""
+def _text_rows(spark: SparkSession, paths: str | list[str], names: list[str]) -> DataFrame:
+    """All fields as text, and the whole text of rows that have another number of them."""
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
-    text = (spark.read.schema(schema).option("header", True).option("multiLine", True).option("enforceSchema", True)
+    return (spark.read.schema(schema).option("header", True).option("multiLine", True).option("enforceSchema", True)
             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(paths))
-    # A corrupt row is either too short (bad) or too long (extras ignored).
-    wide = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names) + 1)])
-    too_long = F.from_csv(F.col(CORRUPT), wide.simpleString()).getField(f"c{len(names)}").isNotNull()
-    return text, F.col(CORRUPT).isNotNull() & ~F.coalesce(too_long, F.lit(False))
 
 
 def parse_landing(spark: SparkSession, paths: str | list[str], by_header: bool = False) -> tuple[DataFrame, dict[str, int]]:
@@ -195,8 +196,7 @@ def parse_landing(spark: SparkSession, paths: str | list[str], by_header: bool =
     groups = header_groups(spark, paths) if by_header else {tuple(RAW_TEXT_SCHEMA.fieldNames()): paths}
     rows = None
     for names, files in groups.items():
-        text, short = _text_rows(spark, files, list(names))
-        part = _typed(text, short, reconcile(names).added)
+        part = typed_rows(_text_rows(spark, files, list(names)), list(names), reconcile(names).added)
         rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
     good = F.col("_reason").isNull()
     seen = Observation()

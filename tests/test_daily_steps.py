@@ -100,6 +100,43 @@ def test_stream_picks_up_each_day_once(spark, scratch):
     assert per_day2[day_a] == n_a and per_day2[day_b] == per_day[day_b] + 3
 
 
+def test_late_and_redelivered_files(spark, scratch):
+    """Batches of two files: a file delivered again (same or other name, same or later batch) counts once;
+    a late file joins its day; rows that repeat inside a file stay; bad rows are set aside once a batch."""
+    import os
+    from retention.schemas import RAW_SCHEMA, RAW_TEXT_SCHEMA
+    from retention.streaming.ingest import ingest_available
+    names = RAW_TEXT_SCHEMA.fieldNames()
+
+    def row(i, day, tenure="5"):
+        return ",".join({**dict.fromkeys(names, "x"), "customer_id": str(i), "senior_citizen": "0", "tenure": tenure,
+                         "monthly_charges": "1.5", "total_charges": "2", "ingest_date": day}[c] for c in names)
+
+    def drop(name, *rows):
+        os.makedirs(f"{scratch}/landing/d", exist_ok=True)
+        with open(f"{scratch}/landing/d/{name}.csv", "w") as f:
+            f.write("\n".join([",".join(names), *rows]) + "\n")
+
+    def take():
+        ingest_available(spark, f"{scratch}/landing", f"{scratch}/raw", f"{scratch}/ckpt", f"{scratch}/aside", L.Budget(count=2),
+                         "d", files_per_batch=2)
+        rows = spark.read.schema(RAW_SCHEMA).parquet(f"{scratch}/raw").collect()
+        return sorted((r.customer_id, str(r.ingest_date)) for r in rows)
+    a, b = "2025-08-22", "2025-08-23"
+    drop("one", row(1, a), row(1, a), row(2, b))
+    drop("one-copy", row(1, a), row(1, a), row(2, b))
+    drop("two", row(3, a), row(9, a, "bad"))
+    want = [(1, a), (1, a), (2, b), (3, a)]
+    assert take() == want and take() == want  # nothing new the second time
+    drop("two-again", row(3, a), row(9, a, "bad"))
+    drop("late", row(4, a))
+    assert take() == sorted([*want, (4, a)])
+    assert spark.read.parquet(f"{scratch}/aside").count() == 2  # one for each delivery, kept with its batch
+    drop("many", *[row(i, b, "bad") for i in range(3)])
+    with pytest.raises(Exception, match="3 of 3 rows are bad"):
+        take()
+
+
 def test_cli_parses_and_runs_a_gate_failure(spark, scratch):
     import retention.__main__ as M
     with pytest.raises(SystemExit):

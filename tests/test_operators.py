@@ -213,3 +213,20 @@ def test_prepare_preview_and_counts(spark):
     assert [r.customer_id for r in PP.preview(out).collect()] == [1, 2, 3, 4, 5]
     c = PP.sanity_counts(PP.coerce_numeric(PP.union_sources(*two_sources(spark, SF_SMALL), keep=("k",)))).first()
     assert c.rows == out.count() and c.null_churn == 0
+
+
+def test_sketches_of_days_answer_for_all_of_them(spark, tmp_path):
+    from retention.operators import sketches as SK
+    n = 60_000
+    rows = spark.range(n).selectExpr("id % 20000 as customer_id", "case when id % 10 = 0 then null else concat('v', pmod(hash(id), 7)) end as v",
+                                     "date_add(date '2025-08-20', cast(id % 4 as int)) as ingest_date")
+    SK.write_sketches(rows, ["customer_id", "v"], str(tmp_path / "s"))
+    got = {r["column"]: r for r in SK.report(spark, str(tmp_path / "s")).collect()}
+    assert abs(got["customer_id"].distinct_values - 20000) < 0.05 * 20000 and got["customer_id"].rows == n
+    want = rows.where("v is not null").groupBy("v").count().orderBy(F.desc("count"), "v").collect()
+    assert got["v"].nulls == n // 10 and got["v"].distinct_values == 7
+    assert [(x["value"], x["count"]) for x in got["v"].frequent] == [(r.v, r["count"]) for r in want]
+    part = {r["column"]: r for r in SK.report(spark, str(tmp_path / "s"), "2025-08-21", "2025-08-22").collect()}
+    assert part["v"].rows == n // 2 and abs(part["customer_id"].distinct_values - 10000) < 500
+    SK.write_sketches(rows.where("ingest_date = '2025-08-20'"), ["customer_id", "v"], str(tmp_path / "s"))  # a re-run replaces its day
+    assert {r["column"]: r.rows for r in SK.report(spark, str(tmp_path / "s")).collect()}["v"] == n

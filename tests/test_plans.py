@@ -1,6 +1,7 @@
 """Physical-plan properties of the registered queries."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from retention.plans import catalog as CAT
@@ -9,7 +10,8 @@ from retention.plans import catalog as CAT
 EAGER = {"train_logreg", "train_rf", "threshold_predictions", "score_by_id", "score_from_json",
          "ingest_incremental", "load_bad_record_budget", "one_hot_matrix", "logreg_certificate", "logreg_coefficients",
          "model_metrics", "threshold_rows", "score_by_id_rows", "score_from_json_rows", "load_budget_outcomes",
-         "load_field_addition", "latest_clean_table", "prep_sparse_ids"}
+         "load_field_addition", "latest_clean_table", "prep_sparse_ids", "sketch_report", "customer_lookup_table",
+         "ingest_redelivered"}
 CHEAP = sorted(k for k in CAT.QUERIES if k not in EAGER)
 
 
@@ -56,8 +58,78 @@ def test_newest_partition_is_found_without_a_scan(spark, tmp_path):
     assert TB.partition_values(spark, path)[-1] == "2025-08-24" and TB.partition_values(spark, path + "-none") == []
 
 
+def test_merge_leaves_a_bucketed_target_in_place(spark, tmp_path):
+    from retention.operators.upsert import merge_upsert, write_bucketed
+    target = spark.range(2000).selectExpr("concat('run-', id) as run_id", "id as version", "'OLD' as status")
+    write_bucketed(target, "bucketed_target", str(tmp_path / "t"), ["run_id"], 8)
+    source = spark.range(1990, 2010).selectExpr("concat('run-', id) as run_id")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        out = merge_upsert(spark.table("bucketed_target"), source, ["run_id"], when_matched={"status": F.lit("NEW")},
+                           when_not_matched={"status": F.lit("NEW")}, nullable_keys=False)
+        plan = _plan(out)
+        assert plan.count("Bucketed: true") == 2
+        lines = [x.replace(":", " ").replace("+-", "  ") for x in plan.splitlines()]
+        indent = [len(x) - len(x.lstrip()) for x in lines]
+        for at, line in enumerate(lines):  # no shuffle above the target's scans: what moves is the source alone
+            if "FileScan" in line:
+                depth = indent[at]
+                for up in range(at - 1, -1, -1):
+                    if indent[up] < depth:
+                        depth = indent[up]
+                        assert "Exchange" not in lines[up]
+        assert "Exchange hashpartitioning" in plan
+        rows = {r.run_id: (r.version, r.status) for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql("drop table bucketed_target")
+    assert len(rows) == 2010 and rows["run-1995"] == (1995, "NEW") and rows["run-2005"] == (None, "NEW") and rows["run-7"] == (7, "OLD")
+
+
+def test_merge_refuses_a_repeated_key(spark):
+    from retention.operators.upsert import merge_upsert
+    target = spark.createDataFrame([("a", 1)], "k string, v int")
+    with pytest.raises(Exception, match="key twice"):
+        merge_upsert(target, spark.createDataFrame([("a", 2), ("b", 3), ("b", 4)], "k string, v int"), ["k"]).collect()
+    out = merge_upsert(target, spark.createDataFrame([("a", 2), (None, 3)], "k string, v int"), ["k"], when_matched={"v": F.col("_s_v")})
+    assert sorted(map(tuple, out.collect()), key=repr) == [("a", 2), (None, 3)]
+
+
+def scan_rows(df):
+    """Rows that the plan's scan has put out."""
+    df.collect()
+    node = df._jdf.queryExecution().executedPlan()
+    todo = [node]
+    while todo:
+        node = todo.pop()
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            todo.append(node.executedPlan())
+        elif node.nodeName().startswith("Scan parquet"):
+            return node.metrics().apply("numOutputRows").value()
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+
+
+def test_a_lookup_skips_row_groups(spark, tmp_path):
+    """Keys lie scattered, so bounds skip nothing: the Bloom filters do."""
+    from retention.sources import tables as TB
+    n = 40_000
+    rows = spark.range(n).selectExpr("(id * 7919) % 40000 * 3 as customer_id", "date '2025-08-24' as ingest_date").repartition(8, "customer_id")
+    for path, bloom in ((str(tmp_path / "plain"), None), (str(tmp_path / "bloom"), {"customer_id": n})):
+        TB.create_table(rows, path, bloom=bloom)
+    keys = spark.createDataFrame([(3 * k,) for k in (5, 777)] + [(1,), (None,), (15,)], "customer_id long")
+    got = {}
+    for kind in ("plain", "bloom"):
+        df = TB.lookup(spark, str(tmp_path / kind), "customer_id", keys)
+        got[kind] = scan_rows(df)
+        assert sorted(r.customer_id for r in df.collect()) == [15, 2331]
+    assert got["plain"] == n and got["bloom"] <= n // 2
+    joined = TB.lookup(spark, str(tmp_path / "bloom"), "customer_id", keys, short=1)
+    assert "Join" in _plan(joined) and sorted(r.customer_id for r in joined.collect()) == [15, 2331]
+
+
 def test_day_filter_reaches_scan(spark, tmp_path):
-    from pyspark.sql import functions as F
     from retention.operators import clean as C
     from retention.sources import tables as TB
     path = str(tmp_path / "raw")
