@@ -387,10 +387,24 @@ def _q(spark, d):
     return s.groupBy("churn_label", "is_test").agg(F.count(F.lit(1)).alias("n"))
 
 
+#: Folder of the training step's outcome for each data folder and session.
+_TRAINED: dict = {}
+
+
+def _trained(spark, d) -> str:
+    """Folder of the training step's split and models: written once per session and folder (the
+    split of M3 has its own query); every query that fits, evaluates or applies something reads it."""
+    key = (d, spark.sparkContext.applicationId)
+    if key not in _TRAINED:
+        base = f"{checkpoint_dir(spark).rstrip('/')}/trained-{uuid.uuid4().hex}"
+        MD.stratified_split(features_all(spark, d)).write.parquet(f"{base}/split")
+        _TRAINED[key] = base
+    return _TRAINED[key]
+
+
 def _split(spark, d):
     """The split, written once: fitting and applying both read it."""
-    checkpoint_dir(spark)
-    return MD.stratified_split(features_all(spark, d)).checkpoint(eager=True)
+    return spark.read.parquet(f"{_trained(spark, d)}/split")
 
 
 @query("impute_median")
@@ -431,25 +445,21 @@ def _q(spark, d):
         "customer_id", "ingest_date", "is_test", "_kv.column", "_kv.category", "_kv.position")
 
 
-_MODELS: dict = {}
+#: Depth of the registered forest; the training step (plans.daily) takes the default of model.candidates, 30.
+QUERY_FOREST_DEPTH = 12
 
 
 def _fitted(spark, d, which):
-    """(model, train, test, n_train) of one candidate: the training step runs once per session and
-    folder, keeps its split and its model in the shared folder (M14), and every query that
-    evaluates or applies the model loads it."""
-    base = _MODELS.get((d, spark.sparkContext.applicationId))
-    if base is None:
-        base = _MODELS[(d, spark.sparkContext.applicationId)] = f"{checkpoint_dir(spark).rstrip('/')}/models-{uuid.uuid4().hex}"
-        split = MD.stratified_split(features_all(spark, d).withColumn(MD.LABEL, F.col(MD.LABEL).cast("double")))
-        split.write.parquet(f"{base}/split")
-    split = spark.read.parquet(f"{base}/split")
+    """(model, train, test, n_train) of one candidate, which is fitted once, saved in the training
+    step's folder (M14) and loaded by every query that evaluates or applies it."""
+    base = _trained(spark, d)
+    split = _split(spark, d).withColumn(MD.LABEL, F.col(MD.LABEL).cast("double"))
     train, test = (split.where(F.col("is_test") == side).drop("is_test") for side in (False, True))
-    if not FS.exists(spark, f"{base}/{which}/_DONE"):
-        _, _, pre, n = MD.fit_preprocessing(train)
-        MD.fit_and_reload(pre + [MD.candidates(n)[which]], train, f"{base}/{which}/model")
-        spark.range(1).write.mode("overwrite").parquet(f"{base}/{which}/_DONE")
-    return MD.load_model(f"{base}/{which}/model"), train, test, train.count()
+    n = train.count()
+    if not FS.exists(spark, f"{base}/{which}/metadata/_SUCCESS"):
+        _, _, pre, _ = MD.fit_preprocessing(train)
+        MD.fit_and_reload(pre + [MD.candidates(n, QUERY_FOREST_DEPTH)[which]], train, f"{base}/{which}")
+    return MD.load_model(f"{base}/{which}"), train, test, n
 
 
 @query("train_logreg")
@@ -463,7 +473,7 @@ def _q(spark, d):
 
 
 #: A derivative of the mean penalised loss below this is zero.
-ZERO_GRADIENT = 1e-6
+ZERO_GRADIENT = 1e-5
 
 
 @query("logreg_certificate")
