@@ -55,3 +55,11 @@ def columns_of(df: DataFrame) -> list[Column]:
 def ids_and_text(docs: DataFrame) -> DataFrame:
     """The two columns most operators read; other columns never reach them."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def shielded(docs: DataFrame, *used: str) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with every column but ``used`` under a name that no operator uses, and the columns that
+    give the result its own names back: whatever a user's columns are called, none can clash."""
+    names = {c: f"__in_{i}" for i, c in enumerate(docs.columns)}
+    safe = docs.toDF(*[c if c in used else names[c] for c in docs.columns])
+    return safe, [F.col(c if c in used else names[c]).alias(c) for c in docs.columns]

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retention.llm.common import groups_of, stored, table, texts
+from retention.llm.common import groups_of, shielded, stored, table, texts
 from retention.llm.words import WordBlock
 
 WINDOW, KGRAM = 10, 5
@@ -156,11 +156,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k: int = KGRAM) -> DataFrame:
-    """``docs`` without the rows that share a window of words with the benchmark."""
+    """``docs`` without the rows that share a window of words with the benchmark; all its columns, whatever their names."""
+    docs, back = shielded(docs, "doc_id", "text")
     bad = contamination(docs, benchmark, window, k).where("n_hit > 0").select(
         F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
     return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
-                     & (F.xxhash64(F.col("text").cast("string")) == F.col("__hash")), "left_anti")
+                     & (F.xxhash64(F.col("text").cast("string")) == F.col("__hash")), "left_anti").select(*back)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retention.llm.common import columns_of, ids_and_text, stored, table, texts
+from retention.llm.common import columns_of, ids_and_text, shielded, stored, table, texts
 
 DEPTH, MIN_DOCS, SIMILARITY, SHARE = 3, 5, 0.75, 0.05
 FIELD = b"<*>"
@@ -148,7 +148,8 @@ def line_groups(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, s
 
 def drop_lines(docs: DataFrame, groups: DataFrame) -> DataFrame:
     """``docs`` with the lines in ``groups`` (see ``line_groups``) taken out of ``text``, and
-    __n_lines, __n_dropped long; null text stays null."""
+    __n_lines, __n_dropped long (``docs`` has no columns of these names, nor others that begin
+    with two underscores; see ``common.shielded``); null text stays null."""
     found = groups.withColumnsRenamed({c: f"__{c}" for c in groups.columns})
     joined = docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("__doc_id"))
                        & F.xxhash64(F.col("text").cast("string")).eqNullSafe(F.col("__text_hash")), "left")
@@ -164,17 +165,19 @@ def drop_lines(docs: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` (same columns) without recurring lines; ``n_chars`` follows where there is one.
+    """``docs`` (same columns, whatever their names) without recurring lines; ``n_chars`` follows where there is one.
 
-    A document that loses all its words this way goes; one that had none before stays.
+    A document that loses all its words this way goes; one that had none before stays. An
+    empty table stays empty; a very long text is one row of lines.
     """
+    kind = dict(docs.dtypes).get("n_chars")
+    docs, back = shielded(docs, "doc_id", "text", "n_chars")
     groups = line_groups(docs).where("drops is not null")
     out = drop_lines(docs, groups).where(
-        (F.col("__n_dropped") == 0) | (F.btrim("text", F.lit(" \t\n\u000b\f\r")) != "")).select(*columns_of(docs))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars"))
-                             .otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return out
+        (F.col("__n_dropped") == 0) | (F.btrim("text", F.lit(" \t\n\u000b\f\r")) != ""))
+    if kind is not None:
+        out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(kind))
+    return out.select(*back)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 Every rule rejects a document whose signal exceeds a cutoff. Candidate cutoffs
 are a fixed grid, most lenient first. For each stratum (language) and rule the
-labelled documents are split in two by a hash of their id:
+labelled texts are split in two by a hash of the text. Each different text counts once (at its
+worst label), so copies neither fall on both sides nor pass for independent trials:
 
 * the certifying half gives, for each cutoff, how many good documents it
   rejects. The cutoff passes if ``P(Bin(n, LIMIT) <= k)``, the exact binomial
@@ -34,7 +35,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from retention.llm.common import columns_of, stored, table
+from retention.llm.common import shielded, stored, table
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 LIMIT, DELTA, COST = 0.05, 0.1, 5.0
@@ -96,7 +97,7 @@ def measure(docs: DataFrame, lexicon: list[str]) -> DataFrame:
         (F.size("__l") - F.size(F.array_distinct("__l"))).cast("long").alias("n_dup_lines"),
         covered.alias("n_repeat_words"), F.size("__l").cast("long").alias("n_lines"),
         _occurrences(text, "[A-Z]").cast("long").alias("n_capitals"),
-        toxic.cast("long").alias("n_toxic")))).drop("__w", "__l", "__h", "__s", "__p")
+        toxic.cast("long").alias("n_toxic"), F.xxhash64(text).alias("text_hash")))).drop("__w", "__l", "__h", "__s", "__p")
 
 
 def base_failed() -> Column:
@@ -109,22 +110,26 @@ def _signals() -> list[Column]:
     return [F.expr(re.sub(names, r"m.\1", expr)).cast("double").alias(rule) for rule, (expr, _) in RULES.items()]
 
 
+def _half(text_hash: Column) -> Column:
+    """0: the text is for fitting, 1: for certifying."""
+    return F.pmod(F.xxhash64(F.lit("half"), text_hash), F.lit(2))
+
+
 def _labelled(labels: DataFrame, rows: int | None = None) -> DataFrame:
-    """The labels, or ``rows`` of them at most (smallest hash of the id first): __id, good, half (0 fits, 1 certifies)."""
+    """The labels, or ``rows`` of them at most (smallest hash of the id first): __id, toxic, good."""
     one = (labels.where("doc_id is not null and quality is not null").groupBy("doc_id")
            .agg(F.min("quality").alias("quality"), F.max(F.coalesce("toxic", F.lit(0))).alias("toxic")))
     out = one.select(F.col("doc_id").cast("long").alias("__id"), "toxic",
-                     ((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("good"),
-                     F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)).alias("half"))
+                     ((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("good"))
     return out if rows is None else out.orderBy(F.xxhash64(F.lit("sample"), "__id"), "__id").limit(rows)
 
 
 def toxic_words(docs: DataFrame, labels: DataFrame) -> list[str]:
     """Words far more usual in toxic documents of the fitting half than in its others, by distinct text."""
-    rows = F.broadcast(_labelled(labels, LEXICON_ROWS).where("half = 0"))
-    words = (docs.select(F.col("doc_id").cast("long").alias("__id"), F.col("text").cast("string").alias("text"))
-             .join(rows, "__id").select("toxic", F.xxhash64("text").alias("t"),
-                                        F.array_distinct(_plain_words(F.coalesce("text", F.lit("")))).alias("w")))
+    rows = F.broadcast(_labelled(labels, LEXICON_ROWS))
+    words = (docs.select(F.col("doc_id").cast("long").alias("__id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+             .join(rows, "__id").withColumn("t", F.xxhash64("text")).where(_half(F.col("t")) == 0)
+             .select("toxic", "t", F.array_distinct(_plain_words(F.col("text"))).alias("w")))
     words = stored(words, "labelled_words")
     texts = words.groupBy("toxic").agg(F.count_distinct("t").alias("n")).collect()
     n = {r["toxic"]: r["n"] for r in texts}
@@ -147,10 +152,13 @@ def calibrate(measured: DataFrame, labels: DataFrame) -> DataFrame:
     """
     grid = F.array(*[F.struct(F.lit(rule).alias("rule"), F.lit(i).alias("step"), F.lit(float(c)).alias("cutoff"))
                      for rule, (_, cuts) in RULES.items() for i, c in enumerate(cuts)])
-    shown = measured.join(_labelled(labels), "__id").where(~base_failed()).select("__stratum", "good", "half", F.struct(*_signals()).alias("v"))
+    shown = (measured.join(_labelled(labels), "__id").where(~base_failed())
+             .select("__stratum", "good", "m.text_hash", F.struct(*_signals()).alias("v"))
+             .select("good", "text_hash", "v", F.explode(F.array("__stratum", F.lit("*"))).alias("stratum"))
+             .groupBy("stratum", "text_hash").agg(F.bool_and("good").alias("good"), F.first("v").alias("v"))
+             .withColumn("half", _half(F.col("text_hash"))))
     value = F.coalesce(*[F.when(F.col("g.rule") == r, F.col(f"v.{r}")) for r in RULES])
-    hits = (shown.select("*", F.explode(F.array("__stratum", F.lit("*"))).alias("stratum"))
-            .select("stratum", "good", "half", "v", F.explode(grid).alias("g"))
+    hits = (shown.select("stratum", "good", "half", "v", F.explode(grid).alias("g"))
             .groupBy("stratum", "g.rule", "g.step", "g.cutoff")
             .agg(F.count_if(F.expr("good and half = 1")).alias("n"),
                  F.count_if((value > F.col("g.cutoff")) & F.expr("good and half = 1")).alias("k"),
@@ -192,23 +200,24 @@ def _verdict(measured: DataFrame, cutoffs: DataFrame) -> DataFrame:
 
 
 def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
-    """``docs`` with ``m`` (see ``measure``), ``base_failed`` and ``kept`` as columns __m, __base_failed, __kept.
+    """``docs`` with ``m`` (see ``measure``), ``base_failed`` and ``kept`` as columns __m, __base_failed, __kept,
+    which ``docs`` has none of its own.
 
     An empty ``labels`` certifies nothing, so only the base rules reject. Labels
     of unknown documents, null ids or null quality are ignored; repeated labels
     count once, at their worst.
     """
     lexicon = toxic_words(docs, labels)
-    renamed = {c: f"__in_{i}" for i, c in enumerate(docs.columns) if c not in ("text", stratum)}
-    d = stored(measure(docs.withColumnsRenamed(renamed).withColumn("__stratum", _stratum(stratum)), lexicon), "measured")
-    cutoffs = calibrate(d.select(F.col(renamed["doc_id"]).cast("long").alias("__id"), "__stratum", "m"), labels)
-    back = [F.col(renamed[c]).alias(c) if c in renamed else F.col(c) for c in docs.columns]
+    safe, back = shielded(docs, "doc_id", "text", stratum)
+    d = stored(measure(safe.withColumn("__stratum", _stratum(stratum)), lexicon), "measured")
+    cutoffs = calibrate(d.select(F.col("doc_id").cast("long").alias("__id"), "__stratum", "m"), labels)
     return _verdict(d, cutoffs).select(*back, F.col("m").alias("__m"), "__base_failed", "__kept")
 
 
 def accept(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
-    """The rows of ``docs`` that neither the base rules nor a certified rule rejects."""
-    return judge(docs, labels, stratum).where("__kept").select(*columns_of(docs))
+    """The rows of ``docs`` that neither the base rules nor a certified rule rejects, with all their columns, whatever their names."""
+    safe, back = shielded(docs, "doc_id", "text", stratum)
+    return judge(safe, labels, stratum).where("__kept").select(*back)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retention.llm.common import columns_of, groups_of, ids_and_text, stored, texts
+from retention.llm.common import groups_of, ids_and_text, shielded, stored, texts
 from retention.llm.components import connected_components
 
 SHINGLE, MAX_BITS, SEED = 4, 4, 42
@@ -219,7 +219,12 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """One row of ``docs`` for each component: that of its smallest doc_id (null last), then text hash."""
+    """One row of ``docs`` for each component: that of its smallest doc_id (null last), then text hash.
+
+    Columns keep their names, whatever these are; an empty table stays empty; texts of any
+    length are fingerprinted whole.
+    """
+    docs, back = shielded(docs, "doc_id", "text")
     found = near_duplicates(docs, shingle, max_bits)
     heads = (found.groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("h"))
@@ -230,9 +235,9 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS)
     heads = stored(heads.join(rows, same).select(F.col("d").alias("__id"), F.col("t").alias("__hash"), "__rows"), "heads")
     kept = docs.join(heads, F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
                      & F.xxhash64(F.col("text").cast("string")).eqNullSafe(F.col("__hash")))
-    once = kept.where("__rows = 1").select(*columns_of(docs))
+    once = kept.where("__rows = 1").select(*back)
     # Rows that repeat the chosen one in full are the only ones left to thin out.
-    return once.unionByName(kept.where("__rows > 1").dropDuplicates(["__id", "__hash"]).select(*columns_of(docs)))
+    return once.unionByName(kept.where("__rows > 1").dropDuplicates(["__id", "__hash"]).select(*back))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -6,7 +6,9 @@ import pytest
 SF_SMALL = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars int"
 #: Columns that clash with names the operators use, and one with a dot.
-EXTRA = "row long, fp string, text_hash string, n_words string, m string, found string, `a.b` string, first string"
+EXTRA = ("row long, fp string, text_hash string, n_words string, m string, found string, `a.b` string, first string, "
+         "__id string, __hash string, __rows string, __lines string, __drops string, __n_lines string, __n_dropped string, "
+         "__in_0 string, __stratum string, __cutoffs string")
 
 
 def words(n, seed=0, step=7):
@@ -24,7 +26,7 @@ def table_of(spark):
     def make(rows, schema=SCHEMA, extra=False):
         if not extra:
             return spark.createDataFrame([tuple(r) + (None,) * (5 - len(r)) for r in rows], schema)
-        return spark.createDataFrame([tuple(r) + (None,) * (5 - len(r)) + (7, *["x"] * 7) for r in rows], f"{SCHEMA}, {EXTRA}")
+        return spark.createDataFrame([tuple(r) + (None,) * (5 - len(r)) + (7, *["x"] * 17) for r in rows], f"{SCHEMA}, {EXTRA}")
     return make
 
 

@@ -134,7 +134,7 @@ def labelled(n=1200):
     rows, labels = [], []
     for i in range(n):
         kind = i % 6
-        text = words(70, seed=i * 5, step=3 + i % 5)
+        text = words(70, seed=i * 5, step=3 + i % 5) + " n" + "".join(chr(97 + int(x)) for x in str(i))  # no two are equal
         if kind == 4:
             text = " ".join(w + "$$$" for w in text.split())
         if kind == 5:
@@ -162,14 +162,16 @@ def test_certificate_is_the_exact_binomial_tail(spark, table_of):
     assert {"vilely", "grimly", "fouly"} <= set(lexicon)
     measured = qr.measure(docs.select(F.col("doc_id").alias("__id"), "text", F.col("lang").alias("__stratum")), lexicon)
     found = {r.stratum: r.cutoffs for r in qr.calibrate(measured, lab).collect()}
-    halves = {r["__id"]: r["half"] for r in qr._labelled(lab, 10**6).collect()}
+    halves = {r["__id"]: r["half"] for r in measured.select("__id", qr._half(F.col("m.text_hash")).alias("half")).collect()}
     good = {i for i, q, t in labels if q == 1 and t == 0}
+    by_id = {i for i, _, _ in labels}
     families = 3 * len(qr.RULES)
 
     def tail(n, k):
         return sum(math.comb(n, j) * qr.LIMIT**j * (1 - qr.LIMIT)**(n - j) for j in range(k + 1))
     for stratum, cutoffs in found.items():
-        n = [r for r in rows if r[0] in good and halves[r[0]] == 1 and stratum in ("*", r[2]) and not counts(r[1])[-1]]
+        n = {r[1]: r for r in rows if halves[r[0]] == 1 and stratum in ("*", r[2]) and not counts(r[1])[-1] and r[0] in by_id}
+        n = [r for t, r in n.items() if all(x[0] in good for x in rows if x[1] == t and x[0] in by_id and stratum in ("*", x[2]))]
         if "symbols" in cutoffs:
             k = sum(counts(r[1])[2] / counts(r[1])[0] > cutoffs["symbols"] for r in n)
             assert tail(len(n), k) <= qr.DELTA / families
@@ -201,7 +203,7 @@ def signals(spark, n, stratum, symbols):
     """(__id, __stratum, m) of ``n`` rows of 100 words; SQL over id gives the stratum and the number of symbols."""
     return spark.range(n).selectExpr("id as __id", f"{stratum} as __stratum", f"""named_struct('n_words', 100L, 'word_chars', 500L,
         'n_symbols', cast({symbols} as bigint), 'n_dup_lines', 0L, 'n_repeat_words', 0L, 'n_lines', 5L, 'n_capitals', 0L,
-        'n_toxic', 0L) as m""")
+        'n_toxic', 0L, 'text_hash', id) as m""")
 
 
 def test_pooled_cutoff_only_where_labels_are_too_few(spark):
@@ -221,6 +223,13 @@ def test_pooled_cutoff_only_where_labels_are_too_few(spark):
     assert all(rows[s].kept == rows[s].clean for s in ("en", "ww", "yy", "zz")) and rows["yy"].clean == 0 < rows["zz"].clean
 
 
+def test_copies_count_once(spark):
+    """3,000 labelled copies of one good text are one trial: they certify nothing."""
+    measured = signals(spark, 3000, "'en'", "0").withColumn("m", F.col("m").withField("text_hash", F.lit(7).cast("long")))
+    labels = spark.range(3000).selectExpr("id as doc_id", "1 as quality", "0 as toxic")
+    assert qr.calibrate(measured, labels).count() == 0
+
+
 def test_cutoffs_rest_on_all_labels(spark):
     """A language with 400 of 300,000 labels, 200 of them good, has its own certificate."""
     measured = signals(spark, 300_000, "if(id % 1000 in (0, 1) and id < 200000, 'rare', 'en')", "if(id % 2 = 1, 100, 0)")
