@@ -172,8 +172,8 @@ def test_registry_lifecycle(spark, scratch):
 def test_feature_metadata_query(spark):
     from retention.plans import metadata as MDT
     md = MDT.seed_metadata(spark, dt.date(2025, 8, 24))
-    assert md.count() == 10
-    assert MDT.query_metadata(md, source="churn_clean").count() == 6
+    assert md.count() == 17
+    assert MDT.query_metadata(md, source="clean").count() == 7
     assert [r.feature_name for r in MDT.query_metadata(md, feature_name="tenure", limit=1).collect()] == ["tenure"]
 
 
