@@ -116,8 +116,8 @@ def brackets(sketches: DataFrame, probs: list[float], kind: str = "linear", keys
 
 
 def values_at(df: DataFrame, cols: list[str], near: DataFrame, by: list[str] | tuple = (), few: bool = True) -> DataFrame:
-    """(by..., column, p, n, _f, _vl, _vh, below): the values at the ranks ``_lo`` and ``_hi`` of ``near``
-    (see ``brackets``), exactly, and how many values are smaller than the first.
+    """(by..., column, p, n, _f, _vl, _vh, rank, below): the values at the ranks ``_lo`` and ``_hi`` of ``near``
+    (see ``brackets``), exactly, the first rank, and how many values are smaller than the first.
 
     ``few``: the groups are known to be few (a century of days is 36,525 rows of some
     hundred bytes for each column; labels are three), so the brackets are broadcast and
@@ -140,7 +140,8 @@ def values_at(df: DataFrame, cols: list[str], near: DataFrame, by: list[str] | t
     def found(x: Column) -> Column:
         return F.coalesce(x, F.raise_error(F.lit("a rank lies outside its sketch's bracket; use exact_quantiles")).cast("double"))
     return cum.groupBy(*keys, "p").agg(
-        F.first("n").alias("n"), F.first("_f").alias("_f"), found(at("_lo", v)).alias("_vl"), found(at("_hi", v)).alias("_vh"),
+        F.first("n").alias("n"), F.first("_f").alias("_f"), F.first("_lo").alias("rank"),
+        found(at("_lo", v)).alias("_vl"), found(at("_hi", v)).alias("_vh"),
         at("_lo", F.col("_cum") - F.col("cnt")).alias("below"))
 
 

@@ -16,8 +16,10 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-EAGER = {"train_logreg", "train_rf", "threshold_predictions", "score_by_id", "score_from_json",
-         "ingest_incremental", "load_bad_record_budget"}
+EAGER = {"train_logreg", "train_rf", "threshold_predictions", "score_by_id", "score_from_json", "model_metrics",
+         "logreg_certificate", "logreg_coefficients", "threshold_rows", "score_by_id_rows", "score_from_json_rows",
+         "ingest_incremental", "ingest_redelivered", "load_bad_record_budget", "load_budget_outcomes", "load_field_addition",
+         "latest_clean_table", "customer_lookup_table", "sketch_report", "prep_sparse_ids"}
 
 
 def summarise(plan: str) -> dict:
