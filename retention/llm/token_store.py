@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ from retention.llm.tokens import default_path, encoder
 from retention.session import checkpoint_dir
 
 END_ID = 2
-BLOCK = 4_000_000
+BLOCK = 1_000_000
 ROW_GROUP_BYTES, PAGE_BYTES, DICTIONARY_BYTES = 32 << 20, 256 << 10, 1 << 20
 
 SCHEMA = "doc_id long, part int, part_start long, n_tokens long, ids array<int>"
@@ -43,9 +44,9 @@ def _encode(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, end, part, before = encoder(path), np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId(), 0
         for b in batches:
-            all_texts = texts(b)
-            for lo, hi in groups_of([len(t) for t in all_texts], BLOCK):
-                ids = [x + end for x in enc.encode(all_texts[lo:hi])]
+            lengths = pc.fill_null(pc.binary_length(b.column(1)), 0).to_pylist()
+            for lo, hi in groups_of(lengths, BLOCK):  # only a block's texts are copied out of the batch
+                ids = [x + end for x in enc.encode(texts(b.slice(lo, hi - lo)))]
                 sizes = np.array([len(x) // 4 for x in ids], np.int64)
                 ends = np.concatenate(([0], np.cumsum(sizes)))
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()),

@@ -21,8 +21,9 @@ from retention.llm.words import Runs
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Pieces a worker remembers (about 200 bytes each), the longest one it does, and letters sent to the library at a time.
-REMEMBERED, LONGEST, AT_A_TIME = 1_000_000, 48, 5_000
+#: Pieces a worker remembers (about 250 bytes each: this is most of what it holds), the longest one it does, and
+#: letters sent to the library at a time.
+REMEMBERED, LONGEST, AT_A_TIME = 300_000, 48, 5_000
 
 #: What of a tokenizer file makes pieces independent: fixed values of the public file.
 BY_PIECE = {

@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -13,7 +14,7 @@ from tokenizers import Tokenizer
 
 from llm_tables import SF_SMALL, awkward, sf_docs, table_of  # noqa: F401 - fixtures
 from retention.llm import packing, token_store
-from retention.llm.tokens import WordEncoder, default_path
+from retention.llm.tokens import REMEMBERED, WordEncoder, default_path
 
 
 @pytest.fixture(scope="module")
@@ -50,6 +51,23 @@ def test_token_query_round_trip(spark, sf_docs, plain):
     assert sorted(tuple(r) for r in token_store.query(spark, SF_SMALL).collect()) == want
 
 
+def test_token_worker_holds_one_block(monkeypatch):
+    """A worker copies a block's texts out of a batch, not the batch's, and forgets pieces."""
+    import tracemalloc
+    import types
+    rows, text = 8_000, "the quick brown fox jumps over a dog, " * 80
+    batch = pa.RecordBatch.from_arrays([pa.array(range(rows)), pa.array([text] * (rows - 2) + [None, ""])], ["doc_id", "text"])
+    monkeypatch.setattr(token_store, "TaskContext", types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 0)))
+    encode = token_store._encode(default_path(), 2)
+    list(encode(iter([batch.slice(0, 1)])))  # the encoder is there
+    tracemalloc.start()
+    sizes = [n for out in encode(iter([batch])) for n in out.column("n_tokens").to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(sizes) == rows and len(set(sizes[:-2])) == 1 and sizes[-2:] == [1, 1]
+    assert peak < 60e6 and REMEMBERED * 250 < 100e6
+
+
 def test_token_files(spark, table_of, awkward, plain, tmp_path):
     path = str(tmp_path / "store")
     token_store.write_tokens(table_of(awkward, extra=True), path)
