@@ -495,7 +495,7 @@ def _q(spark, d):
 def _q(spark, d):
     model, train, test, n = _fitted(spark, d, "rf")
     forest = model.stages[-1]
-    return MD.positive_probability(model.transform(test)).agg(
+    return MD.positive_probability(model.transform(MD.spread(test))).agg(
         F.lit(n).cast("bigint").alias("n_train"), F.count(F.lit(1)).alias("n_test"),
         F.lit(forest.getNumTrees).cast("bigint").alias("n_trees"),
         F.count_if(F.col("score").between(0, 1)).alias("n_scored"))
@@ -507,7 +507,7 @@ def _q(spark, d):
     scored, depth = {}, {}
     for which in ("logreg", "rf"):
         model, _, test, _ = _fitted(spark, d, which)
-        scored[which] = MD.positive_probability(model.transform(test)).select(F.col(MD.LABEL).cast("bigint").alias("label"), "score")
+        scored[which] = MD.scored_labels(model, test)
         depth[which] = max((t.depth for t in model.stages[-1].trees), default=0) if which == "rf" else None
     return MD.compare(spark, scored).join(
         spark.createDataFrame(list(depth.items()), "model string, deepest_tree int"), "model")
